@@ -39,7 +39,8 @@ def country_from_k(k: Column) -> Column:
     return expr.otherwise(F.lit(COUNTRY_BY_K_ELSE))
 
 
-def transactions_from_events(events: DataFrame) -> DataFrame:
+def transactions_from_events(events: DataFrame, keep: tuple = ()) -> DataFrame:
+    """Transactions per FIXTURES.md; `keep` carries extra event columns along."""
     et = F.col("event_type")
     v = F.col("value")
     amount = (F.when(et == "click", F.greatest(F.lit(0.01), F.floor(v * 5) / 100))
@@ -48,6 +49,7 @@ def transactions_from_events(events: DataFrame) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
     event_time = F.col("ts").cast("timestamp")
     return events.select(
+        *keep,
         F.concat(F.lit("txn-"), F.lpad(F.col("event_id").cast("string"), 8, "0"))
         .alias("transaction_id"),
         F.concat(F.lit("cust-"), F.lpad(F.col("user_id").cast("string"), 6, "0"))
