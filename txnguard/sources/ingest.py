@@ -104,13 +104,18 @@ def load_raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def decode(raw: DataFrame, value_col: str = "value", keep: tuple = ()) -> DataFrame:
     """PERMISSIVE JSON decode with the fixed schema; malformed text lands in `_corrupt_record`.
 
-    Adds `event_time` with `try_to_timestamp` (NULL for unparsable text instead of an error)."""
-    parsed = raw.select(
-        *keep, F.col(value_col).cast("string").alias("value"),
-        F.from_json(F.col(value_col).cast("string"), PARSE_SCHEMA,
-                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("txn"))
-    return parsed.select(*keep, "value", *[F.col(f"txn.{f}").alias(f) for f in TXN_FIELDS],
-                         F.col(f"txn.{CORRUPT}").alias(CORRUPT)).withColumn(
+    Adds `event_time` with `try_to_timestamp` (NULL for unparsable text instead of an error).
+
+    The parse runs inside a one-row generator (`inline`): a later filter on decoded fields (the
+    dead-letter split) cannot be pushed beneath a generator, so each message is parsed once.
+    Pushed below a plain projection, the filter would carry its own copies of `from_json`."""
+    text = F.col(value_col).cast("string")
+    parsed = F.from_json(text, PARSE_SCHEMA,
+                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    row = F.struct(*[F.col(k) for k in keep], text.alias("value"), parsed.alias("txn"))
+    out = raw.select(F.inline(F.array(row)))
+    return out.select(*keep, "value", *[F.col(f"txn.{f}").alias(f) for f in TXN_FIELDS],
+                      F.col(f"txn.{CORRUPT}").alias(CORRUPT)).withColumn(
         "event_time", F.try_to_timestamp(F.col("timestamp")))
 
 
