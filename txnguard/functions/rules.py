@@ -96,6 +96,7 @@ def known_countries(first_seen: str = "country_first_seen", us: str = "us") -> C
 
 
 def known_countries_text() -> Column:
+    """`'CA', 'US'` style text of the known set (the rule reason's wording)."""
     return F.concat_ws(", ", F.transform(known_countries(),
                                          lambda x: F.concat(F.lit("'"), x, F.lit("'"))))
 
@@ -106,7 +107,7 @@ def rule_geo_anomaly(p: RuleParams) -> RuleExpr:
     score = (F.when(hit & country.isin(*p.geo_high_risk), F.lit(GEO_HIGH_RISK_SCORE))
              .when(hit, F.lit(GEO_OTHER_SCORE)).otherwise(F.lit(0.0)))
     reason = F.when(hit, F.format_string("Transaction from %s, known countries: {%s}", country,
-                                         known_countries_text())).otherwise(F.lit(""))
+                                         F.col("known_countries"))).otherwise(F.lit(""))
     return RuleExpr("geo_anomaly", _weight(p, "geo_anomaly"), score, reason)
 
 

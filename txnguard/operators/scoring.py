@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnguard.functions.rules import (
+    known_countries_text,
     rule_columns,
     round4,
     stateless_components,
@@ -37,6 +38,8 @@ def stateless_score(df: DataFrame, threshold: float = 0.7, stamp: bool = True) -
 def apply_rules(hist: DataFrame, p: RuleParams, rules=None, stamp: bool = True) -> DataFrame:
     """Rules + combination over a frame that already carries the history columns."""
     exprs = rule_columns(p, rules)
+    if "known_countries" not in hist.columns:
+        hist = hist.withColumn("known_countries", known_countries_text())
     cols = {}
     for e in exprs:
         cols[f"{e.name}_score"] = e.score
