@@ -98,9 +98,11 @@ def windowed_customer_stats(good: DataFrame, sp: StreamParams = StreamParams())
 # -------------------------------------------------------------------------------------------
 
 def scored_messages(scored: DataFrame) -> DataFrame:
-    """K1/K10: key = customer_id, JSON value with every scored column (none dropped)."""
+    """K1/K10: key = customer_id, JSON value with every scored column the scorer produces
+    (the rule engine adds rules_fired; the stateless scorer has none)."""
+    fields = [c for c in SCORED_MESSAGE_FIELDS if c in scored.columns]
     return scored.select(F.col("customer_id").alias("key"),
-                         F.to_json(F.struct(*SCORED_MESSAGE_FIELDS)).alias("value"))
+                         F.to_json(F.struct(*fields)).alias("value"))
 
 
 def alert_messages(scored: DataFrame) -> DataFrame:
