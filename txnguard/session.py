@@ -36,6 +36,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+# Starting point for a large cluster (about 100 TB of input, 1000 executors). Shuffle partitions
+# are set high and AQE coalesces them to the advisory size at run time; skewed join partitions
+# are split; broadcast is decided by AQE from measured sizes only; scans read 256 MB splits.
+CLUSTER_CONF = {
+    **{k: v for k, v in CORE_CONF.items()},
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
+
 def apply_core_conf(spark: SparkSession) -> None:
     """Pin the runtime settings the library depends on (safe on an existing session)."""
     for k, v in CORE_CONF.items():
