@@ -14,6 +14,9 @@ CORE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # broadcast only what AQE has measured at run time, never on plan-time estimates
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
@@ -47,7 +50,6 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
