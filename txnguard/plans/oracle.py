@@ -448,6 +448,14 @@ def _sql() -> dict[str, str]:
             string_agg(DISTINCT device_id, ',' ORDER BY device_id) AS known_devices
             FROM scored GROUP BY customer_id""",
     }
+    q["scored_json"] = slp + """SELECT customer_id AS key,
+        '{"transaction_id":"' || transaction_id || '","customer_id":"' || customer_id
+        || '","amount":' || CAST(amount AS VARCHAR) || ',"merchant":"' || merchant
+        || '","category":"' || category || '","country":"' || country
+        || '","fraud_score":' || CAST(fraud_score AS VARCHAR)
+        || ',"is_fraud":' || CASE WHEN is_fraud THEN 'true' ELSE 'false' END
+        || ',"scored_at":"' || strftime(scored_at, '%Y-%m-%dT%H:%M:%S.%g') || 'Z"}' AS value
+        FROM stateless"""
     q["dlq_split"] = rawp + """SELECT "offset", value, reason FROM dead WHERE reason IS NOT NULL"""
     q["dlq_counts"] = rawp + """SELECT reason, count(*) AS dead_letters FROM dead
         WHERE reason IS NOT NULL GROUP BY reason"""
