@@ -100,3 +100,22 @@ def test_plan_has_one_exchange_for_rows(spark):
     # rows are shuffled once by (customer, segment); never by customer alone
     assert "hashpartitioning(customer_id#" in plan
     assert plan.count("Window") >= 1
+
+
+def test_hot_customers_get_fine_segments(spark):
+    # 'hot' exceeds the threshold and is split into 20-minute segments; others keep 1-day ones
+    p = RuleParams(velocity_window_minutes=10, card_test_window_minutes=5,
+                   hot_customer_rows=100, hot_customer_max=1)
+    rows = make_rows(700, ["hot"] * 12 + ["x", "y", "z"], span_minutes=3 * 24 * 60, seed=11)
+    check(spark, rows, p)
+    from txnguard.operators.history import hot_customers
+    hot = hot_customers(spark.createDataFrame(rows, SCHEMA), p, "customer_id").collect()
+    assert [r.customer_id for r in hot] == ["hot"]
+
+
+def test_hot_customer_cap_keeps_results_exact(spark):
+    # more customers above the threshold than the cap: the rest keep coarse segments
+    p = RuleParams(velocity_window_minutes=10, card_test_window_minutes=10,
+                   hot_customer_rows=10, hot_customer_max=1)
+    rows = make_rows(500, ["a", "b", "c", "d"], span_minutes=2 * 24 * 60, seed=5)
+    check(spark, rows, p)

@@ -12,7 +12,8 @@ customer with a strictly earlier `us` (ties do not see each other, so batch and
 
 Plan, chosen so that one hot customer never lands in a single task:
 
-* Time is cut into segments of width S >= 2 * longest window. A row's sliding windows only reach
+* Time is cut into segments of width S >= 2 * longest window (S = 1 day by default; the busiest
+  customers, found by a bounded top-k over a partial count, get S = 2 * window). A row's sliding windows only reach
   back into its own segment and the previous one, so each row is shuffled to its own
   (customer, segment) and, when it lies in the last W of its segment, once more as a context
   ("halo") row of the next segment. One exchange on (customer, segment); a customer's rows are
@@ -51,6 +52,22 @@ def segment_micros(p: RuleParams) -> int:
     return max(p.history_segment_minutes * MICROS_PER_MINUTE, 2 * w)
 
 
+def hot_segment_micros(p: RuleParams) -> int:
+    """Finest width the single-halo plan allows: twice the longest window."""
+    return 2 * max(p.velocity_window_minutes, p.card_test_window_minutes) * MICROS_PER_MINUTE
+
+
+def hot_customers(rows: DataFrame, p: RuleParams, customer: str) -> DataFrame:
+    """The busiest customers above `hot_customer_rows`, at most `hot_customer_max` of them.
+
+    One partial aggregate (one small row per customer and task), then a top-k: the result has a
+    proven bound of `hot_customer_max` rows, so it is safe to broadcast."""
+    counts = rows.groupBy(customer).agg(F.count(F.lit(1)).alias("_rows"))
+    return (counts.filter(F.col("_rows") > F.lit(p.hot_customer_rows))
+            .orderBy(F.col("_rows").desc(), F.col(customer)).limit(p.hot_customer_max)
+            .select(customer, F.lit(True).alias("_hot")))
+
+
 def with_history(txns: DataFrame, p: RuleParams, customer: str = "customer_id",
                  carry: list[str] | None = None) -> DataFrame:
     """Add the history columns to every row of `txns` (needs customer, event_time, amount,
@@ -61,10 +78,18 @@ def with_history(txns: DataFrame, p: RuleParams, customer: str = "customer_id",
     seg_w = segment_micros(p)
 
     carry = list(carry) if carry is not None else [c for c in txns.columns]
-    base = (txns.select(*carry, *[c for c in (customer, "event_time", "amount", "country")
-                                  if c not in carry])
-            .withColumn("us", F.unix_micros("event_time"))
-            .withColumn("_seg", F.expr(f"(us - pmod(us, {seg_w}L)) div {seg_w}L"))
+    base = txns.select(*carry, *[c for c in (customer, "event_time", "amount", "country")
+                                 if c not in carry])
+    width = F.lit(seg_w)
+    fine_w = hot_segment_micros(p)
+    if p.hot_customer_rows is not None and fine_w < seg_w:
+        hot = hot_customers(base, p, customer)
+        base = base.join(F.broadcast(hot), customer, "left")
+        width = F.when(F.col("_hot"), F.lit(fine_w)).otherwise(F.lit(seg_w))
+    # Segment id = segment start in micros, so coarse and fine segments order the same way.
+    base = (base.withColumn("us", F.unix_micros("event_time"))
+            .withColumn("_w", width)
+            .withColumn("_seg", F.col("us") - F.pmod(F.col("us"), F.col("_w")))
             .withColumn("_cty", country_or_default())
             .withColumn("_amt", F.col("amount").cast(AMOUNT_DECIMAL)))
 
@@ -84,15 +109,15 @@ def with_history(txns: DataFrame, p: RuleParams, customer: str = "customer_id",
     seg_table = seg_prior.join(firsts, customer, "left")
 
     # -- rows + halo rows, one exchange on (customer, segment) -------------------------------
-    in_tail = (F.col("us") - F.col("_seg") * F.lit(seg_w)) >= F.lit(seg_w - w_max)
+    in_tail = (F.col("us") - F.col("_seg")) >= F.col("_w") - F.lit(w_max)
     copies = F.when(in_tail, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     expanded = base.withColumn("_copy", F.explode(copies))
     home = F.col("_copy") == 0
-    keep = {customer, "us", "amount", "_seg", "_copy"}
+    keep = {customer, "us", "amount", "_seg", "_copy", "_w"}
     expanded = expanded.select(
         *[F.col(c) if c in keep else F.when(home, F.col(c)).alias(c)
           for c in expanded.columns if c not in ("_seg",)],
-        (F.col("_seg") + F.col("_copy")).alias("_seg"),
+        (F.col("_seg") + F.col("_copy") * F.col("_w")).alias("_seg"),
     )
     small = (F.col("amount") < F.lit(float(p.card_test_amount_threshold))).cast("int")
     w = Window.partitionBy(customer, "_seg").orderBy("us")
