@@ -5,7 +5,6 @@ from datetime import datetime, timedelta
 
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from txnguard.operators.history import segment_micros, with_history
 from txnguard.params import RuleParams

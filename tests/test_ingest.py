@@ -58,3 +58,10 @@ def test_decode_parses_once(spark):
     _, dead = ingest.split_dead_letters(ingest.decode(raw))
     plan = dead._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_kafka_options_follow_the_reference():
+    opts = ingest.kafka_options("broker:9092", "txn.raw", max_offsets=1000)
+    assert opts == {"kafka.bootstrap.servers": "broker:9092", "subscribe": "txn.raw",
+                    "startingOffsets": "latest", "failOnDataLoss": "false",
+                    "maxOffsetsPerTrigger": "1000"}

@@ -71,3 +71,14 @@ def test_incremental_empty_target_loads_all(spark):
     stg = stg_scored(wh_batch(spark))
     empty = marts.fct_daily(stg.filter("false"))
     assert sinks.incremental_rows(stg, empty).count() == 1000
+
+
+def test_table_and_view_models(spark, scratch):
+    path = os.path.join(scratch, "fct_fraud_by_category")
+    stg = stg_scored(wh_batch(spark))
+    sinks.write_table(marts.fct_category(stg), path, sort_cols=("fraud_rate_pct",))
+    sinks.write_table(marts.fct_category(stg), path, sort_cols=("fraud_rate_pct",))  # rebuild
+    assert spark.read.parquet(path).count() == 10
+    sinks.register_view(stg, "stg_scored_transactions")
+    n = spark.sql("select count(*) from stg_scored_transactions where risk_level = 'low'").first()[0]
+    assert n == stg.filter("risk_level = 'low'").count()

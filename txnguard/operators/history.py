@@ -41,12 +41,6 @@ from txnguard.params import RuleParams
 MICROS_PER_MINUTE = 60_000_000
 AMOUNT_DECIMAL = "decimal(18,2)"
 
-HISTORY_COLUMNS = (
-    "us", "recent_count", "small_count", "prior_count", "avg_amount", "has_history",
-    "is_new_country", "country_first_seen",
-)
-
-
 def segment_micros(p: RuleParams) -> int:
     w = max(p.velocity_window_minutes, p.card_test_window_minutes) * MICROS_PER_MINUTE
     return max(p.history_segment_minutes * MICROS_PER_MINUTE, 2 * w)

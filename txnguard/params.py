@@ -138,7 +138,10 @@ class StreamParams:
     stateless_threshold: float = 0.7
     window_length: str = "10 minutes"
     window_slide: str = "1 minute"
-    max_records_per_trigger: int | None = None
+    # Upper bound on one micro-batch (Kafka offsets or files): it also bounds the rows one
+    # customer can bring into the stateful operator in a single batch.
+    max_records_per_trigger: int | None = 5_000_000
+    max_files_per_trigger: int | None = 100
     state_ttl_days: int = LOOKUP_RETENTION_DAYS
 
 

@@ -8,8 +8,6 @@ batch therefore produces the same files, and a lost executor only re-runs its ta
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -122,6 +120,3 @@ def write_incremental_daily(stg: DataFrame, path: str, build, lookback_days: int
     rows = incremental_rows(stg, target, lookback_days, strict)
     _dynamic_overwrite(build(rows), path, "txn_date")
 
-
-def table_path(root: str, name: str) -> str:
-    return os.path.join(root, name)

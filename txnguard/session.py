@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -77,6 +76,3 @@ def checkpoint_root(spark: SparkSession) -> str:
         sc.setCheckpointDir(d)
     return d
 
-
-def sub_path(root: str, *parts: str) -> str:
-    return os.path.join(root, *parts)

@@ -49,6 +49,14 @@ def read_text_stream(spark: SparkSession, path: str, max_files: int | None = Non
     return r.load(path)
 
 
+def read_raw_topic(spark: SparkSession, bootstrap: str, topic: str = "txn.raw",
+                   sp: StreamParams = StreamParams()) -> DataFrame:
+    """S1/K9: the raw topic from the latest offset, tolerant of data loss, with micro-batches
+    capped at `max_records_per_trigger` offsets."""
+    return ingest.read_kafka_stream(spark, bootstrap, topic,
+                                    max_offsets=sp.max_records_per_trigger)
+
+
 def read_scored_stream(raw: DataFrame) -> DataFrame:
     """S4: the scored topic decoded with the scored-message schema."""
     return raw.select(F.from_json(F.col("value").cast("string"), SCORED_SCHEMA).alias("m")) \
