@@ -93,70 +93,78 @@ class CustomerHistoryProcessor(StatefulProcessor):
         pdf["us"] = ts.astype("datetime64[us]").astype("int64")
         pdf = pdf.sort_values(["us", "transaction_id"], kind="mergesort").reset_index(drop=True)
 
+        # -- state as it was before this batch -------------------------------------------------
         rec = list(self.recent.get()) if self.recent.exists() else []
-        r_us = np.array([r[0] for r in rec], dtype=np.int64)
-        r_small = np.array([r[1] for r in rec], dtype=np.int64)
+        r_us = np.fromiter((r[0] for r in rec), dtype=np.int64, count=len(rec))
+        r_small = np.fromiter((r[1] for r in rec), dtype=np.int64, count=len(rec))
         if self.totals.exists():
-            n, cents, max_us = self.totals.get()
+            n0, cents0, max0 = self.totals.get()
         else:
-            n, cents, max_us = 0, 0, None
+            n0, cents0, max0 = 0, 0, None
         first = {}
         if self.countries.exists():
             for k, v in self.countries.iterator():
-                first[k[0]] = v[0]
+                first[k[0]] = int(v[0])
 
-        small_t = float(self.p.card_test_amount_threshold)
-        us_arr = pdf["us"].to_numpy(dtype=np.int64)
+        # -- batch rows, vectorised: O(n log n) in the batch plus the recent window ------------
+        b_us = pdf["us"].to_numpy(dtype=np.int64)
         amt = pdf["amount"].to_numpy(dtype=float)
-        cty = pdf["country"].where(pdf["country"].notna(), DEFAULT_COUNTRY).to_numpy(dtype=object)
-        out = {c: [] for c in ("recent_count", "small_count", "prior_count", "avg_amount",
-                               "has_history", "is_new_country", "known_countries", "is_late")}
-        i, m = 0, len(pdf)
-        while i < m:
-            j = i
-            while j < m and us_arr[j] == us_arr[i]:
-                j += 1
-            u = us_arr[i]
-            late = max_us is not None and u < max_us
-            before = r_us < u
-            rc = int(np.count_nonzero(before & (r_us >= u - self.w_vel)))
-            sc = int(np.count_nonzero(before & (r_us >= u - self.w_card) & (r_small == 1)))
-            avg = (cents / 100.0) / n if n > 0 else 0.0
-            known = sorted(c for c, f in first.items() if f < u)
-            for k in range(i, j):
-                c = cty[k]
-                out["recent_count"].append(rc)
-                out["small_count"].append(sc)
-                out["prior_count"].append(n)
-                out["avg_amount"].append(avg)
-                out["has_history"].append(n > 0)
-                out["is_new_country"].append(not (c in first and first[c] < u))
-                out["known_countries"].append(", ".join(f"'{x}'" for x in known))
-                out["is_late"].append(bool(late))
-            # fold the tie group into state
-            g_us = us_arr[i:j]
-            g_small = (amt[i:j] < small_t).astype(np.int64)
-            r_us = np.concatenate([r_us, g_us])
-            r_small = np.concatenate([r_small, g_small])
-            for k in range(i, j):
-                n += 1
-                cents += int(round(amt[k] * 100))
-                c = cty[k]
-                if c not in first or u < first[c]:
-                    first[c] = int(u)
-            max_us = int(u) if max_us is None else max(max_us, int(u))
-            i = j
-
-        keep = r_us >= (max_us - self.w_max)
-        self.recent.put([(int(a), int(b)) for a, b in zip(r_us[keep], r_small[keep])])
-        self.totals.update((int(n), int(cents), int(max_us)))
-        for c, f in first.items():
-            self.countries.updateValue((c,), (int(f),))
+        b_small = (amt < float(self.p.card_test_amount_threshold)).astype(np.int64)
+        cty = pdf["country"].where(pdf["country"].notna(), DEFAULT_COUNTRY).astype(object)
+
+        all_us = np.concatenate([r_us, b_us])
+        all_small = np.concatenate([r_small, b_small])
+        order = np.argsort(all_us, kind="mergesort")
+        s_us, s_small = all_us[order], all_small[order]
+        cum_small = np.concatenate([[0], np.cumsum(s_small)])
+        before = np.searchsorted(s_us, b_us, side="left")            # events strictly earlier
+        recent = before - np.searchsorted(s_us, b_us - self.w_vel, side="left")
+        small = cum_small[before] - cum_small[np.searchsorted(s_us, b_us - self.w_card, side="left")]
+
+        b_before = np.searchsorted(b_us, b_us, side="left")          # batch rows strictly earlier
+        cents = np.rint(amt * 100).astype(np.int64)
+        cum_cents = np.concatenate([[0], np.cumsum(cents)])
+        prior_n = n0 + b_before
+        prior_cents = cents0 + cum_cents[b_before]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            avg = np.where(prior_n > 0, (prior_cents / 100.0) / np.maximum(prior_n, 1), 0.0)
+
+        batch_first = pdf.groupby(cty)["us"].transform("min").to_numpy(dtype=np.int64)
+        state_first = cty.map(lambda c: first.get(c, np.iinfo(np.int64).max)).to_numpy(np.int64)
+        is_new = (batch_first == b_us) & (state_first >= b_us)
+        has_hist = prior_n > 0
+        late = np.zeros(len(pdf), dtype=bool) if max0 is None else b_us < max0
+
+        # first-seen map after this batch
+        merged = dict(first)
+        for c, f in pd.Series(b_us).groupby(cty.to_numpy()).min().items():
+            if c not in merged or f < merged[c]:
+                merged[c] = int(f)
+        # reason text only where the geo rule fires (new country with history)
+        known = np.full(len(pdf), "", dtype=object)
+        for i in np.flatnonzero(is_new & has_hist):
+            u = b_us[i]
+            known[i] = ", ".join(f"'{c}'" for c in sorted(c for c, f in merged.items() if f < u))
+
+        # -- write state back ------------------------------------------------------------------
+        max_us = int(b_us.max()) if max0 is None else max(int(max0), int(b_us.max()))
+        keep = s_us >= max_us - self.w_max
+        self.recent.put(list(zip(s_us[keep].tolist(), s_small[keep].tolist())))
+        self.totals.update((int(n0 + len(pdf)), int(cents0 + cents.sum()), max_us))
+        for c, f in merged.items():
+            if first.get(c) != f:
+                self.countries.updateValue((c,), (f,))
 
         res = pdf[TXN_NAMES].copy()
-        res["us"] = us_arr
-        for c, v in out.items():
-            res[c] = v
+        res["us"] = b_us
+        res["recent_count"] = recent.astype(np.int64)
+        res["small_count"] = small.astype(np.int64)
+        res["prior_count"] = prior_n.astype(np.int64)
+        res["avg_amount"] = avg
+        res["has_history"] = has_hist
+        res["is_new_country"] = is_new
+        res["known_countries"] = known
+        res["is_late"] = late
         yield res
 
     def close(self) -> None:
