@@ -41,7 +41,7 @@ def test_rule_stream_equals_batch_and_replay_is_idempotent(spark, scratch):
     src = day_files(spark, scratch)
     stream = job.read_text_stream(spark, os.path.join(src, "*.json"), max_files=7)
     q = run(spark, job.rule_stream(stream, FIXTURE_PARAMS), scratch, "rules",
-            ("scored", "warehouse", "lookup", "alert_table"))
+            ("scored", "warehouse", "lookup", "alert_table", "daily_mart"))
     assert q.lastProgress["batchId"] >= 3          # several micro-batches
     wh = spark.read.parquet(os.path.join(scratch, "out", "scored_transactions"))
     tx = load_transactions(spark, "/root/testdata/sf0.001")
@@ -62,6 +62,14 @@ def test_rule_stream_equals_batch_and_replay_is_idempotent(spark, scratch):
         ("scored", "warehouse", "lookup", "alert_table"))
     assert spark.read.parquet(os.path.join(scratch, "out", "scored_transactions")).count() == 799
     assert spark.read.parquet(os.path.join(scratch, "out", "transactions")).count() == 799
+    # the daily mart maintained batch by batch equals the mart built from the whole table
+    from txnguard.operators.marts import fct_daily
+    from txnguard.operators.staging import stg_scored
+    streamed = spark.read.parquet(os.path.join(scratch, "out", "fct_fraud_daily"))
+    full = fct_daily(stg_scored(wh))
+    cols = [c for c in full.columns]
+    assert streamed.count() == full.count() == 30
+    assert streamed.select(*cols).exceptAll(full.select(*cols)).count() == 0
 
 
 def test_stateless_stream_routes_dead_letters(spark, scratch):

@@ -111,6 +111,17 @@ def incremental_rows(stg: DataFrame, target: DataFrame | None, lookback_days: in
     return stg.filter(F.col(date_col) >= F.date_sub(F.lit(bound), lookback_days))
 
 
+def refresh_daily_for_dates(warehouse_path: str, mart_path: str, dates: list, build) -> None:
+    """Rebuild the daily mart for the given dates from the stored warehouse rows of those dates
+    (partition filter on txn_date), replacing exactly those mart partitions. Used after each
+    streaming warehouse append; late rows for an older day refresh that day as well."""
+    if not dates:
+        return
+    spark = SparkSession.getActiveSession()
+    wh = spark.read.parquet(warehouse_path).filter(F.col("txn_date").isin(dates))
+    _dynamic_overwrite(build(wh), mart_path, "txn_date")
+
+
 def write_incremental_daily(stg: DataFrame, path: str, build, lookback_days: int = 1,
                             strict: bool = False) -> None:
     """M3: rebuild only the dates the incremental filter selects (dynamic partition overwrite

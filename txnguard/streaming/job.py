@@ -26,7 +26,9 @@ from txnguard.operators.scoring import apply_rules, stateless_score
 from txnguard.operators.staging import to_lookup, to_warehouse
 from txnguard.operators.lookup import alerts_rows
 from txnguard.params import RuleParams, StreamParams
-from txnguard.plans.sinks import append_warehouse, upsert_table
+from txnguard.operators.marts import fct_daily
+from txnguard.operators.staging import stg_scored
+from txnguard.plans.sinks import append_warehouse, refresh_daily_for_dates, upsert_table
 from txnguard.schemas import ALERT_FIELDS, SCORED_SCHEMA
 from txnguard.session import checkpoint_root
 from txnguard.sources import ingest
@@ -154,7 +156,15 @@ class FanOut:
                     F.current_timestamp().alias("ingested_at"))
                 self._emit(dead, "dlq", batch_id)
             if "warehouse" in self.outputs:
-                append_warehouse(to_warehouse(good), os.path.join(self.root, "scored_transactions"))
+                wh_path = os.path.join(self.root, "scored_transactions")
+                append_warehouse(to_warehouse(good), wh_path)
+                if "daily_mart" in self.outputs:
+                    # count(distinct) cannot run as a streaming aggregate; refresh the touched
+                    # days from the stored rows instead (exact, idempotent)
+                    dates = [r[0] for r in good.select(F.to_date("event_time")).distinct()
+                             .collect()]
+                    refresh_daily_for_dates(wh_path, os.path.join(self.root, "fct_fraud_daily"),
+                                            dates, lambda wh: fct_daily(stg_scored(wh)))
             if "lookup" in self.outputs:
                 lk = to_lookup(good).withColumn("write_version", F.lit(batch_id).cast("long"))
                 upsert_table(lk.withColumn("event_date", F.to_date("event_time")),
