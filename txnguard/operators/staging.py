@@ -48,7 +48,7 @@ def to_warehouse(scored: DataFrame, loaded_at=None) -> DataFrame:
         F.col("is_fraud").cast("boolean").alias("is_fraud"),
         F.col("rules_fired").cast("int").alias("rules_fired"),
         et.cast("timestamp").alias("event_time"),
-        _col_or_null(scored, "scored_at").cast("timestamp").alias("scored_at"),
+        _col_or_null(scored, "scored_at").try_cast("timestamp").alias("scored_at"),
         (loaded_at if loaded_at is not None else F.current_timestamp()).alias("loaded_at"),
     )
 
@@ -57,9 +57,9 @@ def to_lookup(scored: DataFrame) -> DataFrame:
     """Scored rows in the lookup-table shape (P12): event time falls back to scored_at,
     scored_at to now."""
     df = with_defaults(scored, LOOKUP_DEFAULTS)
-    scored_at = F.coalesce(_col_or_null(scored, "scored_at").cast("timestamp"),
+    scored_at = F.coalesce(_col_or_null(scored, "scored_at").try_cast("timestamp"),
                            F.current_timestamp())
-    event_time = F.coalesce(_col_or_null(scored, "event_time").cast("timestamp"), scored_at)
+    event_time = F.coalesce(_col_or_null(scored, "event_time").try_cast("timestamp"), scored_at)
     return df.select(
         "customer_id", "transaction_id", F.col("amount").cast("double").alias("amount"),
         "merchant", "category", "country",

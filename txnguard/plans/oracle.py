@@ -17,6 +17,7 @@ from txnguard.params import (
     MartParams,
     RuleParams,
 )
+from txnguard.schemas import WAREHOUSE_VARCHAR_LIMITS
 from txnguard.sources.fixtures import COUNTRY_BY_K, COUNTRY_BY_K_ELSE
 
 MART = MartParams()
@@ -295,6 +296,8 @@ def _json(amount_text: str, ts_text: str, with_amount: bool = True, with_custome
 
 
 AMT_TXT = "printf('%.2f', amount)"
+TOO_LONG = " OR ".join(f"coalesce(length({c}) > {n}, false)"
+                       for c, n in WAREHOUSE_VARCHAR_LIMITS.items())
 RAW = f"""raw AS (
   SELECT *, CASE WHEN event_type = 'error' THEN event_id % 7 END AS kind,
     CASE
@@ -332,7 +335,9 @@ dead AS (
     WHEN transaction_id IS NULL THEN 'missing_transaction_id'
     WHEN customer_id IS NULL THEN 'missing_customer_id'
     WHEN amount IS NULL THEN 'missing_amount'
-    WHEN event_time IS NULL THEN 'bad_timestamp' END AS reason
+    WHEN event_time IS NULL THEN 'bad_timestamp'
+    WHEN NOT (abs(amount) < 1e10) THEN 'amount_out_of_range'
+    WHEN {TOO_LONG} THEN 'value_too_long' END AS reason
   FROM decoded
 )"""
 

@@ -87,5 +87,7 @@ DLQ_SCHEMA = StructType([
 ])
 DLQ_REASONS = (
     "null_message", "malformed_json", "missing_transaction_id", "missing_customer_id",
-    "missing_amount", "bad_timestamp",
+    "missing_amount", "bad_timestamp", "amount_out_of_range", "value_too_long",
 )
+# Largest magnitude a DECIMAL(12,2) amount can hold (exclusive).
+AMOUNT_LIMIT = 1e10
