@@ -181,3 +181,20 @@ def test_streamed_windows_equal_batch_windows(spark, scratch):
     diff = streamed.join(batch.select(*key, F.col("txn_count_10min").alias("b")), key, "left") \
         .filter("b is null or b <> txn_count_10min").count()
     assert streamed.count() > 0 and diff == 0
+
+
+def test_start_pipeline_rules_writes_dead_letters(spark, scratch):
+    src = day_files(spark, scratch)
+    raw = job.read_text_stream(spark, os.path.join(src, "*.json"), max_files=15)
+    out = os.path.join(scratch, "out")
+    qs = job.start_pipeline(raw, out, FIXTURE_PARAMS, available_now=True,
+                            outputs=("warehouse",),
+                            checkpoint_base=os.path.join(scratch, "ck"))
+    for q in qs:
+        q.awaitTermination(300)
+    assert spark.read.parquet(os.path.join(out, "scored_transactions")).count() == 799
+    dead = spark.read.parquet(os.path.join(out, "dlq"))
+    assert dead.count() == 201
+    assert set(r.reason for r in dead.select("reason").distinct().collect()) == {
+        "malformed_json", "null_message", "missing_amount", "missing_customer_id",
+        "bad_timestamp"}

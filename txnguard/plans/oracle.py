@@ -330,7 +330,7 @@ decoded AS (
   FROM raw
 ),
 dead AS (
-  SELECT *, CASE WHEN value IS NULL THEN 'null_message'
+  SELECT *, CASE WHEN value IS NULL OR trim(value) = '' THEN 'null_message'
     WHEN is_corrupt THEN 'malformed_json'
     WHEN transaction_id IS NULL THEN 'missing_transaction_id'
     WHEN customer_id IS NULL THEN 'missing_customer_id'

@@ -131,7 +131,8 @@ def dlq_reason() -> Column:
     Besides malformed text and missing required fields, rows that the warehouse contract
     cannot hold are caught here rather than failing a whole batch at write time: an amount that
     does not fit DECIMAL(12,2) (including NaN and infinities) and text longer than its column."""
-    expr = (F.when(F.col("value").isNull(), F.lit("null_message"))
+    blank = F.col("value").isNull() | (F.trim(F.col("value")) == "")
+    expr = (F.when(blank, F.lit("null_message"))
             .when(F.col(CORRUPT).isNotNull(), F.lit("malformed_json")))
     for f in REQUIRED_FIELDS:
         expr = expr.when(F.col(f).isNull(), F.lit(f"missing_{f}"))

@@ -202,6 +202,39 @@ def start(scored: DataFrame, fan_out: FanOut, name: str, sp: StreamParams = Stre
         spark.conf.set(key, old)
 
 
+def write_dead_letters(root: str):
+    """foreachBatch writer for a dead-letter stream: one folder per batch id, overwritten."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(os.path.join(root, "dlq", f"batch={batch_id}"))
+    return write
+
+
+def start_pipeline(raw: DataFrame, root: str, rules: RuleParams | None = None,
+                   sp: StreamParams = StreamParams(), available_now: bool = False,
+                   outputs: tuple = ("scored", "alerts", "warehouse", "lookup", "alert_table",
+                                     "daily_mart"),
+                   checkpoint_base: str | None = None) -> list:
+    """Start the scoring job and return its queries.
+
+    Stateless scoring (`rules=None`) is one query whose fan-out also writes the dead letters.
+    The rule engine needs state on good rows only, so its dead letters are a second query over
+    the same source."""
+    spark = raw.sparkSession
+    base = checkpoint_base or os.path.join(checkpoint_root(spark), "streams")
+    fan = FanOut(root, outputs=outputs + (("dlq",) if rules is None else ()))
+    if rules is None:
+        return [start(stateless_stream(raw, sp), fan, "stateless", sp, available_now,
+                      os.path.join(base, "stateless"))]
+    scoring = start(rule_stream(raw, rules, sp), fan, "rules", sp, available_now,
+                    os.path.join(base, "rules"))
+    w = (dead_letter_stream(raw, sp).writeStream.queryName("dead_letters")
+         .option("checkpointLocation", os.path.join(base, "dead_letters"))
+         .foreachBatch(write_dead_letters(root)))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(
+        processingTime=sp.scored_trigger)
+    return [scoring, w.start()]
+
+
 def start_console_alerts(scored: DataFrame, sp: StreamParams = StreamParams(),
                          checkpoint: str | None = None):
     """K3: fraud rows to the console, untruncated, every 10 s."""
