@@ -73,7 +73,8 @@ def rule_high_amount(p: RuleParams) -> RuleExpr:
     score = (F.when(over, F.least(F.lit(1.0), amount / F.lit(t * 2)))
              .when(vs_avg, F.least(F.lit(1.0), (amount / avg - F.lit(1)) / F.lit(5)))
              .otherwise(F.lit(0.0)))
-    reason = (F.when(over, F.format_string("Amount $%.2f exceeds threshold $%.2f", amount, F.lit(t)))
+    reason = (F.when(over, F.format_string("Amount $%.2f exceeds threshold $%.2f", amount,
+                                           F.lit(t)))
               .when(vs_avg, F.format_string("Amount $%.2f is %.1fx customer average",
                                             amount, amount / avg))
               .otherwise(F.lit("")))

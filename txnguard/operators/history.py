@@ -13,8 +13,9 @@ customer with a strictly earlier `us` (ties do not see each other, so batch and
 Plan, chosen so that one hot customer never lands in a single task:
 
 * Time is cut into segments of width S >= 2 * longest window (S = 1 day by default; the busiest
-  customers, found by a bounded top-k over a partial count, get S = 2 * window). A row's sliding windows only reach
-  back into its own segment and the previous one, so each row is shuffled to its own
+  customers, found by a bounded top-k over a partial count, get S = 2 * window). A row's
+  sliding windows only reach back into its own segment and the previous one, so each row is
+  shuffled to its own
   (customer, segment) and, when it lies in the last W of its segment, once more as a context
   ("halo") row of the next segment. One exchange on (customer, segment); a customer's rows are
   spread over as many tasks as it has segments.
@@ -41,6 +42,7 @@ from txnguard.params import RuleParams
 MICROS_PER_MINUTE = 60_000_000
 AMOUNT_DECIMAL = "decimal(18,2)"
 
+
 def segment_micros(p: RuleParams) -> int:
     w = max(p.velocity_window_minutes, p.card_test_window_minutes) * MICROS_PER_MINUTE
     return max(p.history_segment_minutes * MICROS_PER_MINUTE, 2 * w)
@@ -71,7 +73,7 @@ def with_history(txns: DataFrame, p: RuleParams, customer: str = "customer_id",
     w_max = max(w_vel, w_card)
     seg_w = segment_micros(p)
 
-    carry = list(carry) if carry is not None else [c for c in txns.columns]
+    carry = list(carry) if carry is not None else list(txns.columns)
     base = txns.select(*carry, *[c for c in (customer, "event_time", "amount", "country")
                                  if c not in carry])
     width = F.lit(seg_w)
