@@ -18,37 +18,44 @@ def wh_batch(spark):
 def test_append_is_idempotent(spark, scratch):
     path = os.path.join(scratch, "scored_transactions")
     b = wh_batch(spark)
-    sinks.append_warehouse(b, path)
-    sinks.append_warehouse(b, path)                      # replayed batch
+    sinks.append_warehouse(b, path, load_id=1)
+    sinks.append_warehouse(b, path, load_id=1)           # replayed load: same files
+    sinks.append_warehouse(b, path, load_id=2)           # the same rows again: all skipped
     t = spark.read.parquet(path)
     assert t.count() == 1000
     assert t.select("transaction_id").distinct().count() == 1000
-    assert "txn_date" in t.columns
+    assert {"txn_date", "load_id"} <= set(t.columns)
 
 
 def test_append_adds_only_new_keys(spark, scratch):
     path = os.path.join(scratch, "scored_transactions")
     b = wh_batch(spark)
     first = b.filter(F.col("event_time") < F.lit("2024-01-15").cast("timestamp"))
-    sinks.append_warehouse(first, path)
-    sinks.append_warehouse(b, path)
-    assert spark.read.parquet(path).count() == 1000
+    sinks.append_warehouse(first, path, load_id=1)
+    sinks.append_warehouse(b, path, load_id=2)
+    t = spark.read.parquet(path)
+    assert t.count() == 1000
+    assert t.filter("load_id = '1'").count() == first.count()
 
 
-def test_upsert_last_write_wins(spark, scratch):
+def test_versions_last_write_wins_and_compaction(spark, scratch):
     path = os.path.join(scratch, "transactions")
     t = datetime(2024, 1, 1, 10)
-    rows = [("c1", t, "t1", 0.1, 1), ("c1", t, "t2", 0.2, 1)]
-    schema = "customer_id string, event_time timestamp, transaction_id string, fraud_score double, write_version long"
-    df = spark.createDataFrame(rows, schema).withColumn("event_date", F.to_date("event_time"))
+    schema = "customer_id string, event_time timestamp, transaction_id string, fraud_score double"
     key = ("customer_id", "event_time", "transaction_id")
-    sinks.upsert_table(df, path, key, "event_date", "write_version")
-    upd = spark.createDataFrame([("c1", t, "t1", 0.9, 2)], schema).withColumn(
-        "event_date", F.to_date("event_time"))
-    sinks.upsert_table(upd, path, key, "event_date", "write_version")
-    sinks.upsert_table(upd, path, key, "event_date", "write_version")   # replay
-    got = {r.transaction_id: r.fraud_score for r in spark.read.parquet(path).collect()}
+    day = lambda df: df.withColumn("event_date", F.to_date("event_time"))
+    v1 = day(spark.createDataFrame([("c1", t, "t1", 0.1), ("c1", t, "t2", 0.2)], schema))
+    v2 = day(spark.createDataFrame([("c1", t, "t1", 0.9)], schema))
+    sinks.append_version(v1, path, "event_date", 1)
+    sinks.append_version(v2, path, "event_date", 2)
+    sinks.append_version(v2, path, "event_date", 2)                      # replay
+    got = {r.transaction_id: r.fraud_score for r in sinks.read_latest(spark, path, key).collect()}
     assert got == {"t1": 0.9, "t2": 0.2}
+    sinks.compact(spark, path, key, "event_date", [t.date()])
+    assert spark.read.parquet(path).count() == 2                         # one row per key left
+    again = {r.transaction_id: r.fraud_score
+             for r in sinks.read_latest(spark, path, key).collect()}
+    assert again == got
 
 
 def test_incremental_daily(spark, scratch):

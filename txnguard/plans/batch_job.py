@@ -48,7 +48,8 @@ class BatchJob:
 
         # K4: scores, once, into the warehouse (keyed append)
         scored = rule_score(good, self.rules, stamp=True)
-        sinks.append_warehouse(to_warehouse(scored), self.path("scored_transactions"))
+        sinks.append_warehouse(to_warehouse(scored), self.path("scored_transactions"),
+                               load_id=self.run_id)
 
         # models from the stored warehouse rows
         wh = self.spark.read.parquet(self.path("scored_transactions"))
@@ -60,16 +61,13 @@ class BatchJob:
         sinks.write_table(marts.dim_customers(stg), self.path("dim_fraud_customers"),
                           sort_cols=("customer_id",))
 
-        # K5, K6: lookup tables, keyed upserts of the warehouse rows
-        lk = to_lookup(wh.drop("txn_date")).withColumn("write_version",
-                                                       F.lit(int(self.run_id)).cast("long"))
-        sinks.upsert_table(lk.withColumn("event_date", F.to_date("event_time")),
-                           self.path("transactions"), lookup.LOOKUP_KEY, "event_date",
-                           "write_version")
-        alerts = lookup.alerts_rows(lk).withColumn("write_version",
-                                                   F.lit(int(self.run_id)).cast("long"))
-        sinks.upsert_table(alerts, self.path("fraud_alerts"), lookup.ALERT_KEY, "alert_date",
-                           "write_version")
+        # K5, K6: lookup tables, one version per run (last write wins on read)
+        lk = to_lookup(wh.drop("txn_date", sinks.LOAD_COL))
+        sinks.append_version(lk.withColumn("event_date", F.to_date("event_time")),
+                             self.path("transactions"), "event_date", int(self.run_id),
+                             sort_cols=lookup.LOOKUP_KEY)
+        sinks.append_version(lookup.alerts_rows(lk), self.path("fraud_alerts"), "alert_date",
+                             int(self.run_id), sort_cols=lookup.ALERT_KEY)
 
         # K7: customer stats need the device id, which the warehouse contract does not carry,
         # so they come from the decoded rows (a partial aggregate, no history needed)

@@ -1,9 +1,18 @@
-"""Table writers: idempotent warehouse append (K4), keyed upserts (K5, K6), mart models (M1-M4).
+"""Table writers: idempotent warehouse append (K4), versioned keyed tables (K5, K6), mart
+models (M1-M4).
 
-Plain Parquet has no MERGE, so idempotence comes from rewriting only the partitions a batch
-touches: read those partitions (partition filter), combine with the batch, cut the lineage with
-a reliable checkpoint in the shared checkpoint folder, then dynamic-overwrite them. A retried
-batch therefore produces the same files, and a lost executor only re-runs its tasks.
+Plain Parquet has no MERGE, and rewriting the partitions a micro-batch touches would cost a
+whole day of I/O every few seconds. So every write touches only partitions that belong to the
+load that produces them:
+
+* Warehouse: rows land in (`txn_date`, `load_id`) partitions that only this load overwrites; a
+  replayed load rewrites exactly its own files. Keys already stored under the touched dates by
+  other loads are skipped with an anti-join that reads only the key column.
+* Keyed lookup tables: each load appends a version (`write_version` partition). Readers take
+  the last write per key (`read_latest`, merge on read); `compact` folds old versions together.
+
+Writes use dynamic partition overwrite as a write option (the session setting is untouched), so a
+retried task or batch leaves the same files, and a lost executor only re-runs its tasks.
 """
 
 from __future__ import annotations
@@ -14,6 +23,8 @@ from pyspark.sql import functions as F
 from txnguard.operators.lookup import upsert_last_write
 from txnguard.session import checkpoint_root
 
+LOAD_COL = "load_id"
+
 
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
@@ -27,57 +38,99 @@ def _touched(batch: DataFrame, part_col: str) -> list:
     return [r[0] for r in batch.select(part_col).distinct().collect()]
 
 
-def _dynamic_overwrite(df: DataFrame, path: str, part_col: str, cluster_cols=()) -> None:
+def overwrite_partitions(df: DataFrame, path: str, part_cols, cluster_cols=()) -> None:
     """Replace exactly the partitions present in `df`.
 
-    Rows are range-partitioned on (partition, cluster columns): a day, or one customer's day,
+    Rows are range-partitioned on (partitions, cluster columns): a day, or one customer's day,
     that holds a large share of the rows is split over many tasks (the range bounds come from a
-    sample), and each file covers a narrow sorted range, which Parquet min/max statistics then
-    prune on. Hash-partitioning on the date alone would send a whole day to one task."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    cols = [part_col, *cluster_cols]
+    sample), and each file covers a narrow sorted range that Parquet min/max statistics prune
+    on. Hash-partitioning on the date alone would send a whole day to one task."""
+    cols = [*part_cols, *[c for c in cluster_cols if c not in part_cols]]
     out = df.repartitionByRange(*cols).sortWithinPartitions(*cols)
-    out.write.mode("overwrite").partitionBy(part_col).parquet(path)
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*part_cols).parquet(path))
 
 
 def _materialize(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the shared checkpoint folder."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-def append_warehouse(batch: DataFrame, path: str, key: str = "transaction_id",
-                     part_col: str = "txn_date", sort_cols=("customer_id", "event_time")) -> None:
-    """K4: append scored rows, skipping keys already stored for the same dates.
+# -- K4 ---------------------------------------------------------------------------------------
 
-    `batch` is in warehouse shape (staging.to_warehouse); the table is partitioned by txn_date
-    and sorted by customer and event time inside each file (the DISTKEY/SORTKEY layout)."""
-    spark = batch.sparkSession
-    batch = batch.withColumn(part_col, F.to_date("event_time")).dropDuplicates([key])
-    if _exists(spark, path):
-        dates = _touched(batch, part_col)
-        stored = spark.read.parquet(path).filter(F.col(part_col).isin(dates))
-        new = batch.join(stored.select(key), key, "left_anti")
-        combined = _materialize(stored.unionByName(new))
-        _dynamic_overwrite(combined, path, part_col, sort_cols)
-    else:
-        _dynamic_overwrite(batch, path, part_col, sort_cols)
-
-
-def upsert_table(batch: DataFrame, path: str, key, part_col: str, version: str,
-                 sort_cols=()) -> None:
-    """K5/K6: keyed last-write-wins upsert restricted to the partitions the batch touches."""
+def append_warehouse(batch: DataFrame, path: str, load_id: str | int = "0",
+                     key: str = "transaction_id", part_col: str = "txn_date",
+                     sort_cols=("customer_id", "event_time"), dedup: bool = True) -> None:
+    """Append scored rows (warehouse shape, staging.to_warehouse) as load `load_id`.
+
+    Keys repeated inside the load keep one row; with `dedup`, keys stored for the same dates by
+    other loads are skipped. Files are sorted by customer and event time inside each date (the
+    DISTKEY/SORTKEY layout of the reference's table)."""
     spark = batch.sparkSession
-    if _exists(spark, path):
-        vals = _touched(batch, part_col)
-        stored = spark.read.parquet(path).filter(F.col(part_col).isin(vals))
-        merged = upsert_last_write(stored.unionByName(batch.select(*stored.columns)), key, version)
-        _dynamic_overwrite(_materialize(merged), path, part_col, sort_cols or key)
-    else:
-        _dynamic_overwrite(upsert_last_write(batch, key, version), path, part_col,
-                           sort_cols or key)
+    out = (batch.withColumn(part_col, F.to_date("event_time"))
+           .withColumn(LOAD_COL, F.lit(str(load_id)))
+           .dropDuplicates([key]))
+    if dedup and _exists(spark, path):
+        dates = _touched(out, part_col)
+        stored = (spark.read.parquet(path)
+                  .filter(F.col(part_col).isin(dates) & (F.col(LOAD_COL) != F.lit(str(load_id))))
+                  .select(key))
+        out = out.join(stored, key, "left_anti")
+    overwrite_partitions(out, path, [part_col, LOAD_COL], sort_cols)
+
+
+# -- K5, K6 -----------------------------------------------------------------------------------
+
+def append_version(batch: DataFrame, path: str, part_col: str, version: int,
+                   version_col: str = "write_version", sort_cols=()) -> None:
+    """Write `batch` as one version of a keyed table (replaying a version rewrites it)."""
+    out = batch.withColumn(version_col, F.lit(int(version)).cast("long"))
+    overwrite_partitions(out, path, [part_col, version_col], sort_cols)
+
+
+def read_latest(spark: SparkSession, path: str, key, version_col: str = "write_version",
+                where=None) -> DataFrame:
+    """The table as of its last writes: per key, the row with the highest version.
+
+    `where` (a Column) is applied before the merge, so partition filters prune the scan. The
+    merge is a keyed aggregate with partial aggregation; keys here include transaction_id, so it
+    is not skewed."""
+    t = spark.read.parquet(path)
+    if where is not None:
+        t = t.filter(where)
+    return upsert_last_write(t, key, version_col)
+
+
+def compact(spark: SparkSession, path: str, key, part_col: str, values: list,
+            version_col: str = "write_version", sort_cols=()) -> None:
+    """Fold all versions of the given partitions into their latest rows, written once under the
+    highest version present, then drop the older version folders. Readers see the same rows
+    before and after."""
+    if not values:
+        return
+    t = spark.read.parquet(path).filter(F.col(part_col).isin(values))
+    top = t.agg(F.max(version_col)).first()[0]
+    if top is None:
+        return
+    latest = _materialize(upsert_last_write(t, key, version_col)
+                          .withColumn(version_col, F.lit(int(top)).cast("long")))
+    overwrite_partitions(latest, path, [part_col, version_col], sort_cols or key)
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for v in values:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{part_col}={v}")
+        fs = folder.getFileSystem(conf)
+        if not fs.exists(folder):
+            continue
+        for st in fs.listStatus(folder):
+            name = st.getPath().getName()
+            if name.startswith(f"{version_col}=") and name != f"{version_col}={top}":
+                fs.delete(st.getPath(), True)
 
 
+# -- M1-M4 ------------------------------------------------------------------------------------
+
 def write_table(df: DataFrame, path: str, sort_cols=(), partition_col: str | None = None) -> None:
     """M2: full rebuild of a table model."""
     out = df.sortWithinPartitions(*sort_cols) if sort_cols else df
@@ -119,7 +172,7 @@ def refresh_daily_for_dates(warehouse_path: str, mart_path: str, dates: list, bu
         return
     spark = SparkSession.getActiveSession()
     wh = spark.read.parquet(warehouse_path).filter(F.col("txn_date").isin(dates))
-    _dynamic_overwrite(build(wh), mart_path, "txn_date")
+    overwrite_partitions(build(wh), mart_path, ["txn_date"])
 
 
 def write_incremental_daily(stg: DataFrame, path: str, build, lookback_days: int = 1,
@@ -129,5 +182,4 @@ def write_incremental_daily(stg: DataFrame, path: str, build, lookback_days: int
     spark = stg.sparkSession
     target = spark.read.parquet(path) if _exists(spark, path) else None
     rows = incremental_rows(stg, target, lookback_days, strict)
-    _dynamic_overwrite(build(rows), path, "txn_date")
-
+    overwrite_partitions(build(rows), path, ["txn_date"])

@@ -24,11 +24,11 @@ from pyspark.sql import functions as F
 from txnguard.operators.marts import customer_window_stats
 from txnguard.operators.scoring import apply_rules, stateless_score
 from txnguard.operators.staging import to_lookup, to_warehouse
-from txnguard.operators.lookup import alerts_rows
+from txnguard.operators.lookup import ALERT_KEY, LOOKUP_KEY, alerts_rows
 from txnguard.params import RuleParams, StreamParams
 from txnguard.operators.marts import fct_daily
 from txnguard.operators.staging import stg_scored
-from txnguard.plans.sinks import append_warehouse, refresh_daily_for_dates, upsert_table
+from txnguard.plans.sinks import append_version, append_warehouse, refresh_daily_for_dates
 from txnguard.schemas import ALERT_FIELDS, SCORED_SCHEMA
 from txnguard.session import checkpoint_root
 from txnguard.sources import ingest
@@ -157,7 +157,7 @@ class FanOut:
                 self._emit(dead, "dlq", batch_id)
             if "warehouse" in self.outputs:
                 wh_path = os.path.join(self.root, "scored_transactions")
-                append_warehouse(to_warehouse(good), wh_path)
+                append_warehouse(to_warehouse(good), wh_path, load_id=batch_id)
                 if "daily_mart" in self.outputs:
                     # count(distinct) cannot run as a streaming aggregate; refresh the touched
                     # days from the stored rows instead (exact, idempotent)
@@ -166,17 +166,13 @@ class FanOut:
                     refresh_daily_for_dates(wh_path, os.path.join(self.root, "fct_fraud_daily"),
                                             dates, lambda wh: fct_daily(stg_scored(wh)))
             if "lookup" in self.outputs:
-                lk = to_lookup(good).withColumn("write_version", F.lit(batch_id).cast("long"))
-                upsert_table(lk.withColumn("event_date", F.to_date("event_time")),
-                             os.path.join(self.root, "transactions"),
-                             ("customer_id", "event_time", "transaction_id"), "event_date",
-                             "write_version")
+                lk = to_lookup(good).withColumn("event_date", F.to_date("event_time"))
+                append_version(lk, os.path.join(self.root, "transactions"), "event_date",
+                               batch_id, sort_cols=LOOKUP_KEY)
             if "alert_table" in self.outputs:
-                al = alerts_rows(to_lookup(good)).withColumn("write_version",
-                                                             F.lit(batch_id).cast("long"))
-                upsert_table(al, os.path.join(self.root, "fraud_alerts"),
-                             ("alert_date", "scored_at", "transaction_id"), "alert_date",
-                             "write_version")
+                append_version(alerts_rows(to_lookup(good)),
+                               os.path.join(self.root, "fraud_alerts"), "alert_date", batch_id,
+                               sort_cols=ALERT_KEY)
         finally:
             batch.unpersist()
 
