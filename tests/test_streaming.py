@@ -201,3 +201,13 @@ def test_start_pipeline_rules_writes_dead_letters(spark, scratch):
     assert set(r.reason for r in dead.select("reason").distinct().collect()) == {
         "malformed_json", "null_message", "missing_amount", "missing_customer_id",
         "bad_timestamp"}
+
+
+def test_console_alerts_run(spark, scratch):
+    src = day_files(spark, scratch)
+    raw = job.read_text_stream(spark, os.path.join(src, "*.json"), max_files=30)
+    scored = job.stateless_stream(raw, StreamParams(stateless_threshold=0.3))
+    q = job.start_console_alerts(scored, checkpoint=os.path.join(scratch, "ck_console"),
+                                 available_now=True)
+    assert q.awaitTermination(240)
+    assert q.exception() is None

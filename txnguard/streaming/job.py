@@ -232,13 +232,15 @@ def start_pipeline(raw: DataFrame, root: str, rules: RuleParams | None = None,
 
 
 def start_console_alerts(scored: DataFrame, sp: StreamParams = StreamParams(),
-                         checkpoint: str | None = None):
-    """K3: fraud rows to the console, untruncated, every 10 s."""
+                         checkpoint: str | None = None, available_now: bool = False):
+    """K3: fraud rows to the console, untruncated, every 10 s (or once over the available input)."""
     spark = scored.sparkSession
     ckpt = checkpoint or os.path.join(checkpoint_root(spark), "streams", "console")
-    return (scored.filter(F.col("is_fraud")).writeStream.format("console")
-            .option("truncate", "false").option("checkpointLocation", ckpt)
-            .outputMode("append").trigger(processingTime=sp.console_trigger).start())
+    w = (scored.filter(F.col("is_fraud")).writeStream.format("console")
+         .option("truncate", "false").option("checkpointLocation", ckpt).outputMode("append"))
+    if available_now:
+        return w.trigger(availableNow=True).start()
+    return w.trigger(processingTime=sp.console_trigger).start()
 
 
 def dedup_replays(stream: DataFrame, sp: StreamParams = StreamParams()) -> DataFrame:
