@@ -72,6 +72,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder shared by the cluster")
         d = tempfile.mkdtemp(prefix="txnguard-ckpt-")
         sc.setCheckpointDir(d)
     return d
