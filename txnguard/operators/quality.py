@@ -66,15 +66,27 @@ def freshness(df: DataFrame, table: str, loaded_at_field: str, as_of: str,
         .otherwise(F.lit("pass")).alias("status"))
 
 
+MART_CHECK_KINDS = ("not_null", "unique", "range", "accepted")
+
+
+def mart_check(kind: str, daily: DataFrame, category: DataFrame,
+               customers: DataFrame) -> DataFrame:
+    """One kind of the checks declared on the three marts."""
+    if kind == "not_null":
+        return union_all([not_null(daily, "fct_fraud_daily", "txn_date"),
+                          not_null(category, "fct_fraud_by_category", "category"),
+                          not_null(customers, "dim_fraud_customers", "customer_id")])
+    if kind == "unique":
+        return union_all([unique(daily, "fct_fraud_daily", "txn_date"),
+                          unique(category, "fct_fraud_by_category", "category"),
+                          unique(customers, "dim_fraud_customers", "customer_id")])
+    if kind == "range":
+        return in_range(daily, "fct_fraud_daily", "fraud_rate_pct", 0, 100)
+    if kind == "accepted":
+        return accepted_values(customers, "dim_fraud_customers", "risk_status")
+    raise ValueError(kind)
+
+
 def mart_checks(daily: DataFrame, category: DataFrame, customers: DataFrame) -> dict[str, DataFrame]:
-    """The checks declared on the three marts, grouped by kind."""
-    return {
-        "not_null": union_all([not_null(daily, "fct_fraud_daily", "txn_date"),
-                               not_null(category, "fct_fraud_by_category", "category"),
-                               not_null(customers, "dim_fraud_customers", "customer_id")]),
-        "unique": union_all([unique(daily, "fct_fraud_daily", "txn_date"),
-                             unique(category, "fct_fraud_by_category", "category"),
-                             unique(customers, "dim_fraud_customers", "customer_id")]),
-        "range": in_range(daily, "fct_fraud_daily", "fraud_rate_pct", 0, 100),
-        "accepted": accepted_values(customers, "dim_fraud_customers", "risk_status"),
-    }
+    """All checks declared on the three marts, grouped by kind."""
+    return {k: mart_check(k, daily, category, customers) for k in MART_CHECK_KINDS}

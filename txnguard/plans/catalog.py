@@ -15,11 +15,10 @@ from pyspark.sql import functions as F
 from txnguard.functions.buckets import amount_bucket, risk_level
 from txnguard.functions.rules import own_offset_hour, round4
 from txnguard.operators import dashboard, lookup, marts, quality
-from txnguard.operators.history import with_history
 from txnguard.operators.scoring import explode_triggered, triggered_names
 from txnguard.operators.staging import to_lookup, to_warehouse
 from txnguard.params import FIXTURE_PARAMS, MartParams
-from txnguard.plans.pipeline import Pipeline
+from txnguard.plans.pipeline import Pipeline, shared_pipeline
 from txnguard.schemas import SCORED_SCHEMA
 from txnguard.sources import ingest
 from txnguard.sources.fixtures import iso_text, transactions_from_events
@@ -40,7 +39,7 @@ def ntz(c: str | Column) -> Column:
 
 
 def _p(spark: SparkSession, sf_dir: str) -> Pipeline:
-    return Pipeline(spark, sf_dir, FIXTURE_PARAMS, MART)
+    return shared_pipeline(spark, sf_dir, FIXTURE_PARAMS, MART)
 
 
 # -- scoring ---------------------------------------------------------------------------------
@@ -76,7 +75,7 @@ def q_stateless_score(spark, sf_dir):
 # -- history ---------------------------------------------------------------------------------
 
 def _hist(spark, sf_dir) -> DataFrame:
-    return with_history(_p(spark, sf_dir).transactions(), FIXTURE_PARAMS)
+    return _p(spark, sf_dir).history()
 
 
 def q_hist_recent_count(spark, sf_dir):
@@ -278,14 +277,10 @@ def q_customer_stats(spark, sf_dir):
 
 # -- data quality ----------------------------------------------------------------------------
 
-def _checks(spark, sf_dir):
-    p = _p(spark, sf_dir)
-    return quality.mart_checks(p.daily(), p.category(), p.customers())
-
-
 def q_dq(kind: str):
     def q(spark, sf_dir):
-        return _checks(spark, sf_dir)[kind]
+        p = _p(spark, sf_dir)
+        return quality.mart_check(kind, p.daily(), p.category(), p.customers())
     return q
 
 

@@ -15,13 +15,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnguard.operators import marts
-from txnguard.operators.scoring import rule_score, stateless_score
+from txnguard.operators.history import with_history
+from txnguard.operators.scoring import apply_rules, stateless_score
 from txnguard.operators.staging import stg_scored, to_lookup, to_warehouse
 from txnguard.params import FIXTURE_PARAMS, MartParams, RuleParams
 from txnguard.sources.fixtures import load_transactions
 
 
-@dataclass
+def _stage(build):
+    """Build a pipeline stage once per Pipeline. Stages are lazy DataFrames (plans, not data):
+    sharing one plan object between queries saves rebuilding it through Py4J; every query that
+    uses it still executes it in full."""
+    name = build.__name__
+
+    def get(self) -> DataFrame:
+        memo = self.__dict__.setdefault("_stages", {})
+        if name not in memo:
+            memo[name] = build(self)
+        return memo[name]
+    get.__name__ = name
+    get.__doc__ = build.__doc__
+    return get
+
+
+@dataclass(eq=False)
 class Pipeline:
     spark: SparkSession
     sf_dir: str
@@ -29,32 +46,60 @@ class Pipeline:
     mart: MartParams = field(default_factory=MartParams)
     stateless_threshold: float = 0.7
 
+    @_stage
     def transactions(self) -> DataFrame:
         return load_transactions(self.spark, self.sf_dir)
 
+    @_stage
+    def history(self) -> DataFrame:
+        return with_history(self.transactions(), self.rules)
+
+    @_stage
     def scored(self) -> DataFrame:
         """Rule-engine scores with the replay clock."""
-        return (rule_score(self.transactions(), self.rules, stamp=False)
+        return (apply_rules(self.history(), self.rules, stamp=False)
                 .withColumn("scored_at", F.col("event_time")))
 
+    @_stage
     def stateless(self) -> DataFrame:
         return (stateless_score(self.transactions(), self.stateless_threshold, stamp=False)
                 .withColumn("scored_at", F.col("event_time")))
 
+    @_stage
     def warehouse(self) -> DataFrame:
         return to_warehouse(self.scored(), loaded_at=F.col("event_time"))
 
+    @_stage
     def staging(self) -> DataFrame:
         return stg_scored(self.warehouse())
 
+    @_stage
     def daily(self) -> DataFrame:
         return marts.fct_daily(self.staging())
 
+    @_stage
     def category(self) -> DataFrame:
         return marts.fct_category(self.staging())
 
+    @_stage
     def customers(self) -> DataFrame:
         return marts.dim_customers(self.staging())
 
+    @_stage
     def lookup(self) -> DataFrame:
         return to_lookup(self.scored())
+
+
+_PIPELINES: dict = {}
+
+
+def shared_pipeline(spark: SparkSession, sf_dir: str, rules: RuleParams = FIXTURE_PARAMS,
+                    mart: MartParams | None = None) -> Pipeline:
+    """One Pipeline per (session, data folder, parameters), so queries over the same tables share
+    their plan objects."""
+    mart = mart or MartParams()
+    # the file listing of the tables is taken when a stage is first built
+    key = (id(spark), sf_dir, rules, repr(mart))
+    if key not in _PIPELINES:
+        _PIPELINES[key] = Pipeline(spark, sf_dir, rules, mart)
+    return _PIPELINES[key]
