@@ -118,3 +118,23 @@ def test_hot_customer_cap_keeps_results_exact(spark):
                    hot_customer_rows=10, hot_customer_max=1)
     rows = make_rows(500, ["a", "b", "c", "d"], span_minutes=2 * 24 * 60, seed=5)
     check(spark, rows, p)
+
+
+@pytest.mark.parametrize("hot_minutes", [5, 37, 600])
+def test_hot_customers_with_long_windows(spark, hot_minutes):
+    # windows of a day, hot segments much narrower than the window: expiry-event path
+    p = RuleParams(velocity_window_minutes=1440, card_test_window_minutes=360,
+                   hot_customer_rows=100, hot_customer_max=2, hot_segment_minutes=hot_minutes)
+    rows = make_rows(800, ["hot"] * 10 + ["warm"] * 4 + ["x", "y"], span_minutes=4 * 24 * 60,
+                     seed=hot_minutes)
+    check(spark, rows, p)
+
+
+def test_rows_without_time_get_empty_history(spark):
+    p = RuleParams(hot_customer_rows=1, hot_customer_max=5)
+    t = datetime(2024, 1, 1, 12)
+    rows = [("a", "c", 1.0, "US", t), ("b", "c", 1.0, "US", None),
+            ("d", "c", 1.0, "US", t + timedelta(minutes=1))]
+    got = {r.transaction_id: r for r in with_history(spark.createDataFrame(rows, SCHEMA), p).collect()}
+    assert got["b"].prior_count == 0 and got["b"].has_history is False
+    assert got["d"].prior_count == 1 and got["d"].recent_count == 1

@@ -10,22 +10,23 @@ customer with a strictly earlier `us` (ties do not see each other, so batch and
     is_new_country    no earlier row has this row's country                   (H4)
     country_first_seen  map country -> first `us`; gives the known set at any time
 
-Plan, chosen so that one hot customer never lands in a single task:
-
-* Time is cut into segments of width S >= 2 * longest window (S = 1 day by default; the busiest
-  customers, found by a bounded top-k over a partial count, get S = 2 * window). A row's
-  sliding windows only reach back into its own segment and the previous one, so each row is
-  shuffled to its own
-  (customer, segment) and, when it lies in the last W of its segment, once more as a context
-  ("halo") row of the next segment. One exchange on (customer, segment); a customer's rows are
-  spread over as many tasks as it has segments.
-* The running count and sum before the segment come from a per-(customer, segment) aggregate
-  (partial aggregation before the shuffle) and an exclusive running sum over segments: one row
-  per segment, so a customer's segment list is small even when its row count is not.
+Plan, chosen so that one hot customer never lands in a single task. Each customer's timeline is
+cut into segments, rows are shuffled once on (customer, segment), and everything a row needs
+from before its segment comes from a small per-segment table (one row per segment, partially
+aggregated before its shuffle) joined back on the same key.
+
+* Ordinary customers: segments of width S >= 2 * longest window (1 day by default). A row's
+  windows reach back at most into the previous segment, so rows in the last W of a segment are
+  also sent to the next one as context ("halo"); window frames over (customer, segment) then
+  count exactly. Extra rows: W / S of the input (0.7% with the default 10-minute window).
+* Hot customers (a bounded top-k over a partial count, broadcast): segments of any width
+  (`hot_segment_minutes`), independent of the windows. Each row also emits narrow "expiry"
+  events at `us + W` with weight -1, so "rows in [u - W, u - 1]" becomes a running sum of
+  weights strictly before `u` over the customer's whole timeline. That sum is the segment
+  prefix plus an in-segment window sum, so no halo and no join-back are needed, and a customer
+  holding a third of the data spreads over as many tasks as it has segments.
 * First-seen time per (customer, country) is another partial aggregate; its per-customer map is
   bounded by the number of distinct countries.
-* The segment table joins back on (customer, segment), the key the rows are already partitioned
-  by, so only the small side moves (or AQE broadcasts it after measuring it).
 
 No row is dropped or sampled; the result equals a plain `partitionBy(customer)` window, which is
 what the SQL oracle computes.
@@ -42,6 +43,9 @@ from txnguard.params import RuleParams
 MICROS_PER_MINUTE = 60_000_000
 AMOUNT_DECIMAL = "decimal(18,2)"
 
+# event kinds in the shuffled stream
+ROW, HALO, VEL_EXPIRY, CARD_EXPIRY = 0, 1, 2, 3
+
 
 def segment_micros(p: RuleParams) -> int:
     w = max(p.velocity_window_minutes, p.card_test_window_minutes) * MICROS_PER_MINUTE
@@ -49,8 +53,7 @@ def segment_micros(p: RuleParams) -> int:
 
 
 def hot_segment_micros(p: RuleParams) -> int:
-    """Finest width the single-halo plan allows: twice the longest window."""
-    return 2 * max(p.velocity_window_minutes, p.card_test_window_minutes) * MICROS_PER_MINUTE
+    return p.hot_segment_minutes * MICROS_PER_MINUTE
 
 
 def hot_customers(rows: DataFrame, p: RuleParams, customer: str) -> DataFrame:
@@ -64,6 +67,47 @@ def hot_customers(rows: DataFrame, p: RuleParams, customer: str) -> DataFrame:
             .select(customer, F.lit(True).alias("_hot")))
 
 
+def _events(base: DataFrame, customer: str, seg_w: int, hot_w: int, w_vel: int, w_card: int,
+            w_max: int) -> DataFrame:
+    """Rows plus their halo copies (ordinary customers) or expiry events (hot customers), each
+    with its segment and weights. Columns other than the keys are kept on home rows only."""
+    us, hot = F.col("us"), F.col("_hot")
+
+    def seg_of(t, width):
+        return t - F.pmod(t, width)          # segment id = its start in micros
+
+    def event(kind, t, seg):
+        return F.struct(F.lit(kind).alias("k"), t.alias("t"), seg.alias("s"))
+
+    width = F.when(hot, F.lit(hot_w)).otherwise(F.lit(seg_w))
+    own_seg = seg_of(us, width)
+    in_tail = (us - own_seg) >= F.lit(seg_w - w_max)
+    t_vel, t_card = us + F.lit(w_vel), us + F.lit(w_card)
+    events = F.array_compact(F.array(
+        event(ROW, us, own_seg),
+        F.when(~hot & in_tail, event(HALO, us, own_seg + F.lit(seg_w))),
+        F.when(hot & us.isNotNull(), event(VEL_EXPIRY, t_vel, seg_of(t_vel, width))),
+        F.when(hot & us.isNotNull() & (F.col("_small") == 1),
+               event(CARD_EXPIRY, t_card, seg_of(t_card, width))),
+    ))
+    x = base.withColumn("_e", F.explode(events))
+    kind = F.col("_e.k")
+    home = kind == ROW
+    keep = {customer, "amount", "_small", "_hot"}
+    cols = [F.col(c) if c in keep else F.when(home, F.col(c)).alias(c)
+            for c in base.columns if c != "us"]
+    return x.select(
+        *cols,
+        kind.alias("_kind"),
+        F.col("_e.t").alias("us"),
+        F.col("_e.s").alias("_seg"),
+        (kind <= HALO).cast("int").alias("_real"),
+        F.when(home, 1).when(kind == VEL_EXPIRY, -1).otherwise(0).alias("_wv"),
+        F.when(home & (F.col("_small") == 1), 1).when(kind == CARD_EXPIRY, -1).otherwise(0)
+        .alias("_wc"),
+    )
+
+
 def with_history(txns: DataFrame, p: RuleParams, customer: str = "customer_id",
                  carry: list[str] | None = None) -> DataFrame:
     """Add the history columns to every row of `txns` (needs customer, event_time, amount,
@@ -72,31 +116,41 @@ def with_history(txns: DataFrame, p: RuleParams, customer: str = "customer_id",
     w_card = p.card_test_window_minutes * MICROS_PER_MINUTE
     w_max = max(w_vel, w_card)
     seg_w = segment_micros(p)
+    hot_w = hot_segment_micros(p)
 
     carry = list(carry) if carry is not None else list(txns.columns)
     base = txns.select(*carry, *[c for c in (customer, "event_time", "amount", "country")
                                  if c not in carry])
-    width = F.lit(seg_w)
-    fine_w = hot_segment_micros(p)
-    if p.hot_customer_rows is not None and fine_w < seg_w:
-        hot = hot_customers(base, p, customer)
-        base = base.join(F.broadcast(hot), customer, "left")
-        width = F.when(F.col("_hot"), F.lit(fine_w)).otherwise(F.lit(seg_w))
-    # Segment id = segment start in micros, so coarse and fine segments order the same way.
-    base = (base.withColumn("us", F.unix_micros("event_time"))
-            .withColumn("_w", width)
-            .withColumn("_seg", F.col("us") - F.pmod(F.col("us"), F.col("_w")))
-            .withColumn("_cty", country_or_default())
-            .withColumn("_amt", F.col("amount").cast(AMOUNT_DECIMAL)))
-
-    # -- per-segment running totals and per-customer first-seen countries (small tables) ------
-    seg_agg = base.groupBy(customer, "_seg").agg(F.count(F.lit(1)).alias("_n"),
-                                                 F.sum("_amt").alias("_s"))
+    if p.hot_customer_rows is not None:
+        base = base.join(F.broadcast(hot_customers(base, p, customer)), customer, "left")
+        is_hot = F.coalesce(F.col("_hot"), F.lit(False))
+    else:
+        is_hot = F.lit(False)
+    base = base.select(
+        *[c for c in base.columns if c != "_hot"],
+        is_hot.alias("_hot"),
+        F.unix_micros("event_time").alias("us"),
+        country_or_default().alias("_cty"),
+        F.col("amount").cast(AMOUNT_DECIMAL).alias("_amt"),
+        (F.col("amount") < F.lit(float(p.card_test_amount_threshold))).cast("int").alias("_small"),
+    )
+    # rows without an event time stay in the flow (segment NULL) and get an empty history
+    events = _events(base, customer, seg_w, hot_w, w_vel, w_card, w_max)
+
+    # -- per-segment totals before each segment, and first-seen countries (small tables) -------
+    seg_agg = (events.filter((F.col("_kind") != HALO) & F.col("_seg").isNotNull())
+               .groupBy(customer, "_seg")
+               .agg(F.sum((F.col("_kind") == ROW).cast("int")).alias("_n"),
+                    F.sum("_amt").alias("_s"), F.sum("_wv").alias("_v"),
+                    F.sum("_wc").alias("_c")))
     before = Window.partitionBy(customer).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+    zero_dec = F.lit(0).cast(AMOUNT_DECIMAL)
     seg_prior = seg_agg.select(
         customer, "_seg",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_pn"),
-        F.coalesce(F.sum("_s").over(before), F.lit(0).cast(AMOUNT_DECIMAL)).alias("_ps"),
+        F.coalesce(F.sum("_s").over(before), zero_dec).alias("_ps"),
+        F.coalesce(F.sum("_v").over(before), F.lit(0)).alias("_pv"),
+        F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_pc"),
     )
     firsts = (base.groupBy(customer, "_cty").agg(F.min("us").alias("_first"))
               .groupBy(customer)
@@ -104,41 +158,36 @@ def with_history(txns: DataFrame, p: RuleParams, customer: str = "customer_id",
                    .alias("country_first_seen")))
     seg_table = seg_prior.join(firsts, customer, "left")
 
-    # -- rows + halo rows, one exchange on (customer, segment) -------------------------------
-    in_tail = (F.col("us") - F.col("_seg")) >= F.col("_w") - F.lit(w_max)
-    copies = F.when(in_tail, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    expanded = base.withColumn("_copy", F.explode(copies))
-    home = F.col("_copy") == 0
-    keep = {customer, "us", "amount", "_seg", "_copy", "_w"}
-    expanded = expanded.select(
-        *[F.col(c) if c in keep else F.when(home, F.col(c)).alias(c)
-          for c in expanded.columns if c not in ("_seg",)],
-        (F.col("_seg") + F.col("_copy") * F.col("_w")).alias("_seg"),
-    )
-    small = (F.col("amount") < F.lit(float(p.card_test_amount_threshold))).cast("int")
+    # -- one exchange of all events on (customer, segment) ------------------------------------
     w = Window.partitionBy(customer, "_seg").orderBy("us")
-    home_i = F.when(home, F.lit(1)).otherwise(F.lit(0))
-    windowed = expanded.select(
-        "*",
-        F.count(F.lit(1)).over(w.rangeBetween(-w_vel, -1)).alias("_recent"),
-        F.sum(small).over(w.rangeBetween(-w_card, -1)).alias("_small"),
-        F.sum(home_i).over(w.rangeBetween(Window.unboundedPreceding, -1)).alias("_in_n"),
-        F.sum(F.when(home, F.col("_amt"))).over(
-            w.rangeBetween(Window.unboundedPreceding, -1)).alias("_in_s"),
+    earlier = w.rangeBetween(Window.unboundedPreceding, -1)
+    home = F.col("_kind") == ROW
+    windowed = events.select(
+        *events.columns,
+        F.sum("_real").over(w.rangeBetween(-w_vel, -1)).alias("_halo_v"),
+        F.sum(F.col("_real") * F.col("_small")).over(w.rangeBetween(-w_card, -1))
+        .alias("_halo_c"),
+        F.sum("_wv").over(earlier).alias("_run_v"),
+        F.sum("_wc").over(earlier).alias("_run_c"),
+        F.sum(home.cast("int")).over(earlier).alias("_in_n"),
+        F.sum(F.when(home, F.col("_amt"))).over(earlier).alias("_in_s"),
     ).filter(home)
 
     joined = windowed.join(seg_table, [customer, "_seg"], "left")
+    z = F.lit(0)
+    prior_n = F.coalesce(F.col("_pn"), z) + F.coalesce(F.col("_in_n"), z)
+    prior_s = F.coalesce(F.col("_ps"), zero_dec) + F.coalesce(F.col("_in_s"), zero_dec)
+    recent = F.when(F.col("_hot"), F.coalesce(F.col("_pv"), z) + F.coalesce(F.col("_run_v"), z)
+                    ).otherwise(F.coalesce(F.col("_halo_v"), z))
+    small = F.when(F.col("_hot"), F.coalesce(F.col("_pc"), z) + F.coalesce(F.col("_run_c"), z)
+                   ).otherwise(F.coalesce(F.col("_halo_c"), z))
     has_us = F.col("us").isNotNull()
-    prior_n = F.coalesce(F.col("_pn"), F.lit(0)) + F.coalesce(F.col("_in_n"), F.lit(0))
-    prior_s = (F.coalesce(F.col("_ps"), F.lit(0).cast(AMOUNT_DECIMAL))
-               + F.coalesce(F.col("_in_s"), F.lit(0).cast(AMOUNT_DECIMAL)))
-    out = joined.select(
+    return joined.select(
         *carry,
         "us",
-        F.when(has_us, F.col("_recent")).otherwise(F.lit(0)).cast("long").alias("recent_count"),
-        F.when(has_us, F.coalesce(F.col("_small"), F.lit(0))).otherwise(F.lit(0)).cast("long")
-        .alias("small_count"),
-        F.when(has_us, prior_n).otherwise(F.lit(0)).cast("long").alias("prior_count"),
+        F.when(has_us, recent).otherwise(z).cast("long").alias("recent_count"),
+        F.when(has_us, small).otherwise(z).cast("long").alias("small_count"),
+        F.when(has_us, prior_n).otherwise(z).cast("long").alias("prior_count"),
         F.when(has_us & (prior_n > 0), prior_s.cast("double") / prior_n).otherwise(F.lit(0.0))
         .alias("avg_amount"),
         (has_us & (prior_n > 0)).alias("has_history"),
@@ -146,4 +195,3 @@ def with_history(txns: DataFrame, p: RuleParams, customer: str = "customer_id",
                    F.lit(False)).alias("is_new_country"),
         "country_first_seen",
     )
-    return out

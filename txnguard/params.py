@@ -102,12 +102,14 @@ class RuleParams:
     # Width of the time segments used to split one customer's history over many tasks.
     # It is raised to the longest rule window if smaller (see operators/history.py).
     history_segment_minutes: int = 24 * 60
-    # Customers with more rows than this get the finest segments (twice the longest window) so
-    # their timeline spreads over many more tasks. At most `hot_customer_max` such customers are
-    # chosen (largest first), which bounds the broadcast set; the rest keep the default width and
-    # the result is the same either way. None disables the split.
+    # Customers with more rows than this get narrow segments of `hot_segment_minutes`,
+    # whatever the rule windows, so their timeline spreads over many tasks (see
+    # operators/history.py). At most `hot_customer_max` such customers are chosen (largest
+    # first), which bounds the broadcast set; the rest keep the default width and the result is
+    # the same either way. None disables the split.
     hot_customer_rows: int | None = 2_000_000
     hot_customer_max: int = 100_000
+    hot_segment_minutes: int = 15
 
     @property
     def total_weight(self) -> float:
