@@ -19,7 +19,8 @@ aggregated before its shuffle) joined back on the same key.
   windows reach back at most into the previous segment, so rows in the last W of a segment are
   also sent to the next one as context ("halo"); window frames over (customer, segment) then
   count exactly. Extra rows: W / S of the input (0.7% with the default 10-minute window).
-* Hot customers (a bounded top-k over a partial count, broadcast): segments of any width
+* Hot customers (a bounded top-k over a partial count, found in one small job first and
+  broadcast from that list): segments of any width
   (`hot_segment_minutes`), independent of the windows. Each row also emits narrow "expiry"
   events at `us + W` with weight -1, so "rows in [u - W, u - 1]" becomes a running sum of
   weights strictly before `u` over the customer's whole timeline. That sum is the segment
@@ -121,8 +122,18 @@ def with_history(txns: DataFrame, p: RuleParams, customer: str = "customer_id",
     carry = list(carry) if carry is not None else list(txns.columns)
     base = txns.select(*carry, *[c for c in (customer, "event_time", "amount", "country")
                                  if c not in carry])
+    # The hot set is found first, in one small job: at most `hot_customer_max` keys reach the
+    # driver. When it is empty (the usual case) the plan below has no hot branch at all; when it
+    # is not, it is broadcast from that bounded local list instead of being recomputed in every
+    # branch of the plan.
+    hot_keys = []
     if p.hot_customer_rows is not None:
-        base = base.join(F.broadcast(hot_customers(base, p, customer)), customer, "left")
+        hot_keys = [r[0] for r in hot_customers(base, p, customer).collect()]
+    if hot_keys:
+        spark = txns.sparkSession
+        hot = spark.createDataFrame([(k, True) for k in hot_keys],
+                                    f"{customer} string, _hot boolean")
+        base = base.join(F.broadcast(hot), customer, "left")
         is_hot = F.coalesce(F.col("_hot"), F.lit(False))
     else:
         is_hot = F.lit(False)
