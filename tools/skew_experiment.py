@@ -102,13 +102,15 @@ def main():
                     m = (e.get("Task Metrics") or {}).get("Shuffle Read Metrics") or {}
                     most_read[g] = max(most_read.get(g, 0), m.get("Total Records Read", 0))
                     key = (g, e["Stage ID"])
-                    per_stage[key] = max(per_stage.get(key, 0), m.get("Total Records Read", 0))
+                    rec, ms = per_stage.get(key, (0, 0))
+                    per_stage[key] = (max(rec, m.get("Total Records Read", 0)),
+                                      max(ms, info["Finish Time"] - info["Launch Time"]))
     for k in results:
         results[k]["longest_task_ms"] = longest.get(k)
         results[k]["max_shuffle_records_one_task"] = most_read.get(k)
     if os.environ.get("SKEW_DETAIL"):
-        for (g, sid), n in sorted(per_stage.items(), key=lambda kv: -kv[1])[:12]:
-            print(g, "stage", sid, "max records read by one task", n)
+        for (g, sid), (n, ms) in sorted(per_stage.items(), key=lambda kv: -kv[1][1])[:12]:
+            print(g, "stage", sid, "max records read by one task", n, "longest task ms", ms)
     print(json.dumps({"rows": rows, "hot_customer_rows": hot_rows, "results": results,
                       "rows_differing": diff}))
 

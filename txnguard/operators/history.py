@@ -71,37 +71,38 @@ def hot_customers(rows: DataFrame, p: RuleParams, customer: str) -> DataFrame:
 def _events(base: DataFrame, customer: str, seg_w: int, hot_w: int, w_vel: int, w_card: int,
             w_max: int) -> DataFrame:
     """Rows plus their halo copies (ordinary customers) or expiry events (hot customers), each
-    with its segment and weights. Columns other than the keys are kept on home rows only."""
+    with its segment and weights. Columns other than the keys are kept on home rows only.
+
+    The kinds a row emits are one of four constant arrays picked per row, so the expansion is a
+    plain explode of small integers; time and segment are derived from the kind afterwards."""
     us, hot = F.col("us"), F.col("_hot")
 
     def seg_of(t, width):
         return t - F.pmod(t, width)          # segment id = its start in micros
 
-    def event(kind, t, seg):
-        return F.struct(F.lit(kind).alias("k"), t.alias("t"), seg.alias("s"))
+    def kinds(*ks):
+        return F.array(*[F.lit(k) for k in ks])
 
     width = F.when(hot, F.lit(hot_w)).otherwise(F.lit(seg_w))
-    own_seg = seg_of(us, width)
-    in_tail = (us - own_seg) >= F.lit(seg_w - w_max)
-    t_vel, t_card = us + F.lit(w_vel), us + F.lit(w_card)
-    events = F.array_compact(F.array(
-        event(ROW, us, own_seg),
-        F.when(~hot & in_tail, event(HALO, us, own_seg + F.lit(seg_w))),
-        F.when(hot & us.isNotNull(), event(VEL_EXPIRY, t_vel, seg_of(t_vel, width))),
-        F.when(hot & us.isNotNull() & (F.col("_small") == 1),
-               event(CARD_EXPIRY, t_card, seg_of(t_card, width))),
-    ))
-    x = base.withColumn("_e", F.explode(events))
-    kind = F.col("_e.k")
+    in_tail = (us - seg_of(us, F.lit(seg_w))) >= F.lit(seg_w - w_max)
+    timed = us.isNotNull()
+    emitted = (F.when(hot & timed & (F.col("_small") == 1), kinds(ROW, VEL_EXPIRY, CARD_EXPIRY))
+               .when(hot & timed, kinds(ROW, VEL_EXPIRY))
+               .when(~hot & in_tail, kinds(ROW, HALO))
+               .otherwise(kinds(ROW)))
+    x = base.withColumn("_kind", F.explode(emitted))
+    kind = F.col("_kind")
     home = kind == ROW
-    keep = {customer, "amount", "_small", "_hot"}
+    t = (F.when(kind == VEL_EXPIRY, us + F.lit(w_vel)).when(kind == CARD_EXPIRY, us + F.lit(w_card))
+         .otherwise(us))
+    seg = F.when(kind == HALO, seg_of(us, F.lit(seg_w)) + F.lit(seg_w)).otherwise(seg_of(t, width))
+    keep = {customer, "amount", "_small", "_hot", "_kind"}
     cols = [F.col(c) if c in keep else F.when(home, F.col(c)).alias(c)
-            for c in base.columns if c != "us"]
+            for c in x.columns if c != "us"]
     return x.select(
         *cols,
-        kind.alias("_kind"),
-        F.col("_e.t").alias("us"),
-        F.col("_e.s").alias("_seg"),
+        t.alias("us"),
+        seg.alias("_seg"),
         (kind <= HALO).cast("int").alias("_real"),
         F.when(home, 1).when(kind == VEL_EXPIRY, -1).otherwise(0).alias("_wv"),
         F.when(home & (F.col("_small") == 1), 1).when(kind == CARD_EXPIRY, -1).otherwise(0)
