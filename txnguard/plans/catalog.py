@@ -131,8 +131,8 @@ def q_event_time_parse(spark, sf_dir):
     v = ts_text_variants(read_table(spark, sf_dir, "events"))
     parsed = F.try_to_timestamp(F.col("ts_text"))
     return v.select("transaction_id", "ts_text", ntz(parsed).alias("event_time"),
-                    own_offset_hour(F.col("ts_text")).alias("own_hour"),
-                    F.hour(parsed).alias("utc_hour"))
+                    own_offset_hour(F.col("ts_text")).cast("long").alias("own_hour"),
+                    F.hour(parsed).cast("long").alias("utc_hour"))
 
 
 def q_dlq_split(spark, sf_dir):

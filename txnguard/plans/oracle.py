@@ -496,8 +496,8 @@ def _sql() -> dict[str, str]:
              WHEN {age} >= {d(MART.freshness_warn_minutes)} THEN 'warn' ELSE 'pass' END AS status
         FROM (SELECT max(loaded_at) AS newest FROM wh)"""
     q["dash_rate"] = mp + "SELECT txn_date AS time, fraud_rate_pct FROM daily ORDER BY txn_date"
-    q["dash_volume"] = mp + f"SELECT sum(total_transactions) AS value FROM daily WHERE txn_date = DATE {as_of}"
-    q["dash_count"] = mp + f"SELECT sum(fraud_count) AS value FROM daily WHERE txn_date = DATE {as_of}"
+    q["dash_volume"] = mp + f"SELECT CAST(sum(total_transactions) AS BIGINT) AS value FROM daily WHERE txn_date = DATE {as_of}"
+    q["dash_count"] = mp + f"SELECT CAST(sum(fraud_count) AS BIGINT) AS value FROM daily WHERE txn_date = DATE {as_of}"
     q["dash_amount"] = mp + f"SELECT sum(fraud_amount) AS value FROM daily WHERE txn_date = DATE {as_of}"
     q["dash_category"] = mp + "SELECT category, fraud_rate_pct, fraud_count FROM category_m ORDER BY fraud_rate_pct DESC, category"
     q["dash_high_risk"] = mp + f"""SELECT customer_id, risk_status, fraud_count, fraud_amount,
