@@ -153,6 +153,8 @@ class MartParams:
 
     as_of_date: str = "2024-01-30"
     lookback_days: int = 1
+    # In the incremental-model query the daily mart is taken as loaded up to this date.
+    incremental_loaded_until: str = "2024-01-20"
     strict_incremental: bool = False
     top_customers: int = 20
     latest_per_customer: int = 10

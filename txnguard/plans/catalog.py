@@ -26,8 +26,6 @@ from txnguard.sources.tables import read_table
 
 RULE_NAMES = ("high_amount", "velocity", "geo_anomaly", "card_testing", "time_anomaly")
 MART = MartParams()
-# The daily mart is taken as loaded up to this date when the incremental model runs.
-INCREMENTAL_LOADED_UNTIL = "2024-01-20"
 # Scored messages of the reference carry these nine fields only.
 REFERENCE_SCORED_FIELDS = ("transaction_id", "customer_id", "amount", "merchant", "category",
                            "country", "fraud_score", "is_fraud", "scored_at")
@@ -224,7 +222,7 @@ def q_incremental_filter(spark, sf_dir):
     """Incremental daily model: rows from max(loaded date) - lookback are reprocessed."""
     from txnguard.plans.sinks import incremental_rows
     stg = _stg(spark, sf_dir)
-    target = marts.fct_daily(stg.filter(F.col("txn_date") <= F.lit(INCREMENTAL_LOADED_UNTIL)
+    target = marts.fct_daily(stg.filter(F.col("txn_date") <= F.lit(MART.incremental_loaded_until)
                                         .cast("date")))
     return marts.fct_daily(incremental_rows(stg, target, MART.lookback_days, strict=False))
 

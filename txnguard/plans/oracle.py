@@ -21,7 +21,6 @@ from txnguard.schemas import WAREHOUSE_VARCHAR_LIMITS
 from txnguard.sources.fixtures import COUNTRY_BY_K, COUNTRY_BY_K_ELSE
 
 MART = MartParams()
-INCREMENTAL_LOADED_UNTIL = "2024-01-20"
 
 
 def d(x: float) -> str:
@@ -420,7 +419,7 @@ def _sql() -> dict[str, str]:
                   FROM txns, range(0, 10) r(k))
             GROUP BY customer_id, ws""",
         "incremental_filter": st + f""", target AS ({daily_select(
-            "(SELECT * FROM stg WHERE txn_date <= DATE '" + INCREMENTAL_LOADED_UNTIL + "')")}),
+            "(SELECT * FROM stg WHERE txn_date <= DATE '" + MART.incremental_loaded_until + "')")}),
             inc AS (SELECT * FROM stg WHERE txn_date >=
                     (SELECT max(txn_date) FROM target) - INTERVAL {MART.lookback_days} DAY)
             {daily_select("inc")}""",
