@@ -143,6 +143,8 @@ class FanOut:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
+            if batch.isEmpty():            # e.g. a watermark-only batch: nothing to write
+                return
             has_reason = "dlq_reason" in batch.columns
             good = batch.filter(F.col("dlq_reason").isNull()) if has_reason else batch
             if "scored" in self.outputs:
@@ -155,6 +157,8 @@ class FanOut:
                     F.col("dlq_reason").alias("reason"),
                     F.current_timestamp().alias("ingested_at"))
                 self._emit(dead, "dlq", batch_id)
+            if good.isEmpty():             # only dead letters in this batch
+                return
             if "warehouse" in self.outputs:
                 wh_path = os.path.join(self.root, "scored_transactions")
                 append_warehouse(to_warehouse(good), wh_path, load_id=batch_id)
