@@ -138,3 +138,25 @@ def test_rows_without_time_get_empty_history(spark):
     got = {r.transaction_id: r for r in with_history(spark.createDataFrame(rows, SCHEMA), p).collect()}
     assert got["b"].prior_count == 0 and got["b"].has_history is False
     assert got["d"].prior_count == 1 and got["d"].recent_count == 1
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+ROWS = st.lists(
+    st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 3 * 24 * 60),
+              st.sampled_from([1.0, 4.99, 5.0, 250.0, 7000.0]),
+              st.sampled_from(["US", "CA", "NG", None])),
+    min_size=1, max_size=60)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=ROWS, windows=st.sampled_from([(10, 5), (60, 60), (1440, 30)]),
+       hot_rows=st.sampled_from([None, 5]))
+def test_history_property(spark, rows, windows, hot_rows):
+    p = RuleParams(velocity_window_minutes=windows[0], card_test_window_minutes=windows[1],
+                   hot_customer_rows=hot_rows, hot_segment_minutes=7)
+    t0 = datetime(2024, 1, 1)
+    data = [(f"t{i:04d}", c, amt, cty, t0 + timedelta(minutes=m))
+            for i, (c, m, amt, cty) in enumerate(rows)]
+    check(spark, data, p)
