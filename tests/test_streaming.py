@@ -41,7 +41,7 @@ def test_rule_stream_equals_batch_and_replay_is_idempotent(spark, scratch):
     src = day_files(spark, scratch)
     stream = job.read_text_stream(spark, os.path.join(src, "*.json"), max_files=7)
     q = run(spark, job.rule_stream(stream, FIXTURE_PARAMS), scratch, "rules",
-            ("scored", "warehouse", "lookup", "alert_table", "daily_mart"))
+            ("scored", "warehouse", "lookup", "alert_table", "daily_mart", "metrics"))
     assert q.lastProgress["batchId"] >= 3          # several micro-batches
     wh = spark.read.parquet(os.path.join(scratch, "out", "scored_transactions"))
     tx = load_transactions(spark, "/root/testdata/sf0.001")
@@ -65,6 +65,9 @@ def test_rule_stream_equals_batch_and_replay_is_idempotent(spark, scratch):
     from txnguard.plans.sinks import read_latest
     assert read_latest(spark, os.path.join(scratch, "out", "transactions"),
                        LOOKUP_KEY).count() == 799
+    m = spark.read.parquet(os.path.join(scratch, "out", "metrics"))
+    assert m.agg(F.sum("scored")).first()[0] == 799
+    assert m.agg(F.sum("velocity_fired")).first()[0] == batch.filter("velocity_score > 0").count()
     # the daily mart maintained batch by batch equals the mart built from the whole table
     from txnguard.operators.marts import fct_daily
     from txnguard.operators.staging import stg_scored

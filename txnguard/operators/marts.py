@@ -121,5 +121,27 @@ def mean_latency_ms(scored: DataFrame) -> DataFrame:
     return scored.agg(round_half_up(F.avg(lat), 1).alias("avg_latency_ms"))
 
 
+def batch_metrics(scored: DataFrame, batch_id: int) -> DataFrame:
+    """Monitoring row of one micro-batch: rows scored, fraud detected and rate (A7), mean
+    scoring latency in ms (A8), and rule fires (A5), in one aggregate."""
+    fraud_n = F.sum(_fraud_int())
+    lat = (F.unix_micros("scored_at") - F.unix_micros("event_time")) / F.lit(1000.0)
+    fires = {}
+    if "triggered_rules" in scored.columns:
+        def fired(name):
+            return F.exists("triggered_rules", lambda r: r["rule"] == F.lit(name))
+        for name in ("high_amount", "velocity", "geo_anomaly", "card_testing", "time_anomaly"):
+            hit = fired(name)
+            fires[f"{name}_fired"] = F.sum(F.when(hit, 1).otherwise(0)).cast("long")
+    return scored.agg(
+        F.lit(int(batch_id)).cast("long").alias("batch_id"),
+        F.count(F.lit(1)).alias("scored"),
+        fraud_n.alias("fraud_detected"),
+        pct(fraud_n, F.count(F.lit(1)), 2).alias("fraud_rate_pct"),
+        round_half_up(F.avg(lat), 1).alias("avg_latency_ms"),
+        *[c.alias(k) for k, c in fires.items()],
+    )
+
+
 def dlq_counts(dlq: DataFrame) -> DataFrame:
     return dlq.groupBy("reason").agg(F.count(F.lit(1)).alias("dead_letters"))

@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnguard.operators.marts import customer_window_stats
+from txnguard.operators.marts import batch_metrics, customer_window_stats
 from txnguard.operators.scoring import apply_rules, stateless_score
 from txnguard.operators.staging import to_lookup, to_warehouse
 from txnguard.operators.lookup import ALERT_KEY, LOOKUP_KEY, alerts_rows
@@ -159,6 +159,10 @@ class FanOut:
                 self._emit(dead, "dlq", batch_id)
             if good.isEmpty():             # only dead letters in this batch
                 return
+            if "metrics" in self.outputs and "scored_at" in good.columns:
+                # A7 + A8 per micro-batch: one row, rewritten if the batch is replayed
+                batch_metrics(good, batch_id).write.mode("overwrite").parquet(
+                    os.path.join(self.root, "metrics", f"batch={batch_id}"))
             if "warehouse" in self.outputs:
                 wh_path = os.path.join(self.root, "scored_transactions")
                 append_warehouse(to_warehouse(good), wh_path, load_id=batch_id)
