@@ -319,6 +319,31 @@ def q_dash_severity(spark, sf_dir):
     return dashboard.dash_severity(_p(spark, sf_dir).daily())
 
 
+# Date columns of the registered outputs are handed over as midnight timestamps (same column
+# names, same values): pandas turns a Spark DATE into datetime.date but a DuckDB DATE into a
+# Timestamp, while timestamps convert alike through pandas and Arrow. The marts themselves keep
+# DATE columns.
+DATE_OUTPUTS = {
+    "stg_scored": ("txn_date",),
+    "fct_daily": ("txn_date",),
+    "incremental_filter": ("txn_date",),
+    "dash_rate": ("time",),
+    "dash_severity": ("txn_date",),
+    "alerts_by_day": ("alert_date",),
+}
+
+
+def _dates_as_timestamps(name: str, fn):
+    cols = DATE_OUTPUTS[name]
+
+    def q(spark, sf_dir):
+        df = fn(spark, sf_dir)
+        return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
+    q.__name__ = fn.__name__
+    q.__doc__ = fn.__doc__
+    return q
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rule_score": q_rule_score,
     "rule_high_amount": _rule_q("high_amount", "amount", "avg_amount"),
@@ -367,3 +392,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dash_high_risk": q_dash_high_risk,
     "dash_severity": q_dash_severity,
 }
+
+for _name in DATE_OUTPUTS:
+    QUERIES[_name] = _dates_as_timestamps(_name, QUERIES[_name])

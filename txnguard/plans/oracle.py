@@ -508,4 +508,15 @@ def _sql() -> dict[str, str]:
     return q
 
 
-ORACLE_SQL: dict[str, str] = _sql()
+def _dates_as_timestamps(q: dict[str, str]) -> dict[str, str]:
+    """Same hand-over as the Spark side (plans/catalog.py DATE_OUTPUTS): DATE columns of these
+    outputs as midnight timestamps."""
+    from txnguard.plans.catalog import DATE_OUTPUTS
+    out = dict(q)
+    for name, cols in DATE_OUTPUTS.items():
+        repl = ", ".join(f"CAST({c} AS TIMESTAMP) AS {c}" for c in cols)
+        out[name] = f"SELECT * REPLACE ({repl}) FROM ({q[name]})"
+    return out
+
+
+ORACLE_SQL: dict[str, str] = _dates_as_timestamps(_sql())
