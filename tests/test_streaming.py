@@ -214,3 +214,40 @@ def test_console_alerts_run(spark, scratch):
                                  available_now=True)
     assert q.awaitTermination(240)
     assert q.exception() is None
+
+
+def test_late_and_tied_rows_within_lateness_match_batch(spark, scratch):
+    from txnguard.operators.history import with_history
+    src = os.path.join(scratch, "late_ok")
+    os.makedirs(src)
+    t = datetime(2024, 1, 1, 12)
+    msg = ('{{"transaction_id":"{i}","customer_id":"c","amount":{a},'
+           '"timestamp":"{ts}+00:00","country":"{c}"}}')
+    first = [("a0", 0, 3.0, "US"), ("a1", 60, 2.0, "US"), ("a2", 120, 900.0, "CA")]
+    second = [("late", -30, 4.0, "NG"), ("tie", 120, 1.0, "US"), ("next", 180, 2.0, "CA")]
+    for name, rows in (("a.json", first), ("b.json", second)):
+        with open(os.path.join(src, name), "w") as f:
+            for i, secs, a, c in rows:
+                f.write(msg.format(i=i, a=a, c=c, ts=(t + timedelta(seconds=secs)).isoformat()) + "\n")
+    sp = StreamParams(allowed_lateness_minutes=60)
+    stream = job.read_text_stream(spark, os.path.join(src, "*.json"), max_files=1)
+    q = (job.rule_stream(stream, FIXTURE_PARAMS, sp).writeStream.format("memory")
+         .queryName("late_ok_rows").option("checkpointLocation", os.path.join(scratch, "ck2"))
+         .trigger(availableNow=True))
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    try:
+        q = q.start()
+    finally:
+        spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "true")
+    q.awaitTermination(300)
+    got = {r.transaction_id: r for r in spark.sql("select * from late_ok_rows").collect()}
+    schema = "transaction_id string, customer_id string, amount double, country string, event_time timestamp"
+    rows = [(i, "c", a, c, t + timedelta(seconds=secs)) for i, secs, a, c in first + second]
+    exp = {r.transaction_id: r for r in with_history(spark.createDataFrame(rows, schema),
+                                                     FIXTURE_PARAMS).collect()}
+    for k in ("late", "tie", "next"):
+        g, e = got[k], exp[k]
+        assert (g.recent_count, g.small_count, g.prior_count, g.has_history, g.is_new_country) == \
+            (e.recent_count, e.small_count, e.prior_count, e.has_history, e.is_new_country), k
+        assert abs(g.avg_amount - e.avg_amount) < 1e-12, k
+    assert got["late"].is_late is False

@@ -135,6 +135,9 @@ class StreamParams:
     """Streaming settings (defaults = the reference's)."""
 
     watermark: str = "1 minute"
+    # Rows up to this much older than the newest event of their customer still get an exact
+    # history from the streaming state (the state keeps that much extra).
+    allowed_lateness_minutes: int = 1
     scored_trigger: str = "5 seconds"
     console_trigger: str = "10 seconds"
     stateless_threshold: float = 0.7

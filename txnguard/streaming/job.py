@@ -87,7 +87,8 @@ def rule_stream(raw: DataFrame, rp: RuleParams, sp: StreamParams = StreamParams(
     good = tagged_stream(raw, sp).filter(F.col("dlq_reason").isNull())
     good = good.withWatermark("event_time", sp.watermark)
     hist = good.select(*TXN_NAMES).groupBy("customer_id").transformWithStateInPandas(
-        CustomerHistoryProcessor(rp, sp.state_ttl_days), OUTPUT_SCHEMA, "Append", "ProcessingTime")
+        CustomerHistoryProcessor(rp, sp.state_ttl_days, sp.allowed_lateness_minutes),
+        OUTPUT_SCHEMA, "Append", "ProcessingTime")
     return apply_rules(hist, rp, stamp=True)
 
 

@@ -6,10 +6,12 @@
 * `totals`:   running count and amount in cents (exact), for the mean of earlier amounts;
 * `countries`: first-seen time per country.
 
-Rows of a micro-batch are handled in event-time order and rows with the same `us` see only
-state from strictly earlier times, so a stream replayed in event-time order gives the same
-history as the batch operator (operators/history.py). A row older than the newest event already
-in state is scored against the state as it is and flagged `is_late`.
+Rows see only events with a strictly earlier `us`, whether those are in state or in the same
+micro-batch, so a stream gives the same history as the batch operator (operators/history.py).
+That holds for late rows too, as long as they are at most `allowed_lateness_minutes` older than
+the customer's newest event: the recent list keeps that margin, and events at or after a late
+row's time are taken back out of the running totals. Rows older than that are flagged `is_late`
+and scored against the state as it is.
 
 State size per customer is bounded by the window (recent), one row (totals) and the number of
 distinct countries; idle customers expire through the state TTL.
@@ -69,15 +71,17 @@ TXN_NAMES = [f.name for f in STREAM_TXN_FIELDS]
 
 
 class CustomerHistoryProcessor(StatefulProcessor):
-    def __init__(self, params: RuleParams, ttl_days: int = 30):
+    def __init__(self, params: RuleParams, ttl_days: int = 30, lateness_minutes: int = 1):
         self.p = params
+        self.lateness = int(lateness_minutes) * MICROS_PER_MINUTE
         self.ttl_ms = int(ttl_days) * 24 * 3600 * 1000
         self.w_vel = params.velocity_window_minutes * MICROS_PER_MINUTE
         self.w_card = params.card_test_window_minutes * MICROS_PER_MINUTE
         self.w_max = max(self.w_vel, self.w_card)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.recent = handle.getListState("recent", "us long, small int", self.ttl_ms)
+        self.recent = handle.getListState("recent", "us long, small int, cents long",
+                                          self.ttl_ms)
         self.totals = handle.getValueState("totals", "n long, cents long, max_us long",
                                            self.ttl_ms)
         self.countries = handle.getMapState("countries", "country string", "first_us long",
@@ -97,6 +101,7 @@ class CustomerHistoryProcessor(StatefulProcessor):
         rec = list(self.recent.get()) if self.recent.exists() else []
         r_us = np.fromiter((r[0] for r in rec), dtype=np.int64, count=len(rec))
         r_small = np.fromiter((r[1] for r in rec), dtype=np.int64, count=len(rec))
+        r_cents = np.fromiter((r[2] for r in rec), dtype=np.int64, count=len(rec))
         if self.totals.exists():
             n0, cents0, max0 = self.totals.get()
         else:
@@ -116,6 +121,7 @@ class CustomerHistoryProcessor(StatefulProcessor):
         all_small = np.concatenate([r_small, b_small])
         order = np.argsort(all_us, kind="mergesort")
         s_us, s_small = all_us[order], all_small[order]
+        s_cents = np.concatenate([r_cents, np.rint(amt * 100).astype(np.int64)])[order]
         cum_small = np.concatenate([[0], np.cumsum(s_small)])
         before = np.searchsorted(s_us, b_us, side="left")            # events strictly earlier
         recent = before - np.searchsorted(s_us, b_us - self.w_vel, side="left")
@@ -124,8 +130,14 @@ class CustomerHistoryProcessor(StatefulProcessor):
         b_before = np.searchsorted(b_us, b_us, side="left")          # batch rows strictly earlier
         cents = np.rint(amt * 100).astype(np.int64)
         cum_cents = np.concatenate([[0], np.cumsum(cents)])
-        prior_n = n0 + b_before
-        prior_cents = cents0 + cum_cents[b_before]
+        # state events at or after a row's time (ties, or later events for a late row) are not
+        # its history: take them back out of the running totals (the recent list is sorted)
+        r_from = np.searchsorted(r_us, b_us, side="left")
+        r_cum = np.concatenate([[0], np.cumsum(r_cents)])
+        not_before_n = len(r_us) - r_from
+        not_before_cents = r_cum[-1] - r_cum[r_from]
+        prior_n = n0 - not_before_n + b_before
+        prior_cents = cents0 - not_before_cents + cum_cents[b_before]
         with np.errstate(divide="ignore", invalid="ignore"):
             avg = np.where(prior_n > 0, (prior_cents / 100.0) / np.maximum(prior_n, 1), 0.0)
 
@@ -133,7 +145,8 @@ class CustomerHistoryProcessor(StatefulProcessor):
         state_first = cty.map(lambda c: first.get(c, np.iinfo(np.int64).max)).to_numpy(np.int64)
         is_new = (batch_first == b_us) & (state_first >= b_us)
         has_hist = prior_n > 0
-        late = np.zeros(len(pdf), dtype=bool) if max0 is None else b_us < max0
+        late = (np.zeros(len(pdf), dtype=bool) if max0 is None
+                else b_us < max0 - self.lateness)
 
         # first-seen map after this batch
         merged = dict(first)
@@ -148,8 +161,9 @@ class CustomerHistoryProcessor(StatefulProcessor):
 
         # -- write state back ------------------------------------------------------------------
         max_us = int(b_us.max()) if max0 is None else max(int(max0), int(b_us.max()))
-        keep = s_us >= max_us - self.w_max
-        self.recent.put(list(zip(s_us[keep].tolist(), s_small[keep].tolist())))
+        keep = s_us >= max_us - self.w_max - self.lateness
+        self.recent.put(list(zip(s_us[keep].tolist(), s_small[keep].tolist(),
+                                 s_cents[keep].tolist())))
         self.totals.update((int(n0 + len(pdf)), int(cents0 + cents.sum()), max_us))
         for c, f in merged.items():
             if first.get(c) != f:
