@@ -136,7 +136,12 @@ class FanOut:
 
     def _emit(self, df: DataFrame, name: str, batch_id: int) -> None:
         if self.kafka:
-            (df.write.format("kafka").options(**self.kafka)
+            # the Kafka sink takes key, value and headers; other columns travel as headers
+            extra = [c for c in df.columns if c not in ("key", "value")]
+            out = df.select("key", "value", F.array(*[
+                F.struct(F.lit(c).alias("key"), F.col(c).cast("string").cast("binary")
+                         .alias("value")) for c in extra]).alias("headers")) if extra else df
+            (out.write.format("kafka").options(**self.kafka)
              .option("topic", self.topics[name]).save())
         else:
             df.write.mode("overwrite").parquet(os.path.join(self.root, name, f"batch={batch_id}"))
