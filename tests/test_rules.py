@@ -138,3 +138,14 @@ class TestScoreTransaction:
         bad = s.filter((F.col("fraud_score") < 0) | (F.col("fraud_score") > 1)
                        | (F.col("rules_fired") != F.size("triggered_rules"))).count()
         assert bad == 0
+
+
+def test_reason_texts(spark):
+    r = score(spark, amount=6000.0)
+    assert r.high_amount_reason == "Amount $6000.00 exceeds threshold $5000.00"
+    assert score(spark, recent_count=8).velocity_reason == "8 transactions in 10 minutes (max: 5)"
+    assert score(spark, amount=2.99, small_count=5).card_testing_reason == \
+        "5 small transactions (<$5.0) in 5 minutes"
+    assert score(spark, timestamp="2024-06-15T03:00:00+00:00").time_anomaly_reason == \
+        "Transaction at 3:00 UTC (unusual hours)"
+    assert score(spark).velocity_reason == ""

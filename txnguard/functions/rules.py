@@ -19,6 +19,12 @@ from txnguard.params import (
     DEFAULT_COUNTRY,
     GEO_HIGH_RISK_SCORE,
     GEO_OTHER_SCORE,
+    REASON_CARD_TESTING,
+    REASON_GEO,
+    REASON_OVER_AVERAGE,
+    REASON_OVER_THRESHOLD,
+    REASON_TIME,
+    REASON_VELOCITY,
     STATELESS_AMOUNT_TIERS,
     STATELESS_GEO_TIERS,
     STATELESS_ONLINE_MIN_AMOUNT,
@@ -73,10 +79,8 @@ def rule_high_amount(p: RuleParams) -> RuleExpr:
     score = (F.when(over, F.least(F.lit(1.0), amount / F.lit(t * 2)))
              .when(vs_avg, F.least(F.lit(1.0), (amount / avg - F.lit(1)) / F.lit(5)))
              .otherwise(F.lit(0.0)))
-    reason = (F.when(over, F.format_string("Amount $%.2f exceeds threshold $%.2f", amount,
-                                           F.lit(t)))
-              .when(vs_avg, F.format_string("Amount $%.2f is %.1fx customer average",
-                                            amount, amount / avg))
+    reason = (F.when(over, F.format_string(REASON_OVER_THRESHOLD, amount, F.lit(t)))
+              .when(vs_avg, F.format_string(REASON_OVER_AVERAGE, amount, amount / avg))
               .otherwise(F.lit("")))
     return RuleExpr("high_amount", _weight(p, "high_amount"), score, reason)
 
@@ -85,9 +89,8 @@ def rule_velocity(p: RuleParams) -> RuleExpr:
     n = F.col("recent_count")
     hit = n >= p.velocity_max_count
     score = F.when(hit, F.least(F.lit(1.0), n / F.lit(p.velocity_max_count * 2))).otherwise(0.0)
-    reason = F.when(hit, F.format_string(
-        f"%d transactions in {p.velocity_window_minutes} minutes (max: {p.velocity_max_count})", n
-    )).otherwise(F.lit(""))
+    text = REASON_VELOCITY.format(window=p.velocity_window_minutes, max_count=p.velocity_max_count)
+    reason = F.when(hit, F.format_string(text, n)).otherwise(F.lit(""))
     return RuleExpr("velocity", _weight(p, "velocity"), score, reason)
 
 
@@ -107,8 +110,8 @@ def rule_geo_anomaly(p: RuleParams) -> RuleExpr:
     hit = F.col("has_history") & F.col("is_new_country")
     score = (F.when(hit & country.isin(*p.geo_high_risk), F.lit(GEO_HIGH_RISK_SCORE))
              .when(hit, F.lit(GEO_OTHER_SCORE)).otherwise(F.lit(0.0)))
-    reason = F.when(hit, F.format_string("Transaction from %s, known countries: {%s}", country,
-                                         F.col("known_countries"))).otherwise(F.lit(""))
+    reason = F.when(hit, F.format_string(REASON_GEO.format(), country, F.col("known_countries"))
+                    ).otherwise(F.lit(""))
     return RuleExpr("geo_anomaly", _weight(p, "geo_anomaly"), score, reason)
 
 
@@ -117,9 +120,8 @@ def rule_card_testing(p: RuleParams) -> RuleExpr:
     t = float(p.card_test_amount_threshold)
     hit = (amount < F.lit(t)) & (n >= p.card_test_min_count)
     score = F.when(hit, F.least(F.lit(1.0), n / F.lit(p.card_test_min_count * 2))).otherwise(0.0)
-    reason = F.when(hit, F.format_string(
-        f"%d small transactions (<${t}) in {p.card_test_window_minutes} minutes", n
-    )).otherwise(F.lit(""))
+    text = REASON_CARD_TESTING.format(threshold=t, window=p.card_test_window_minutes)
+    reason = F.when(hit, F.format_string(text, n)).otherwise(F.lit(""))
     return RuleExpr("card_testing", _weight(p, "card_testing"), score, reason)
 
 
@@ -128,7 +130,7 @@ def rule_time_anomaly(p: RuleParams) -> RuleExpr:
     lo, hi = TIME_ANOMALY_HOURS
     hit = F.coalesce(hour.between(lo, hi), F.lit(False))
     score = F.when(hit, F.lit(TIME_ANOMALY_SCORE)).otherwise(F.lit(0.0))
-    reason = F.when(hit, F.format_string("Transaction at %d:00 UTC (unusual hours)", hour)
+    reason = F.when(hit, F.format_string(REASON_TIME, hour)
                     ).otherwise(F.lit(""))
     return RuleExpr("time_anomaly", _weight(p, "time_anomaly"), score, reason)
 

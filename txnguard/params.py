@@ -29,6 +29,14 @@ TIME_ANOMALY_SCORE = 0.6
 TIME_ANOMALY_HOURS = (2, 5)
 DEFAULT_COUNTRY = "US"
 
+# Reason texts of the rules (printf style; {names} are filled from the rule parameters).
+REASON_OVER_THRESHOLD = "Amount $%.2f exceeds threshold $%.2f"
+REASON_OVER_AVERAGE = "Amount $%.2f is %.1fx customer average"
+REASON_VELOCITY = "%d transactions in {window} minutes (max: {max_count})"
+REASON_GEO = "Transaction from %s, known countries: {{%s}}"
+REASON_CARD_TESTING = "%d small transactions (<${threshold}) in {window} minutes"
+REASON_TIME = "Transaction at %d:00 UTC (unusual hours)"
+
 # Stateless streaming scorer constants.
 STATELESS_AMOUNT_TIERS = ((5000.0, 0.3), (2000.0, 0.15))
 STATELESS_TIME_SCORE = 0.06
