@@ -10,6 +10,8 @@ from txnguard.params import (
     AMOUNT_BUCKETS,
     RISK_LEVEL_ELSE,
     RISK_LEVELS,
+    RISK_STATUS_ELSE,
+    RISK_STATUS_STEPS,
     SEVERITY_ELSE,
     SEVERITY_STEPS,
 )
@@ -39,10 +41,12 @@ def rate_severity(rate_pct: Column) -> Column:
 
 def risk_status(fraud_count: Column, max_score: Column, avg_score: Column) -> Column:
     """First match wins: blocked, high_risk, watch, clean."""
-    return (F.when((fraud_count >= 5) | (max_score >= F.lit(0.95)), F.lit("blocked"))
-            .when((fraud_count >= 3) | (avg_score >= F.lit(0.6)), F.lit("high_risk"))
-            .when((fraud_count >= 1) | (avg_score >= F.lit(0.3)), F.lit("watch"))
-            .otherwise(F.lit("clean")))
+    expr = None
+    for status, min_count, measure, min_score in RISK_STATUS_STEPS:
+        score = max_score if measure == "max" else avg_score
+        cond = (fraud_count >= min_count) | (score >= F.lit(min_score))
+        expr = F.when(cond, F.lit(status)) if expr is None else expr.when(cond, F.lit(status))
+    return expr.otherwise(F.lit(RISK_STATUS_ELSE))
 
 
 def round_half_up(x: Column, digits: int) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnguard.functions.buckets import rate_severity
+from txnguard.params import HIGH_RISK_STATUSES
 
 
 def dash_rate(daily: DataFrame) -> DataFrame:
@@ -41,7 +42,7 @@ def dash_category(category: DataFrame) -> DataFrame:
 def dash_high_risk(customers: DataFrame, n: int = 20) -> DataFrame:
     """Top-n blocked / high-risk customers by fraud count (TakeOrderedAndProject: each task keeps
     its own top n, only n rows per task reach the final merge). Ties broken by customer_id."""
-    return (customers.filter(F.col("risk_status").isin("blocked", "high_risk"))
+    return (customers.filter(F.col("risk_status").isin(*HIGH_RISK_STATUSES))
             .select("customer_id", "risk_status", "fraud_count", "fraud_amount", "avg_fraud_score")
             .orderBy(F.col("fraud_count").desc(), F.col("customer_id"))
             .limit(n))

@@ -63,8 +63,16 @@ AMOUNT_BUCKET_ELSE = "micro"
 RISK_LEVELS = ((0.9, "critical"), (0.7, "high"), (0.4, "medium"))
 RISK_LEVEL_ELSE = "low"
 
-# Customer risk status: first match wins.
+# Customer risk status: first match wins; (status, minimum fraud count, score measure, minimum).
+RISK_STATUS_STEPS = (
+    ("blocked", 5, "max", 0.95),
+    ("high_risk", 3, "avg", 0.6),
+    ("watch", 1, "avg", 0.3),
+)
+RISK_STATUS_ELSE = "clean"
 RISK_STATUS_VALUES = ("blocked", "high_risk", "watch", "clean")
+# Statuses shown on the high-risk dashboard panel.
+HIGH_RISK_STATUSES = ("blocked", "high_risk")
 
 # Dashboard rate severity thresholds (percent).
 SEVERITY_STEPS = ((5, "red"), (3, "yellow"))

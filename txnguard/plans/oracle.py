@@ -10,10 +10,26 @@ floating-point arithmetic.
 from __future__ import annotations
 
 from txnguard.params import (
+    AMOUNT_BUCKET_ELSE,
+    AMOUNT_BUCKETS,
     CARD_TYPES,
     CATEGORIES,
     FIXTURE_PARAMS,
+    HIGH_RISK_STATUSES,
     MERCHANTS,
+    RISK_LEVEL_ELSE,
+    RISK_LEVELS,
+    RISK_STATUS_ELSE,
+    RISK_STATUS_STEPS,
+    RISK_STATUS_VALUES,
+    SEVERITY_ELSE,
+    SEVERITY_STEPS,
+    STATELESS_AMOUNT_TIERS,
+    STATELESS_GEO_TIERS,
+    STATELESS_ONLINE_MIN_AMOUNT,
+    STATELESS_ONLINE_SCORE,
+    STATELESS_TIME_HOURS,
+    STATELESS_TIME_SCORE,
     MartParams,
     RuleParams,
 )
@@ -164,15 +180,16 @@ scored AS (
 def stateless_cte(threshold: float = 0.7) -> str:
     return f"""stateless0 AS (
   SELECT *,
-    CASE WHEN amount > {d(5000)} THEN {d(0.3)} WHEN amount > {d(2000)} THEN {d(0.15)}
+    CASE {" ".join(f"WHEN amount > {d(t)} THEN {d(v)}" for t, v in STATELESS_AMOUNT_TIERS)}
          ELSE {d(0)} END AS amount_score,
     CASE WHEN event_time IS NOT NULL
-          AND CAST((epoch_us(event_time) // 1000000) % 86400 AS DOUBLE) / 3600 BETWEEN 2 AND 5
-         THEN {d(0.06)} ELSE {d(0)} END AS time_score,
-    CASE WHEN country IN ('NG', 'RU', 'CN') THEN {d(0.18)}
-         WHEN country IN ('BR', 'IN', 'PH') THEN {d(0.1)} ELSE {d(0)} END AS geo_score,
-    CASE WHEN is_online = true AND amount > {d(1000)} THEN {d(0.05)} ELSE {d(0)} END
-      AS online_score
+          AND CAST((epoch_us(event_time) // 1000000) % 86400 AS DOUBLE) / 3600
+              BETWEEN {STATELESS_TIME_HOURS[0]} AND {STATELESS_TIME_HOURS[1]}
+         THEN {d(STATELESS_TIME_SCORE)} ELSE {d(0)} END AS time_score,
+    CASE {" ".join(f"WHEN country IN ({', '.join(s(c) for c in cs)}) THEN {d(v)}"
+                   for cs, v in STATELESS_GEO_TIERS)} ELSE {d(0)} END AS geo_score,
+    CASE WHEN is_online = true AND amount > {d(STATELESS_ONLINE_MIN_AMOUNT)}
+         THEN {d(STATELESS_ONLINE_SCORE)} ELSE {d(0)} END AS online_score
   FROM txns
 ),
 stateless AS (
@@ -183,10 +200,17 @@ stateless AS (
 )"""
 
 
-AMOUNT_BUCKET_SQL = """CASE WHEN amount > 5000 THEN 'very_high' WHEN amount > 1000 THEN 'high'
-    WHEN amount > 100 THEN 'medium' WHEN amount > 10 THEN 'low' ELSE 'micro' END"""
-RISK_LEVEL_SQL = """CASE WHEN fraud_score >= 0.9 THEN 'critical' WHEN fraud_score >= 0.7 THEN 'high'
-    WHEN fraud_score >= 0.4 THEN 'medium' ELSE 'low' END"""
+def case_sql(col: str, op: str, steps, default: str) -> str:
+    arms = " ".join(f"WHEN {col} {op} {b} THEN {s(label)}" for b, label in steps)
+    return f"CASE {arms} ELSE {s(default)} END"
+
+
+AMOUNT_BUCKET_SQL = case_sql("amount", ">", AMOUNT_BUCKETS, AMOUNT_BUCKET_ELSE)
+RISK_LEVEL_SQL = case_sql("fraud_score", ">=", RISK_LEVELS, RISK_LEVEL_ELSE)
+SEVERITY_SQL = case_sql("fraud_rate_pct", ">=", SEVERITY_STEPS, SEVERITY_ELSE)
+RISK_STATUS_SQL = "CASE " + " ".join(
+    f"WHEN fraud_count >= {n} OR {m}_fraud_score >= {v} THEN {s(st)}"
+    for st, n, m, v in RISK_STATUS_STEPS) + f" ELSE {s(RISK_STATUS_ELSE)} END"
 
 STG = f"""wh AS (
   SELECT transaction_id, customer_id, CAST(amount AS DECIMAL(12,2)) AS amount, currency, merchant,
@@ -233,10 +257,7 @@ CATEGORY_SELECT = f"""SELECT category,
 
 CUSTOMERS_SELECT = f"""SELECT *,
     {pct("fraud_count", "total_transactions", 2)} AS fraud_rate_pct,
-    CASE WHEN fraud_count >= 5 OR max_fraud_score >= 0.95 THEN 'blocked'
-         WHEN fraud_count >= 3 OR avg_fraud_score >= 0.6 THEN 'high_risk'
-         WHEN fraud_count >= 1 OR avg_fraud_score >= 0.3 THEN 'watch'
-         ELSE 'clean' END AS risk_status
+    {RISK_STATUS_SQL} AS risk_status
   FROM (
     SELECT customer_id,
       count(*) AS total_transactions,
@@ -485,7 +506,7 @@ def _sql() -> dict[str, str]:
                              "OR fraud_rate_pct > 100) THEN 1 ELSE 0 END) FROM daily")
     q["dq_accepted"] = mp + chk("dim_fraud_customers", "accepted_values", "risk_status",
                                 "SELECT sum(CASE WHEN risk_status IS NOT NULL AND risk_status NOT IN "
-                                "('blocked', 'high_risk', 'watch', 'clean') THEN 1 ELSE 0 END) FROM customers")
+                                f"({', '.join(s(x) for x in RISK_STATUS_VALUES)}) THEN 1 ELSE 0 END) FROM customers")
     as_of_ts = f"TIMESTAMP '{MART.as_of_date} 23:59:59'"
     age = f"(CAST(epoch_us({as_of_ts}) - epoch_us(newest) AS DOUBLE) / 60000000.0)"
     q["dq_freshness"] = st + f"""SELECT 'scored_transactions' AS table_name,
@@ -500,11 +521,9 @@ def _sql() -> dict[str, str]:
     q["dash_amount"] = mp + f"SELECT sum(fraud_amount) AS value FROM daily WHERE txn_date = DATE {as_of}"
     q["dash_category"] = mp + "SELECT category, fraud_rate_pct, fraud_count FROM category_m ORDER BY fraud_rate_pct DESC, category"
     q["dash_high_risk"] = mp + f"""SELECT customer_id, risk_status, fraud_count, fraud_amount,
-        avg_fraud_score FROM customers WHERE risk_status IN ('blocked', 'high_risk')
+        avg_fraud_score FROM customers WHERE risk_status IN ({", ".join(s(x) for x in HIGH_RISK_STATUSES)})
         ORDER BY fraud_count DESC, customer_id LIMIT {MART.top_customers}"""
-    q["dash_severity"] = mp + """SELECT txn_date, fraud_rate_pct,
-        CASE WHEN fraud_rate_pct >= 5 THEN 'red' WHEN fraud_rate_pct >= 3 THEN 'yellow'
-             ELSE 'green' END AS severity FROM daily"""
+    q["dash_severity"] = mp + f"SELECT txn_date, fraud_rate_pct, {SEVERITY_SQL} AS severity FROM daily"
     return q
 
 
