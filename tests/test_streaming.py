@@ -30,7 +30,7 @@ def day_files(spark, scratch, sf="/root/testdata/sf0.001", days=None):
 
 
 def run(spark, scored, root, name, outputs):
-    fo = job.FanOut(os.path.join(root, "out"), outputs=outputs)
+    fo = job.FanOut(os.path.join(root, "out"), outputs=outputs, mart_every=1)
     q = job.start(scored, fo, name, available_now=True,
                   checkpoint=os.path.join(root, "ckpt", name))
     q.awaitTermination(300)
