@@ -138,6 +138,9 @@ class FanOut:
     # 5-second triggers), not on every batch. Days pending at a driver restart are picked up by
     # the next batch run of the incremental model (plans/sinks.py write_incremental_daily).
     mart_every: int = 12
+    # Skip keys already stored for the touched days (reads their key column each batch). Turn
+    # off when the source never repeats a transaction id: each batch then costs O(batch).
+    warehouse_dedup: bool = True
     _pending_days: set = field(default_factory=set)
 
     def _emit(self, df: DataFrame, name: str, batch_id: int) -> None:
@@ -177,7 +180,8 @@ class FanOut:
                     os.path.join(self.root, "metrics", f"batch={batch_id}"))
             if "warehouse" in self.outputs:
                 wh_path = os.path.join(self.root, "scored_transactions")
-                append_warehouse(to_warehouse(good), wh_path, load_id=batch_id)
+                append_warehouse(to_warehouse(good), wh_path, load_id=batch_id,
+                                 dedup=self.warehouse_dedup)
                 if "daily_mart" in self.outputs:
                     # count(distinct) cannot run as a streaming aggregate; refresh the touched
                     # days from the stored rows instead (exact, idempotent)
