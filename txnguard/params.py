@@ -123,7 +123,7 @@ class RuleParams:
     # operators/history.py). At most `hot_customer_max` such customers are chosen (largest
     # first), which bounds the broadcast set; the rest keep the default width and the result is
     # the same either way. None disables the split.
-    hot_customer_rows: int | None = 2_000_000
+    hot_customer_rows: int | None = 20_000_000
     hot_customer_max: int = 100_000
     hot_segment_minutes: int = 15
 
