@@ -89,3 +89,18 @@ def test_table_and_view_models(spark, scratch):
     sinks.register_view(stg, "stg_scored_transactions")
     n = spark.sql("select count(*) from stg_scored_transactions where risk_level = 'low'").first()[0]
     assert n == stg.filter("risk_level = 'low'").count()
+
+
+def test_read_latest_with_partition_filter(spark, scratch):
+    path = os.path.join(scratch, "alerts")
+    schema = "alert_date date, scored_at timestamp, transaction_id string, fraud_score double"
+    d1, d2 = datetime(2024, 1, 1), datetime(2024, 1, 2)
+    rows = [(d1.date(), d1, "t1", 0.5), (d2.date(), d2, "t2", 0.6)]
+    sinks.append_version(spark.createDataFrame(rows, schema), path, "alert_date", 1)
+    sinks.append_version(spark.createDataFrame([(d2.date(), d2, "t2", 0.9)], schema), path,
+                         "alert_date", 2)
+    key = ("alert_date", "scored_at", "transaction_id")
+    day2 = sinks.read_latest(spark, path, key, where=F.col("alert_date") == F.lit(d2.date()))
+    assert [(r.transaction_id, r.fraud_score) for r in day2.collect()] == [("t2", 0.9)]
+    plan = day2._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(alert_date" in plan
