@@ -251,3 +251,24 @@ def test_late_and_tied_rows_within_lateness_match_batch(spark, scratch):
             (e.recent_count, e.small_count, e.prior_count, e.has_history, e.is_new_country), k
         assert abs(g.avg_amount - e.avg_amount) < 1e-12, k
     assert got["late"].is_late is False
+
+
+def test_stateless_pipeline_all_outputs(spark, scratch):
+    src = day_files(spark, scratch)
+    raw = job.read_text_stream(spark, os.path.join(src, "*.json"), max_files=10)
+    out = os.path.join(scratch, "out")
+    qs = job.start_pipeline(raw, out, rules=None,
+                            sp=StreamParams(stateless_threshold=0.3), available_now=True,
+                            outputs=("scored", "alerts", "warehouse", "lookup", "alert_table",
+                                     "daily_mart", "metrics"),
+                            checkpoint_base=os.path.join(scratch, "ck"))
+    for q in qs:
+        assert q.awaitTermination(300)
+        assert q.exception() is None
+    wh = spark.read.parquet(os.path.join(out, "scored_transactions"))
+    assert wh.count() == 799
+    assert wh.filter("rules_fired <> 0").count() == 0          # the stateless scorer has none
+    assert spark.read.parquet(os.path.join(out, "dlq")).count() == 201
+    assert spark.read.parquet(os.path.join(out, "metrics")).agg(F.sum("scored")).first()[0] == 799
+    assert spark.read.parquet(os.path.join(out, "fraud_alerts")).count() == \
+        wh.filter("is_fraud").count()
