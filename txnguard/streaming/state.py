@@ -2,7 +2,8 @@
 
 `transformWithStateInPandas` keyed by customer keeps, per customer:
 
-* `recent`:   (us, small) of the events inside the longest rule window, evicted by event time;
+* `recent`:   (us, small, cents) of the events inside the longest rule window and the lateness
+  margin; new events are appended and the list is compacted when half of it has expired;
 * `totals`:   running count and amount in cents (exact), for the mean of earlier amounts;
 * `countries`: first-seen time per country.
 
@@ -102,6 +103,9 @@ class CustomerHistoryProcessor(StatefulProcessor):
         r_us = np.fromiter((r[0] for r in rec), dtype=np.int64, count=len(rec))
         r_small = np.fromiter((r[1] for r in rec), dtype=np.int64, count=len(rec))
         r_cents = np.fromiter((r[2] for r in rec), dtype=np.int64, count=len(rec))
+        # the list is appended to between compactions, so it may be out of order
+        r_order = np.argsort(r_us, kind="mergesort")
+        r_us, r_small, r_cents = r_us[r_order], r_small[r_order], r_cents[r_order]
         if self.totals.exists():
             n0, cents0, max0 = self.totals.get()
         else:
@@ -161,9 +165,16 @@ class CustomerHistoryProcessor(StatefulProcessor):
 
         # -- write state back ------------------------------------------------------------------
         max_us = int(b_us.max()) if max0 is None else max(int(max0), int(b_us.max()))
-        keep = s_us >= max_us - self.w_max - self.lateness
-        self.recent.put(list(zip(s_us[keep].tolist(), s_small[keep].tolist(),
-                                 s_cents[keep].tolist())))
+        # Append this batch's events (O(batch)); rewrite the list only when more than half of it
+        # has left the window and lateness margin. Stale events never fall inside a window.
+        bound = max_us - self.w_max - self.lateness
+        keep = s_us >= bound
+        if len(s_us) - int(keep.sum()) > len(s_us) // 2:
+            self.recent.put(list(zip(s_us[keep].tolist(), s_small[keep].tolist(),
+                                     s_cents[keep].tolist())))
+        else:
+            self.recent.appendList(list(zip(b_us.tolist(), b_small.tolist(),
+                                            np.rint(amt * 100).astype(np.int64).tolist())))
         self.totals.update((int(n0 + len(pdf)), int(cents0 + cents.sum()), max_us))
         for c, f in merged.items():
             if first.get(c) != f:
