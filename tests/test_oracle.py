@@ -29,3 +29,12 @@ def test_entry_smoke(spark):
     df = entry(spark)
     assert df.count() == 1000
     assert "fraud_score" in df.columns
+
+
+@pytest.mark.parametrize("key", KEYS)
+def test_plan_has_no_cross_join_or_row_udf(spark, key):
+    df = queries()[key](spark, SF_SMALL)
+    df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for bad in ("NestedLoopJoin", "CartesianProduct", "BatchEvalPython"):
+        assert bad not in plan, (key, bad)
