@@ -10,7 +10,8 @@ Fitting uses a bounded sample: the `max_train` labelled rows with the smallest h
 in `epochs` passes of one stream through one task (memory: two arrays of 2**bits doubles). Scoring
 runs over every whole text with the broadcast weights, of which there are at most 2**bits.
 
-A null or empty text has no features and gets the score of the bias. Rows without id or label are
+A null or empty text has no features and gets the score of the bias; where nothing can be learned
+every score is `prior`. Rows without id or label are
 scored but never learned from. Several labels of one id count as toxic if any of them is;
 several texts of one id are learned from once (the smallest text).
 """
@@ -39,6 +40,7 @@ class ToxicityParams:
     l1: float = 4.0
     l2: float = 0.0
     stem: int = 4
+    prior: float = 0.1            # chance of label 1 before anything is learned
     threshold: float = 0.5
 
 
@@ -70,9 +72,14 @@ def _chance(x: float) -> float:
     return 1.0 / (1.0 + np.exp(-max(-35.0, min(35.0, x))))
 
 
+def _log_odds(p: ToxicityParams) -> float:
+    return float(np.log(p.prior / (1 - p.prior)))
+
+
 class Ftrl:
     def __init__(self, p: ToxicityParams):
         self.p, self.z, self.n = p, np.zeros(1 << p.bits), np.zeros(1 << p.bits)
+        self.start = _log_odds(p)
 
     def weights(self, i=slice(None)) -> np.ndarray:
         p, z = self.p, self.z[i]
@@ -81,7 +88,7 @@ class Ftrl:
 
     def learn(self, i: np.ndarray, y: int) -> None:
         w = self.weights(i)
-        g = _chance(w.sum()) - y
+        g = _chance(self.start + w.sum()) - y
         step = (np.sqrt(self.n[i] + g * g) - np.sqrt(self.n[i])) / self.p.alpha
         self.z[i] += g - step * w
         self.n[i] += g * g
@@ -131,10 +138,10 @@ def score(docs: DataFrame, model, p: ToxicityParams = ToxicityParams(),
     kept = [c for c in docs.columns if c not in ("score", "predicted")]
 
     def run(batches):
-        w, features = np.zeros(1 << p.bits), Features(p)
+        w, features, start = np.zeros(1 << p.bits), Features(p), _log_odds(p)
         w[shared.value[0]] = shared.value[1]
         for b in batches:
-            s = [_chance(w[features(t)].sum()) for t in b["__llm_text"].to_pylist()]
+            s = [_chance(start + w[features(t)].sum()) for t in b["__llm_text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([b[c] for c in kept] + [pa.array(s, pa.float64())],
                                              names=[*kept, "score"])
 
