@@ -27,6 +27,7 @@ one document as far as "smaller" goes, so they do not remove each other's words.
 from __future__ import annotations
 
 import hashlib
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -44,30 +45,66 @@ _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 DEPTHS = (1, 2, 4, 8)                             # prefix lengths that give 8 bits each
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _M2
-    return x ^ (x >> np.uint64(29))
+CHUNK = 100_000                                   # words whose paths are computed at once
 
 
-def suffix_paths(words: list[bytes], memo: Memo, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """(prefix codes, path hashes) of the suffixes that have at least `window` words."""
-    n = len(words) - window + 1
-    if n <= 0:
-        return np.empty(0, np.uint64), np.empty(0, np.uint64)
-    h = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
+def suffix_paths(h: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """(prefix codes, path hashes) of the runs of `window` words in a sequence of word hashes."""
+    n = max(0, len(h) - window + 1)
     path, code, bits = np.zeros(n, np.uint64), np.zeros(n, np.uint64), 64
+    if n == 0:
+        return code, path
     for depth in range(1, window + 1):
-        path = _mixed(path * _M1 + h[depth - 1:depth - 1 + n])
+        path *= _M1
+        path += h[depth - 1:depth - 1 + n]
+        path ^= path >> np.uint64(30)
+        path *= _M2
+        path ^= path >> np.uint64(29)
         if depth in DEPTHS:
             bits -= 8
             code |= (path >> np.uint64(56)) << np.uint64(bits)
-    return code | (path >> np.uint64(64 - bits)), path
+    code |= path >> np.uint64(64 - bits)
+    return code, path
+
+
+def text_paths(texts: list, window: int):
+    """(sizes, prefix codes, path hashes) of texts, one after the other: sizes are the numbers of
+    suffixes with at least `window` words. Short texts are computed together."""
+    sizes, codes, paths = [], [], []
+    held, lengths = [], []
+
+    def flush():
+        h = np.fromiter(map(WORD_HASHES.__getitem__, chain.from_iterable(held)), np.uint64, sum(lengths))
+        code, path = suffix_paths(h, window)
+        # runs that would reach into the next text don't count
+        left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(h))
+        whole = left[:len(path)] >= window
+        codes.append(code[whole])
+        paths.append(path[whole])
+        held.clear()
+        lengths.clear()
+
+    for t in texts:
+        words = _words(t)
+        sizes.append(max(0, len(words) - window + 1))
+        if sizes[-1]:
+            held.append(words)
+            lengths.append(len(words))
+            if sum(lengths) >= CHUNK:
+                flush()
+    if held:
+        flush()
+    none = [np.empty(0, np.uint64)]
+    return np.array(sizes, np.int64), np.concatenate(codes or none), np.concatenate(paths or none)
 
 
 def _word_hash(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word)
 
 
+WORD_HASHES = Memo(_word_hash)                    # a Python worker keeps them between tasks
+
+
 def _words(text) -> list[bytes]:
     return text.split() if text else []
 
@@ -97,12 +134,12 @@ class Groups:
 
 def _prefix_counts(texts: DataFrame, window: int) -> tuple[np.ndarray, int]:
     def run(batches):
-        memo, counts, size = Memo(_word_hash), np.zeros(BINS, np.int64), 0
+        counts, size = np.zeros(BINS, np.int64), 0
         for b in batches:
-            for t in b["_t"].to_pylist():
-                size += len(t or b"")
-                code, _ = suffix_paths(_words(t), memo, window)
-                counts += np.bincount((code >> np.uint64(48)).astype(np.int64), minlength=BINS)
+            texts = b["_t"].to_pylist()
+            size += sum(len(t) for t in texts if t)
+            _, code, _ = text_paths(texts, window)
+            counts += np.bincount((code >> np.uint64(48)).astype(np.int64), minlength=BINS)
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)),
                                           pa.array(np.append(counts[at], size))],
@@ -123,19 +160,11 @@ class Block:
     """The suffixes of one block of documents, in order of (id, text)."""
 
     def __init__(self, docs: pd.DataFrame, window: int, groups: Groups):
-        memo = Memo(_word_hash)
         rank = docs["_k"].to_numpy(np.int64)
         texts = [t if isinstance(t, bytes) else None for t in docs["_t"]]
         order = sorted(range(len(texts)), key=lambda i: (rank[i], texts[i] or b""))
         self.order, self.rank, self.texts = order, rank[order], [texts[i] for i in order]
-        codes, paths = [], []
-        for t in self.texts:
-            code, path = suffix_paths(_words(t), memo, window)
-            codes.append(code)
-            paths.append(path)
-        self.sizes = np.array([len(p) for p in paths], np.int64)
-        code = np.concatenate([*codes, np.empty(0, np.uint64)])
-        path = np.concatenate([*paths, np.empty(0, np.uint64)])
+        self.sizes, code, path = text_paths(self.texts, window)
         _, first, inverse = np.unique(path, return_index=True, return_inverse=True)
         # a stable order: by group, then by first place in the block
         group = groups.of(code[first])
