@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pandas as pd
 import pytest
 
-from txnguard.operators.history import segment_micros, with_history
+from txnguard.operators.history import history_tables, segment_micros, with_history
 from txnguard.params import RuleParams
 
 SCHEMA = "transaction_id string, customer_id string, amount double, country string, event_time timestamp"
@@ -25,7 +25,8 @@ def brute(rows, p):
             int(((same.us >= r.us - wv)).sum()),
             int(((same.us >= r.us - wc) & (same.amount < p.card_test_amount_threshold)).sum()),
             len(same),
-            round(sum(round(a * 100) for a in same.amount) / 100.0 / len(same), 9) if len(same) else 0.0,
+            round(sum(round(a * 10_000) for a in same.amount) / 10_000 / len(same), 9)
+            if len(same) else 0.0,
             len(same) > 0,
             cty not in known,
         )
@@ -54,7 +55,7 @@ def make_rows(n, customers, span_minutes, seed, tie_rate=0.1):
         else:
             ts = t0 + timedelta(microseconds=rnd.randrange(span_minutes * 60_000_000))
         last[c] = ts
-        amt = rnd.choice([1.5, 2.99, 4.99, 5.0, 12.3, 99.99, 400.0, 6000.0])
+        amt = rnd.choice([1.5, 2.995, 4.99, 5.0, 12.3456, 99.99, 400.0, 6000.0])
         cty = rnd.choice(["US", "US", "US", "CA", "NG", None])
         rows.append((f"t{i:05d}", c, amt, cty, ts))
     return rows
@@ -91,50 +92,80 @@ def test_window_edges_are_half_open(spark):
     assert got["d"].prior_count == 2
 
 
-def test_plan_has_one_exchange_for_rows(spark):
+def test_plan_has_no_moving_frame_and_splits_customers(spark):
     import re
-    p = RuleParams()
-    rows = make_rows(50, ["a", "b"], 60, seed=1)
-    plan = with_history(spark.createDataFrame(rows, SCHEMA), p)._jdf.queryExecution() \
-        .executedPlan().toString()
-    # rows are shuffled once, by (customer, segment); nothing shuffles by customer alone except
-    # the per-segment and per-country tables, which carry one row per segment or country
-    assert re.search(r"hashpartitioning\(customer_id#\d+L?, _seg#\d+L?", plan)
-    window_keys = re.findall(r"Window \[.*?\], \[(.*?)\]", plan)
-    assert any("_seg" in k for k in window_keys)
-
-
-def test_hot_customers_get_fine_segments(spark):
-    # 'hot' exceeds the threshold and is split into 20-minute segments; others keep 1-day ones
-    p = RuleParams(velocity_window_minutes=10, card_test_window_minutes=5,
-                   hot_customer_rows=100, hot_customer_max=1)
-    rows = make_rows(700, ["hot"] * 12 + ["x", "y", "z"], span_minutes=3 * 24 * 60, seed=11)
-    check(spark, rows, p)
-    from txnguard.operators.history import hot_customers
-    hot = hot_customers(spark.createDataFrame(rows, SCHEMA), p, "customer_id").collect()
-    assert [r.customer_id for r in hot] == ["hot"]
-
-
-def test_hot_customer_cap_keeps_results_exact(spark):
-    # more customers above the threshold than the cap: the rest keep coarse segments
-    p = RuleParams(velocity_window_minutes=10, card_test_window_minutes=10,
-                   hot_customer_rows=10, hot_customer_max=1)
-    rows = make_rows(500, ["a", "b", "c", "d"], span_minutes=2 * 24 * 60, seed=5)
-    check(spark, rows, p)
+    plan = with_history(spark.createDataFrame(make_rows(50, ["a", "b"], 60, seed=1), SCHEMA),
+                        RuleParams())._jdf.queryExecution().executedPlan().toString()
+    frames = re.findall(r"specifiedwindowframe\(\w+, ([^,]+),", plan)
+    assert frames and all("unboundedpreceding" in f for f in frames)
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    # windows over rows are split by segment; by customer alone only over segment totals
+    assert re.search(r"hashpartitioning\(who#\d+L?, seg#\d+L?", plan)
+
+
+def test_building_the_plan_runs_no_job(spark):
+    df = spark.createDataFrame(make_rows(20, ["a"], 60, seed=2), SCHEMA)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "building")
+    with_history(df, RuleParams())
+    assert list(tracker.getJobIdsForGroup("building")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_burst_costs_no_more_per_row_than_an_even_spread(spark):
+    """200,000 rows of one customer inside one rule window."""
+    import time
+    n = 200_000
+
+    def seconds(span_us):
+        df = spark.range(n, numPartitions=8).selectExpr(
+            "concat('t', id) as transaction_id", "'c' as customer_id", "1.25D as amount",
+            "'US' as country",
+            f"timestamp_micros(1704067200000000 + id * {span_us // n}) as event_time")
+        t = time.perf_counter()
+        with_history(df, RuleParams()).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - t
+
+    even, burst = 30 * 24 * 3600 * 10**6, 9 * 60 * 10**6
+    seconds(even)
+    assert min(seconds(burst), seconds(burst)) < 2 * max(seconds(even), seconds(even)) + 0.5
+
+
+@pytest.mark.parametrize("widths", [(10, 5, 7), (1440, 360, 37), (60, 60, 600)])
+def test_loads_add_up(spark, widths):
+    """Three loads, with rows that are late for earlier segments, equal one pass over what each
+    load can see."""
+    p = RuleParams(velocity_window_minutes=widths[0], card_test_window_minutes=widths[1],
+                   history_segment_minutes=widths[2])
+    rows = sorted(make_rows(300, ["a", "b", "c"], 3 * 24 * 60, seed=widths[2]), key=lambda r: r[4])
+    parts = [rows[:120], rows[120:200], rows[200:]]
+    past, got = None, []
+    for part in parts:
+        df = spark.createDataFrame(part, SCHEMA)
+        got += with_history(df, p, past=past).collect()
+        left = history_tables(df, p)
+        if past is None:
+            past = left
+        else:
+            past = type(past)(*[getattr(past, k).unionByName(getattr(left, k))
+                                for k in ("totals", "changes", "firsts")])
+    exp = brute(rows, p)
+    for g in got:
+        e = exp[g.transaction_id]
+        assert (g.recent_count, g.small_count, g.prior_count, round(g.avg_amount, 9),
+                g.has_history, g.is_new_country) == e, g.transaction_id
 
 
-@pytest.mark.parametrize("hot_minutes", [5, 37, 600])
-def test_hot_customers_with_long_windows(spark, hot_minutes):
-    # windows of a day, hot segments much narrower than the window: expiry-event path
-    p = RuleParams(velocity_window_minutes=1440, card_test_window_minutes=360,
-                   hot_customer_rows=100, hot_customer_max=2, hot_segment_minutes=hot_minutes)
-    rows = make_rows(800, ["hot"] * 10 + ["warm"] * 4 + ["x", "y"], span_minutes=4 * 24 * 60,
-                     seed=hot_minutes)
-    check(spark, rows, p)
+def test_missing_customer_and_three_decimals(spark):
+    t = datetime(2024, 1, 1)
+    rows = [(f"t{i}", None, 1.005, "US", t + timedelta(hours=i)) for i in range(5)]
+    got = with_history(spark.createDataFrame(rows, SCHEMA), RuleParams()).collect()
+    assert sorted((r.prior_count, round(r.avg_amount, 6)) for r in got) == [
+        (0, 0.0), (1, 1.005), (2, 1.005), (3, 1.005), (4, 1.005)]
 
 
 def test_rows_without_time_get_empty_history(spark):
-    p = RuleParams(hot_customer_rows=1, hot_customer_max=5)
+    p = RuleParams()
     t = datetime(2024, 1, 1, 12)
     rows = [("a", "c", 1.0, "US", t), ("b", "c", 1.0, "US", None),
             ("d", "c", 1.0, "US", t + timedelta(minutes=1))]
@@ -155,10 +186,10 @@ ROWS = st.lists(
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=ROWS, windows=st.sampled_from([(10, 5), (60, 60), (1440, 30)]),
-       hot_rows=st.sampled_from([None, 5]))
-def test_history_property(spark, rows, windows, hot_rows):
+       segment=st.sampled_from([7, 60, 1440]))
+def test_history_property(spark, rows, windows, segment):
     p = RuleParams(velocity_window_minutes=windows[0], card_test_window_minutes=windows[1],
-                   hot_customer_rows=hot_rows, hot_segment_minutes=7)
+                   history_segment_minutes=segment)
     t0 = datetime(2024, 1, 1)
     data = [(f"t{i:04d}", c, amt, cty, t0 + timedelta(minutes=m))
             for i, (c, m, amt, cty) in enumerate(rows)]

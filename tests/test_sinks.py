@@ -104,3 +104,43 @@ def test_read_latest_with_partition_filter(spark, scratch):
     assert [(r.transaction_id, r.fraud_score) for r in day2.collect()] == [("t2", 0.9)]
     plan = day2._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(alert_date" in plan
+
+
+def test_lookup_expiry(spark, scratch):
+    path = os.path.join(scratch, "transactions")
+    schema = "customer_id string, event_time timestamp, transaction_id string, fraud_score double"
+    key = ("customer_id", "event_time", "transaction_id")
+    rows = [("c1", datetime(2024, 1, d, 10), f"t{d}", 0.1) for d in (1, 2, 20)]
+    v = spark.createDataFrame(rows, schema).withColumn("event_date", F.to_date("event_time"))
+    sinks.append_version(v, path, "event_date", 1)
+    sinks.append_version(v.filter("transaction_id = 't20'").withColumn("fraud_score", F.lit(0.9)),
+                         path, "event_date", 2)
+    as_of = "2024-02-01 12:00:00"                      # 30 days before: 2024-01-02 12:00
+    got = {r.transaction_id: r.fraud_score
+           for r in sinks.read_latest(spark, path, key, as_of=as_of).collect()}
+    assert got == {"t20": 0.9}
+    assert {r.transaction_id for r in sinks.read_latest(
+        spark, path, key, as_of="2024-02-01 09:00:00").collect()} == {"t2", "t20"}
+    sinks.compact(spark, path, key, "event_date", ["2024-01-01", "2024-01-20"], as_of=as_of)
+    left = spark.read.parquet(path)
+    assert {r.transaction_id for r in left.collect()} == {"t2", "t20"} and left.count() == 2
+
+
+def test_rows_the_table_cannot_hold_are_told_apart(spark):
+    from txnguard.operators.staging import split_unfit
+    scored = spark.createDataFrame(
+        [("a", "c", 1.0, "US"), ("b", "c", 1e10, "US"), ("c", "c", 1.0, "TOOLONG")],
+        "transaction_id string, customer_id string, amount double, country string").withColumns(
+        {"event_time": F.current_timestamp(), "fraud_score": F.lit(0.5), "is_fraud": F.lit(False)})
+    fit, unfit = split_unfit(scored)
+    assert [r.transaction_id for r in to_warehouse(fit).collect()] == ["a"]
+    assert {r.transaction_id: r.unfit_reason for r in unfit.collect()} == {
+        "b": "amount_out_of_range", "c": "country_too_long"}
+
+
+def test_the_earliest_of_repeated_keys_stays(spark, scratch):
+    path = os.path.join(scratch, "scored_transactions")
+    b = wh_batch(spark).filter("transaction_id = 'txn-00000007'")
+    later = b.withColumn("event_time", F.col("event_time") + F.expr("INTERVAL 1 SECOND"))
+    sinks.append_warehouse(later.unionByName(b).repartition(2), path, load_id=1)
+    assert spark.read.parquet(path).select("event_time").collect() == b.select("event_time").collect()

@@ -272,3 +272,145 @@ def test_stateless_pipeline_all_outputs(spark, scratch):
     assert spark.read.parquet(os.path.join(out, "metrics")).agg(F.sum("scored")).first()[0] == 799
     assert spark.read.parquet(os.path.join(out, "fraud_alerts")).count() == \
         wh.filter("is_fraud").count()
+
+
+def _message(i, ts, amount=1.0, country="US", customer="c"):
+    return (f'{{"transaction_id":"{i}","customer_id":"{customer}","amount":{amount},'
+            f'"timestamp":"{ts.isoformat()}+00:00","country":"{country}"}}\n')
+
+
+def _write(src, name, *messages):
+    os.makedirs(src, exist_ok=True)
+    with open(os.path.join(src, name), "w") as f:
+        f.writelines(messages)
+
+
+def _history_of(spark, src, scratch, sp, pause=0.0):
+    """Rows of the rule stream over the files of `src`, one file per batch, `pause` s apart."""
+    import time
+    got = []
+
+    def keep(batch, _):
+        got.extend(batch.collect())
+        time.sleep(pause)
+    stream = job.read_text_stream(spark, os.path.join(src, "*.json"), max_files=1)
+    key = "spark.sql.streaming.noDataMicroBatches.enabled"
+    spark.conf.set(key, "false")
+    try:
+        q = (job.rule_stream(stream, FIXTURE_PARAMS, sp).writeStream.foreachBatch(keep)
+             .option("checkpointLocation", os.path.join(scratch, "ck"))
+             .trigger(availableNow=True).start())
+    finally:
+        spark.conf.set(key, "true")
+    q.awaitTermination(300)
+    return {r.transaction_id: r for r in got}
+
+
+def test_active_customer_never_expires_and_idle_one_does_as_a_whole(spark, scratch):
+    src = os.path.join(scratch, "ttl")
+    t = datetime(2024, 1, 1, 12)
+    # `c` is active in every batch; `idle` only in the first and the last
+    for i in range(5):
+        rows = [_message(f"c{i}", t + timedelta(minutes=i))]
+        if i in (0, 4):
+            rows.append(_message(f"i{i}", t + timedelta(minutes=i), customer="idle"))
+        _write(src, f"{i}.json", *rows)
+        os.utime(os.path.join(src, f"{i}.json"), (1_700_000_000 + i, 1_700_000_000 + i))
+    ttl = 9.0 / (24 * 3600)
+    rows = _history_of(spark, src, scratch, StreamParams(state_ttl_days=ttl), pause=4.0)
+    for i in range(1, 5):
+        r = rows[f"c{i}"]
+        assert (r.prior_count, r.recent_count, r.is_new_country) == (i, i, False)
+    assert rows["i4"].prior_count == 0 and rows["i4"].is_new_country is True
+
+
+def test_replays_change_nobodys_history(spark, scratch):
+    src = os.path.join(scratch, "replay")
+    t = datetime(2024, 1, 1, 12)
+    first = [_message(f"t{i}", t + timedelta(minutes=i)) for i in range(3)]
+    _write(src, "0.json", *first, first[1])
+    _write(src, "1.json", *first, _message("t3", t + timedelta(minutes=3)))
+    for i in range(2):
+        os.utime(os.path.join(src, f"{i}.json"), (1_700_000_000 + i, 1_700_000_000 + i))
+    rows = _history_of(spark, src, scratch, StreamParams())
+    assert len(rows) == 4
+    assert (rows["t3"].prior_count, rows["t3"].recent_count) == (3, 3)
+
+
+def test_stream_means_equal_batch_for_odd_amounts(spark, scratch):
+    src = os.path.join(scratch, "odd")
+    t = datetime(2024, 1, 1, 12)
+    amounts = [1.005, 2.675, 0.0001, 12345678.9015, 1.00005, 3.3333]
+    _write(src, "0.json", *[_message(f"t{i}", t + timedelta(minutes=i), a)
+                            for i, a in enumerate(amounts)])
+    rows = _history_of(spark, src, scratch, StreamParams())
+    tx = spark.createDataFrame(
+        [(f"t{i}", "c", a, "US", t + timedelta(minutes=i), "x") for i, a in enumerate(amounts)],
+        "transaction_id string, customer_id string, amount double, country string, "
+        "event_time timestamp, timestamp string")
+    for r in rule_score(tx, FIXTURE_PARAMS).collect():
+        assert rows[r.transaction_id].avg_amount == r.avg_amount
+
+
+def _days(spark, scratch, name="fct_fraud_daily"):
+    return spark.read.parquet(os.path.join(scratch, "out", name)).agg(
+        F.count(F.lit(1)), F.sum("total_transactions")).first()
+
+
+def test_daily_mart_is_complete_with_default_settings(spark, scratch):
+    src = day_files(spark, scratch)
+    stream = job.read_text_stream(spark, os.path.join(src, "*.json"), max_files=4)
+    for q in job.start_pipeline(stream, os.path.join(scratch, "out"), None, available_now=True,
+                                checkpoint_base=os.path.join(scratch, "ck")):
+        q.awaitTermination(300)
+    assert tuple(_days(spark, scratch)) == (30, 799)
+
+
+def test_daily_mart_catches_up_after_a_restart(spark, scratch):
+    tx = job.stateless_score(load_transactions(spark, "/root/testdata/sf0.001"))
+    day = F.to_date("event_time")
+    root = os.path.join(scratch, "out")
+    outputs = ("warehouse", "daily_mart")
+    before = job.FanOut(root, outputs=outputs)
+    for i, d in enumerate(["2024-01-01", "2024-01-02", "2024-01-03"]):
+        before(tx.filter(day == d), 25 + i)            # none of these is a refresh but the first
+    assert _days(spark, scratch)[0] == 1
+    after = job.FanOut(root, outputs=outputs)          # the driver came back
+    after(tx.limit(0), 28)                             # an empty batch is enough
+    assert tuple(_days(spark, scratch)) == (3, tx.filter(day <= "2024-01-03").count())
+
+
+def test_topic_frames(spark):
+    tx = job.stateless_score(load_transactions(spark, "/root/testdata/sf0.001"), 0.1).limit(20)
+    for rows in (job.scored_messages(tx), job.alert_messages(tx)):
+        frame = job.topic_frame(rows)
+        assert frame.columns == ["key", "value"] and frame.schema["key"].dataType.typeName() == "string"
+        assert frame.filter("key is null or value is null").count() == 0
+    dead = job.topic_frame(job.dead_letters(spark.createDataFrame(
+        [("x", "malformed_json"), ("y", None)], "value string, dlq_reason string")))
+    assert dead.columns == ["key", "value", "headers"]
+    row, = dead.collect()
+    assert row.key is None and row.value == "x"
+    assert [(h.key, bytes(h.value)) for h in row.headers][0] == ("reason", b"malformed_json")
+    assert row.headers[1].key == "ingested_at"
+
+
+def test_pipeline_hands_topic_options_to_every_output(spark, scratch, monkeypatch):
+    sent = []
+    monkeypatch.setattr(job.FanOut, "_emit", lambda self, df, name, batch_id: sent.append(
+        (name, self.kafka, self.topics[name], df.count())))
+    src = day_files(spark, scratch)
+    options = {"kafka.bootstrap.servers": "broker:9092"}
+    for rules in (None, FIXTURE_PARAMS):
+        sent.clear()
+        stream = job.read_text_stream(spark, os.path.join(src, "*.json"))
+        for q in job.start_pipeline(stream, os.path.join(scratch, f"out{rules is None}"), rules,
+                                    available_now=True, outputs=("scored", "alerts"),
+                                    checkpoint_base=os.path.join(scratch, f"ck{rules is None}"),
+                                    kafka=options, topics={"dlq": "bad"}):
+            q.awaitTermination(300)
+        by_name = {n: (k, t) for n, k, t, _ in sent}
+        assert by_name == {"scored": (options, "txn.scored"),
+                           "alerts": (options, "txn.fraud_alerts"), "dlq": (options, "bad")}
+        assert sum(c for n, _, _, c in sent if n == "dlq") == 201
+        assert sum(c for n, _, _, c in sent if n == "scored") == 799

@@ -1,6 +1,6 @@
 """Randomised check of the history operator against a brute-force scan.
 
-Draws window lengths, segment widths, hot-customer settings, tie rates and row counts, and
+Draws window lengths, segment widths, tie rates and row counts, and
 compares every row's history with tests/test_history.py's brute force.
 Usage: python tools/fuzz_history.py [cases] [seed]
 """
@@ -27,10 +27,7 @@ def main():
     for case in range(cases):
         p = RuleParams(velocity_window_minutes=rnd.choice([1, 5, 10, 60, 360, 1440]),
                        card_test_window_minutes=rnd.choice([1, 5, 30, 1440]),
-                       history_segment_minutes=rnd.choice([1, 30, 1440]),
-                       hot_customer_rows=rnd.choice([None, 3, 30]),
-                       hot_customer_max=rnd.choice([1, 2, 5]),
-                       hot_segment_minutes=rnd.choice([1, 7, 90]))
+                       history_segment_minutes=rnd.choice([1, 7, 30, 90, 1440]))
         customers = ["a", "b", "c", "d"][:rnd.randint(1, 4)]
         rows = th.make_rows(rnd.randint(5, 150), customers,
                             span_minutes=rnd.choice([30, 600, 5000]), seed=case,

@@ -50,11 +50,6 @@ def round4(x: Column) -> Column:
     return F.floor(x * F.lit(1e4) + F.lit(0.5)) / F.lit(1e4)
 
 
-def round_half_up(x: Column, digits: int) -> Column:
-    scale = float(10 ** digits)
-    return F.floor(x * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
-
-
 def country_or_default(c: Column | None = None) -> Column:
     return F.coalesce(c if c is not None else F.col("country"), F.lit(DEFAULT_COUNTRY))
 

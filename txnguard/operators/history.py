@@ -1,4 +1,4 @@
-"""Customer history (H1-H4) as a skew-safe batch operator.
+"""Customer history (H1-H4) as one batch plan for every customer.
 
 Definition: for a row at `us = unix_micros(event_time)`, its history is every row of the same
 customer with a strictly earlier `us` (ties do not see each other, so batch and stream agree).
@@ -10,199 +10,167 @@ customer with a strictly earlier `us` (ties do not see each other, so batch and
     is_new_country    no earlier row has this row's country                   (H4)
     country_first_seen  map country -> first `us`; gives the known set at any time
 
-Plan, chosen so that one hot customer never lands in a single task. Each customer's timeline is
-cut into segments, rows are shuffled once on (customer, segment), and everything a row needs
-from before its segment comes from a small per-segment table (one row per segment, partially
-aggregated before its shuffle) joined back on the same key.
-
-* Ordinary customers: segments of width S >= 2 * longest window (1 day by default). A row's
-  windows reach back at most into the previous segment, so rows in the last W of a segment are
-  also sent to the next one as context ("halo"); window frames over (customer, segment) then
-  count exactly. Extra rows: W / S of the input (0.7% with the default 10-minute window).
-* Hot customers (a bounded top-k over a partial count, found in one small job first and
-  broadcast from that list): segments of any width
-  (`hot_segment_minutes`), independent of the windows. Each row also emits narrow "expiry"
-  events at `us + W` with weight -1, so "rows in [u - W, u - 1]" becomes a running sum of
-  weights strictly before `u` over the customer's whole timeline. That sum is the segment
-  prefix plus an in-segment window sum, so no halo and no join-back are needed, and a customer
-  holding a third of the data spreads over as many tasks as it has segments.
-* First-seen time per (customer, country) is another partial aggregate; its per-customer map is
-  bounded by the number of distinct countries.
-
-No row is dropped or sampled; the result equals a plain `partitionBy(customer)` window, which is
-what the SQL oracle computes.
+Plan:
+
+1. Rows are reduced to points: one per (customer, us) with count, amount and small count. This is
+   a partial aggregate, so ties and bursts shrink before they move.
+2. A point becomes timed changes: +n when it happens and -n when it leaves a rule window (at
+   `us + W`). "Rows in [u - W, u - 1]" is then the running sum of changes strictly before `u`, so
+   every count and sum is a running sum and no window frame ever moves.
+3. Time is cut into fixed segments (an hour by default). Running sums are taken inside (customer,
+   segment); what came before a segment is a running sum over the customer's segment totals,
+   which are bounded by the time span whatever the number of rows. A customer with a third of all
+   rows thus spreads over as many tasks as it has segments, by the same plan as any other.
+4. First-seen times per (customer, country) are another partial aggregate; the per-customer map is
+   bounded by the number of distinct countries.
+5. The history of a point joins back to its rows on (customer, us): wide rows move once.
+
+`past` continues the history of earlier loads (`HistoryStore`): their segment totals, their
+changes inside the segments that this load touches, and their first-seen times.
+
+No row is dropped or sampled and nothing runs while the plan is built; the result equals a plain
+`partitionBy(customer)` window, which is what the SQL oracle computes. Rows without an event time
+get an empty history. Rows without a customer are each other's history.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnguard.functions.rules import country_or_default
 from txnguard.params import RuleParams
 
 MICROS_PER_MINUTE = 60_000_000
-AMOUNT_DECIMAL = "decimal(18,2)"
+# Amounts are exact to four decimals (no currency has more); the stream uses the same units.
+AMOUNT_DECIMAL = "decimal(24,4)"
+SUMS = ("dn", "ds", "dv", "dk")       # changes in rows, amount, velocity count, small count
+
 
-# event kinds in the shuffled stream
-ROW, HALO, VEL_EXPIRY, CARD_EXPIRY = 0, 1, 2, 3
+def exact_amount(amount: str | Column = "amount") -> Column:
+    c = F.col(amount) if isinstance(amount, str) else amount
+    return c.cast(AMOUNT_DECIMAL)
 
 
 def segment_micros(p: RuleParams) -> int:
-    w = max(p.velocity_window_minutes, p.card_test_window_minutes) * MICROS_PER_MINUTE
-    return max(p.history_segment_minutes * MICROS_PER_MINUTE, 2 * w)
-
-
-def hot_segment_micros(p: RuleParams) -> int:
-    return p.hot_segment_minutes * MICROS_PER_MINUTE
-
-
-def hot_customers(rows: DataFrame, p: RuleParams, customer: str) -> DataFrame:
-    """The busiest customers above `hot_customer_rows`, at most `hot_customer_max` of them.
-
-    One partial aggregate (one small row per customer and task), then a top-k: the result has a
-    proven bound of `hot_customer_max` rows, so it is safe to broadcast."""
-    counts = rows.groupBy(customer).agg(F.count(F.lit(1)).alias("_rows"))
-    return (counts.filter(F.col("_rows") > F.lit(p.hot_customer_rows))
-            .orderBy(F.col("_rows").desc(), F.col(customer)).limit(p.hot_customer_max)
-            .select(customer, F.lit(True).alias("_hot")))
-
-
-def _events(base: DataFrame, customer: str, seg_w: int, hot_w: int, w_vel: int, w_card: int,
-            w_max: int) -> DataFrame:
-    """Rows plus their halo copies (ordinary customers) or expiry events (hot customers), each
-    with its segment and weights. Columns other than the keys are kept on home rows only.
-
-    The kinds a row emits are one of four constant arrays picked per row, so the expansion is a
-    plain explode of small integers; time and segment are derived from the kind afterwards."""
-    us, hot = F.col("us"), F.col("_hot")
-
-    def seg_of(t, width):
-        return t - F.pmod(t, width)          # segment id = its start in micros
-
-    def kinds(*ks):
-        return F.array(*[F.lit(k) for k in ks])
-
-    width = F.when(hot, F.lit(hot_w)).otherwise(F.lit(seg_w))
-    in_tail = (us - seg_of(us, F.lit(seg_w))) >= F.lit(seg_w - w_max)
-    timed = us.isNotNull()
-    emitted = (F.when(hot & timed & (F.col("_small") == 1), kinds(ROW, VEL_EXPIRY, CARD_EXPIRY))
-               .when(hot & timed, kinds(ROW, VEL_EXPIRY))
-               .when(~hot & in_tail, kinds(ROW, HALO))
-               .otherwise(kinds(ROW)))
-    x = base.withColumn("_kind", F.explode(emitted))
-    kind = F.col("_kind")
-    home = kind == ROW
-    t = (F.when(kind == VEL_EXPIRY, us + F.lit(w_vel)).when(kind == CARD_EXPIRY, us + F.lit(w_card))
-         .otherwise(us))
-    seg = F.when(kind == HALO, seg_of(us, F.lit(seg_w)) + F.lit(seg_w)).otherwise(seg_of(t, width))
-    keep = {customer, "amount", "_small", "_hot", "_kind"}
-    cols = [F.col(c) if c in keep else F.when(home, F.col(c)).alias(c)
-            for c in x.columns if c != "us"]
-    return x.select(
-        *cols,
-        t.alias("us"),
-        seg.alias("_seg"),
-        (kind <= HALO).cast("int").alias("_real"),
-        F.when(home, 1).when(kind == VEL_EXPIRY, -1).otherwise(0).alias("_wv"),
-        F.when(home & (F.col("_small") == 1), 1).when(kind == CARD_EXPIRY, -1).otherwise(0)
-        .alias("_wc"),
-    )
+    return p.history_segment_minutes * MICROS_PER_MINUTE
 
 
-def with_history(txns: DataFrame, p: RuleParams, customer: str = "customer_id",
-                 carry: list[str] | None = None) -> DataFrame:
-    """Add the history columns to every row of `txns` (needs customer, event_time, amount,
-    country). `carry` limits which input columns travel through the shuffle (default: all)."""
+def _changes(points: DataFrame, p: RuleParams) -> DataFrame:
+    """One row per point and one per window it leaves: who, t, seg, the four sums, home."""
     w_vel = p.velocity_window_minutes * MICROS_PER_MINUTE
     w_card = p.card_test_window_minutes * MICROS_PER_MINUTE
-    w_max = max(w_vel, w_card)
-    seg_w = segment_micros(p)
-    hot_w = hot_segment_micros(p)
+    zero, no_amount = F.lit(0).cast("long"), F.lit(0).cast(AMOUNT_DECIMAL)
 
-    carry = list(carry) if carry is not None else list(txns.columns)
-    base = txns.select(*carry, *[c for c in (customer, "event_time", "amount", "country")
-                                 if c not in carry])
-    # The hot set is found first, in one small job: at most `hot_customer_max` keys reach the
-    # driver. When it is empty (the usual case) the plan below has no hot branch at all; when it
-    # is not, it is broadcast from that bounded local list instead of being recomputed in every
-    # branch of the plan.
-    hot_keys = []
-    if p.hot_customer_rows is not None:
-        hot_keys = [r[0] for r in hot_customers(base, p, customer).collect()]
-    if hot_keys:
-        spark = txns.sparkSession
-        hot = spark.createDataFrame([(k, True) for k in hot_keys],
-                                    f"{customer} string, _hot boolean")
-        base = base.join(F.broadcast(hot), customer, "left")
-        is_hot = F.coalesce(F.col("_hot"), F.lit(False))
+    def change(t, dn, ds, dv, dk, home):
+        return F.struct(t.alias("t"), dn.alias("dn"), ds.alias("ds"), dv.alias("dv"),
+                        dk.alias("dk"), F.lit(home).alias("home"))
+
+    us, n, k = F.col("us"), F.col("n"), F.col("k")
+    born = change(us, n, F.col("s"), n, k, True)
+    if w_vel == w_card:
+        both = change(us + w_vel, zero, no_amount, -n, -k, False)
+        moves = F.array(born, both)
     else:
-        is_hot = F.lit(False)
-    base = base.select(
-        *[c for c in base.columns if c != "_hot"],
-        is_hot.alias("_hot"),
-        F.unix_micros("event_time").alias("us"),
-        country_or_default().alias("_cty"),
-        F.col("amount").cast(AMOUNT_DECIMAL).alias("_amt"),
-        (F.col("amount") < F.lit(float(p.card_test_amount_threshold))).cast("int").alias("_small"),
-    )
-    # rows without an event time stay in the flow (segment NULL) and get an empty history
-    events = _events(base, customer, seg_w, hot_w, w_vel, w_card, w_max)
-
-    # -- per-segment totals before each segment, and first-seen countries (small tables) -------
-    seg_agg = (events.filter((F.col("_kind") != HALO) & F.col("_seg").isNotNull())
-               .groupBy(customer, "_seg")
-               .agg(F.sum((F.col("_kind") == ROW).cast("int")).alias("_n"),
-                    F.sum("_amt").alias("_s"), F.sum("_wv").alias("_v"),
-                    F.sum("_wc").alias("_c")))
-    before = Window.partitionBy(customer).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
-    zero_dec = F.lit(0).cast(AMOUNT_DECIMAL)
-    seg_prior = seg_agg.select(
-        customer, "_seg",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_pn"),
-        F.coalesce(F.sum("_s").over(before), zero_dec).alias("_ps"),
-        F.coalesce(F.sum("_v").over(before), F.lit(0)).alias("_pv"),
-        F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_pc"),
-    )
-    firsts = (base.groupBy(customer, "_cty").agg(F.min("us").alias("_first"))
-              .groupBy(customer)
-              .agg(F.map_from_entries(F.collect_list(F.struct("_cty", "_first")))
-                   .alias("country_first_seen")))
-    seg_table = seg_prior.join(firsts, customer, "left")
-
-    # -- one exchange of all events on (customer, segment) ------------------------------------
-    w = Window.partitionBy(customer, "_seg").orderBy("us")
-    earlier = w.rangeBetween(Window.unboundedPreceding, -1)
-    home = F.col("_kind") == ROW
-    windowed = events.select(
-        *events.columns,
-        F.sum("_real").over(w.rangeBetween(-w_vel, -1)).alias("_halo_v"),
-        F.sum(F.col("_real") * F.col("_small")).over(w.rangeBetween(-w_card, -1))
-        .alias("_halo_c"),
-        F.sum("_wv").over(earlier).alias("_run_v"),
-        F.sum("_wc").over(earlier).alias("_run_c"),
-        F.sum(home.cast("int")).over(earlier).alias("_in_n"),
-        F.sum(F.when(home, F.col("_amt"))).over(earlier).alias("_in_s"),
-    ).filter(home)
-
-    joined = windowed.join(seg_table, [customer, "_seg"], "left")
+        leaves = change(us + w_vel, zero, no_amount, -n, zero, False)
+        small = change(us + w_card, zero, no_amount, zero, -k, False)
+        moves = F.when(k > 0, F.array(born, leaves, small)).otherwise(F.array(born, leaves))
+    out = points.select("who", F.explode(moves).alias("m")).select("who", "m.*")
+    width = F.lit(segment_micros(p))
+    return out.withColumn("seg", F.col("t") - F.pmod(F.col("t"), width))
+
+
+@dataclass
+class Past:
+    """What earlier loads left behind: segment totals (who, seg and sums), changes (who, t, seg,
+    sums) and first-seen times (who, cty, first)."""
+
+    totals: DataFrame
+    changes: DataFrame
+    firsts: DataFrame
+
+
+def history_tables(txns: DataFrame, p: RuleParams, customer: str = "customer_id") -> Past:
+    """The tables that a later load needs of these rows."""
+    rows = txns.select(
+        F.col(customer).alias("who"), F.unix_micros("event_time").alias("us"),
+        exact_amount().alias("amt"), country_or_default().alias("cty"),
+        (F.col("amount") < F.lit(float(p.card_test_amount_threshold))).cast("long").alias("small"),
+    ).filter("us is not null")
+    points = rows.groupBy("who", "us").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("amt").cast(AMOUNT_DECIMAL).alias("s"),
+        F.coalesce(F.sum("small"), F.lit(0)).alias("k"))
+    changes = _changes(points, p)
+    totals = changes.groupBy("who", "seg").agg(
+        *[F.sum(c).cast(AMOUNT_DECIMAL if c == "ds" else "long").alias(c) for c in SUMS])
+    firsts = rows.groupBy("who", "cty").agg(F.min("us").alias("first"))
+    return Past(totals, changes, firsts)
+
+
+def with_history(txns: DataFrame, p: RuleParams, customer: str = "customer_id",
+                 carry: list[str] | None = None, past: Past | None = None) -> DataFrame:
+    """Add the history columns to every row of `txns` (needs customer, event_time, amount,
+    country). `carry` limits which input columns travel through the shuffle (default: all);
+    `past` is the history of earlier loads."""
+    carry = list(carry) if carry is not None else list(txns.columns)
+    new = history_tables(txns, p, customer)
+    totals, changes, firsts = new.totals, new.changes, new.firsts
+    if past is not None:
+        same = (F.col("x.who").eqNullSafe(F.col("y.who"))) & (F.col("x.seg") == F.col("y.seg"))
+        here = totals.select("who", "seg")
+        earlier = (past.changes.select("who", "t", *SUMS, F.lit(False).alias("home"), "seg")
+                   .alias("x").join(here.alias("y"), same, "left_semi"))
+        changes = changes.unionByName(earlier)
+        customers = firsts.select("who").distinct()
+        both = (past.totals.select("who", "seg", *SUMS).alias("x").join(
+            customers.alias("y"), F.col("x.who").eqNullSafe(F.col("y.who")), "left_semi")
+            .unionByName(totals))
+        totals = both.groupBy("who", "seg").agg(*[F.sum(c).alias(c) for c in SUMS])
+        firsts = firsts.unionByName(past.firsts.select("who", "cty", "first")).groupBy(
+            "who", "cty").agg(F.min("first").alias("first"))
+
+    # before each segment: a running sum over the customer's segments
+    before = Window.partitionBy("who").orderBy("seg").rowsBetween(Window.unboundedPreceding, -1)
+    prior = totals.select("who", "seg", *[F.sum(c).over(before).alias(f"p{c}") for c in SUMS])
+    # the map of first-seen times rides on the segment table: one row per segment, not per row
+    seen = firsts.groupBy("who").agg(
+        F.map_from_entries(F.collect_list(F.struct("cty", "first"))).alias("country_first_seen"))
+    prior = (prior.alias("x").join(seen.alias("y"), F.col("x.who").eqNullSafe(F.col("y.who")))
+             .select("x.*", "country_first_seen"))
+
+    # inside each segment: running sums strictly before the point
+    inside = (Window.partitionBy("who", "seg").orderBy("t")
+              .rangeBetween(Window.unboundedPreceding, -1))
+    points = (changes.select("who", "seg", "t", "home",
+                             *[F.sum(c).over(inside).alias(f"i{c}") for c in SUMS])
+              .filter("home"))
     z = F.lit(0)
-    prior_n = F.coalesce(F.col("_pn"), z) + F.coalesce(F.col("_in_n"), z)
-    prior_s = F.coalesce(F.col("_ps"), zero_dec) + F.coalesce(F.col("_in_s"), zero_dec)
-    recent = F.when(F.col("_hot"), F.coalesce(F.col("_pv"), z) + F.coalesce(F.col("_run_v"), z)
-                    ).otherwise(F.coalesce(F.col("_halo_v"), z))
-    small = F.when(F.col("_hot"), F.coalesce(F.col("_pc"), z) + F.coalesce(F.col("_run_c"), z)
-                   ).otherwise(F.coalesce(F.col("_halo_c"), z))
-    has_us = F.col("us").isNotNull()
+
+    def total(c):
+        return F.coalesce(F.col(f"p{c}"), z) + F.coalesce(F.col(f"i{c}"), z)
+
+    known = (points.alias("x").join(
+        prior.alias("y"), F.col("x.who").eqNullSafe(F.col("y.who"))
+        & (F.col("x.seg") == F.col("y.seg")))
+        .select(F.col("x.who").alias("who"), F.col("x.t").alias("t"), total("dv").alias("_recent"),
+                total("dk").alias("_small"), total("dn").alias("_n"), total("ds").alias("_s"),
+                "country_first_seen"))
+
+    rows = txns.select(*carry, F.col(customer).alias("_who"),
+                       F.unix_micros("event_time").alias("us"), country_or_default().alias("_cty"))
+    joined = rows.join(known, F.col("_who").eqNullSafe(F.col("who")) & (F.col("us") == F.col("t")),
+                       "left")
+    n = F.coalesce(F.col("_n"), z)
     return joined.select(
         *carry,
         "us",
-        F.when(has_us, recent).otherwise(z).cast("long").alias("recent_count"),
-        F.when(has_us, small).otherwise(z).cast("long").alias("small_count"),
-        F.when(has_us, prior_n).otherwise(z).cast("long").alias("prior_count"),
-        F.when(has_us & (prior_n > 0), prior_s.cast("double") / prior_n).otherwise(F.lit(0.0))
-        .alias("avg_amount"),
-        (has_us & (prior_n > 0)).alias("has_history"),
+        F.coalesce("_recent", z).cast("long").alias("recent_count"),
+        F.coalesce("_small", z).cast("long").alias("small_count"),
+        n.cast("long").alias("prior_count"),
+        F.when(n > 0, F.col("_s").cast("double") / n).otherwise(F.lit(0.0)).alias("avg_amount"),
+        (n > 0).alias("has_history"),
         F.coalesce(F.try_element_at("country_first_seen", F.col("_cty")) == F.col("us"),
                    F.lit(False)).alias("is_new_country"),
         "country_first_seen",

@@ -19,7 +19,7 @@ from txnguard.functions.rules import (
     triggered_rules,
     weighted_score,
 )
-from txnguard.operators.history import with_history
+from txnguard.operators.history import Past, with_history
 from txnguard.params import RuleParams
 
 
@@ -59,12 +59,10 @@ def apply_rules(hist: DataFrame, p: RuleParams, rules=None, stamp: bool = True)
     return out
 
 
-def rule_score(txns: DataFrame, p: RuleParams, rules=None, stamp: bool = True) -> DataFrame:
-    return apply_rules(with_history(txns, p), p, rules, stamp)
-
-
-def rule_names(p: RuleParams, rules=None) -> list[str]:
-    return [e.name for e in rule_columns(p, rules)]
+def rule_score(txns: DataFrame, p: RuleParams, rules=None, stamp: bool = True,
+               past: Past | None = None) -> DataFrame:
+    """History and rules over a batch; `past` is the history that earlier loads left behind."""
+    return apply_rules(with_history(txns, p, past=past), p, rules, stamp)
 
 
 def triggered_names(df: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from txnguard.functions.buckets import amount_bucket, risk_level
 from txnguard.params import LOOKUP_DEFAULTS, WAREHOUSE_DEFAULTS
+from txnguard.schemas import AMOUNT_LIMIT, WAREHOUSE_VARCHAR_LIMITS
 
 WAREHOUSE_COLUMNS = (
     "transaction_id", "customer_id", "amount", "currency", "merchant", "category", "country",
@@ -29,6 +30,36 @@ def with_defaults(df: DataFrame, defaults: dict) -> DataFrame:
                            for k, v in defaults.items()})
 
 
+def first_of_each(df: DataFrame, keys, order) -> DataFrame:
+    """One row per key: the smallest by `order`, then by the other columns, so that every attempt
+    of a task picks the same one. A partial aggregate: repeats shrink before they move."""
+    keys = list(keys)
+    rest = [*order, *[c for c in df.columns if c not in (*order, *keys)]]
+    least = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"))
+    return least.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c)
+                          for c in df.columns])
+
+
+def unfit_reason():
+    """Why the warehouse table can't hold a scored row (amount or text too large); NULL if it can."""
+    expr = F.when(~(F.abs(F.col("amount")) < F.lit(AMOUNT_LIMIT)), F.lit("amount_out_of_range"))
+    for c, n in WAREHOUSE_VARCHAR_LIMITS.items():
+        expr = expr.when(F.length(F.col(c)) > n, F.lit(f"{c}_too_long"))
+    return expr
+
+
+def split_unfit(scored: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows for the warehouse, scored rows that its table can't hold, with the reason)."""
+    full = scored.withColumns({c: F.lit(None).cast("string") for c in WAREHOUSE_VARCHAR_LIMITS
+                               if c not in scored.columns})
+    tagged = full.withColumn("unfit_reason", unfit_reason())
+    fit = tagged.filter(F.col("unfit_reason").isNull()).select(*scored.columns)
+    unfit = tagged.filter(F.col("unfit_reason").isNotNull()).select(
+        "transaction_id", "customer_id", "amount", "event_time", "fraud_score", "is_fraud",
+        "unfit_reason")
+    return fit, unfit
+
+
 def to_warehouse(scored: DataFrame, loaded_at=None) -> DataFrame:
     """Scored rows in the `scored_transactions` shape: decimals, defaults, load stamp.
 

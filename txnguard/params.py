@@ -115,24 +115,9 @@ class RuleParams:
     card_test_min_count: int = 3
     weights: tuple = RULE_WEIGHTS
     geo_high_risk: tuple = GEO_HIGH_RISK_COUNTRIES
-    # Width of the time segments used to split one customer's history over many tasks.
-    # It is raised to the longest rule window if smaller (see operators/history.py).
-    history_segment_minutes: int = 24 * 60
-    # Customers with more rows than this get narrow segments of `hot_segment_minutes`,
-    # whatever the rule windows, so their timeline spreads over many tasks (see
-    # operators/history.py). At most `hot_customer_max` such customers are chosen (largest
-    # first), which bounds the broadcast set; the rest keep the default width and the result is
-    # the same either way. None disables the split.
-    hot_customer_rows: int | None = 20_000_000
-    hot_customer_max: int = 100_000
-    hot_segment_minutes: int = 15
-
-    @property
-    def total_weight(self) -> float:
-        total = 0
-        for _, w in self.weights:
-            total += w
-        return total
+    # Width of the time segments that split every customer's history over tasks; any width gives
+    # the same result (see operators/history.py).
+    history_segment_minutes: int = 60
 
     def with_(self, **kw) -> "RuleParams":
         return replace(self, **kw)
@@ -163,7 +148,10 @@ class StreamParams:
     # customer can bring into the stateful operator in a single batch.
     max_records_per_trigger: int | None = 5_000_000
     max_files_per_trigger: int | None = 100
-    state_ttl_days: int = LOOKUP_RETENTION_DAYS
+    # A customer's state is cleared this long after the customer was last seen.
+    state_ttl_days: float = LOOKUP_RETENTION_DAYS
+    # Messages that repeat a transaction id within this much event time are replays.
+    replay_minutes: int = 60
 
 
 @dataclass(frozen=True)
@@ -175,8 +163,9 @@ class MartParams:
     # In the incremental-model query the daily mart is taken as loaded up to this date.
     incremental_loaded_until: str = "2024-01-20"
     strict_incremental: bool = False
+    # In the two-load query the first load ends with this date.
+    first_load_until: str = "2024-01-12"
     top_customers: int = 20
     latest_per_customer: int = 10
     freshness_warn_minutes: int = 10
     freshness_error_minutes: int = 60
-    extra: dict = field(default_factory=dict)

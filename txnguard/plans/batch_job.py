@@ -1,30 +1,42 @@
-"""End-to-end batch run: raw messages -> dead letters + scored warehouse -> marts, lookup tables,
-customer stats and a data-quality report.
+"""End-to-end batch loads: raw messages -> dead letters + scored warehouse -> marts, lookup tables,
+customer stats and a data-quality report. Any number of loads add up.
 
-The expensive step (history + rules) runs once and lands in the warehouse table; everything
-downstream reads that table back (partition-pruned where it can), which is the reference's own
-layering (the warehouse feeds the models). Every write is idempotent: a rerun of the same input
-leaves the same tables.
+A load parses its messages once and lands them. Messages whose transaction id an earlier row of
+the load or an earlier load has are replays and are left out before history. History continues
+from the tables that earlier loads left behind (segment totals, changes and first-seen times per
+load), so a load reads the stored history of its own customers and segments, not their rows.
+Everything downstream reads the warehouse table; the daily mart is rebuilt for the days that the
+load touches, however old, lookup tables get the load's rows only, and customer stats are merged
+from the stats of the loads.
+
+Scores are those at the time of the load: a late row sees every stored earlier row, but does not
+change scores given before it came (the reference scores each transaction once, on arrival).
+
+Every table of a load is overwritten under its run id, so a rerun leaves the same tables.
 """
 
 from __future__ import annotations
 
 import os
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnguard.operators import lookup, marts, quality
+from txnguard.operators.history import Past, history_tables
 from txnguard.operators.scoring import rule_score
-from txnguard.operators.staging import stg_scored, to_lookup, to_warehouse
+from txnguard.operators.staging import (first_of_each, split_unfit, stg_scored, to_lookup,
+                                         to_warehouse)
 from txnguard.params import FIXTURE_PARAMS, MartParams, RuleParams
 from txnguard.plans import sinks
 from txnguard.sources import ingest
 
-TABLES = ("dead_letters", "scored_transactions", "fct_fraud_daily", "fct_fraud_by_category",
+TABLES = ("landed", "accepted", "scored", "warehouse_unfit", "history_totals", "history_changes", "history_firsts",
+          "customer_stats_parts", "dead_letters", "scored_transactions", "fct_fraud_daily", "fct_fraud_by_category",
           "dim_fraud_customers", "transactions", "fraud_alerts", "customer_stats",
-          "quality_report")
+          "quality_report", "freshness_report")
 
 
 @dataclass
@@ -38,56 +50,90 @@ class BatchJob:
     def path(self, name: str) -> str:
         return os.path.join(self.out_root, name)
 
+    def _write_load(self, df: DataFrame, name: str) -> DataFrame:
+        """Write this load's part of a table; returns it."""
+        part = os.path.join(self.path(name), f"load={self.run_id}")
+        df.write.mode("overwrite").parquet(part)
+        return self.spark.read.schema(df.schema).parquet(part)
+
+    def _earlier(self, name: str) -> DataFrame | None:
+        """The parts of a table that other loads wrote."""
+        if not sinks.path_exists(self.spark, self.path(name)):
+            return None
+        return self.spark.read.parquet(self.path(name)).filter(
+            F.col("load").cast("string") != self.run_id).drop("load")
+
+    def _past(self) -> Past | None:
+        parts = [self._earlier(f"history_{n}") for n in ("totals", "changes", "firsts")]
+        return Past(*parts) if all(p is not None for p in parts) else None
+
     def run(self, raw: DataFrame) -> dict[str, str]:
-        decoded = ingest.decode(raw)
-        good, dead = ingest.split_dead_letters(decoded)
+        # the messages are parsed once
+        tagged = ingest.decode(raw).withColumn("dlq_reason", ingest.dlq_reason())
+        landed = self._write_load(tagged, "landed")
+        good, dead = ingest.split_dead_letters(landed.drop("dlq_reason"))
 
-        # K8: dead letters of this run, replaced as a whole when the run is repeated
+        # K8: dead letters of this load
         dead.write.mode("overwrite").parquet(os.path.join(self.path("dead_letters"),
                                                           f"run={self.run_id}"))
 
-        # K4: scores, once, into the warehouse (keyed append)
-        scored = rule_score(good, self.rules, stamp=True)
-        sinks.append_warehouse(to_warehouse(scored), self.path("scored_transactions"),
-                               load_id=self.run_id)
+        # T10, K4: one row per transaction, before history
+        once = first_of_each(good, ["transaction_id"], ["event_time", "customer_id"])
+        stored = self._earlier("accepted")
+        if stored is not None:
+            once = once.join(stored.select("transaction_id"), "transaction_id", "left_anti")
+        rows = self._write_load(once, "accepted")
+
+        # K4: scores, once, into the warehouse, seeded with the history of earlier loads
+        scored = self._write_load(
+            rule_score(rows, self.rules, stamp=True, past=self._past()).drop(
+                "country_first_seen", "triggered_rules"), "scored")
+        fit, unfit = split_unfit(scored)
+        sinks.append_warehouse(to_warehouse(fit), self.path("scored_transactions"),
+                               load_id=self.run_id, dedup=False)
+        self._write_load(unfit, "warehouse_unfit")
+        left = history_tables(rows, self.rules)
+        self._write_load(left.totals, "history_totals")
+        self._write_load(left.changes.drop("home"), "history_changes")
+        self._write_load(left.firsts, "history_firsts")
 
         # models from the stored warehouse rows
         wh = self.spark.read.parquet(self.path("scored_transactions"))
+        own = wh.filter(F.col(sinks.LOAD_COL).cast("string") == self.run_id)
         stg = sinks.register_view(stg_scored(wh), "stg_scored_transactions")          # M1
-        sinks.write_incremental_daily(stg, self.path("fct_fraud_daily"), marts.fct_daily,
-                                      self.mart.lookback_days, self.mart.strict_incremental)
+        days = [r[0] for r in own.select("txn_date").distinct().collect()]   # bounded by days
+        sinks.refresh_daily_for_dates(self.path("scored_transactions"),
+                                      self.path("fct_fraud_daily"), days,
+                                      lambda w: marts.fct_daily(stg_scored(w)))       # M3
         sinks.write_table(marts.fct_category(stg), self.path("fct_fraud_by_category"),
                           sort_cols=("fraud_rate_pct",))                                # M2, M4
         sinks.write_table(marts.dim_customers(stg), self.path("dim_fraud_customers"),
                           sort_cols=("customer_id",))
 
-        # K5, K6: lookup tables, one version per run (last write wins on read)
-        lk = to_lookup(wh.drop("txn_date", sinks.LOAD_COL))
+        # K5, K6: lookup tables, one version per load, this load's rows only
+        lk = to_lookup(scored)
         sinks.append_version(lk.withColumn("event_date", F.to_date("event_time")),
                              self.path("transactions"), "event_date", int(self.run_id),
                              sort_cols=lookup.LOOKUP_KEY)
         sinks.append_version(lookup.alerts_rows(lk), self.path("fraud_alerts"), "alert_date",
                              int(self.run_id), sort_cols=lookup.ALERT_KEY)
 
-        # K7: customer stats need the device id, which the warehouse contract does not carry,
-        # so they come from the decoded rows (a partial aggregate, no history needed)
-        stats = lookup.customer_stats(good.withColumn("is_fraud", F.lit(False))
-                                      .select("customer_id", "event_time", "country",
-                                              "device_id", "is_fraud"))
-        fraud = (self.spark.read.parquet(self.path("scored_transactions"))
-                 .groupBy("customer_id")
-                 .agg(F.sum(F.when(F.col("is_fraud"), 1).otherwise(0)).cast("long")
-                      .alias("total_fraud")))
-        stats = stats.drop("total_fraud").join(fraud, "customer_id", "left")
-        sinks.write_table(stats, self.path("customer_stats"), sort_cols=("customer_id",))
+        # K7: this load's stats, then the merge over all loads
+        self._write_load(lookup.customer_stats(scored), "customer_stats_parts")
+        parts = self.spark.read.parquet(self.path("customer_stats_parts")).drop("load")
+        sinks.write_table(lookup.merge_customer_stats(parts), self.path("customer_stats"),
+                          sort_cols=("customer_id",))
 
         # Q1-Q5 over the written models
         daily = self.spark.read.parquet(self.path("fct_fraud_daily"))
         cat = self.spark.read.parquet(self.path("fct_fraud_by_category"))
         cust = self.spark.read.parquet(self.path("dim_fraud_customers"))
-        checks = quality.mart_checks(daily, cat, cust)
-        report = quality.union_all(list(checks.values()))
+        report = quality.union_all(list(quality.mart_checks(daily, cat, cust).values()))
         sinks.write_table(report.coalesce(1), self.path("quality_report"))
+        now = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+        sinks.write_table(quality.freshness(
+            wh, "scored_transactions", "loaded_at", now, self.mart.freshness_warn_minutes,
+            self.mart.freshness_error_minutes), self.path("freshness_report"))
         return {t: self.path(t) for t in TABLES}
 
 

@@ -16,7 +16,8 @@ from txnguard.functions.buckets import amount_bucket, risk_level
 from txnguard.functions.rules import own_offset_hour, round4
 from txnguard.operators import dashboard, lookup, marts, quality
 from txnguard.operators.scoring import explode_triggered, triggered_names
-from txnguard.operators.staging import to_lookup, to_warehouse
+from txnguard.operators.history import history_tables, with_history
+from txnguard.operators.staging import first_of_each, to_lookup, to_warehouse
 from txnguard.params import FIXTURE_PARAMS, MartParams
 from txnguard.plans.pipeline import Pipeline, shared_pipeline
 from txnguard.schemas import SCORED_SCHEMA
@@ -94,6 +95,29 @@ def q_hist_new_country(spark, sf_dir):
                                        "is_new_country")
 
 
+def q_hist_two_loads(spark, sf_dir):
+    """The transactions in two loads, the second seeded with the tables the first leaves behind."""
+    txns = _p(spark, sf_dir).transactions()
+    cut = F.to_date("event_time") <= F.lit(MART.first_load_until).cast("date")
+    first, second = txns.filter(cut), txns.filter(~cut)
+    past = history_tables(first, FIXTURE_PARAMS)
+    both = with_history(first, FIXTURE_PARAMS).unionByName(
+        with_history(second, FIXTURE_PARAMS, past=past))
+    return both.select("transaction_id", "recent_count", "small_count", "prior_count",
+                       "avg_amount", "has_history", "is_new_country")
+
+
+def q_dedup_replays(spark, sf_dir):
+    """Every third transaction sent again, an hour later by its own clock: the first of each stays
+    and nobody's history counts a replay."""
+    txns = _p(spark, sf_dir).transactions()
+    again = (txns.filter(F.substring("transaction_id", -8, 8).cast("int") % 3 == 0)
+             .withColumn("event_time", F.col("event_time") + F.expr("INTERVAL 1 HOUR")))
+    once = first_of_each(txns.unionByName(again), ["transaction_id"], ["event_time"])
+    return with_history(once, FIXTURE_PARAMS).select(
+        "transaction_id", ntz("event_time").alias("event_time"), "recent_count", "prior_count")
+
+
 # -- ingest ----------------------------------------------------------------------------------
 
 def _decoded(spark, sf_dir) -> DataFrame:
@@ -357,6 +381,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hist_small_count": q_hist_small_count,
     "hist_avg_amount": q_hist_avg_amount,
     "hist_new_country": q_hist_new_country,
+    "hist_two_loads": q_hist_two_loads,
+    "dedup_replays": q_dedup_replays,
     "json_decode": q_json_decode,
     "event_time_parse": q_event_time_parse,
     "dlq_split": q_dlq_split,

@@ -33,7 +33,6 @@ from txnguard.params import (
     MartParams,
     RuleParams,
 )
-from txnguard.schemas import WAREHOUSE_VARCHAR_LIMITS
 from txnguard.sources.fixtures import COUNTRY_BY_K, COUNTRY_BY_K_ELSE
 
 MART = MartParams()
@@ -316,8 +315,6 @@ def _json(amount_text: str, ts_text: str, with_amount: bool = True, with_custome
 
 
 AMT_TXT = "printf('%.2f', amount)"
-TOO_LONG = " OR ".join(f"coalesce(length({c}) > {n}, false)"
-                       for c, n in WAREHOUSE_VARCHAR_LIMITS.items())
 RAW = f"""raw AS (
   SELECT *, CASE WHEN event_type = 'error' THEN event_id % 7 END AS kind,
     CASE
@@ -356,8 +353,7 @@ dead AS (
     WHEN customer_id IS NULL THEN 'missing_customer_id'
     WHEN amount IS NULL THEN 'missing_amount'
     WHEN event_time IS NULL THEN 'bad_timestamp'
-    WHEN NOT (abs(amount) < 1e10) THEN 'amount_out_of_range'
-    WHEN {TOO_LONG} THEN 'value_too_long' END AS reason
+    WHEN NOT (abs(amount) < 1e14) THEN 'amount_out_of_range' END AS reason
   FROM decoded
 )"""
 
@@ -397,6 +393,9 @@ def _sql() -> dict[str, str]:
         "hist_small_count": hp + "SELECT transaction_id, amount, small_count FROM hist",
         "hist_avg_amount": hp + "SELECT transaction_id, prior_count, avg_amount FROM hist",
         "hist_new_country": hp + "SELECT transaction_id, country, has_history, is_new_country FROM hist",
+        "hist_two_loads": hp + "SELECT transaction_id, recent_count, small_count, prior_count, "
+                               "avg_amount, has_history, is_new_country FROM hist",
+        "dedup_replays": hp + "SELECT transaction_id, event_time, recent_count, prior_count FROM hist",
         "json_decode": rawp + """SELECT "offset", transaction_id, customer_id, amount, currency,
             merchant, category, country, card_type, "timestamp", device_id, is_online, event_time,
             is_corrupt FROM decoded""",

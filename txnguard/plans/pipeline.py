@@ -99,7 +99,7 @@ def shared_pipeline(spark: SparkSession, sf_dir: str, rules: RuleParams = FIXTUR
     their plan objects."""
     mart = mart or MartParams()
     # the file listing of the tables is taken when a stage is first built
-    key = (id(spark), sf_dir, rules, repr(mart))
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir, rules, repr(mart))
     if key not in _PIPELINES:
         _PIPELINES[key] = Pipeline(spark, sf_dir, rules, mart)
     return _PIPELINES[key]

@@ -17,22 +17,35 @@ retried task or batch leaves the same files, and a lost executor only re-runs it
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnguard.operators.lookup import upsert_last_write
+from txnguard.operators.lookup import upsert_last_write, within_retention
+from txnguard.operators.staging import first_of_each
+from txnguard.params import LOOKUP_RETENTION_DAYS
 from txnguard.session import checkpoint_root
 
 LOAD_COL = "load_id"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, path) of a path in any store that Spark reads."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, hpath = _hadoop(spark, path)
     return fs.exists(hpath)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, hpath = _hadoop(spark, path)
+    fs.delete(hpath, True)
+
+
 def _touched(batch: DataFrame, part_col: str) -> list:
     """Distinct partition values of a batch: bounded by the days a batch spans, not its rows."""
     return [r[0] for r in batch.select(part_col).distinct().collect()]
@@ -64,19 +77,21 @@ def append_warehouse(batch: DataFrame, path: str, load_id: str | int = "0",
                      sort_cols=("customer_id", "event_time"), dedup: bool = True) -> None:
     """Append scored rows (warehouse shape, staging.to_warehouse) as load `load_id`.
 
-    Keys repeated inside the load keep one row; with `dedup`, keys stored for the same dates by
-    other loads are skipped. Files are sorted by customer and event time inside each date (the
-    DISTKEY/SORTKEY layout of the reference's table)."""
+    The table's key is (date, transaction id): keys repeated inside the load keep the row of the
+    earliest event time (and smallest customer), and with `dedup` keys stored for the same dates
+    by other loads are skipped. An id that comes back on another date is another row here;
+    `operators.staging.first_of_each` drops such repeats before scoring. Files are sorted by
+    customer and event time inside each date (the layout of the reference's table)."""
     spark = batch.sparkSession
     out = (batch.withColumn(part_col, F.to_date("event_time"))
-           .withColumn(LOAD_COL, F.lit(str(load_id)))
-           .dropDuplicates([key]))
-    if dedup and _exists(spark, path):
-        dates = _touched(out, part_col)
+           .withColumn(LOAD_COL, F.lit(str(load_id))))
+    out = first_of_each(out, [part_col, key], ["event_time", "customer_id"])
+    if dedup and path_exists(spark, path):
+        dates = _touched(batch.select(F.to_date("event_time").alias(part_col)), part_col)
         stored = (spark.read.parquet(path)
                   .filter(F.col(part_col).isin(dates) & (F.col(LOAD_COL) != F.lit(str(load_id))))
-                  .select(key))
-        out = out.join(stored, key, "left_anti")
+                  .select(part_col, key))
+        out = out.join(stored, [part_col, key], "left_anti")
     overwrite_partitions(out, path, [part_col, LOAD_COL], sort_cols)
 
 
@@ -90,23 +105,55 @@ def append_version(batch: DataFrame, path: str, part_col: str, version: int,
 
 
 def read_latest(spark: SparkSession, path: str, key, version_col: str = "write_version",
-                where=None) -> DataFrame:
+                where=None, as_of: str | None = None,
+                retention_days: int = LOOKUP_RETENTION_DAYS, part_col: str = "event_date",
+                time_col: str = "event_time") -> DataFrame:
     """The table as of its last writes: per key, the row with the highest version.
 
+    `as_of` (a timestamp text) hides rows older than `retention_days` before it; whole expired day
+    partitions are pruned from the scan.
     `where` (a Column) is applied before the merge, so partition filters prune the scan. The
     merge is a keyed aggregate with partial aggregation; keys here include transaction_id, so it
     is not skewed."""
     t = spark.read.parquet(path)
+    if as_of is not None:
+        t = within_retention(t.filter(F.col(part_col) >= _oldest_day(as_of, retention_days)),
+                             as_of, retention_days, time_col)
     if where is not None:
         t = t.filter(where)
     return upsert_last_write(t, key, version_col)
 
 
+def _oldest_day(as_of: str, retention_days: int):
+    """The first day that can hold rows within the retention."""
+    return F.lit((datetime.fromisoformat(as_of) - timedelta(days=retention_days)).date())
+
+
+def expire(spark: SparkSession, path: str, part_col: str, as_of: str,
+           retention_days: int = LOOKUP_RETENTION_DAYS) -> list:
+    """Drop the day partitions that lie wholly before the retention; returns their days."""
+    fs, folder = _hadoop(spark, path)
+    if not fs.exists(folder):
+        return []
+    first = (datetime.fromisoformat(as_of) - timedelta(days=retention_days)).date().isoformat()
+    days = sorted(d for d in (st.getPath().getName().partition("=")[2] for st in
+                              fs.listStatus(folder)
+                              if st.getPath().getName().startswith(f"{part_col}="))
+                  if d < first)
+    for day in days:
+        delete_path(spark, f"{path}/{part_col}={day}")
+    return days
+
+
 def compact(spark: SparkSession, path: str, key, part_col: str, values: list,
-            version_col: str = "write_version", sort_cols=()) -> None:
+            version_col: str = "write_version", sort_cols=(), as_of: str | None = None,
+            retention_days: int = LOOKUP_RETENTION_DAYS) -> None:
     """Fold all versions of the given partitions into their latest rows, written once under the
     highest version present, then drop the older version folders. Readers see the same rows
-    before and after."""
+    before and after. With `as_of`, day partitions past the retention are dropped first."""
+    if as_of is not None:
+        gone = set(expire(spark, path, part_col, as_of, retention_days))
+        values = [v for v in values if str(v) not in gone]
     if not values:
         return
     t = spark.read.parquet(path).filter(F.col(part_col).isin(values))
@@ -116,11 +163,8 @@ def compact(spark: SparkSession, path: str, key, part_col: str, values: list,
     latest = _materialize(upsert_last_write(t, key, version_col)
                           .withColumn(version_col, F.lit(int(top)).cast("long")))
     overwrite_partitions(latest, path, [part_col, version_col], sort_cols or key)
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for v in values:
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{part_col}={v}")
-        fs = folder.getFileSystem(conf)
+        fs, folder = _hadoop(spark, f"{path}/{part_col}={v}")
         if not fs.exists(folder):
             continue
         for st in fs.listStatus(folder):
@@ -150,18 +194,16 @@ def incremental_rows(stg: DataFrame, target: DataFrame | None, lookback_days: in
                      strict: bool = False, date_col: str = "txn_date") -> DataFrame:
     """J1: rows to (re)process for an incremental daily model.
 
-    The bound `max(date) of the target` is read first (one scalar) so the filter is a literal
-    and prunes partitions. An empty or missing target loads everything. `strict=True` keeps the
-    reference's `date > max(date)`; the default also redoes the last `lookback_days` days so the
-    newest day is completed and late rows land."""
+    The bound `max(date)` of the target is a scalar subquery: it runs with the query, not while
+    the query is built. An empty target loads everything, and so does a missing one. `strict=True`
+    keeps the reference's `date > max(date)`; the default also redoes the last `lookback_days` days
+    so the newest day is completed and late rows land."""
     if target is None:
         return stg
-    bound = target.agg(F.max(date_col)).first()[0]
-    if bound is None:
-        return stg
-    if strict:
-        return stg.filter(F.col(date_col) > F.lit(bound))
-    return stg.filter(F.col(date_col) >= F.date_sub(F.lit(bound), lookback_days))
+    bound = target.agg(F.max(date_col).alias("bound")).scalar()
+    day = F.col(date_col)
+    later = day > bound if strict else day >= F.date_sub(bound, lookback_days)
+    return stg.filter(F.coalesce(later, F.lit(True)))
 
 
 def refresh_daily_for_dates(warehouse_path: str, mart_path: str, dates: list, build) -> None:
@@ -180,6 +222,6 @@ def write_incremental_daily(stg: DataFrame, path: str, build, lookback_days: int
     """M3: rebuild only the dates the incremental filter selects (dynamic partition overwrite
     replaces exactly those dates, which is the `unique_key = txn_date` contract)."""
     spark = stg.sparkSession
-    target = spark.read.parquet(path) if _exists(spark, path) else None
+    target = spark.read.parquet(path) if path_exists(spark, path) else None
     rows = incremental_rows(stg, target, lookback_days, strict)
     overwrite_partitions(build(rows), path, ["txn_date"])

@@ -1,17 +1,15 @@
-"""Schemas of the raw message, the scored message, the warehouse table and the dead-letter rows."""
+"""Schemas of the raw and the scored message, and the limits of the warehouse table."""
 
 from pyspark.sql.types import (
     BooleanType,
-    DecimalType,
     DoubleType,
     IntegerType,
     StringType,
     StructField,
     StructType,
-    TimestampType,
 )
 
-# Raw transaction message. `nullable=False` documents the contract; `from_json` does not enforce
+# Raw transaction message (fixed values: names and types of the message contract). `nullable=False` documents the contract; `from_json` does not enforce
 # it, the dead-letter split does (sources/ingest.py).
 TXN_SCHEMA = StructType([
     StructField("transaction_id", StringType(), False),
@@ -57,37 +55,13 @@ ALERT_FIELDS = (
     "transaction_id", "customer_id", "amount", "merchant", "country", "fraud_score", "scored_at",
 )
 
-# Warehouse table `scored_transactions`.
-WAREHOUSE_SCHEMA = StructType([
-    StructField("transaction_id", StringType(), False),
-    StructField("customer_id", StringType(), False),
-    StructField("amount", DecimalType(12, 2)),
-    StructField("currency", StringType()),
-    StructField("merchant", StringType()),
-    StructField("category", StringType()),
-    StructField("country", StringType()),
-    StructField("card_type", StringType()),
-    StructField("fraud_score", DecimalType(6, 4)),
-    StructField("is_fraud", BooleanType()),
-    StructField("rules_fired", IntegerType()),
-    StructField("event_time", TimestampType()),
-    StructField("scored_at", TimestampType()),
-    StructField("loaded_at", TimestampType()),
-])
+# Text widths of the warehouse table `scored_transactions` (fixed values).
 WAREHOUSE_VARCHAR_LIMITS = {
     "transaction_id": 36, "customer_id": 36, "currency": 3, "merchant": 255,
     "category": 50, "country": 5, "card_type": 20,
 }
 
-# Dead-letter row.
-DLQ_SCHEMA = StructType([
-    StructField("value", StringType()),
-    StructField("reason", StringType()),
-    StructField("ingested_at", TimestampType()),
-])
-DLQ_REASONS = (
-    "null_message", "malformed_json", "missing_transaction_id", "missing_customer_id",
-    "missing_amount", "bad_timestamp", "amount_out_of_range", "value_too_long",
-)
 # Largest magnitude a DECIMAL(12,2) amount can hold (exclusive).
 AMOUNT_LIMIT = 1e10
+# Amounts from here on are not scored: sums in units of 1/10,000 would leave exact arithmetic.
+SCORABLE_AMOUNT = 1e14

@@ -10,13 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from txnguard.schemas import (
-    AMOUNT_LIMIT,
-    REQUIRED_FIELDS,
-    TXN_FIELDS,
-    TXN_SCHEMA,
-    WAREHOUSE_VARCHAR_LIMITS,
-)
+from txnguard.schemas import REQUIRED_FIELDS, SCORABLE_AMOUNT, TXN_FIELDS, TXN_SCHEMA
 from txnguard.sources.fixtures import transactions_from_events
 from txnguard.sources.tables import read_table
 
@@ -128,21 +122,18 @@ def decode(raw: DataFrame, value_col: str = "value", keep: tuple = ()) -> DataFr
 def dlq_reason() -> Column:
     """First failing check wins; NULL means the row is good.
 
-    Besides malformed text and missing required fields, rows that the warehouse contract
-    cannot hold are caught here rather than failing a whole batch at write time: an amount that
-    does not fit DECIMAL(12,2) (including NaN and infinities) and text longer than its column."""
+    These are faults that make a message unscorable: malformed text, a missing required field, a
+    time that can't be read, an amount that is no number or beyond exact arithmetic. What the
+    warehouse table can't hold (long texts, amounts above its decimal) is scored all the same and
+    told apart by the warehouse writer (operators/staging.py `unfit_reason`)."""
     blank = F.col("value").isNull() | (F.trim(F.col("value")) == "")
     expr = (F.when(blank, F.lit("null_message"))
             .when(F.col(CORRUPT).isNotNull(), F.lit("malformed_json")))
     for f in REQUIRED_FIELDS:
         expr = expr.when(F.col(f).isNull(), F.lit(f"missing_{f}"))
     expr = expr.when(F.col("event_time").isNull(), F.lit("bad_timestamp"))
-    expr = expr.when(~(F.abs(F.col("amount")) < F.lit(AMOUNT_LIMIT)), F.lit("amount_out_of_range"))
-    too_long = None
-    for c, n in WAREHOUSE_VARCHAR_LIMITS.items():
-        cond = F.coalesce(F.length(F.col(c)) > n, F.lit(False))
-        too_long = cond if too_long is None else too_long | cond
-    return expr.when(too_long, F.lit("value_too_long"))
+    return expr.when(~(F.abs(F.col("amount")) < F.lit(SCORABLE_AMOUNT)),
+                     F.lit("amount_out_of_range"))
 
 
 def split_dead_letters(decoded: DataFrame, keep: tuple = ()) -> tuple[DataFrame, DataFrame]:

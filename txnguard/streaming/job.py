@@ -8,9 +8,10 @@ Shape of the scoring job:
       -> stateless score, or per-customer state + weighted rules
       -> one foreachBatch that persists the micro-batch once and writes every output
 
-Every output of a micro-batch is written to a folder named by the batch id with overwrite, or
-merged by key, so a batch replayed after a failure (same id, same offsets from the checkpoint)
-leaves the same result: the job survives executor and driver restarts through its checkpoint.
+Folder outputs of a micro-batch are overwritten under its batch id and tables are merged by key, so
+a batch replayed after a failure (same id, same offsets from the checkpoint) leaves the same files.
+Topic outputs are at-least-once: a replayed batch publishes its messages again, and consumers drop
+repeats by transaction id. The job survives executor and driver restarts through its checkpoint.
 """
 
 from __future__ import annotations
@@ -21,18 +22,20 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txnguard.operators.history import exact_amount
 from txnguard.operators.marts import batch_metrics, customer_window_stats
 from txnguard.operators.scoring import apply_rules, stateless_score
-from txnguard.operators.staging import to_lookup, to_warehouse
+from txnguard.operators.staging import split_unfit, stg_scored, to_lookup, to_warehouse
 from txnguard.operators.lookup import ALERT_KEY, LOOKUP_KEY, alerts_rows
 from txnguard.params import RuleParams, StreamParams
 from txnguard.operators.marts import fct_daily
-from txnguard.operators.staging import stg_scored
-from txnguard.plans.sinks import append_version, append_warehouse, refresh_daily_for_dates
+from txnguard.plans.sinks import (append_version, append_warehouse, delete_path, path_exists,
+                                  refresh_daily_for_dates)
 from txnguard.schemas import ALERT_FIELDS, SCORED_SCHEMA
 from txnguard.session import checkpoint_root
 from txnguard.sources import ingest
-from txnguard.streaming.state import OUTPUT_SCHEMA, TXN_NAMES, CustomerHistoryProcessor
+from txnguard.streaming.state import (OUTPUT_SCHEMA, TXN_NAMES, UNITS, UNITS_PER_ONE,
+                                       CustomerHistoryProcessor)
 
 SCORED_MESSAGE_FIELDS = ("transaction_id", "customer_id", "amount", "merchant", "category",
                          "country", "fraud_score", "is_fraud", "scored_at", "currency",
@@ -43,11 +46,14 @@ SCORED_MESSAGE_FIELDS = ("transaction_id", "customer_id", "amount", "merchant",
 # Sources (S1, S4)
 # -------------------------------------------------------------------------------------------
 
-def read_text_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """A folder of JSON-lines files as a raw message stream (`value` column)."""
+def read_text_stream(spark: SparkSession, path: str, max_files: int | None = None,
+                     sp: StreamParams = StreamParams()) -> DataFrame:
+    """A folder of JSON-lines files as a raw message stream (`value` column), with micro-batches
+    capped at `max_files` files (`sp.max_files_per_trigger` by default)."""
     r = spark.readStream.format("text")
-    if max_files:
-        r = r.option("maxFilesPerTrigger", str(max_files))
+    limit = max_files or sp.max_files_per_trigger
+    if limit:
+        r = r.option("maxFilesPerTrigger", str(limit))
     return r.load(path)
 
 
@@ -83,11 +89,13 @@ def stateless_stream(raw: DataFrame, sp: StreamParams = StreamParams()) -> DataF
 
 
 def rule_stream(raw: DataFrame, rp: RuleParams, sp: StreamParams = StreamParams()) -> DataFrame:
-    """Good rows through per-customer state (T7) and the weighted rules."""
+    """Good rows through per-customer state (T7, T10) and the weighted rules."""
     good = tagged_stream(raw, sp).filter(F.col("dlq_reason").isNull())
     good = good.withWatermark("event_time", sp.watermark)
-    hist = good.select(*TXN_NAMES).groupBy("customer_id").transformWithStateInPandas(
-        CustomerHistoryProcessor(rp, sp.state_ttl_days, sp.allowed_lateness_minutes),
+    units = (exact_amount() * UNITS_PER_ONE).cast("long").alias(UNITS)
+    hist = good.select(*TXN_NAMES, units).groupBy("customer_id").transformWithStateInPandas(
+        CustomerHistoryProcessor(rp, sp.state_ttl_days, sp.allowed_lateness_minutes,
+                                 sp.replay_minutes),
         OUTPUT_SCHEMA, "Append", "ProcessingTime")
     return apply_rules(hist, rp, stamp=True)
 
@@ -122,87 +130,116 @@ def alert_messages(scored: DataFrame) -> DataFrame:
         F.col("customer_id").alias("key"), F.to_json(F.struct(*ALERT_FIELDS)).alias("value"))
 
 
+def topic_frame(df: DataFrame) -> DataFrame:
+    """What the topic writer gets: key, value, and every other column as a header."""
+    extra = [c for c in df.columns if c not in ("key", "value")]
+    if not extra:
+        return df.select("key", "value")
+    return df.select("key", "value", F.array(*[
+        F.struct(F.lit(c).alias("key"), F.col(c).cast("string").cast("binary").alias("value"))
+        for c in extra]).alias("headers"))
+
+
+def dead_letters(rows: DataFrame) -> DataFrame:
+    """K8: tagged rows with a reason, as messages without key."""
+    return rows.filter(F.col("dlq_reason").isNotNull()).select(
+        F.lit(None).cast("string").alias("key"), "value", F.col("dlq_reason").alias("reason"),
+        F.current_timestamp().alias("ingested_at"))
+
+
+TOPICS = {"scored": "txn.scored", "alerts": "txn.fraud_alerts", "dlq": "txn.dlq"}
+
+
 @dataclass
 class FanOut:
     """Writes one micro-batch to every output. Folder outputs are keyed by batch id and
-    overwritten, tables are merged by key: replaying a batch changes nothing."""
+    overwritten, tables are merged by key: replaying a batch changes nothing there. With `kafka`
+    options the scored, alert and dead-letter messages go to topics, at least once."""
 
     root: str
     outputs: tuple = ("scored", "alerts", "warehouse", "lookup", "alert_table", "dlq")
-    kafka: dict | None = None           # {"kafka.bootstrap.servers": ..., topics in topic_*}
-    topics: dict = field(default_factory=lambda: {"scored": "txn.scored",
-                                                  "alerts": "txn.fraud_alerts",
-                                                  "dlq": "txn.dlq"})
+    kafka: dict | None = None           # writer options, e.g. {"kafka.bootstrap.servers": ...}
+    topics: dict = field(default_factory=lambda: dict(TOPICS))
     # The daily mart re-reads the touched days of the warehouse, so it is refreshed every
-    # `mart_every` batches for all days touched since the last refresh (about once a minute at
-    # 5-second triggers), not on every batch. Days pending at a driver restart are picked up by
-    # the next batch run of the incremental model (plans/sinks.py write_incremental_daily).
+    # `mart_every` batches (about once a minute at 5-second triggers) and in the first batch after
+    # a start, for all days that the stored log of touched days holds. A bounded run (`bounded`)
+    # has no later batch to rely on and refreshes in every batch.
     mart_every: int = 12
+    bounded: bool = False
     # Skip keys already stored for the touched days (reads their key column each batch). Turn
     # off when the source never repeats a transaction id: each batch then costs O(batch).
     warehouse_dedup: bool = True
-    _pending_days: set = field(default_factory=set)
+    _started: bool = False
 
     def _emit(self, df: DataFrame, name: str, batch_id: int) -> None:
         if self.kafka:
-            # the Kafka sink takes key, value and headers; other columns travel as headers
-            extra = [c for c in df.columns if c not in ("key", "value")]
-            out = df.select("key", "value", F.array(*[
-                F.struct(F.lit(c).alias("key"), F.col(c).cast("string").cast("binary")
-                         .alias("value")) for c in extra]).alias("headers")) if extra else df
-            (out.write.format("kafka").options(**self.kafka)
+            (topic_frame(df).write.format("kafka").options(**self.kafka)
              .option("topic", self.topics[name]).save())
         else:
             df.write.mode("overwrite").parquet(os.path.join(self.root, name, f"batch={batch_id}"))
 
+    def _refresh_mart(self, spark: SparkSession, batch_id: int) -> None:
+        """Rebuild the logged days; forget them only after that (a crash repeats the refresh)."""
+        due = self.bounded or not self._started or batch_id % max(1, self.mart_every) == 0
+        self._started = True
+        log = os.path.join(self.root, "_touched_days")
+        if not due or not path_exists(spark, log):
+            return
+        days = spark.read.schema("txn_date date, batch long").parquet(log)
+        logged = [r[0] for r in days.select("batch").distinct().collect()]
+        refresh_daily_for_dates(
+            os.path.join(self.root, "scored_transactions"),
+            os.path.join(self.root, "fct_fraud_daily"),
+            sorted(r[0] for r in days.select("txn_date").distinct().collect()),
+            lambda wh: fct_daily(stg_scored(wh)))
+        for b in logged:
+            delete_path(spark, os.path.join(log, f"batch={b}"))
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            if batch.isEmpty():            # e.g. a watermark-only batch: nothing to write
-                return
-            has_reason = "dlq_reason" in batch.columns
-            good = batch.filter(F.col("dlq_reason").isNull()) if has_reason else batch
-            if "scored" in self.outputs:
-                self._emit(scored_messages(good), "scored", batch_id)
-            if "alerts" in self.outputs:
-                self._emit(alert_messages(good), "alerts", batch_id)
-            if "dlq" in self.outputs and has_reason:
-                dead = batch.filter(F.col("dlq_reason").isNotNull()).select(
-                    F.lit(None).cast("string").alias("key"), "value",
-                    F.col("dlq_reason").alias("reason"),
-                    F.current_timestamp().alias("ingested_at"))
-                self._emit(dead, "dlq", batch_id)
-            if good.isEmpty():             # only dead letters in this batch
-                return
-            if "metrics" in self.outputs and "scored_at" in good.columns:
-                # A7 + A8 per micro-batch: one row, rewritten if the batch is replayed
-                batch_metrics(good, batch_id).write.mode("overwrite").parquet(
-                    os.path.join(self.root, "metrics", f"batch={batch_id}"))
-            if "warehouse" in self.outputs:
-                wh_path = os.path.join(self.root, "scored_transactions")
-                append_warehouse(to_warehouse(good), wh_path, load_id=batch_id,
-                                 dedup=self.warehouse_dedup)
-                if "daily_mart" in self.outputs:
-                    # count(distinct) cannot run as a streaming aggregate; refresh the touched
-                    # days from the stored rows instead (exact, idempotent)
-                    self._pending_days.update(
-                        r[0] for r in good.select(F.to_date("event_time")).distinct().collect())
-                    if batch_id % max(1, self.mart_every) == 0:
-                        refresh_daily_for_dates(
-                            wh_path, os.path.join(self.root, "fct_fraud_daily"),
-                            sorted(self._pending_days), lambda wh: fct_daily(stg_scored(wh)))
-                        self._pending_days.clear()
-            if "lookup" in self.outputs:
-                lk = to_lookup(good).withColumn("event_date", F.to_date("event_time"))
-                append_version(lk, os.path.join(self.root, "transactions"), "event_date",
-                               batch_id, sort_cols=LOOKUP_KEY)
-            if "alert_table" in self.outputs:
-                append_version(alerts_rows(to_lookup(good)),
-                               os.path.join(self.root, "fraud_alerts"), "alert_date", batch_id,
-                               sort_cols=ALERT_KEY)
+            if not batch.isEmpty():        # else a watermark-only batch: nothing to write
+                self._write(batch, batch_id)
+            if "warehouse" in self.outputs and "daily_mart" in self.outputs:
+                self._refresh_mart(batch.sparkSession, batch_id)
         finally:
             batch.unpersist()
 
+    def _write(self, batch: DataFrame, batch_id: int) -> None:
+        has_reason = "dlq_reason" in batch.columns
+        good = batch.filter(F.col("dlq_reason").isNull()) if has_reason else batch
+        if "scored" in self.outputs:
+            self._emit(scored_messages(good), "scored", batch_id)
+        if "alerts" in self.outputs:
+            self._emit(alert_messages(good), "alerts", batch_id)
+        if "dlq" in self.outputs and has_reason:
+            self._emit(dead_letters(batch), "dlq", batch_id)
+        if good.isEmpty():                 # only dead letters in this batch
+            return
+        if "metrics" in self.outputs and "scored_at" in good.columns:
+            # A7 + A8 per micro-batch: one row, rewritten if the batch is replayed
+            batch_metrics(good, batch_id).write.mode("overwrite").parquet(
+                os.path.join(self.root, "metrics", f"batch={batch_id}"))
+        if "warehouse" in self.outputs:
+            if "daily_mart" in self.outputs:
+                # logged before the rows are stored: a crash in between costs one refresh more
+                (good.select(F.to_date("event_time").alias("txn_date")).distinct().coalesce(1)
+                 .write.mode("overwrite")
+                 .parquet(os.path.join(self.root, "_touched_days", f"batch={batch_id}")))
+            fit, unfit = split_unfit(good)
+            append_warehouse(to_warehouse(fit), os.path.join(self.root, "scored_transactions"),
+                             load_id=batch_id, dedup=self.warehouse_dedup)
+            unfit.write.mode("overwrite").parquet(
+                os.path.join(self.root, "warehouse_unfit", f"batch={batch_id}"))
+        if "lookup" in self.outputs:
+            lk = to_lookup(good).withColumn("event_date", F.to_date("event_time"))
+            append_version(lk, os.path.join(self.root, "transactions"), "event_date",
+                           batch_id, sort_cols=LOOKUP_KEY)
+        if "alert_table" in self.outputs:
+            append_version(alerts_rows(to_lookup(good)),
+                           os.path.join(self.root, "fraud_alerts"), "alert_date", batch_id,
+                           sort_cols=ALERT_KEY)
+
 
 def start(scored: DataFrame, fan_out: FanOut, name: str, sp: StreamParams = StreamParams(),
           available_now: bool = False, checkpoint: str | None = None):
@@ -225,34 +262,38 @@ def start(scored: DataFrame, fan_out: FanOut, name: str, sp: StreamParams = Stre
         spark.conf.set(key, old)
 
 
-def write_dead_letters(root: str):
-    """foreachBatch writer for a dead-letter stream: one folder per batch id, overwritten."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(os.path.join(root, "dlq", f"batch={batch_id}"))
-    return write
-
-
 def start_pipeline(raw: DataFrame, root: str, rules: RuleParams | None = None,
                    sp: StreamParams = StreamParams(), available_now: bool = False,
                    outputs: tuple = ("scored", "alerts", "warehouse", "lookup", "alert_table",
                                      "daily_mart"),
-                   checkpoint_base: str | None = None) -> list:
+                   checkpoint_base: str | None = None, kafka: dict | None = None,
+                   topics: dict | None = None) -> list:
     """Start the scoring job and return its queries.
 
+    With `kafka` (writer options) the scored, alert and dead-letter messages are published to
+    `topics` (names by "scored", "alerts", "dlq"); else they go to folders below `root`.
     Stateless scoring (`rules=None`) is one query whose fan-out also writes the dead letters.
-    The rule engine needs state on good rows only, so its dead letters are a second query over
-    the same source."""
+    The rule engine keeps state of good rows only, and a streaming query cannot write the input of
+    its state operator as well, so its dead letters are a second query, which reads the source
+    again but keeps no state."""
     spark = raw.sparkSession
     base = checkpoint_base or os.path.join(checkpoint_root(spark), "streams")
-    fan = FanOut(root, outputs=outputs + (("dlq",) if rules is None else ()))
+
+    def fan(outputs):
+        return FanOut(root, outputs=outputs, kafka=kafka, topics={**TOPICS, **(topics or {})},
+                      bounded=available_now)
     if rules is None:
-        return [start(stateless_stream(raw, sp), fan, "stateless", sp, available_now,
-                      os.path.join(base, "stateless"))]
-    scoring = start(rule_stream(raw, rules, sp), fan, "rules", sp, available_now,
+        return [start(stateless_stream(raw, sp), fan((*outputs, "dlq")), "stateless", sp,
+                      available_now, os.path.join(base, "stateless"))]
+    scoring = start(rule_stream(raw, rules, sp), fan(outputs), "rules", sp, available_now,
                     os.path.join(base, "rules"))
-    w = (dead_letter_stream(raw, sp).writeStream.queryName("dead_letters")
+    dead = tagged_stream(raw, sp).filter(F.col("dlq_reason").isNotNull())
+
+    def write_dead(batch: DataFrame, batch_id: int) -> None:
+        fan(("dlq",))._emit(dead_letters(batch), "dlq", batch_id)
+    w = (dead.writeStream.queryName("dead_letters")
          .option("checkpointLocation", os.path.join(base, "dead_letters"))
-         .foreachBatch(write_dead_letters(root)))
+         .foreachBatch(write_dead))
     w = w.trigger(availableNow=True) if available_now else w.trigger(
         processingTime=sp.scored_trigger)
     return [scoring, w.start()]
