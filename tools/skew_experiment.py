@@ -59,7 +59,7 @@ def main():
     rows = txns.count()
     hot_rows = txns.filter(F.col("customer_id") == "cust-000000").count()
 
-    p = RuleParams(hot_customer_rows=50_000)
+    p = RuleParams()
     wv = p.velocity_window_minutes * 60_000_000
     w = Window.partitionBy("customer_id").orderBy("us")
     plain = txns.withColumn("us", F.unix_micros("event_time")).select(

@@ -2,40 +2,69 @@
 
 These statements are the brute-force definitions: customer history is a plain window over each
 customer's whole timeline, the fixtures are rebuilt from `events` with the same rules, and the
-marts follow the model SQL. They share no code path with the Spark plans, so agreement between
-the two is a real check. Literals are written as DOUBLE casts so both engines do the same
-floating-point arithmetic.
+marts follow the model SQL. They share no code path and no constant with the Spark plans: the
+values below are stated here a second time, so a wrong constant in either place shows as a
+mismatch. Literals are written as DOUBLE casts so both engines do the same floating-point
+arithmetic.
 """
 
 from __future__ import annotations
 
-from txnguard.params import (
-    AMOUNT_BUCKET_ELSE,
-    AMOUNT_BUCKETS,
-    CARD_TYPES,
-    CATEGORIES,
-    FIXTURE_PARAMS,
-    HIGH_RISK_STATUSES,
-    MERCHANTS,
-    RISK_LEVEL_ELSE,
-    RISK_LEVELS,
-    RISK_STATUS_ELSE,
-    RISK_STATUS_STEPS,
-    RISK_STATUS_VALUES,
-    SEVERITY_ELSE,
-    SEVERITY_STEPS,
-    STATELESS_AMOUNT_TIERS,
-    STATELESS_GEO_TIERS,
-    STATELESS_ONLINE_MIN_AMOUNT,
-    STATELESS_ONLINE_SCORE,
-    STATELESS_TIME_HOURS,
-    STATELESS_TIME_SCORE,
-    MartParams,
-    RuleParams,
-)
-from txnguard.sources.fixtures import COUNTRY_BY_K, COUNTRY_BY_K_ELSE
+from types import SimpleNamespace
 
-MART = MartParams()
+# ---------------------------------------------------------------------------------------------
+# What the definitions are checked against.
+# ---------------------------------------------------------------------------------------------
+
+RULES = SimpleNamespace(
+    score_threshold=0.3,                     # the fixture's; 0.7 by default
+    high_amount_threshold=5000.0,
+    velocity_window_minutes=1440,            # the fixture's; 10 by default
+    velocity_max_count=5,
+    card_test_amount_threshold=5.0,
+    card_test_window_minutes=1440,           # the fixture's; 5 by default
+    card_test_min_count=3,
+    weights=(("high_amount", 0.3), ("velocity", 0.25), ("geo_anomaly", 0.2),
+             ("card_testing", 0.15), ("time_anomaly", 0.1)),
+    geo_high_risk=("NG", "RU", "CN", "BR", "IN", "PH"),
+)
+STATELESS_AMOUNT_TIERS = ((5000.0, 0.3), (2000.0, 0.15))
+STATELESS_TIME_SCORE = 0.06
+STATELESS_TIME_HOURS = (2, 5)
+STATELESS_GEO_TIERS = ((("NG", "RU", "CN"), 0.18), (("BR", "IN", "PH"), 0.1))
+STATELESS_ONLINE_SCORE = 0.05
+STATELESS_ONLINE_MIN_AMOUNT = 1000.0
+MERCHANTS = (
+    "Amazon", "Walmart", "Target", "BestBuy", "Starbucks",
+    "McDonalds", "Shell", "CVS", "Costco", "HomeDepot",
+    "Apple Store", "Netflix", "Spotify", "Uber", "DoorDash",
+)
+CATEGORIES = (
+    "retail", "groceries", "gas", "dining", "entertainment",
+    "travel", "healthcare", "utilities", "subscription", "electronics",
+)
+CARD_TYPES = ("visa", "mastercard", "amex", "discover")
+COUNTRY_BY_K = ((82, "US"), (85, "CA"), (88, "GB"), (91, "DE"), (93, "BR"), (96, "NG"), (98, "RU"))
+COUNTRY_BY_K_ELSE = "CN"
+AMOUNT_BUCKETS = ((5000, "very_high"), (1000, "high"), (100, "medium"), (10, "low"))
+AMOUNT_BUCKET_ELSE = "micro"
+RISK_LEVELS = ((0.9, "critical"), (0.7, "high"), (0.4, "medium"))
+RISK_LEVEL_ELSE = "low"
+RISK_STATUS_STEPS = (
+    ("blocked", 5, "max", 0.95),
+    ("high_risk", 3, "avg", 0.6),
+    ("watch", 1, "avg", 0.3),
+)
+RISK_STATUS_ELSE = "clean"
+RISK_STATUS_VALUES = ("blocked", "high_risk", "watch", "clean")
+HIGH_RISK_STATUSES = ("blocked", "high_risk")
+SEVERITY_STEPS = ((5, "red"), (3, "yellow"))
+SEVERITY_ELSE = "green"
+MART = SimpleNamespace(
+    as_of_date="2024-01-30", lookback_days=1, incremental_loaded_until="2024-01-20",
+    top_customers=20, latest_per_customer=10, freshness_warn_minutes=10,
+    freshness_error_minutes=60,
+)
 
 
 def d(x: float) -> str:
@@ -102,7 +131,7 @@ EV_TXNS = f"""ev_txns AS (
 TXNS = "txns AS (SELECT * EXCLUDE (event_id, event_type) FROM ev_txns)"
 
 
-def hist_cte(p: RuleParams) -> str:
+def hist_cte(p) -> str:
     wv = p.velocity_window_minutes * 60_000_000
     wc = p.card_test_window_minutes * 60_000_000
     part = "PARTITION BY customer_id ORDER BY us"
@@ -130,7 +159,7 @@ hist AS (
 )"""
 
 
-def rules_cte(p: RuleParams) -> str:
+def rules_cte(p) -> str:
     t = float(p.high_amount_threshold)
     hi_risk = ", ".join(s(c) for c in p.geo_high_risk)
     w = dict(p.weights)
@@ -282,15 +311,15 @@ def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
-def scoring_prefix(p: RuleParams = FIXTURE_PARAMS) -> str:
+def scoring_prefix(p=RULES) -> str:
     return with_(EV_TXNS, TXNS, hist_cte(p), rules_cte(p))
 
 
-def staging_prefix(p: RuleParams = FIXTURE_PARAMS) -> str:
+def staging_prefix(p=RULES) -> str:
     return with_(EV_TXNS, TXNS, hist_cte(p), rules_cte(p), STG)
 
 
-def marts_prefix(p: RuleParams = FIXTURE_PARAMS) -> str:
+def marts_prefix(p=RULES) -> str:
     return with_(EV_TXNS, TXNS, hist_cte(p), rules_cte(p), STG, marts_ctes())
 
 
@@ -367,7 +396,7 @@ RULE_NAMES = ("high_amount", "velocity", "geo_anomaly", "card_testing", "time_an
 
 def _sql() -> dict[str, str]:
     sp, st, mp = scoring_prefix(), staging_prefix(), marts_prefix()
-    hp = with_(EV_TXNS, TXNS, hist_cte(FIXTURE_PARAMS))
+    hp = with_(EV_TXNS, TXNS, hist_cte(RULES))
     slp = with_(EV_TXNS, TXNS, stateless_cte())
     rawp = with_(EV_TXNS, RAW)
     score_cols = ", ".join(f"{r4(n + '_score')} AS {n}_score" for n in RULE_NAMES)
