@@ -289,6 +289,19 @@ def q_lookup_upsert(spark, sf_dir):
                         F.col("write_version").cast("long").alias("write_version"))
 
 
+def q_lookup_expiry(spark, sf_dir):
+    """Versions with unequal key sets (the second writer rescores online transactions), read on a
+    day when the oldest rows are past the retention."""
+    p = _p(spark, sf_dir)
+    first = to_lookup(p.stateless()).withColumn("write_version", F.lit(1))
+    online = p.scored().filter("is_online")
+    second = to_lookup(online).withColumn("write_version", F.lit(2))
+    table = lookup.upsert_last_write(first.unionByName(second))
+    return lookup.within_retention(table, "2024-02-12").select(
+        "customer_id", ntz("event_time").alias("event_time"), "transaction_id", "fraud_score",
+        "is_fraud", F.col("write_version").cast("long").alias("write_version"))
+
+
 def q_customer_stats(spark, sf_dir):
     s = lookup.customer_stats(_p(spark, sf_dir).scored())
     return s.select("customer_id", "total_transactions", "total_fraud",
@@ -306,6 +319,16 @@ def q_dq(kind: str):
     return q
 
 
+def q_dq_violations(spark, sf_dir):
+    """The checks on the raw messages, where every one of them finds something."""
+    d = _decoded(spark, sf_dir)
+    return quality.union_all([
+        quality.not_null(d, "raw_messages", "customer_id"),
+        quality.unique(d, "raw_messages", "customer_id"),
+        quality.in_range(d, "raw_messages", "amount", 1, 1000),
+        quality.accepted_values(d, "raw_messages", "country", ("US", "CA", "GB"))])
+
+
 def q_dq_freshness(spark, sf_dir):
     wh = _p(spark, sf_dir).warehouse()
     return quality.freshness(wh, "scored_transactions", "loaded_at",
@@ -404,11 +427,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_n_per_customer": q_latest_n_per_customer,
     "alerts_by_day": q_alerts_by_day,
     "lookup_upsert": q_lookup_upsert,
+    "lookup_expiry": q_lookup_expiry,
     "customer_stats": q_customer_stats,
     "dq_not_null": q_dq("not_null"),
     "dq_unique": q_dq("unique"),
     "dq_range": q_dq("range"),
     "dq_accepted": q_dq("accepted"),
+    "dq_violations": q_dq_violations,
     "dq_freshness": q_dq_freshness,
     "dash_rate": q_dash_rate,
     "dash_volume": q_dash_volume,

@@ -535,6 +535,26 @@ def _sql() -> dict[str, str]:
     q["dq_accepted"] = mp + chk("dim_fraud_customers", "accepted_values", "risk_status",
                                 "SELECT sum(CASE WHEN risk_status IS NOT NULL AND risk_status NOT IN "
                                 f"({', '.join(s(x) for x in RISK_STATUS_VALUES)}) THEN 1 ELSE 0 END) FROM customers")
+    q["dq_violations"] = rawp + "\nUNION ALL\n".join([
+        chk("raw_messages", "not_null", "customer_id", nn("decoded", "customer_id")),
+        chk("raw_messages", "unique", "customer_id", un("decoded", "customer_id")),
+        chk("raw_messages", "between", "amount",
+            "SELECT sum(CASE WHEN amount < 1 OR amount > 1000 THEN 1 ELSE 0 END) FROM decoded"),
+        chk("raw_messages", "accepted_values", "country",
+            "SELECT sum(CASE WHEN country NOT IN ('US', 'CA', 'GB') THEN 1 ELSE 0 END) "
+            "FROM decoded")])
+    q["lookup_expiry"] = with_(EV_TXNS, TXNS, hist_cte(RULES), rules_cte(RULES),
+                               stateless_cte()) + """, writes AS (
+        SELECT customer_id, event_time, transaction_id, fraud_score, is_fraud, 1 AS v FROM stateless
+        UNION ALL
+        SELECT customer_id, event_time, transaction_id, fraud_score, is_fraud, 2 AS v FROM scored
+        WHERE is_online
+      ), latest AS (
+        SELECT *, row_number() OVER (PARTITION BY customer_id, event_time, transaction_id
+                                     ORDER BY v DESC) AS n FROM writes)
+      SELECT customer_id, event_time, transaction_id, fraud_score, is_fraud,
+        CAST(v AS BIGINT) AS write_version
+      FROM latest WHERE n = 1 AND event_time > TIMESTAMP '2024-02-12 00:00:00' - INTERVAL 30 DAY"""
     as_of_ts = f"TIMESTAMP '{MART.as_of_date} 23:59:59'"
     age = f"(CAST(epoch_us({as_of_ts}) - epoch_us(newest) AS DOUBLE) / 60000000.0)"
     q["dq_freshness"] = st + f"""SELECT 'scored_transactions' AS table_name,
