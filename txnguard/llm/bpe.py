@@ -6,7 +6,8 @@ leftmost) first. A popped entry is stale, and skipped, when one of its two symbo
 merged. Each merge adds the new pairs on either side. Decoding concatenates the vocabulary strings
 of the ids and turns the byte alphabet back into bytes; bytes that aren't UTF-8 become U+FFFD.
 
-Pieces repeat, so a worker remembers up to `memo` of them. Added tokens of the file ("special"
+Words repeat, so a Python worker remembers the ids of up to `memo` words and pieces, and keeps
+them between tasks. Added tokens of the file ("special"
 ones) are found in the text first and take their own id, as the file asks.
 
 Null texts are empty and have no ids. Repeated rows are encoded one by one.
@@ -25,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnguard.llm.common import Memo, plus, small_batches
+from txnguard.llm.common import HEAD, NEWLINE, Memo, encode_by_runs, plus, small_batches
 
 # fixed value: the pattern that byte-level vocabularies of this kind cut text with
 PIECES = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -47,7 +48,7 @@ def byte_alphabet() -> list[str]:
 class Bpe:
     """Encoder and decoder of one vocabulary file (the JSON of a byte-level BPE tokenizer)."""
 
-    def __init__(self, spec: dict, memo: int = 300_000):
+    def __init__(self, spec: dict, memo: int = 800_000):
         model = spec["model"]
         alphabet = byte_alphabet()
         self.vocab: dict[str, int] = model["vocab"]
@@ -63,8 +64,10 @@ class Bpe:
         self.split_added = re.compile("(" + "|".join(
             map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         self.pieces = regex.compile(PIECES)
-        self.start = re.compile(r" (?=\S)")
-        self.memo = Memo(lambda s: self._run_ids(s), memo)
+        self.known: dict[str, bytes] = {}
+        self.limit = memo
+        self.piece_memo = Memo(lambda piece: np.array(self.merge(piece.encode(
+            "utf-8", "surrogatepass")), "<u4").tobytes(), memo // 2)
 
     def merge(self, data: bytes) -> list[int]:
         """Ids of one piece."""
@@ -93,32 +96,46 @@ class Bpe:
         return [x for x in ids if x is not None]
 
     def _run_ids(self, run: str) -> bytes:
-        ids: list[int] = []
-        for piece in self.pieces.findall(run):
-            ids += self.merge(piece.encode("utf-8", "surrogatepass"))
-        return np.array(ids, "<u4").tobytes()
-
-    def _plain(self, text: str) -> bytes:
-        # A space before a non-space always starts a piece, so the runs between such spaces are
-        # encoded on their own; a run is a word with its punctuation, and most runs repeat.
-        head, *rest = self.start.split(text)
-        memo = self.memo
-        return b"".join([self._run_ids(r) if len(r) > 64 else memo[r]
-                         for r in ([head] if head else []) + [" " + r for r in rest]])
-
-    def encode(self, text: str) -> np.ndarray:
-        if not text:
-            return np.empty(0, "<u4")
-        if self.split_added is None or not self.split_added.search(text):
-            return np.frombuffer(self._plain(text), "<u4")
-        parts = [np.array([self.added[s]], "<u4").tobytes() if s in self.added else self._plain(s)
-                 for s in self.split_added.split(text) if s]
-        return np.frombuffer(b"".join(parts), "<u4")
+        memo = self.piece_memo
+        return b"".join([memo[p] if len(p) <= 64 else np.array(self.merge(p.encode(
+            "utf-8", "surrogatepass")), "<u4").tobytes() for p in self.pieces.findall(run)])
+
+    def _learn(self, keys: list[str]) -> None:
+        self.known.update((k, self._run_ids(k.removeprefix(HEAD) if k[0] in HEAD + NEWLINE
+                                            else " " + k)) for k in keys)
+
+    def many(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text."""
+        if len(self.known) > self.limit:
+            self.known.clear()
+        plain = [i for i, t in enumerate(texts) if t and HEAD not in t
+                 and not (self.split_added and self.split_added.search(t))]
+        found = dict(zip(plain, encode_by_runs([texts[i] for i in plain], self.known,
+                                               self._learn)))
+        return [found[i] if i in found else self._with_added(t) for i, t in enumerate(texts)]
+
+    def _with_added(self, text: str) -> np.ndarray:
+        parts = self.split_added.split(text) if self.split_added else [text]
+        return np.frombuffer(b"".join([np.array([self.added[s]], "<u4").tobytes()
+                                       if s in self.added else self._run_ids(s)
+                                       for s in parts if s]), "<u4")
 
     def decode(self, ids) -> str:
         return b"".join(map(self.strings.__getitem__, ids)).decode("utf-8", "replace")
 
 
+_LOADED: dict[str, Bpe] = {}
+
+
+def loaded(spec: str) -> Bpe:
+    """The encoder of a vocabulary, one per Python worker."""
+    key = hashlib.sha256(spec.encode()).hexdigest()
+    if key not in _LOADED:
+        _LOADED.clear()
+        _LOADED[key] = Bpe(json.loads(spec))
+    return _LOADED[key]
+
+
 def encode_decode(docs: DataFrame, vocabulary: str, text: str = "text",
                   with_ids: bool = True) -> DataFrame:
     """`docs` with n_tokens, ids (array of int), ids_sha256 (of the ids as little-endian unsigned
@@ -133,11 +150,10 @@ def encode_decode(docs: DataFrame, vocabulary: str, text: str = "text",
                                                  "decoded_sha256")]
 
     def run(batches):
-        bpe = Bpe(json.loads(spec.value))
+        bpe = loaded(spec.value)
         for b in batches:
             n, ids, sha, back = [], [], [], []
-            for t in b["__llm_text"].to_pylist():
-                x = bpe.encode(t or "")
+            for x in bpe.many([t or "" for t in b["__llm_text"].to_pylist()]):
                 n.append(len(x))
                 ids.append(x)
                 sha.append(hashlib.sha256(x.tobytes()).hexdigest())

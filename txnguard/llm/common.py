@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -56,3 +60,65 @@ class Memo(dict):
             self.clear()
         value = self[key] = self.fn(key)
         return value
+
+
+START = re.compile(r" (?=\S)")
+HEAD, NEWLINE = "\0", "\n"
+
+
+def _lines(text: str) -> list[str]:
+    cut = text.split("\n")
+    odd = any(not x or x[0].isspace() or x[-1].isspace() for x in cut)
+    return [text] if odd else cut
+
+
+def run_keys(text: str) -> list[str]:
+    """A text cut where byte-level pre-tokenizers always start a token: before a space that a
+    non-space follows, and around a newline between non-spaces. A key is a run without the space
+    before it, HEAD and a run that has no space before it, or NEWLINE. `text` holds no HEAD."""
+    out: list[str] = []
+    for i, line in enumerate(_lines(text)):
+        head, *rest = START.split(line)
+        out += [NEWLINE, HEAD + head, *rest] if i else [HEAD + head, *rest]
+    return out
+
+
+def _is_plain(text: str) -> bool:
+    """Single spaces and newlines between printable characters: cut by splitting at spaces."""
+    return not (text[0] in " \n" or text[-1] in " \n" or "  " in text or " \n" in text
+                or "\n " in text or "\n\n" in text
+                ) and text.replace("\n", "").isprintable()
+
+
+def encode_by_runs(texts: list[str], known: dict[str, bytes], learn) -> list[np.ndarray]:
+    """Ids of non-empty texts from the ids of their runs (as bytes, by key). `learn` adds keys to
+    `known`. The texts of a batch are cut and their runs numbered by Arrow, so Python handles each
+    distinct run once."""
+    plain = [i for i, t in enumerate(texts) if _is_plain(t)]
+    odd = sorted(set(range(len(texts))).difference(plain))
+    keys = pa.chunked_array([
+        pc.split_pattern(pa.array([HEAD + texts[i].replace("\n", " \n " + HEAD) for i in plain],
+                                  pa.string()), " "),
+        pa.array([run_keys(texts[i]) for i in odd], pa.list_(pa.string()))]).combine_chunks()
+    counts = pc.list_value_length(keys).to_numpy(zero_copy_only=False)
+    coded = keys.flatten().dictionary_encode()
+    distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+    ids = list(map(known.get, distinct))
+    new = [i for i, x in enumerate(ids) if x is None]
+    learn([distinct[i] for i in new])
+    for i in new:
+        ids[i] = known[distinct[i]]
+    size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    run = coded.indices.to_numpy(zero_copy_only=False)
+    # copy each run's ids from the table of distinct runs to its place
+    length = size[run]
+    end = np.cumsum(length)
+    start = (np.cumsum(size) - size)[run]
+    total = int(end[-1]) if len(end) else 0
+    flat = np.frombuffer(b"".join(ids), "<u4")[
+        np.repeat(start - end + length, length) + np.arange(total)]
+    out: list = [None] * len(texts)
+    cuts = np.concatenate(([0], end))[np.concatenate(([0], np.cumsum(counts)))].tolist()
+    for i, a, b in zip([*plain, *odd], cuts, cuts[1:]):
+        out[i] = flat[a:b]
+    return out
