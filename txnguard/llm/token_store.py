@@ -20,7 +20,6 @@ from __future__ import annotations
 import hashlib
 import json
 import os
-import re
 import struct
 import zlib
 
@@ -32,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txnguard.llm.common import Memo, settle, shared_path, small_batches
+from txnguard.llm.common import HEAD, NEWLINE, encode_by_runs, settle, shared_path, small_batches
 
 MAGIC = b"TOKIDS01"
 FILES = "part int, seq int, file string, docs long, tokens long, bytes long"
@@ -41,11 +40,12 @@ FILES = "part int, seq int, file string, docs long, tokens long, bytes long"
 class Encoder:
     """Ids of whole texts by the tokenizers library, as little-endian unsigned 32-bit integers.
 
-    With a byte-level pre-tokenizer a space before a non-space always starts a token, so runs
-    between such spaces are encoded on their own and remembered; any other kind of tokenizer, and
-    a text that contains an added token, is encoded whole."""
+    With a byte-level pre-tokenizer texts are cut into runs that are encoded on their own (see
+    `common.run_keys`): all runs of a batch that are new go through the library in one text, and up
+    to `memo` runs are remembered. Any other kind of tokenizer, and a text that contains an added
+    token, is encoded whole."""
 
-    def __init__(self, spec: str, memo: int = 300_000):
+    def __init__(self, spec: str, memo: int = 1_200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -57,22 +57,69 @@ class Encoder:
         pre = told.get("pre_tokenizer") or {}
         self.by_runs = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True)
                         and not pre.get("add_prefix_space") and not told.get("normalizer"))
-        self.added = [t["content"] for t in told.get("added_tokens", [])]
-        self.start = re.compile(r" (?=\S)")
-        self.memo = Memo(self.whole, memo)
+        # texts with one of these are encoded whole
+        self.whole_if = [HEAD, *(t["content"] for t in told.get("added_tokens", []))]
+        # a character of the byte alphabet is a byte, so a token's bytes are its length
+        self.bytes = np.zeros(self.size, np.int64)
+        for token, i in self.library.get_vocab().items():
+            self.bytes[i] = len(token)
+        self.known: dict[str, bytes] = {}
+        self.limit = memo
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def __call__(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if not self.by_runs or any(a in text for a in self.added):
-            return self.whole(text)
-        head, *rest = self.start.split(text)
-        memo = self.memo
-        return b"".join([memo[r] if len(r) <= 64 else self.whole(r)
-                         for r in ([head] if head else []) + [" " + r for r in rest]])
+    def _learn(self, keys: list[str]) -> None:
+        # a comma or full stop after a letter is a token of its own at the end of a run
+        tails = [k for k in keys if k[-1] in ",." and k[-2:-1].isalpha() and k[0] != HEAD]
+        after_space = {k for k in keys if k[0] not in HEAD + NEWLINE}.difference(tails)
+        after_space = [*after_space, *{k[:-1] for k in tails}.difference(after_space, self.known)]
+        # after a newline, which is a token of its own unless space stands at its other side
+        heads = [k[1:] for k in keys if k[0] == HEAD and k[1:] and not k[1].isspace()
+                 and not k[-1].isspace()]
+        self.known.update(self._apart(after_space, " "))
+        self.known.update((HEAD + r, ids[4:]) for r, ids in self._apart(heads, "\n"))
+        if tails:
+            end = {c: self.whole(c) for c in ",."}
+            self.known.update((k, self.known[k[:-1]] + end[k[-1]]) for k in tails)
+        for k in keys:
+            if k not in self.known:
+                self.known[k] = self.whole(k.removeprefix(HEAD)) if k != HEAD else b""
+
+    def _apart(self, runs: list[str], before: str):
+        """(run, ids of `before` and the run). The runs are encoded as one text and told apart by
+        the bytes that their tokens stand for."""
+        for at in range(0, len(runs), 20_000):
+            part = runs[at:at + 20_000]
+            ids = np.array(self.library.encode(before + before.join(part),
+                                               add_special_tokens=False).ids, "<u4")
+            sizes = np.fromiter(map(len, map(str.encode, part)), np.int64, len(part))
+            cut = np.searchsorted(np.cumsum(self.bytes[ids]), np.cumsum(sizes + 1)) + 1
+            data = ids.tobytes()
+            yield from zip(part, [data[4 * a:4 * b] for a, b in
+                                  zip([0, *cut[:-1].tolist()], cut.tolist())])
+
+    def many(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text."""
+        whole = [not t or not self.by_runs or any(x in t for x in self.whole_if) for t in texts]
+        if len(self.known) > self.limit:
+            self.known.clear()
+        by_runs = iter(encode_by_runs([t for t, w in zip(texts, whole) if not w], self.known,
+                                      self._learn))
+        return [np.frombuffer(self.whole(t) if t else b"", "<u4") if w else next(by_runs)
+                for t, w in zip(texts, whole)]
+
+
+_LOADED: dict[str, Encoder] = {}
+
+
+def loaded(spec: str) -> Encoder:
+    """The encoder of a vocabulary, one per Python worker."""
+    key = hashlib.sha256(spec.encode()).hexdigest()
+    if key not in _LOADED:
+        _LOADED.clear()
+        _LOADED[key] = Encoder(spec)
+    return _LOADED[key]
 
 
 def _sample(docs: DataFrame, spec, dtype: str, end_id: int, sample: int, sample_bytes: int,
@@ -81,10 +128,10 @@ def _sample(docs: DataFrame, spec, dtype: str, end_id: int, sample: int, sample_
               .orderBy(F.xxhash64("_id"), "_id").limit(sample))
 
     def run(batches):
-        encode = Encoder(spec.value)
+        encoder = loaded(spec.value)
         for b in batches:
-            got = [_packed(encode(t or ""), dtype, end_id)[:sample_bytes]
-                   for t in b["_t"].to_pylist()]
+            got = [_packed(ids, dtype, end_id)[:sample_bytes]
+                   for ids in encoder.many([t or "" for t in b["_t"].to_pylist()])]
             yield pa.RecordBatch.from_arrays([b["_id"], pa.array(got, pa.binary())],
                                              names=["_id", "ids"])
 
@@ -95,8 +142,8 @@ def _sample(docs: DataFrame, spec, dtype: str, end_id: int, sample: int, sample_
             .orderBy("_id").collect()]
 
 
-def _packed(ids: bytes, dtype: str, end_id: int) -> bytes:
-    return np.append(np.frombuffer(ids, "<u4"), np.uint32(end_id)).astype(dtype).tobytes()
+def _packed(ids: np.ndarray, dtype: str, end_id: int) -> bytes:
+    return np.append(ids, np.uint32(end_id)).astype(dtype).tobytes()
 
 
 def train_dictionary(samples: list[bytes], size: int = 64 << 10) -> bytes:
@@ -179,7 +226,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, end_id: int = 2, folder: str
     """Write the files below `folder` (a new shared one by default). Returns the table of files in
     document order, with the number of ids before each (`start`), and the dictionary."""
     spark = docs.sparkSession
-    small_batches(spark, 500)
+    small_batches(spark, 1500)
     folder = folder or shared_path(spark, "tokens")
     with open(vocabulary, encoding="utf-8") as f:
         spec = spark.sparkContext.broadcast(f.read())        # one vocabulary file, a few MB
@@ -197,20 +244,21 @@ def write_tokens(docs: DataFrame, vocabulary: str, end_id: int = 2, folder: str
     def run(batches):
         store, root = fs.FileSystem.from_uri(folder)
         store.create_dir(root, recursive=True)
-        task, encode = TaskContext.get(), Encoder(spec.value)
-        z = zstandard.ZstdCompressor(level=6, dict_data=_dictionary(shared.value))
+        task, encoder = TaskContext.get(), loaded(spec.value)
+        z = zstandard.ZstdCompressor(level=3, dict_data=_dictionary(shared.value))
         out, name, rows = None, None, []
 
         def done():
             rows.append((task.partitionId(), len(rows), name, len(out.ids), out.tokens,
                          out.close()))
         for b in batches:
-            for doc, t in zip(b["_k"].to_pylist(), b["_t"].to_pylist()):
+            texts = [t or "" for t in b["_t"].to_pylist()]
+            for doc, encoded in zip(b["_k"].to_pylist(), encoder.many(texts)):
                 if out is None:
                     name = f"tokens-{task.partitionId():05d}-{len(rows):05d}-{task.taskAttemptId()}.bin"
                     out = _Writer(store.open_output_stream(f"{root}/{name}", compression=None),
                                   header)
-                ids = _packed(encode(t or ""), dtype, end_id)
+                ids = _packed(encoded, dtype, end_id)
                 out.add(doc, z.compress(ids), len(ids) // np.dtype(dtype).itemsize)
                 if out.out.tell() >= max_file:
                     done()
