@@ -27,7 +27,6 @@ one document as far as "smaller" goes, so they do not remove each other's words.
 from __future__ import annotations
 
 import hashlib
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -37,7 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnguard.llm.common import Memo, small_batches
+from txnguard.llm.common import small_batches
 
 BINS = 1 << 16
 LAST = (1 << 63) - 1                              # stands for a missing id: after all others
@@ -45,7 +44,35 @@ _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 DEPTHS = (1, 2, 4, 8)                             # prefix lengths that give 8 bits each
 
 
-CHUNK = 100_000                                   # words whose paths are computed at once
+CHUNK = 1 << 19                                   # bytes of text that are hashed at once
+SPACE = np.zeros(256, bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
+# a random-looking number for each byte value, made by rule
+BYTE_VALUES = np.array([xxhash.xxh64_intdigest(bytes([b]), 13) for b in range(256)], np.uint64)
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(words per text, 64-bit hash of every word). A word's hash is a polynomial in the values of
+    its bytes, so all words are hashed by array operations over the bytes."""
+    data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
+    space = SPACE[data]
+    edge = np.flatnonzero(np.diff(space, prepend=True))
+    starts, ends = edge[::2], edge[1::2]
+    sizes = ends - starts
+    if not len(sizes):
+        return np.zeros(len(texts), np.int64), np.empty(0, np.uint64)
+    first = np.cumsum(sizes) - sizes
+    place = np.arange(int(sizes.sum())) - np.repeat(first, sizes)
+    power = np.full(int(sizes.max()), _M1, np.uint64)
+    power[0] = 1
+    np.multiply.accumulate(power, out=power)
+    value = BYTE_VALUES[data[~space]]
+    value *= power[place]
+    h = np.add.reduceat(value, first) + sizes.astype(np.uint64) * _M2
+    h = (h ^ (h >> np.uint64(32))) * _M2
+    ends_of_texts = np.cumsum([len(t) + 1 for t in texts])
+    upto = np.searchsorted(starts, ends_of_texts)
+    return np.diff(upto, prepend=0), h ^ (h >> np.uint64(29))
 
 
 def suffix_paths(h: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -68,41 +95,33 @@ def suffix_paths(h: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def text_paths(texts: list, window: int):
-    """(sizes, prefix codes, path hashes) of texts, one after the other: sizes are the numbers of
-    suffixes with at least `window` words. Short texts are computed together."""
-    sizes, codes, paths = [], [], []
-    held, lengths = [], []
+    """(words, prefix codes, path hashes) of texts, one after the other: words per text, and codes
+    and paths of its suffixes with at least `window` words. Short texts are computed together."""
+    words, codes, paths = [np.empty(0, np.int64)], [], []
+    held: list[bytes] = []
 
     def flush():
-        h = np.fromiter(map(WORD_HASHES.__getitem__, chain.from_iterable(held)), np.uint64, sum(lengths))
+        n, h = word_hashes(held)
         code, path = suffix_paths(h, window)
         # runs that would reach into the next text don't count
-        left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(h))
+        left = np.repeat(np.cumsum(n), n) - np.arange(len(h))
         whole = left[:len(path)] >= window
+        words.append(n)
         codes.append(code[whole])
         paths.append(path[whole])
         held.clear()
-        lengths.clear()
 
+    size = 0
     for t in texts:
-        words = _words(t)
-        sizes.append(max(0, len(words) - window + 1))
-        if sizes[-1]:
-            held.append(words)
-            lengths.append(len(words))
-            if sum(lengths) >= CHUNK:
-                flush()
+        held.append(t or b"")
+        size += len(held[-1])
+        if size >= CHUNK:
+            flush()
+            size = 0
     if held:
         flush()
     none = [np.empty(0, np.uint64)]
-    return np.array(sizes, np.int64), np.concatenate(codes or none), np.concatenate(paths or none)
-
-
-def _word_hash(word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word)
-
-
-WORD_HASHES = Memo(_word_hash)                    # a Python worker keeps them between tasks
+    return np.concatenate(words), np.concatenate(codes or none), np.concatenate(paths or none)
 
 
 def _words(text) -> list[bytes]:
@@ -164,7 +183,8 @@ class Block:
         texts = [t if isinstance(t, bytes) else None for t in docs["_t"]]
         order = sorted(range(len(texts)), key=lambda i: (rank[i], texts[i] or b""))
         self.order, self.rank, self.texts = order, rank[order], [texts[i] for i in order]
-        self.sizes, code, path = text_paths(self.texts, window)
+        self.words, code, path = text_paths(self.texts, window)
+        self.sizes = np.maximum(0, self.words - window + 1)      # suffixes of each document
         _, first, inverse = np.unique(path, return_index=True, return_inverse=True)
         # a stable order: by group, then by first place in the block
         group = groups.of(code[first])
