@@ -12,8 +12,8 @@ domain, and a domain to its suffix. A host is blocked when the lower bound of it
 less `z` standard deviations) exceeds `max_bad`.
 
 Everything is a DataFrame expression: outcomes are partially aggregated per host, the levels above
-are sums over hosts, and pages join one row per host (a host with a third of the pages is split by
-AQE's skew join).
+are sums over hosts (each level is a written table, so no level is computed twice), and pages join
+one row per host (a host with a third of the pages is split by AQE's skew join).
 
 A null URL, or one without "://", has empty host and path, which are a host like any other. Null
 outcomes are unlabelled pages; repeated pages count as often as they occur.
@@ -26,6 +26,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from txnguard.llm.common import settle
+
 # public suffixes of two labels that hosts are commonly registered under (fixed values)
 TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "co.jp",
                       "co.nz", "co.za", "com.br", "com.cn", "com.mx", "com.tr", "co.in", "co.kr")
@@ -98,32 +100,31 @@ def _rho(n, k, mean, p: ReputationParams) -> Column:
 
 def reputation(outcomes: DataFrame, p: ReputationParams = ReputationParams()) -> DataFrame:
     """`outcomes` (host, bad: 1, 0 or null) to one row per host: host, n, bad_mean, bad_low,
-    verdict. The strength of a level is a table of one row, so that table is broadcast."""
+    verdict. The mean of all pages and the strength of each level are scalar subqueries."""
     hosts = outcomes.groupBy("host").agg(
         F.count("bad").cast("double").alias("n"),
         F.coalesce(F.sum("bad"), F.lit(0)).cast("double").alias("k"))
     bare = bare_host(F.col("host"))
-    hosts = hosts.withColumns({"suffix": suffix_of(bare), "domain": domain_of(bare),
-                               "one": F.lit(1)})
+    hosts = settle(hosts.withColumns({"suffix": suffix_of(bare), "domain": domain_of(bare)}),
+                   "hosts")
     sums = [F.sum("n").alias("n"), F.sum("k").alias("k")]
-    total = hosts.groupBy("one").agg(F.coalesce(F.try_divide(F.sum("k"), F.sum("n")),
-                                                F.lit(p.start_bad)).alias("parent"))
+    start = hosts.agg(F.coalesce(F.try_divide(F.sum("k"), F.sum("n")), F.lit(p.start_bad))).scalar()
 
-    def shrunk(level: DataFrame) -> DataFrame:
+    def shrunk(level: DataFrame, name: str) -> DataFrame:
         """Adds a, b of the posterior, given parent means."""
-        rho = level.groupBy("one").agg(
-            _rho(F.col("n"), F.col("k"), F.col("parent"), p).alias("rho"))
-        prior = 1 / F.col("rho") - 1
-        return (level.join(F.broadcast(rho), "one").withColumn("a", F.col("parent") * prior + F.col("k"))
-                .withColumn("b", (1 - F.col("parent")) * prior + F.col("n") - F.col("k")))
+        level = settle(level, name)
+        rho = level.agg(_rho(F.col("n"), F.col("k"), F.col("parent"), p)).scalar()
+        return (level.withColumn("prior", 1 / rho - 1)
+                .withColumn("a", F.col("parent") * F.col("prior") + F.col("k"))
+                .withColumn("b", (1 - F.col("parent")) * F.col("prior") + F.col("n") - F.col("k")))
 
     def mean(level: DataFrame, *keys: str) -> DataFrame:
         return level.select(*keys, (F.col("a") / (F.col("a") + F.col("b"))).alias("parent"))
 
-    suffixes = shrunk(hosts.groupBy("one", "suffix").agg(*sums).join(F.broadcast(total), "one"))
-    domains = shrunk(hosts.groupBy("one", "suffix", "domain").agg(*sums)
-                     .join(mean(suffixes, "suffix"), "suffix"))
-    judged = shrunk(hosts.join(mean(domains, "suffix", "domain"), ["suffix", "domain"]))
+    suffixes = shrunk(hosts.groupBy("suffix").agg(*sums).withColumn("parent", start), "suffixes")
+    domains = shrunk(hosts.groupBy("suffix", "domain").agg(*sums)
+                     .join(mean(suffixes, "suffix"), "suffix"), "domains")
+    judged = shrunk(hosts.join(mean(domains, "suffix", "domain"), ["suffix", "domain"]), "judged")
     a, b = F.col("a"), F.col("b")
     low = a / (a + b) - p.z * F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))
     return judged.select("host", F.col("n").cast("long").alias("n"),
