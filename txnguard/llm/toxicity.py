@@ -19,15 +19,13 @@ several texts of one id are learned from once (the smallest text).
 from __future__ import annotations
 
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnguard.llm.common import WORDS_ONLY, Memo, plus, small_batches
+from txnguard.llm.common import WORDS_ONLY, plus, small_batches, word_hashes
 
 
 @dataclass(frozen=True)
@@ -44,28 +42,20 @@ class ToxicityParams:
     threshold: float = 0.5
 
 
-class Features:
-    """Sorted distinct feature numbers of a text; number 0 is the bias."""
-
-    def __init__(self, p: ToxicityParams):
-        self.shift, self.stem = np.uint64(64 - p.bits), p.stem
-        self.memo = Memo(self._hashes)
-
-    def _hashes(self, word: bytes) -> tuple[int, int]:
-        stem = word.decode("utf-8", "replace")[:self.stem].encode()
-        return xxhash.xxh64_intdigest(word), xxhash.xxh64_intdigest(stem, 1)
-
-    def __call__(self, text: bytes | None) -> np.ndarray:
-        words = text.translate(WORDS_ONLY).split() if text else []
-        both = np.fromiter(chain.from_iterable(map(self.memo.__getitem__, words)), np.uint64,
-                           2 * len(words))
-        h, stems = both[::2], both[1::2]
-        m1, m2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-        pairs = (h[:-1] * m1 ^ h[1:]) * m2
-        skips = (h[:-2] * m2 ^ h[2:]) * m1
-        marks = np.concatenate((h, stems, pairs, skips)) >> self.shift
+def features(texts: list[bytes | None], p: ToxicityParams):
+    """For each text its sorted distinct feature numbers; number 0 is the bias."""
+    counts, h, stems = word_hashes([t.translate(WORDS_ONLY) if t else b"" for t in texts], p.stem)
+    m1, m2, shift = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 64 - p.bits))
+    pairs, skips = (h[:-1] * m1 ^ h[1:]) * m2, (h[:-2] * m2 ^ h[2:]) * m1
+    kinds = [(x >> shift).astype(np.int64) for x in (h, stems * m1, pairs, skips)]
+    at = 0
+    for n in counts.tolist():
+        marks = np.concatenate((kinds[0][at:at + n], kinds[1][at:at + n],
+                                kinds[2][at:at + n - 1] if n > 1 else kinds[2][:0],
+                                kinds[3][at:at + n - 2] if n > 2 else kinds[3][:0]))
         marks[marks == 0] = 1
-        return np.concatenate((np.zeros(1, np.int64), np.unique(marks).astype(np.int64)))
+        yield np.concatenate((np.zeros(1, np.int64), np.unique(marks)))
+        at += n
 
 
 def _chance(x: float) -> float:
@@ -103,7 +93,7 @@ def fit(docs: DataFrame, labels: DataFrame, p: ToxicityParams = ToxicityParams()
         text: str = "text", id_col: str = "doc_id", label: str = "toxic"):
     """(feature numbers, weights) as arrays, learned from labelled rows that are not held out."""
     spark = docs.sparkSession
-    small_batches(spark)
+    small_batches(spark, 250)
     known = (labels.filter(F.col(id_col).isNotNull() & F.col(label).isNotNull()
                            & ~is_held_out(id_col))
              .groupBy(F.col(id_col).alias("_id")).agg(F.max(label).cast("int").alias("_y")))
@@ -117,10 +107,10 @@ def fit(docs: DataFrame, labels: DataFrame, p: ToxicityParams = ToxicityParams()
               .repartition(1).sortWithinPartitions("_e", "_h", "_id").select("_t", "_y"))
 
     def learn(batches):
-        model, features = Ftrl(p), Features(p)
+        model = Ftrl(p)
         for b in batches:
-            for t, y in zip(b["_t"].to_pylist(), b["_y"].to_pylist()):
-                model.learn(features(t), y)
+            for i, y in zip(features(b["_t"].to_pylist(), p), b["_y"].to_pylist()):
+                model.learn(i, y)
         w = model.weights()
         at = np.flatnonzero(w)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(w[at])], names=["i", "w"])
@@ -133,15 +123,15 @@ def score(docs: DataFrame, model, p: ToxicityParams = ToxicityParams(),
           text: str = "text") -> DataFrame:
     """`docs` with score (0 to 1) and predicted (0 or 1). Columns of those names are replaced."""
     spark = docs.sparkSession
-    small_batches(spark)
+    small_batches(spark, 250)
     shared = spark.sparkContext.broadcast(model)
     kept = [c for c in docs.columns if c not in ("score", "predicted")]
 
     def run(batches):
-        w, features, start = np.zeros(1 << p.bits), Features(p), _log_odds(p)
+        w, start = np.zeros(1 << p.bits), _log_odds(p)
         w[shared.value[0]] = shared.value[1]
         for b in batches:
-            s = [_chance(start + w[features(t)].sum()) for t in b["__llm_text"].to_pylist()]
+            s = [_chance(start + w[i].sum()) for i in features(b["__llm_text"].to_pylist(), p)]
             yield pa.RecordBatch.from_arrays([b[c] for c in kept] + [pa.array(s, pa.float64())],
                                              names=[*kept, "score"])
 
