@@ -6,7 +6,7 @@ leftmost) first. A popped entry is stale, and skipped, when one of its two symbo
 merged. Each merge adds the new pairs on either side. Decoding concatenates the vocabulary strings
 of the ids and turns the byte alphabet back into bytes; bytes that aren't UTF-8 become U+FFFD.
 
-Words repeat, so a Python worker remembers the ids of up to `memo` words and pieces, and keeps
+Words repeat, so a Python worker remembers the ids of up to `memo` words, and keeps
 them between tasks. Added tokens of the file ("special"
 ones) are found in the text first and take their own id, as the file asks.
 
@@ -26,7 +26,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnguard.llm.common import HEAD, NEWLINE, Memo, encode_by_runs, plus, small_batches
+from txnguard.llm.common import (HEAD, NEWLINE, Memo, RunMemo, encode_by_runs, plus,
+                                 small_batches)
 
 # fixed value: the pattern that byte-level vocabularies of this kind cut text with
 PIECES = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -48,7 +49,7 @@ def byte_alphabet() -> list[str]:
 class Bpe:
     """Encoder and decoder of one vocabulary file (the JSON of a byte-level BPE tokenizer)."""
 
-    def __init__(self, spec: dict, memo: int = 800_000):
+    def __init__(self, spec: dict, memo: int = 400_000):
         model = spec["model"]
         alphabet = byte_alphabet()
         self.vocab: dict[str, int] = model["vocab"]
@@ -64,8 +65,7 @@ class Bpe:
         self.split_added = re.compile("(" + "|".join(
             map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         self.pieces = regex.compile(PIECES)
-        self.known: dict[str, bytes] = {}
-        self.limit = memo
+        self.memo = RunMemo(self._learn, memo)
         self.piece_memo = Memo(lambda piece: np.array(self.merge(piece.encode(
             "utf-8", "surrogatepass")), "<u4").tobytes(), memo // 2)
 
@@ -100,18 +100,15 @@ class Bpe:
         return b"".join([memo[p] if len(p) <= 64 else np.array(self.merge(p.encode(
             "utf-8", "surrogatepass")), "<u4").tobytes() for p in self.pieces.findall(run)])
 
-    def _learn(self, keys: list[str]) -> None:
-        self.known.update((k, self._run_ids(k.removeprefix(HEAD) if k[0] in HEAD + NEWLINE
-                                            else " " + k)) for k in keys)
+    def _learn(self, keys: list[str]) -> dict[str, bytes]:
+        return {k: self._run_ids(k.removeprefix(HEAD) if k[0] in HEAD + NEWLINE else " " + k)
+                for k in keys}
 
     def many(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
-        if len(self.known) > self.limit:
-            self.known.clear()
         plain = [i for i, t in enumerate(texts) if t and HEAD not in t
                  and not (self.split_added and self.split_added.search(t))]
-        found = dict(zip(plain, encode_by_runs([texts[i] for i in plain], self.known,
-                                               self._learn)))
+        found = dict(zip(plain, encode_by_runs([texts[i] for i in plain], self.memo)))
         return [found[i] if i in found else self._with_added(t) for i, t in enumerate(texts)]
 
     def _with_added(self, text: str) -> np.ndarray:

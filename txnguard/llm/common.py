@@ -8,6 +8,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -62,6 +63,49 @@ class Memo(dict):
         return value
 
 
+SPACE = np.zeros(256, bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
+# a random-looking number for each byte value, made by rule
+BYTE_VALUES = np.array([xxhash.xxh64_intdigest(bytes([b]), 13) for b in range(256)], np.uint64)
+_M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+
+
+def word_hashes(texts: list[bytes], letters: int = 0):
+    """(words per text, 64-bit hash of every word, the same of its first `letters` letters or
+    None). Words are what bytes.split() gives. A hash is a polynomial in the values of the bytes,
+    so all words are hashed by array operations over the bytes."""
+    data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
+    space = SPACE[data]
+    edge = np.flatnonzero(np.diff(space, prepend=True))
+    starts, ends = edge[::2], edge[1::2]
+    sizes = ends - starts
+    if not len(sizes):
+        none = np.empty(0, np.uint64)
+        return np.zeros(len(texts), np.int64), none, none if letters else None
+    first = np.cumsum(sizes) - sizes
+    place = np.arange(int(sizes.sum())) - np.repeat(first, sizes)
+    power = np.full(int(sizes.max()), _M1, np.uint64)
+    power[0] = 1
+    np.multiply.accumulate(power, out=power)
+    letter = data[~space]
+    value = BYTE_VALUES[letter]
+    value *= power[place]
+
+    def mixed(sums, size):
+        h = sums + size.astype(np.uint64) * _M2
+        h = (h ^ (h >> np.uint64(32))) * _M2
+        return h ^ (h >> np.uint64(29))
+
+    h, stems = mixed(np.add.reduceat(value, first), sizes), None
+    if letters:
+        begins = (letter & 0xC0) != 0x80                 # first bytes of UTF-8 characters
+        nth = np.cumsum(begins)
+        value[nth - np.repeat(nth[first] - begins[first], sizes) > letters] = 0
+        stems = mixed(np.add.reduceat(value, first), np.zeros(len(first), np.int64))
+    upto = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts]))
+    return np.diff(upto, prepend=0), h, stems
+
+
 START = re.compile(r" (?=\S)")
 HEAD, NEWLINE = "\0", "\n"
 
@@ -83,33 +127,50 @@ def run_keys(text: str) -> list[str]:
     return out
 
 
-def _is_plain(text: str) -> bool:
-    """Single spaces and newlines between printable characters: cut by splitting at spaces."""
-    return not (text[0] in " \n" or text[-1] in " \n" or "  " in text or " \n" in text
-                or "\n " in text or "\n\n" in text
-                ) and text.replace("\n", "").isprintable()
-
-
-def encode_by_runs(texts: list[str], known: dict[str, bytes], learn) -> list[np.ndarray]:
-    """Ids of non-empty texts from the ids of their runs (as bytes, by key). `learn` adds keys to
-    `known`. The texts of a batch are cut and their runs numbered by Arrow, so Python handles each
-    distinct run once."""
-    plain = [i for i, t in enumerate(texts) if _is_plain(t)]
-    odd = sorted(set(range(len(texts))).difference(plain))
-    keys = pa.chunked_array([
-        pc.split_pattern(pa.array([HEAD + texts[i].replace("\n", " \n " + HEAD) for i in plain],
-                                  pa.string()), " "),
-        pa.array([run_keys(texts[i]) for i in odd], pa.list_(pa.string()))]).combine_chunks()
-    counts = pc.list_value_length(keys).to_numpy(zero_copy_only=False)
+class RunMemo:
+    """Ids of runs as bytes, by key; `learn` gives them for new keys. At most about `limit` keys
+    are held, in two generations: a full one becomes the older, and what is used again moves over,
+    so frequent runs stay."""
+
+    def __init__(self, learn, limit: int):
+        self.learn, self.limit = learn, limit
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def get(self, key: str) -> bytes | None:
+        ids = self.new.get(key)
+        return self.old.get(key) if ids is None else ids
+
+    def __call__(self, keys: list[str]) -> list[bytes]:
+        if len(self.new) > self.limit // 2:
+            self.old, self.new = self.new, {}
+        ids = list(map(self.new.get, keys))
+        missing = [i for i, x in enumerate(ids) if x is None]
+        before = [self.old.get(keys[i]) for i in missing]
+        self.new.update(self.learn([keys[i] for i, x in zip(missing, before) if x is None]))
+        self.new.update((keys[i], x) for i, x in zip(missing, before) if x is not None)
+        for i in missing:
+            ids[i] = self.new[keys[i]]
+        return ids
+
+
+def _is_plain(key: str) -> bool:
+    """What splitting at single spaces gives where words and newlines stand apart by them."""
+    return key.removeprefix(HEAD).isprintable() and key not in ("", HEAD) or key == NEWLINE
+
+
+def _ids_of(keys: pa.Array, memo: RunMemo, check: bool):
+    """(ids of each list of run keys, for each whether it holds keys that aren't plain)."""
     coded = keys.flatten().dictionary_encode()
     distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-    ids = list(map(known.get, distinct))
-    new = [i for i, x in enumerate(ids) if x is None]
-    learn([distinct[i] for i in new])
-    for i in new:
-        ids[i] = known[distinct[i]]
-    size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
     run = coded.indices.to_numpy(zero_copy_only=False)
+    runs_upto = np.concatenate(([0], np.cumsum(
+        pc.list_value_length(keys).to_numpy(zero_copy_only=False))))
+    bad = np.array([check and not _is_plain(k) for k in distinct], bool)
+    odd = np.diff(np.concatenate(([0], np.cumsum(bad[run])))[runs_upto]) > 0
+    found = iter(memo([k for k, b in zip(distinct, bad) if not b]))
+    ids = [b"" if b else next(found) for b in bad]
+    size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
     # copy each run's ids from the table of distinct runs to its place
     length = size[run]
     end = np.cumsum(length)
@@ -117,8 +178,19 @@ def encode_by_runs(texts: list[str], known: dict[str, bytes], learn) -> list[np.
     total = int(end[-1]) if len(end) else 0
     flat = np.frombuffer(b"".join(ids), "<u4")[
         np.repeat(start - end + length, length) + np.arange(total)]
-    out: list = [None] * len(texts)
-    cuts = np.concatenate(([0], end))[np.concatenate(([0], np.cumsum(counts)))].tolist()
-    for i, a, b in zip([*plain, *odd], cuts, cuts[1:]):
-        out[i] = flat[a:b]
+    cuts = np.concatenate(([0], end))[runs_upto].tolist()
+    return [flat[a:b] for a, b in zip(cuts, cuts[1:])], odd
+
+
+def encode_by_runs(texts: list[str], memo: RunMemo) -> list[np.ndarray]:
+    """Ids of non-empty texts from the ids of their runs. The texts of a batch are cut at spaces
+    and their runs numbered by Arrow, so Python handles each distinct run of a batch once. Texts
+    where that cut leaves odd pieces (more than single spaces and newlines) are cut one by one."""
+    marked = pa.array([HEAD + t.replace("\n", " \n " + HEAD) for t in texts], pa.string())
+    out, odd = _ids_of(pc.split_pattern(marked, " "), memo, check=True)
+    at = np.flatnonzero(odd).tolist()
+    if at:
+        keys = pa.array([run_keys(texts[i]) for i in at], pa.list_(pa.string()))
+        for i, ids in zip(at, _ids_of(keys, memo, check=False)[0]):
+            out[i] = ids
     return out

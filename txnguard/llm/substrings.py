@@ -31,12 +31,11 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnguard.llm.common import small_batches
+from txnguard.llm.common import small_batches, word_hashes
 
 BINS = 1 << 16
 LAST = (1 << 63) - 1                              # stands for a missing id: after all others
@@ -45,34 +44,6 @@ DEPTHS = (1, 2, 4, 8)                             # prefix lengths that give 8 b
 
 
 CHUNK = 1 << 19                                   # bytes of text that are hashed at once
-SPACE = np.zeros(256, bool)
-SPACE[[9, 10, 11, 12, 13, 32]] = True
-# a random-looking number for each byte value, made by rule
-BYTE_VALUES = np.array([xxhash.xxh64_intdigest(bytes([b]), 13) for b in range(256)], np.uint64)
-
-
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(words per text, 64-bit hash of every word). A word's hash is a polynomial in the values of
-    its bytes, so all words are hashed by array operations over the bytes."""
-    data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
-    space = SPACE[data]
-    edge = np.flatnonzero(np.diff(space, prepend=True))
-    starts, ends = edge[::2], edge[1::2]
-    sizes = ends - starts
-    if not len(sizes):
-        return np.zeros(len(texts), np.int64), np.empty(0, np.uint64)
-    first = np.cumsum(sizes) - sizes
-    place = np.arange(int(sizes.sum())) - np.repeat(first, sizes)
-    power = np.full(int(sizes.max()), _M1, np.uint64)
-    power[0] = 1
-    np.multiply.accumulate(power, out=power)
-    value = BYTE_VALUES[data[~space]]
-    value *= power[place]
-    h = np.add.reduceat(value, first) + sizes.astype(np.uint64) * _M2
-    h = (h ^ (h >> np.uint64(32))) * _M2
-    ends_of_texts = np.cumsum([len(t) + 1 for t in texts])
-    upto = np.searchsorted(starts, ends_of_texts)
-    return np.diff(upto, prepend=0), h ^ (h >> np.uint64(29))
 
 
 def suffix_paths(h: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -101,7 +72,7 @@ def text_paths(texts: list, window: int):
     held: list[bytes] = []
 
     def flush():
-        n, h = word_hashes(held)
+        n, h, _ = word_hashes(held)
         code, path = suffix_paths(h, window)
         # runs that would reach into the next text don't count
         left = np.repeat(np.cumsum(n), n) - np.arange(len(h))

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txnguard.llm.common import HEAD, NEWLINE, encode_by_runs, settle, shared_path, small_batches
+from txnguard.llm.common import HEAD, NEWLINE, RunMemo, encode_by_runs, settle, shared_path, small_batches
 
 MAGIC = b"TOKIDS01"
 FILES = "part int, seq int, file string, docs long, tokens long, bytes long"
@@ -63,36 +63,39 @@ class Encoder:
         self.bytes = np.zeros(self.size, np.int64)
         for token, i in self.library.get_vocab().items():
             self.bytes[i] = len(token)
-        self.known: dict[str, bytes] = {}
-        self.limit = memo
+        self.memo = RunMemo(self._learn, memo)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, keys: list[str]) -> None:
+    def _learn(self, keys: list[str]) -> dict[str, bytes]:
         # a comma or full stop after a letter is a token of its own at the end of a run
         tails = [k for k in keys if k[-1] in ",." and k[-2:-1].isalpha() and k[0] != HEAD]
-        after_space = {k for k in keys if k[0] not in HEAD + NEWLINE}.difference(tails)
-        after_space = [*after_space, *{k[:-1] for k in tails}.difference(after_space, self.known)]
+        whole = {k for k in keys if k[0] not in HEAD + NEWLINE}.difference(tails)
+        known = {w: ids for w in {k[:-1] for k in tails}.difference(whole)
+                 if (ids := self.memo.get(w)) is not None}
+        whole.update({k[:-1] for k in tails}.difference(known))
         # after a newline, which is a token of its own unless space stands at its other side
         heads = [k[1:] for k in keys if k[0] == HEAD and k[1:] and not k[1].isspace()
                  and not k[-1].isspace()]
-        self.known.update(self._apart(after_space, " "))
-        self.known.update((HEAD + r, ids[4:]) for r, ids in self._apart(heads, "\n"))
+        out = dict(self._apart(list(whole), " "))
+        out.update((HEAD + r, ids[4:]) for r, ids in self._apart(heads, "\n"))
         if tails:
             end = {c: self.whole(c) for c in ",."}
-            self.known.update((k, self.known[k[:-1]] + end[k[-1]]) for k in tails)
+            out.update((k, (known.get(k[:-1]) or out[k[:-1]]) + end[k[-1]]) for k in tails)
         for k in keys:
-            if k not in self.known:
-                self.known[k] = self.whole(k.removeprefix(HEAD)) if k != HEAD else b""
+            if k not in out:
+                out[k] = self.whole(k.removeprefix(HEAD)) if k != HEAD else b""
+        return out
 
-    def _apart(self, runs: list[str], before: str):
-        """(run, ids of `before` and the run). The runs are encoded as one text and told apart by
+    def _apart(self, runs: list[str], before: str, together: int = 1000):
+        """(run, ids of `before` and the run). Many runs are encoded as one text and told apart by
         the bytes that their tokens stand for."""
-        for at in range(0, len(runs), 20_000):
-            part = runs[at:at + 20_000]
-            ids = np.array(self.library.encode(before + before.join(part),
-                                               add_special_tokens=False).ids, "<u4")
+        parts = [runs[at:at + together] for at in range(0, len(runs), together)]
+        coded = self.library.encode_batch_fast([before + before.join(p) for p in parts],
+                                               add_special_tokens=False)
+        for part, encoding in zip(parts, coded):
+            ids = np.array(encoding.ids, "<u4")
             sizes = np.fromiter(map(len, map(str.encode, part)), np.int64, len(part))
             cut = np.searchsorted(np.cumsum(self.bytes[ids]), np.cumsum(sizes + 1)) + 1
             data = ids.tobytes()
@@ -102,10 +105,7 @@ class Encoder:
     def many(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
         whole = [not t or not self.by_runs or any(x in t for x in self.whole_if) for t in texts]
-        if len(self.known) > self.limit:
-            self.known.clear()
-        by_runs = iter(encode_by_runs([t for t, w in zip(texts, whole) if not w], self.known,
-                                      self._learn))
+        by_runs = iter(encode_by_runs([t for t, w in zip(texts, whole) if not w], self.memo))
         return [np.frombuffer(self.whole(t) if t else b"", "<u4") if w else next(by_runs)
                 for t, w in zip(texts, whole)]
 
