@@ -61,7 +61,8 @@ def hide_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.encode_decode(docs, vocabulary_path()).drop("text")
+    # a small memo: all stages share the Python workers' memory
+    return bpe.encode_decode(docs, vocabulary_path(), memo=50_000).drop("text")
 
 
 STAGES = [

@@ -144,6 +144,17 @@ def test_token_encoder_equals_library(library):
     assert own.many([]) == []
 
 
+def test_long_runs_are_not_held(library):
+    with open(vocabulary_path(), encoding="utf-8") as f:
+        spec = f.read()
+    long = "ab" * 20_000
+    import json
+    for own in (token_store.Encoder(spec), bpe.Bpe(json.loads(spec))):
+        got = own.many([f"{long} {long}, x", "x y", "x, y."])
+        assert got[0].tolist() == library.encode(f"{long} {long}, x", add_special_tokens=False).ids
+        assert max(map(len, own.memo.new)) <= 64 and own.memo.get("y") is not None
+
+
 def test_op7_and_op8(spark, texts, library):
     start, want7, want8 = 0, {}, {}
     for i in sorted(texts):

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnguard.llm.common import (HEAD, NEWLINE, Memo, RunMemo, encode_by_runs, plus,
-                                 small_batches)
+                                 small_batches, tidy)
 
 # fixed value: the pattern that byte-level vocabularies of this kind cut text with
 PIECES = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -52,14 +52,14 @@ class Bpe:
     def __init__(self, spec: dict, memo: int = 400_000):
         model = spec["model"]
         alphabet = byte_alphabet()
-        self.vocab: dict[str, int] = model["vocab"]
-        self.base = [self.vocab[c] for c in alphabet]
+        vocab: dict[str, int] = model["vocab"]
+        self.base = [vocab[c] for c in alphabet]
         self.ranks: dict[tuple[int, int], tuple[int, int]] = {}
         for rank, pair in enumerate(model["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
-            self.ranks[self.vocab[a], self.vocab[b]] = (rank, self.vocab[a + b])
+            self.ranks[vocab[a], vocab[b]] = (rank, vocab[a + b])
         back = {c: b for b, c in enumerate(alphabet)}
-        self.strings = {i: bytes(back[c] for c in s) for s, i in self.vocab.items()}
+        self.strings = {i: bytes(back[c] for c in s) for s, i in vocab.items()}
         self.added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.strings |= {i: s.encode() for s, i in self.added.items()}
         self.split_added = re.compile("(" + "|".join(
@@ -67,7 +67,7 @@ class Bpe:
         self.pieces = regex.compile(PIECES)
         self.memo = RunMemo(self._learn, memo)
         self.piece_memo = Memo(lambda piece: np.array(self.merge(piece.encode(
-            "utf-8", "surrogatepass")), "<u4").tobytes(), memo // 2)
+            "utf-8", "surrogatepass")), "<u4").tobytes(), 2 * memo)
 
     def merge(self, data: bytes) -> list[int]:
         """Ids of one piece."""
@@ -121,23 +121,24 @@ class Bpe:
         return b"".join(map(self.strings.__getitem__, ids)).decode("utf-8", "replace")
 
 
-_LOADED: dict[str, Bpe] = {}
+_LOADED: dict[tuple[str, int], Bpe] = {}
 
 
-def loaded(spec: str) -> Bpe:
+def loaded(spec: str, memo: int) -> Bpe:
     """The encoder of a vocabulary, one per Python worker."""
-    key = hashlib.sha256(spec.encode()).hexdigest()
+    key = (hashlib.sha256(spec.encode()).hexdigest(), memo)
     if key not in _LOADED:
         _LOADED.clear()
-        _LOADED[key] = Bpe(json.loads(spec))
+        _LOADED[key] = Bpe(json.loads(spec), memo)
     return _LOADED[key]
 
 
 def encode_decode(docs: DataFrame, vocabulary: str, text: str = "text",
-                  with_ids: bool = True) -> DataFrame:
+                  with_ids: bool = True, memo: int = 400_000) -> DataFrame:
     """`docs` with n_tokens, ids (array of int), ids_sha256 (of the ids as little-endian unsigned
     32-bit integers) and decoded_sha256 (of the decoded text); `with_ids=False` leaves the ids
-    out. Columns of those names are replaced."""
+    out. `memo` is the number of words that a worker remembers (about 400 bytes each, with their
+    pieces); a small one costs time only. Columns of those names are replaced."""
     spark = docs.sparkSession
     small_batches(spark, 250)
     with open(vocabulary, encoding="utf-8") as f:
@@ -147,7 +148,7 @@ def encode_decode(docs: DataFrame, vocabulary: str, text: str = "text",
                                                  "decoded_sha256")]
 
     def run(batches):
-        bpe = loaded(spec.value)
+        bpe = loaded(spec.value, memo)
         for b in batches:
             n, ids, sha, back = [], [], [], []
             for x in bpe.many([t or "" for t in b["__llm_text"].to_pylist()]):
@@ -166,4 +167,4 @@ def encode_decode(docs: DataFrame, vocabulary: str, text: str = "text",
 
     kinds = {"n_tokens": "long", "ids": "array<int>"}
     fields = plus(docs, kept, ", ".join(f"{c} {kinds.get(c, 'string')}" for c in new))
-    return docs.select(*kept, F.col(text).alias("__llm_text")).mapInArrow(run, fields)
+    return docs.select(*kept, F.col(text).alias("__llm_text")).mapInArrow(tidy(run), fields)

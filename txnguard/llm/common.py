@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 import uuid
 
@@ -39,6 +41,19 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def tidy(run):
+    """The same function for mapInArrow, giving memory back to the system when a task ends. Python
+    workers live on between tasks, beside the executor's heap."""
+    def wrapped(batches):
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        libc = ctypes.CDLL(None)
+        if hasattr(libc, "malloc_trim"):
+            libc.malloc_trim(0)
+    return wrapped
+
+
 def plus(df: DataFrame, kept: list[str], ddl: str) -> StructType:
     """The schema of `kept` columns of `df` followed by the fields of `ddl`."""
     return StructType(df.select(*kept).schema.fields + StructType.fromDDL(ddl).fields)
@@ -50,16 +65,21 @@ def utf8(text) -> bytes:
 
 
 class Memo(dict):
-    """A function's results by key; forgets everything when `limit` keys are held."""
+    """A function's results by key. At most about `limit` of them are held, in two generations: a
+    full one becomes the older, and what is used again moves over."""
 
-    def __init__(self, fn, limit: int = 400_000):
+    def __init__(self, fn, limit: int):
         super().__init__()
-        self.fn, self.limit = fn, limit
+        self.fn, self.limit, self.old = fn, limit, {}
 
     def __missing__(self, key):
-        if len(self) >= self.limit:
+        if len(self) >= self.limit // 2:
+            self.old = dict(self)
             self.clear()
-        value = self[key] = self.fn(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.fn(key)
+        self[key] = value
         return value
 
 
@@ -108,6 +128,7 @@ def word_hashes(texts: list[bytes], letters: int = 0):
 
 START = re.compile(r" (?=\S)")
 HEAD, NEWLINE = "\0", "\n"
+LONGEST = 64
 
 
 def _lines(text: str) -> list[str]:
@@ -130,7 +151,7 @@ def run_keys(text: str) -> list[str]:
 class RunMemo:
     """Ids of runs as bytes, by key; `learn` gives them for new keys. At most about `limit` keys
     are held, in two generations: a full one becomes the older, and what is used again moves over,
-    so frequent runs stay."""
+    so frequent runs stay. Keys of more than LONGEST characters are not held."""
 
     def __init__(self, learn, limit: int):
         self.learn, self.limit = learn, limit
@@ -147,10 +168,11 @@ class RunMemo:
         ids = list(map(self.new.get, keys))
         missing = [i for i, x in enumerate(ids) if x is None]
         before = [self.old.get(keys[i]) for i in missing]
-        self.new.update(self.learn([keys[i] for i, x in zip(missing, before) if x is None]))
-        self.new.update((keys[i], x) for i, x in zip(missing, before) if x is not None)
+        learned = self.learn([keys[i] for i, x in zip(missing, before) if x is None])
+        learned.update((keys[i], x) for i, x in zip(missing, before) if x is not None)
         for i in missing:
-            ids[i] = self.new[keys[i]]
+            ids[i] = learned[keys[i]]
+        self.new.update((k, x) for k, x in learned.items() if len(k) <= LONGEST)
         return ids
 
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnguard.llm.common import WORDS_ONLY, plus, settle, small_batches
+from txnguard.llm.common import WORDS_ONLY, plus, settle, small_batches, tidy
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
@@ -85,14 +85,17 @@ def original_spans(text: str, spans: list[tuple[int, int]]) -> list[list[int]]:
 
 
 def _pieces(benchmark: DataFrame, max_bytes: int, item: str, text: str):
+    """(number of pieces, function that brings one piece's rows to the driver)."""
     rows = (benchmark.select(F.col(item).cast("string").alias("i"),
                              F.col(text).cast("binary").alias("t"))
             .filter("t is not null").distinct())
     total = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = -(-total // max_bytes) or 1
-    for k in range(n):
+
+    def piece(k: int) -> list[tuple[str | None, bytes]]:
         part = rows if n == 1 else rows.filter(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k)
-        yield [(r.i, bytes(r.t)) for r in part.collect()]
+        return [(r.i, bytes(r.t)) for r in part.collect()]
+    return n, piece
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10,
@@ -101,49 +104,51 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10,
     """`docs` with n_words, n_hit, items (sorted ids as strings) and spans (character offsets of
     hit passages). Columns of those names are replaced."""
     spark = docs.sparkSession
-    small_batches(spark)
+    small_batches(spark, 500)
     new = ("n_words", "n_hit", "items", "spans")
     kept = [c for c in docs.columns if c not in new]
     body = docs.select(*kept, F.col(text).cast("binary").alias("__llm_text"),
-                       F.lit(0).cast("long").alias("__llm_n"),
                        F.lit(None).cast("string").alias("__llm_hits"))
     schema = body.schema
 
-    def scan_with(items):
+    def scan_with(items, last: bool):
         shared = spark.sparkContext.broadcast(items)
 
         def run(batches):
             patterns = Patterns(shared.value, window)
             for b in batches:
-                n, hits = [], []
-                for t, before in zip(b["__llm_text"].to_pylist(), b["__llm_hits"].to_pylist()):
+                texts, found = b["__llm_text"].to_pylist(), []
+                for t, before in zip(texts, b["__llm_hits"].to_pylist()):
                     count, spans, ids = patterns.scan(t)
                     if before:                       # of an earlier piece of the benchmark
                         spans0, ids0 = json.loads(before)
                         spans, ids = merged(spans + [tuple(s) for s in spans0]), ids | set(ids0)
-                    n.append(count)
-                    hits.append(json.dumps([spans, sorted(ids)]) if spans else None)
-                cols = [b[c] for c in kept] + [b["__llm_text"], pa.array(n, pa.int64()),
-                                               pa.array(hits, pa.string())]
-                yield pa.RecordBatch.from_arrays(cols, names=b.schema.names)
-        return run
-
-    def finish(batches):
-        for b in batches:
-            found = [json.loads(h) if h else ([], []) for h in b["__llm_hits"].to_pylist()]
-            spans = [original_spans((t or b"").decode("utf-8", "replace"), s)
-                     for t, (s, _) in zip(b["__llm_text"].to_pylist(), found)]
-            cols = [b[c] for c in kept] + [
-                b["__llm_n"], pa.array([sum(hi - lo for lo, hi in s) for s, _ in found], pa.int64()),
-                pa.array([i for _, i in found], pa.list_(pa.string())),
-                pa.array(spans, pa.list_(pa.list_(pa.int32())))]
-            yield pa.RecordBatch.from_arrays(cols, names=[*kept, *new])
-
-    for k, items in enumerate(_pieces(benchmark, max_bytes, item, item_text)):
-        body = (settle(body, "decontamination") if k else body).mapInArrow(scan_with(items),
-                                                                          schema)
-    return body.mapInArrow(finish, plus(docs, kept, "n_words long, n_hit long, "
-                                        "items array<string>, spans array<array<int>>"))
+                    found.append((count, spans, sorted(ids)))
+                cols = [b[c] for c in kept]
+                if last:
+                    yield pa.RecordBatch.from_arrays(cols + _columns(texts, found),
+                                                     names=[*kept, *new])
+                else:
+                    hits = [json.dumps([s, i]) if s else None for _, s, i in found]
+                    yield pa.RecordBatch.from_arrays(
+                        cols + [b["__llm_text"], pa.array(hits, pa.string())],
+                        names=b.schema.names)
+        return tidy(run)
+
+    n, piece = _pieces(benchmark, max_bytes, item, item_text)
+    for k in range(n - 1):
+        body = settle(body.mapInArrow(scan_with(piece(k), False), schema), "decontamination")
+    return body.mapInArrow(scan_with(piece(n - 1), True), plus(
+        docs, kept, "n_words long, n_hit long, items array<string>, spans array<array<int>>"))
+
+
+def _columns(texts, found) -> list[pa.Array]:
+    spans = [original_spans((t or b"").decode("utf-8", "replace"), s)
+             for t, (_, s, _) in zip(texts, found)]
+    return [pa.array([n for n, _, _ in found], pa.int64()),
+            pa.array([sum(hi - lo for lo, hi in s) for _, s, _ in found], pa.int64()),
+            pa.array([i for _, _, i in found], pa.list_(pa.string())),
+            pa.array(spans, pa.list_(pa.list_(pa.int32())))]
 
 
 def items_digest(items) -> str:

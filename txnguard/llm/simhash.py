@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txnguard.llm.common import LOWER, plus, settle, small_batches
+from txnguard.llm.common import LOWER, plus, settle, small_batches, tidy
 from txnguard.llm.components import components
 
 SEED = 42
@@ -61,7 +61,7 @@ def simhash(text: bytes, shingle: int) -> int:
 def with_fingerprint(docs: DataFrame, shingle: int = 3, text: str = "text",
                      name: str = "fp") -> DataFrame:
     """`docs` with the fingerprint as a signed 64-bit integer in column `name`."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, 500)
     kept = [c for c in docs.columns if c != name]
 
     def run(batches):
@@ -72,7 +72,7 @@ def with_fingerprint(docs: DataFrame, shingle: int = 3, text: str = "text",
                                              names=[*kept, name])
 
     return (docs.select(*kept, F.col(text).cast("binary").alias("__llm_text"))
-            .mapInArrow(run, plus(docs, kept, f"{name} long")))
+            .mapInArrow(tidy(run), plus(docs, kept, f"{name} long")))
 
 
 def _parts(segments: int) -> list[tuple[int, int, int]]:

@@ -31,7 +31,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txnguard.llm.common import HEAD, NEWLINE, RunMemo, encode_by_runs, settle, shared_path, small_batches
+from txnguard.llm.common import (HEAD, NEWLINE, RunMemo, encode_by_runs, settle, shared_path,
+                                 small_batches, tidy)
 
 MAGIC = b"TOKIDS01"
 FILES = "part int, seq int, file string, docs long, tokens long, bytes long"
@@ -138,7 +139,7 @@ def _sample(docs: DataFrame, spec, dtype: str, end_id: int, sample: int, sample_
     rows = (docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_t"))
             .join(F.broadcast(chosen), "_id").groupBy("_id").agg(F.min("_t").alias("_t")))
     kind = docs.schema[id_col].dataType.simpleString()
-    return [bytes(r.ids) for r in rows.mapInArrow(run, f"_id {kind}, ids binary")
+    return [bytes(r.ids) for r in rows.mapInArrow(tidy(run), f"_id {kind}, ids binary")
             .orderBy("_id").collect()]
 
 
@@ -226,7 +227,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, end_id: int = 2, folder: str
     """Write the files below `folder` (a new shared one by default). Returns the table of files in
     document order, with the number of ids before each (`start`), and the dictionary."""
     spark = docs.sparkSession
-    small_batches(spark, 1500)
+    small_batches(spark, 4000)
     folder = folder or shared_path(spark, "tokens")
     with open(vocabulary, encoding="utf-8") as f:
         spec = spark.sparkContext.broadcast(f.read())        # one vocabulary file, a few MB
@@ -271,7 +272,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, end_id: int = 2, folder: str
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
                                          names=list(names))
 
-    files = settle(ordered.mapInArrow(run, FILES), "token-files")
+    files = settle(ordered.mapInArrow(tidy(run), FILES), "token-files")
     # one row per file: a single small partition
     before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
     return files.select(

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnguard.llm.common import WORDS_ONLY, plus, small_batches, word_hashes
+from txnguard.llm.common import WORDS_ONLY, plus, small_batches, tidy, word_hashes
 
 
 @dataclass(frozen=True)
@@ -115,7 +115,7 @@ def fit(docs: DataFrame, labels: DataFrame, p: ToxicityParams = ToxicityParams()
         at = np.flatnonzero(w)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(w[at])], names=["i", "w"])
 
-    got = stream.mapInArrow(learn, "i long, w double").toPandas()   # at most 2**bits rows
+    got = stream.mapInArrow(tidy(learn), "i long, w double").toPandas()   # at most 2**bits rows
     return got["i"].to_numpy(np.int64), got["w"].to_numpy(float)
 
 
@@ -136,5 +136,5 @@ def score(docs: DataFrame, model, p: ToxicityParams = ToxicityParams(),
                                              names=[*kept, "score"])
 
     return (docs.select(*kept, F.col(text).cast("binary").alias("__llm_text"))
-            .mapInArrow(run, plus(docs, kept, "score double"))
+            .mapInArrow(tidy(run), plus(docs, kept, "score double"))
             .withColumn("predicted", (F.col("score") >= p.threshold).cast("int")))
