@@ -149,30 +149,22 @@ def run_keys(text: str) -> list[str]:
 
 
 class RunMemo:
-    """Ids of runs as bytes, by key; `learn` gives them for new keys. At most about `limit` keys
-    are held, in two generations: a full one becomes the older, and what is used again moves over,
-    so frequent runs stay. Keys of more than LONGEST characters are not held."""
+    """Ids of runs as bytes, by key; `learn` gives them for new keys. Forgets everything when more
+    than `limit` keys are held; keys of more than LONGEST characters are not held."""
 
     def __init__(self, learn, limit: int):
         self.learn, self.limit = learn, limit
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def get(self, key: str) -> bytes | None:
-        ids = self.new.get(key)
-        return self.old.get(key) if ids is None else ids
+        self.known: dict[str, bytes] = {}
 
     def __call__(self, keys: list[str]) -> list[bytes]:
-        if len(self.new) > self.limit // 2:
-            self.old, self.new = self.new, {}
-        ids = list(map(self.new.get, keys))
+        if len(self.known) > self.limit:
+            self.known.clear()
+        ids = list(map(self.known.get, keys))
         missing = [i for i, x in enumerate(ids) if x is None]
-        before = [self.old.get(keys[i]) for i in missing]
-        learned = self.learn([keys[i] for i, x in zip(missing, before) if x is None])
-        learned.update((keys[i], x) for i, x in zip(missing, before) if x is not None)
+        learned = self.learn([keys[i] for i in missing])
         for i in missing:
             ids[i] = learned[keys[i]]
-        self.new.update((k, x) for k, x in learned.items() if len(k) <= LONGEST)
+        self.known.update((k, x) for k, x in learned.items() if len(k) <= LONGEST)
         return ids
 
 

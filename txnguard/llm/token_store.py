@@ -70,20 +70,12 @@ class Encoder:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn(self, keys: list[str]) -> dict[str, bytes]:
-        # a comma or full stop after a letter is a token of its own at the end of a run
-        tails = [k for k in keys if k[-1] in ",." and k[-2:-1].isalpha() and k[0] != HEAD]
-        whole = {k for k in keys if k[0] not in HEAD + NEWLINE}.difference(tails)
-        known = {w: ids for w in {k[:-1] for k in tails}.difference(whole)
-                 if (ids := self.memo.get(w)) is not None}
-        whole.update({k[:-1] for k in tails}.difference(known))
+        after_space = [k for k in keys if k[0] not in HEAD + NEWLINE]
         # after a newline, which is a token of its own unless space stands at its other side
         heads = [k[1:] for k in keys if k[0] == HEAD and k[1:] and not k[1].isspace()
                  and not k[-1].isspace()]
-        out = dict(self._apart(list(whole), " "))
+        out = dict(self._apart(after_space, " "))
         out.update((HEAD + r, ids[4:]) for r, ids in self._apart(heads, "\n"))
-        if tails:
-            end = {c: self.whole(c) for c in ",."}
-            out.update((k, (known.get(k[:-1]) or out[k[:-1]]) + end[k[-1]]) for k in tails)
         for k in keys:
             if k not in out:
                 out[k] = self.whole(k.removeprefix(HEAD)) if k != HEAD else b""
@@ -227,7 +219,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, end_id: int = 2, folder: str
     """Write the files below `folder` (a new shared one by default). Returns the table of files in
     document order, with the number of ids before each (`start`), and the dictionary."""
     spark = docs.sparkSession
-    small_batches(spark, 4000)
+    small_batches(spark, 1500)
     folder = folder or shared_path(spark, "tokens")
     with open(vocabulary, encoding="utf-8") as f:
         spec = spark.sparkContext.broadcast(f.read())        # one vocabulary file, a few MB
