@@ -93,6 +93,40 @@ def test_many_values_and_neighbours(spark):
     assert counts.first().n_private == 4
 
 
+FOLLOWED = [
+    "{ES91 2100 0418 4502 0005 1332} EUR", "{ES9121000418450200051332} EUR now",
+    "{AT61 1904 3002 3457 3201} USD", "{BE68 5390 0754 7034} BIC", "{BE68 5390 0754 7034} EURO",
+    "{NO93 8601 1117 947} IS {GB82 WEST 1234 5698 7654 32} A",
+    "{+44 20 7946 0958} 2024 1234", "{+44 20 7946 0958} {4111 1111 1111 1111}",
+    "{+49 30 123456} {4111 1111 1111 1111} {+49 30 1234 5678} {(386) 555-3733}",
+    "{+44 20 7946 0958} {10.0.0.1} {+49 30 123456} {2024-01-31}",
+    "1234 {4111 1111 1111 1111} 12", "DE89 3704 0044 0532 0130 01 {4111 1111 1111 1111}",
+    "{a.b@c.example.org} {79.197.74.40}"]
+
+
+def check_marked(spark, marked):
+    """Exactly what stands in braces becomes what it becomes alone."""
+    values = sorted({v for t in marked for v in re.findall(r"{(.*?)}", t)})
+    new = through(spark, values + [re.sub("[{}]", "", t) for t in marked])
+    alone = dict(zip(values, new))
+    assert all(a != b for a, b in alone.items()), alone
+    want = [re.sub(r"{(.*?)}", lambda m: alone[m[1]], t) for t in marked]
+    assert new[len(values):] == want
+
+
+def test_what_follows_hides_nothing(spark):
+    check_marked(spark, FOLLOWED)
+
+
+def test_many_values_in_one_text(spark):
+    values = ["10.0.0.1", "2024-02-29", "10.0.0.2"]
+    text = "ä" + "".join(f" {v} EUR" for v in values * 300)
+    alone = through(spark, values)
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    row = pii.pseudonymise(df, "k").first()
+    assert row.text == "ä" + "".join(f" {v} EUR" for v in alone * 300) and row.n_private == 900
+
+
 def test_plan_is_native(spark):
     df = spark.createDataFrame([(1, "x")], "doc_id long, text string")
     plan = pii.pseudonymise(df, "k")._jdf.queryExecution().executedPlan().toString()

@@ -1,13 +1,16 @@
 """Format-preserving pseudonyms for personal data, with SQL functions only.
 
-One regular expression finds candidates; each is validated for its kind and replaced by a keyed
-permutation of it within its format, so the same value becomes the same pseudonym in every document
-and different values stay different. What fails validation stays as it is.
+One regular expression finds every place where a value may start, also inside another candidate.
+There each kind's candidates, the longer ones first, are validated, and the first valid one is
+replaced by a keyed permutation of it within its format, so the same value becomes the same
+pseudonym in every document and different values stay different. From left to right, a place that a
+replaced value covers is passed over. What fails validation stays as it is, and hides nothing.
 
     card    13 to 19 digits that pass the Luhn check: first digit kept, check digit made anew
-    iban    passes the mod-97 check: country kept, check digits made anew
+    iban    as long as its country's are, passes the mod-97 check: country kept, check digits made
+            anew (another length, or a country not in the registry: as far as the check passes)
     phone   North American (area and exchange from 200): permuted among valid numbers;
-            other international numbers: digits after the country code
+            other international numbers of 8 to 15 digits: digits after the country code
     ssn     valid area, group and serial: permuted among valid numbers
     ip      four octets: permuted among all addresses
     date    valid days from 1700 to 2099 in five numeric styles: permuted among those days; with
@@ -33,13 +36,28 @@ EMAIL = r"[A-Za-z0-9._%+\-]*[A-Za-z0-9]@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-
 IBAN = r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
 CARD = r"\d{4}[ \-]\d{4}[ \-]\d{4}[ \-]\d{4}|\d{4}[ \-]\d{6}[ \-]\d{5}|\d{13,19}"
 PHONE = r"(?:\+?1[ .\-]?)?(?:\(\d{3}\) ?|\d{3}[ .\-])\d{3}[ .\-]\d{4}|\+1\d{10}"
-ABROAD = r"\+[2-9]\d{0,2}(?:[ .\-]?\(?\d{1,4}\)?){2,5}"
 SSN = r"\d{3}-\d{2}-\d{4}"
 IP = r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}"
 DATE = (r"\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4}"
         r"|\d{2}-\d{2}-\d{4}")
-CANDIDATE = (r"(?<![\p{L}\p{N}_])(?<!\d[.\-])(?:" + "|".join(
-    (EMAIL, IBAN, DATE, SSN, PHONE, ABROAD, CARD, IP)) + r")(?![\p{L}\p{N}_])(?![.\-]\d)")
+END = r"(?![\p{L}\p{N}_])(?![.\-]\d)"
+# 8 to 15 digits lie behind; with those, a number ends where another value follows
+DIGIT = r"[ .\-()]{0,3}\d"                           # Java's lookbehind wants it written out
+ENOUGH = rf"(?<=\+{DIGIT * 8}{f'(?:{DIGIT})?' * 7}\)?)"
+FOLLOWER = rf"[ \-](?:{DATE}|{SSN}|(?:{CARD})(?! \d{{4}})|{IP}|\(\d{{3}}\) ?\d{{3}}[ .\-]\d{{4}}){END}"
+ABROAD = (rf"\+[2-9]\d{{0,2}}(?:(?!{ENOUGH}{FOLLOWER})[ .\-]?\(?\d{{1,4}}\)?){{2,5}}{ENOUGH}")
+NUMBERS = (DATE, SSN, PHONE, ABROAD, CARD, IP)
+# where a value may start; group 1 is an e-mail address or what the other kinds need to see
+START = (rf"(?<![\p{{L}}\p{{N}}_])(?<!\d[.\-])(?=((?:{EMAIL}){END}|(?=(?:"
+         + "|".join((IBAN, *NUMBERS)) + rf"){END})[\s\S]{{1,96}}))")
+# lengths of the IBAN registry
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+STEP = 256                                           # pieces of text that are joined at once
 FIRST_DAY, DAYS = "1700-01-01", (27, 5411)           # 400 years are 27 * 5411 days
 
 
@@ -145,7 +163,7 @@ def _card(m: Column, key: str) -> Column:
     body = F.concat(F.substring(digits, 1, 1),
                     permuted_text(_rest(digits, 2, 1), key, "card"))
     return F.when(F.call_function("luhn_check", digits),
-                  _refilled(m, F.concat(body, luhn_digit(body)))).otherwise(m)
+                  _refilled(m, F.concat(body, luhn_digit(body))))
 
 
 def _iban(m: Column, key: str) -> Column:
@@ -155,7 +173,7 @@ def _iban(m: Column, key: str) -> Column:
           & (_mod97(F.concat(bban, F.substring(plain, 1, 4))) == 1))
     new = permuted_text(bban, key, "iban")
     check = _pad(98 - _mod97(F.concat(new, country, F.lit("00"))), 2)
-    return F.when(ok, _refilled(m, F.concat(country, check, new), "A-Z0-9")).otherwise(m)
+    return F.when(ok, _refilled(m, F.concat(country, check, new), "A-Z0-9"))
 
 
 def _phone(m: Column, key: str) -> Column:
@@ -169,7 +187,7 @@ def _phone(m: Column, key: str) -> Column:
                    _pad(F.pmod(x, F.lit(10_000)), 4))
     kept = F.substring(digits, F.lit(1), F.length(digits) - 10)
     return F.when((area >= 200) & (exchange >= 200),
-                  _refilled(m, F.concat(kept, new))).otherwise(m)
+                  _refilled(m, F.concat(kept, new)))
 
 
 def _abroad(m: Column, key: str) -> Column:
@@ -177,7 +195,7 @@ def _abroad(m: Column, key: str) -> Column:
     digits = _only(m)
     new = F.concat(code, permuted_text(
         F.substring(digits, F.length(code) + 1, F.length(digits)), key, "abroad"))
-    return F.when(F.length(digits).between(8, 15), _refilled(m, new)).otherwise(m)
+    return F.when(F.length(digits).between(8, 15), _refilled(m, new))
 
 
 def _ssn(m: Column, key: str) -> Column:
@@ -189,7 +207,7 @@ def _ssn(m: Column, key: str) -> Column:
     new = F.concat(_pad(there + 1 + (there >= 665).cast("long"), 3), F.lit("-"),
                    _pad(F.pmod(F.floor(x / 9999), F.lit(99)) + 1, 2), F.lit("-"),
                    _pad(F.pmod(x, F.lit(9999)) + 1, 4))
-    return F.when(ok, new).otherwise(m)
+    return F.when(ok, new)
 
 
 def _ip(m: Column, key: str) -> Column:
@@ -199,7 +217,7 @@ def _ip(m: Column, key: str) -> Column:
     x = permuted_number(value, 1 << 16, 1 << 16, key, "ip")
     new = F.concat_ws(".", *[F.pmod(F.floor(x / (1 << s)), F.lit(256)).cast("string")
                              for s in (24, 16, 8, 0)])
-    return F.when(ok & ~m.rlike(r"(^|\.)0\d"), new).otherwise(m)
+    return F.when(ok & ~m.rlike(r"(^|\.)0\d"), new)
 
 
 def _date(m: Column, key: str) -> Column:
@@ -225,10 +243,10 @@ def _email(m: Column, key: str) -> Column:
 
 
 def pseudonym(m: Column, key: str) -> Column:
-    """The pseudonym of one candidate; the candidate itself if it is not valid."""
+    """The pseudonym of one candidate; null if it is not valid."""
     return (F.when(F.contains(m, F.lit("@")), _email(m, key))
             .when(m.rlike(r"^[A-Z]"), _iban(m, key))
-            .when(m.rlike(f"^(?:{DATE})$"), F.coalesce(_date(m, key), m))
+            .when(m.rlike(f"^(?:{DATE})$"), _date(m, key))
             .when(m.rlike(f"^(?:{SSN})$"), _ssn(m, key))
             .when(m.rlike(f"^(?:{PHONE})$"), _phone(m, key))
             .when(m.rlike(r"^\+"), _abroad(m, key))
@@ -236,19 +254,81 @@ def pseudonym(m: Column, key: str) -> Column:
             .otherwise(_ip(m, key)))
 
 
+def _ibans() -> list[str]:
+    """Patterns of an IBAN at one place: its country's length, then the longest run; where the
+    country is not in the registry, then the shorter ones."""
+    def run(four: int, more: str) -> str:
+        return rf"\d{{2}}(?: ?[A-Z0-9]{{4}}){{{four}}}{more}"
+
+    known = [rf"(?:{names.replace(' ', '|')})" + run((n - 4) // 4, rf"(?: ?[A-Z0-9]{{{(n - 4) % 4}}})"
+             if n % 4 else "") for n, names in IBAN_LENGTHS.items()]
+    other = rf"(?!{'|'.join(IBAN_LENGTHS.values()).replace(' ', '|')})[A-Z]{{2}}"
+    return ["|".join(known), IBAN] + [other + run(four, more) for four in range(7, 1, -1)
+                                      for more in ("(?: ?[A-Z0-9]{1,3})", "")]
+
+
+def _candidates(w: Column) -> Column:
+    """What may be a value at the start of `w`, in the order of trial."""
+    def first(*patterns):
+        return F.array_distinct(F.filter(F.array(*[
+            F.regexp_extract(w, rf"^(?:{x}){END}", 0) for x in patterns]), lambda m: m != ""))
+
+    return (F.when(F.contains(w, F.lit("@")) & w.rlike(rf"^(?:{EMAIL})\z"), F.array(w))
+            .when(w.rlike("^[A-Z]"), first(*_ibans())).otherwise(first(*NUMBERS)))
+
+
+def _replaced(pieces: Column) -> Column:
+    """`pieces` (p: text from a start to the next, size, v: the value there or null) as one text
+    and the number of values changed."""
+    def step(s, x):
+        taken = (s["skip"] == 0) & x["v"].isNotNull()
+        over = F.when(taken, x["v"]["size"]).otherwise(s["skip"])
+        rest = F.substring(x["p"], over + 1, x["size"])
+        return F.struct(
+            F.concat(s["out"], F.when(taken, F.array(x["v"]["new"], rest)).otherwise(F.array(rest)))
+            .alias("out"), F.greatest(over - x["size"], F.lit(0)).alias("skip"),
+            (s["n"] + (taken & (x["v"]["new"] != x["v"]["old"])).cast("int")).alias("n"))
+
+    def start(skip, n):
+        return F.struct(F.array().cast("array<string>").alias("out"), skip.alias("skip"),
+                        n.alias("n"))
+
+    def some(s, part):                            # few arrays grow long: linear in long texts
+        return F.aggregate(part, start(s["skip"], s["n"]), step, lambda r: F.struct(
+            F.concat(s["out"], F.array(F.array_join(r["out"], ""))).alias("out"),
+            r["skip"].alias("skip"), r["n"].alias("n")))
+
+    parts = F.transform(F.sequence(F.lit(0), F.floor((F.size(pieces) - 1) / STEP).cast("int")),
+                        lambda i: F.slice(pieces, i * STEP + 1, F.lit(STEP)))
+    return F.aggregate(parts, start(F.lit(0), F.lit(0)), some, lambda s: F.struct(
+        F.array_join(s["out"], "").alias("text"), s["n"].alias("n")))
+
+
 def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """`docs` with pseudonyms in `text` and n_private, the number of values replaced (a column of
     that name is replaced)."""
-    found = F.regexp_extract_all(F.col(text), F.lit(CANDIDATE), F.lit(0))
+    seen = F.regexp_extract_all(F.col(text), F.lit(START), F.lit(1))
     likely = F.col(text).rlike("[@0-9]")          # most texts have no candidate at all
-    out = docs.withColumn("__llm_found", F.when(likely, found))
-    out = out.withColumn("__llm_new", F.when(F.size("__llm_found") > 0,
-                                        F.transform("__llm_found", lambda m: pseudonym(m, key))))
-    pieces = F.split(F.col(text), CANDIDATE, -1)
-    whole = F.array_join(F.zip_with(pieces, F.col("__llm_new"), lambda p, q: F.concat(
-        p, F.coalesce(q, F.lit("")))), "")
-    changed = F.zip_with("__llm_found", "__llm_new", lambda a, b: (a != b).cast("int"))
+
+    def valid(tried):
+        return F.get(F.filter(F.transform(tried, lambda m: F.struct(
+            m.alias("old"), F.length(m).alias("size"), pseudonym(m, key).alias("new"))),
+            lambda v: v["new"].isNotNull()), F.lit(0))
+
+    out = docs.withColumn("__llm_found", F.when(likely, F.transform(
+        F.transform(seen, _candidates), valid)))
+    any_found = F.exists("__llm_found", lambda v: v.isNotNull())
+    # a start at the very beginning has no piece before it
+    pieces = F.split(F.col(text), START, -1)
+    out = out.withColumn("__llm_pieces", F.when(any_found, pieces))
+    found = F.when(F.size("__llm_pieces") > F.size("__llm_found"), F.concat(
+        F.array(F.get("__llm_found", F.lit(-1))), F.col("__llm_found"))).otherwise(
+        F.col("__llm_found"))
+    out = out.withColumn("__llm_pieces", F.zip_with("__llm_pieces", found, lambda p, v: F.struct(
+        p.alias("p"), F.length(p).alias("size"), v.alias("v"))))
+    out = out.withColumn("__llm_new", F.when(F.size("__llm_pieces") > 0,
+                                             _replaced(F.col("__llm_pieces"))))
     return out.withColumns({
-        text: F.when(F.size("__llm_new") > 0, whole).otherwise(F.col(text)),
-        "n_private": F.coalesce(F.aggregate(changed, F.lit(0), lambda s, x: s + x), F.lit(0))
-    }).drop("__llm_found", "__llm_new")
+        text: F.coalesce(F.col("__llm_new.text"), F.col(text)),
+        "n_private": F.coalesce(F.col("__llm_new.n"), F.lit(0))
+    }).drop("__llm_found", "__llm_pieces", "__llm_new")
