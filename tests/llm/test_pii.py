@@ -118,6 +118,21 @@ def test_what_follows_hides_nothing(spark):
     check_marked(spark, FOLLOWED)
 
 
+FORMATS = [
+    "{2024-01-31}T10:00:00Z {2024-01-31}t1", "{01/02/2020}-{03/04/2020}", "{10.0.0.1}-{10.0.0.2}",
+    "{3056 930902 5904} {3056-930902-5904}", "{3/7/2021} {13/7/2021} {3.7.2021} {2021-3-7}",
+    "{3/17/2021}, {386-555-3733}-{386-555-3734}", "10.0.0.1-2 10.0.0.999-10.0.0.1 3056 930902 5905",
+    "2024-01-31Tx 2024-01-31-12 3/32/2021 13/13/2021"]
+
+
+def test_common_formats(spark):
+    check_marked(spark, FORMATS)
+    new = through(spark, ["3/7/2021", "03/07/2021", "2021-03-07"])
+    month, day, year = map(int, new[0].split("/"))
+    assert new == [f"{month}/{day}/{year}", f"{month:02}/{day:02}/{year}",
+                   f"{year}-{month:02}-{day:02}"]
+
+
 def test_many_values_in_one_text(spark):
     values = ["10.0.0.1", "2024-02-29", "10.0.0.2"]
     text = "ä" + "".join(f" {v} EUR" for v in values * 300)

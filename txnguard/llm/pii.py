@@ -13,8 +13,9 @@ replaced value covers is passed over. What fails validation stays as it is, and
             other international numbers of 8 to 15 digits: digits after the country code
     ssn     valid area, group and serial: permuted among valid numbers
     ip      four octets: permuted among all addresses
-    date    valid days from 1700 to 2099 in five numeric styles: permuted among those days; with
-            slashes or dashes the month comes first unless only day first is valid
+    date    valid days from 1700 to 2099 in five numeric styles, also before the time of a
+            timestamp: permuted among those days; with slashes or dashes the month comes first
+            unless only day first is valid; a one-digit day or month gives one without zero
     email   letters and digits of the local part, each within its kind; the domain is kept
 
 The permutations are Feistel networks whose round function is SHA-256 of key, kind, round and the
@@ -34,21 +35,24 @@ from pyspark.sql import functions as F
 ROUNDS = 10
 EMAIL = r"[A-Za-z0-9._%+\-]*[A-Za-z0-9]@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}"
 IBAN = r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
-CARD = r"\d{4}[ \-]\d{4}[ \-]\d{4}[ \-]\d{4}|\d{4}[ \-]\d{6}[ \-]\d{5}|\d{13,19}"
+CARD = r"\d{4}[ \-]\d{4}[ \-]\d{4}[ \-]\d{4}|\d{4}[ \-]\d{6}[ \-]\d{4,5}|\d{13,19}"
 PHONE = r"(?:\+?1[ .\-]?)?(?:\(\d{3}\) ?|\d{3}[ .\-])\d{3}[ .\-]\d{4}|\+1\d{10}"
 SSN = r"\d{3}-\d{2}-\d{4}"
 IP = r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}"
-DATE = (r"\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4}"
-        r"|\d{2}-\d{2}-\d{4}")
-END = r"(?![\p{L}\p{N}_])(?![.\-]\d)"
+DATE = (r"\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2}|\d{1,2}\.\d{1,2}\.\d{4}"
+        r"|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}-\d{1,2}-\d{4}")
+# a value may be followed by the time of a timestamp, or by a hyphen and another whole value
+WHOLE = rf"(?:{DATE}|{SSN}|{PHONE}|{CARD}|{IP})(?![\p{{L}}\p{{N}}_])(?![.\-]\d)"
+END = (r"(?:(?![\p{L}\p{N}_])|(?<=\d{4}[\-/]\d{2}[\-/]\d{2})(?=[Tt]\d))"
+       rf"(?!\.\d|-(?!{WHOLE})\d)")
 # 8 to 15 digits lie behind; with those, a number ends where another value follows
 DIGIT = r"[ .\-()]{0,3}\d"                           # Java's lookbehind wants it written out
 ENOUGH = rf"(?<=\+{DIGIT * 8}{f'(?:{DIGIT})?' * 7}\)?)"
 FOLLOWER = rf"[ \-](?:{DATE}|{SSN}|(?:{CARD})(?! \d{{4}})|{IP}|\(\d{{3}}\) ?\d{{3}}[ .\-]\d{{4}}){END}"
 ABROAD = (rf"\+[2-9]\d{{0,2}}(?:(?!{ENOUGH}{FOLLOWER})[ .\-]?\(?\d{{1,4}}\)?){{2,5}}{ENOUGH}")
 NUMBERS = (DATE, SSN, PHONE, ABROAD, CARD, IP)
-# where a value may start; group 1 is an e-mail address or what the other kinds need to see
-START = (rf"(?<![\p{{L}}\p{{N}}_])(?<!\d[.\-])(?=((?:{EMAIL}){END}|(?=(?:"
+# where a value may start (after a digit and a hyphen: if a value ends there); group 1 is an e-mail address or what the other kinds need to see
+START = (rf"(?<![\p{{L}}\p{{N}}_])(?<!\d\.)(?=((?:{EMAIL}){END}|(?=(?:"
          + "|".join((IBAN, *NUMBERS)) + rf"){END})[\s\S]{{1,96}}))")
 # lengths of the IBAN registry
 IBAN_LENGTHS = {
@@ -221,18 +225,32 @@ def _ip(m: Column, key: str) -> Column:
 
 
 def _date(m: Column, key: str) -> Column:
-    def as_style(style: str) -> Column:
-        day = F.try_to_timestamp(m, F.lit(style)).cast("date")
-        number = F.datediff(day, F.lit(FIRST_DAY).cast("date"))
-        moved = permuted_number(number, *DAYS, key, "date").cast("int")
-        new = F.date_format(F.date_add(F.lit(FIRST_DAY).cast("date"), moved), style)
-        return F.when(number.between(0, DAYS[0] * DAYS[1] - 1), new)
-
-    return (F.when(m.rlike(r"^\d{4}-"), as_style("yyyy-MM-dd"))
-            .when(m.rlike(r"^\d{4}/"), as_style("yyyy/MM/dd"))
-            .when(m.rlike(r"\."), as_style("dd.MM.yyyy"))
-            .when(m.rlike(r"/"), F.coalesce(as_style("MM/dd/yyyy"), as_style("dd/MM/yyyy")))
-            .otherwise(F.coalesce(as_style("MM-dd-yyyy"), as_style("dd-MM-yyyy"))))
+    def in_order(year: int, month: int, day: int) -> Column:
+        """With those places of the three fields."""
+        def field(i):
+            return F.get(F.split(m, "[./-]"), F.lit(i))
+
+        told = F.concat_ws("-", field(year), F.lpad(field(month), 2, "0"),
+                           F.lpad(field(day), 2, "0"))
+        number = F.datediff(F.try_to_timestamp(told, F.lit("yyyy-MM-dd")).cast("date"),
+                            F.lit(FIRST_DAY).cast("date"))
+        moved = F.date_add(F.lit(FIRST_DAY).cast("date"),
+                           permuted_number(number, *DAYS, key, "date").cast("int"))
+
+        def new(d):
+            def short(part, i):
+                return F.when(F.length(field(i)) == 1, part.cast("string")).otherwise(_pad(part, 2))
+            parts = {year: _pad(F.year(d), 4), month: short(F.month(d), month),
+                     day: short(F.day(d), day)}
+            by = F.regexp_extract(m, "[./-]", 0)
+            return F.concat(parts[0], by, parts[1], by, parts[2])
+
+        return F.when(number.between(0, DAYS[0] * DAYS[1] - 1),
+                      F.get(F.transform(F.array(moved), new), F.lit(0)))
+
+    return (F.when(m.rlike(r"^\d{4}"), in_order(0, 1, 2))
+            .when(m.rlike(r"\."), in_order(2, 1, 0))
+            .otherwise(F.coalesce(in_order(2, 0, 1), in_order(2, 1, 0))))
 
 
 def _email(m: Column, key: str) -> Column:
@@ -278,29 +296,33 @@ def _candidates(w: Column) -> Column:
 
 
 def _replaced(pieces: Column) -> Column:
-    """`pieces` (p: text from a start to the next, size, v: the value there or null) as one text
-    and the number of values changed."""
+    """`pieces` (p: text from a start to the next, size, hyphen: ends with it after a digit, v: the
+    value there or null) as one text and the number of values changed."""
     def step(s, x):
-        taken = (s["skip"] == 0) & x["v"].isNotNull()
+        taken = ((s["skip"] == 0) & x["v"].isNotNull() & (~s["hyphen"] | s["joined"]))
         over = F.when(taken, x["v"]["size"]).otherwise(s["skip"])
         rest = F.substring(x["p"], over + 1, x["size"])
         return F.struct(
             F.concat(s["out"], F.when(taken, F.array(x["v"]["new"], rest)).otherwise(F.array(rest)))
             .alias("out"), F.greatest(over - x["size"], F.lit(0)).alias("skip"),
-            (s["n"] + (taken & (x["v"]["new"] != x["v"]["old"])).cast("int")).alias("n"))
+            x["hyphen"].alias("hyphen"), ((over > 0) & (rest == "-")).alias("joined"),
+            F.when(taken, s["n"] + (x["v"]["new"] != x["v"]["old"]).cast("int"))
+            .otherwise(s["n"]).alias("n"))
 
-    def start(skip, n):
-        return F.struct(F.array().cast("array<string>").alias("out"), skip.alias("skip"),
-                        n.alias("n"))
+    def state(out, of):
+        return F.struct(out.alias("out"), *[of[x].alias(x)
+                                            for x in ("skip", "hyphen", "joined", "n")])
 
     def some(s, part):                            # few arrays grow long: linear in long texts
-        return F.aggregate(part, start(s["skip"], s["n"]), step, lambda r: F.struct(
-            F.concat(s["out"], F.array(F.array_join(r["out"], ""))).alias("out"),
-            r["skip"].alias("skip"), r["n"].alias("n")))
+        return F.aggregate(part, state(none, s), step, lambda r: state(
+            F.concat(s["out"], F.array(F.array_join(r["out"], ""))), r))
+
+    none = F.array().cast("array<string>")
+    begin = {"skip": F.lit(0), "hyphen": F.lit(False), "joined": F.lit(False), "n": F.lit(0)}
 
     parts = F.transform(F.sequence(F.lit(0), F.floor((F.size(pieces) - 1) / STEP).cast("int")),
                         lambda i: F.slice(pieces, i * STEP + 1, F.lit(STEP)))
-    return F.aggregate(parts, start(F.lit(0), F.lit(0)), some, lambda s: F.struct(
+    return F.aggregate(parts, state(none, begin), some, lambda s: F.struct(
         F.array_join(s["out"], "").alias("text"), s["n"].alias("n")))
 
 
@@ -325,7 +347,8 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
         F.array(F.get("__llm_found", F.lit(-1))), F.col("__llm_found"))).otherwise(
         F.col("__llm_found"))
     out = out.withColumn("__llm_pieces", F.zip_with("__llm_pieces", found, lambda p, v: F.struct(
-        p.alias("p"), F.length(p).alias("size"), v.alias("v"))))
+        p.alias("p"), F.length(p).alias("size"), F.substring(p, -2, 2).rlike(r"^\d-$")
+        .alias("hyphen"), v.alias("v"))))
     out = out.withColumn("__llm_new", F.when(F.size("__llm_pieces") > 0,
                                              _replaced(F.col("__llm_pieces"))))
     return out.withColumns({
