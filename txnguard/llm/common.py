@@ -12,6 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from txnguard.session import checkpoint_root
@@ -36,11 +37,26 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def pick(df: DataFrame, *names: str) -> DataFrame:
+    """The columns of exactly these names, whatever the other columns are called (names that
+    differ in case only, or hold a dot)."""
+    columns = df.columns
+    return df.toDF(*[f"_{i}" for i in range(len(columns))]).select(
+        *[F.col(f"_{columns.index(n)}").alias(n) for n in names])
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Rows per Arrow batch; bounds the memory of a Python worker that is handed whole texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def slices(batches, rows: int):
+    """Arrow batches cut to at most `rows` rows each, whatever the session's batch size is."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def tidy(run):
     """The same function for mapInArrow, giving memory back to the system when a task ends. Python
     workers live on between tasks, beside the executor's heap."""

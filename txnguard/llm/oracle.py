@@ -167,5 +167,138 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_re
 from d left join kept on kept.rid = d.rid
 """
 
-ORACLE_SQL = {"op1_topk": OP1, "op2_warc": OP2, "op3_urls": OP3, "op5_decontamination": OP5,
+# crc32 in SQL: the table of the reflected polynomial, then one step for each byte of a list
+_CRC = """crc_table as (
+  select list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x:
+           case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end) order by i) as t
+  from (select unnest(range(256)) as i)
+)"""
+
+
+def _crc32(byte_list: str) -> str:
+    return (f"xor(list_reduce(list_prepend(4294967295, {byte_list}), lambda c, x: "
+            "xor(c // 256, t[xor(c, x) % 256 + 1])), 4294967295)")
+
+
+def _digits(value: str) -> str:
+    return f"list_transform(string_split({value}::varchar, ''), lambda y: ascii(y)::bigint)"
+
+
+def _leaf(text: str) -> str:
+    parts = [f"coalesce(octet_length(encode({c}::varchar))::varchar || ':' || {c}::varchar, '-')"
+             for c in ("doc_id", "source", "lang", "n_chars", text)]
+    return f"sha256({' || '.join(parts)})"
+
+
+# nodes: one list of digests per lang and level; a lang is keyed so that null comes first
+OP11 = f"""
+with recursive {_CRC}, d as (
+  select row_number() over () as rid, doc_id, coalesce('=' || lang, '') as g,
+         {_leaf('text')} as leaf,
+         case when {_crc32(_digits('doc_id'))} % 3 = 0
+           then {_leaf(f"translate(text, '{UPPER}', '{LOWER}')")} else {_leaf('text')} end as got
+  from documents, crc_table
+), p as (
+  select *, row_number() over (partition by g order by doc_id nulls first, leaf) - 1 as pos from d
+), low as (
+  select g, 0 as level, list(leaf order by pos) as nodes from p group by g
+  union all
+  select g, level + 1, list_transform(range(0, (len(nodes) + 7) // 8), lambda i:
+           sha256(array_to_string(list_slice(nodes, i * 8 + 1, i * 8 + 8), '')))
+  from low where len(nodes) > 1
+), sub as (
+  select g, level as height, nodes[1] as subroot,
+         row_number() over (order by g) - 1 as place
+  from low where len(nodes) = 1
+), high as (
+  select 0 as level, list(subroot order by place) as nodes from sub
+  union all
+  select level + 1, list_transform(range(0, (len(nodes) + 7) // 8), lambda i:
+           sha256(array_to_string(list_slice(nodes, i * 8 + 1, i * 8 + 8), '')))
+  from high where len(nodes) > 1
+), steps as (
+  select rid, low.level as step, pos // pow(8, low.level)::bigint as i, nodes
+  from p join low on low.g = p.g where len(nodes) > 1
+  union all
+  select rid, height + high.level, place // pow(8, high.level)::bigint, nodes
+  from p join sub on sub.g = p.g, high where len(nodes) > 1
+), sides as (
+  select rid, step, array_to_string(list_slice(nodes, i // 8 * 8 + 1, i), '') as before,
+         array_to_string(list_slice(nodes, i + 2, i // 8 * 8 + 8), '') as behind
+  from steps
+), proofs as (
+  select rid, string_agg(before || behind, '' order by step) as proof from sides group by rid
+), folds as (
+  select rid, 0 as step, got as h from p
+  union all
+  select s.rid, s.step + 1, sha256(before || h || behind)
+  from folds f join sides s on s.rid = f.rid and s.step = f.step
+), ends as (
+  select rid, arg_max(h, step) as folded_root from folds group by rid
+), top as (
+  select nodes[1] as root from high where len(nodes) = 1
+)
+select doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) as proof_sha256, folded_root,
+       folded_root = root as verified
+from p join sub on sub.g = p.g join ends on ends.rid = p.rid left join proofs
+  on proofs.rid = p.rid, top
+"""
+
+_BYTES = (r"flatten(list_transform(string_split(w, ''), lambda y: case when unicode(y) < 128 "
+          r"then [unicode(y)::bigint] else [195, unicode(y)::bigint - 64] end))")
+
+# near words: by a code point left out (insertions, deletions) or left open (replacements)
+_ID = _digits("coalesce(doc_id::varchar, '')")
+
+OP13 = rf"""
+with recursive {_CRC}, runs as (
+  select doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+                                           '[A-Za-z\x{{C0}}-\x{{FF}}]+')) as w
+  from documents
+), counted as (
+  select doc_id, w, count(*) as c from runs where length(w) >= 5 group by all
+), hashed as (
+  select w, c, {_crc32(f"list_concat({_ID}, [58], {_BYTES})")} as h
+  from counted, crc_table
+), edited as (
+  select case when h % 97 = 0 then left(w, (h % length(w))::int)
+                || substr(w, (h % length(w))::int + 2) else w end as word, c
+  from hashed
+), words as (
+  select word, sum(c)::bigint as n from edited where length(word) >= 5
+  group by word having sum(c) >= 3
+), cut as (
+  select word, n, unnest(range(1, length(word) + 1)) as i from words
+), less as (
+  select distinct word, n, left(word, (i - 1)::int) || substr(word, (i + 1)::int) as rest from cut
+), open as (
+  select word, n, i, left(word, (i - 1)::int) || substr(word, (i + 1)::int) as rest from cut
+), near as (
+  select less.word as a, less.n as an, words.word as b, words.n as bn
+  from less join words on words.word = less.rest
+  union
+  select words.word, words.n, less.word, less.n from less join words on words.word = less.rest
+  union
+  select x.word, x.n, y.word, y.n
+  from open x join open y on y.i = x.i and y.rest = x.rest and y.word <> x.word
+), best as (
+  select a, any_value(an) as an, count(*) as n_near, min((-bn, b)) as m from near group by a
+), formed as (
+  select w.word, w.n, coalesce(n_near, 0) as n_near,
+         case when -m[1] >= 2 * w.n then m[2] end as form,
+         case when -m[1] >= 2 * w.n then -m[1] end as form_n
+  from words w left join best on best.a = w.word
+), walk as (
+  select word, word as place, 0 as step from formed
+  union all
+  select walk.word, formed.form, step + 1
+  from walk join formed on formed.word = walk.place where formed.form is not null
+), ends as (
+  select word, arg_max(place, step) as root from walk group by word
+)
+select f.word, form, root, n, n_near::bigint as n_near, form_n::bigint as form_n
+from formed f join ends on ends.word = f.word
+"""
+
+ORACLE_SQL = {"op11_merkle": OP11, "op13_spelling": OP13, "op1_topk": OP1, "op2_warc": OP2, "op3_urls": OP3, "op5_decontamination": OP5,
               "op10_substrings": OP10}

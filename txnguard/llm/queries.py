@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnguard.llm import (bpe, decontam, pii, simhash, substrings, token_store, topk, toxicity,
-                          urls, warc)
-from txnguard.llm.oracle import ORACLE_SQL  # noqa: F401
+from txnguard.llm import (bpe, decontam, merkle, packing, pii, simhash, spelling, substrings,
+                          token_store, topk, toxicity, urls, warc)
+from txnguard.llm.oracle import LOWER, ORACLE_SQL, UPPER  # noqa: F401
 from txnguard.sources.tables import read_table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -95,6 +95,27 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      with_text=False).drop("removed")
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tampering: the text of every row with crc32(doc_id) mod 3 = 0 arrives in small letters."""
+    text = F.col("text")
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    arrived = F.when(chosen, F.translate(text, UPPER, LOWER)).otherwise(text)
+    return merkle.manifest(
+        read_table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"],
+        group="lang", order="doc_id", received={"text": arrived}).drop("pos")
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(read_table(spark, sf_dir, "documents"), vocabulary_path(), end_id=1)
+    return pieces.withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.word_counts(read_table(spark, sf_dir, "documents"), min_letters=5,
+                                 min_count=3, drop_every=97)
+    return spelling.variants(words, times=2)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_topk, op2_warc, op3_urls, op4_simhash, op5_decontamination, op6_pii, op7_token_store,
-    op8_bpe, op9_toxicity, op10_substrings)}
+    op8_bpe, op9_toxicity, op10_substrings, op11_merkle, op12_packing, op13_spelling)}
