@@ -414,3 +414,126 @@ def test_pipeline_hands_topic_options_to_every_output(spark, scratch, monkeypatc
                            "alerts": (options, "txn.fraud_alerts"), "dlq": (options, "bad")}
         assert sum(c for n, _, _, c in sent if n == "dlq") == 201
         assert sum(c for n, _, _, c in sent if n == "scored") == 799
+
+
+def scores_equal_batch(spark, root, sf="/root/testdata/sf0.001"):
+    """The warehouse of a stream over all raw messages holds the batch scores."""
+    from txnguard.sources import ingest
+    good, _ = ingest.split_dead_letters(ingest.decode(load_raw_messages(spark, sf)))
+    batch = rule_score(good, FIXTURE_PARAMS)
+    wh = spark.read.parquet(os.path.join(root, "scored_transactions"))
+    j = wh.join(batch.select("transaction_id", F.col("fraud_score").alias("b"),
+                             F.col("rules_fired").alias("bf")), "transaction_id", "full_outer")
+    assert wh.count() == batch.count() > 0
+    assert j.filter((F.col("fraud_score").cast("double") != F.col("b"))
+                    | (F.col("rules_fired") != F.col("bf"))
+                    | F.col("b").isNull() | F.col("fraud_score").isNull()).count() == 0
+
+
+def dead_letters_equal_split(spark, root, sf="/root/testdata/sf0.001"):
+    from txnguard.sources import ingest
+    _, dead = ingest.split_dead_letters(ingest.decode(load_raw_messages(spark, sf)))
+
+    def rows(df):               # the text files of the source hold null messages as empty lines
+        return sorted((r.value or "", r.reason) for r in df.select("value", "reason").collect())
+    assert rows(spark.read.parquet(os.path.join(root, "dlq"))) == rows(dead)
+
+
+def test_one_query_reads_the_source_once(spark, scratch):
+    """Both kinds of history: one query, one source, batch scores and all dead letters."""
+    src = day_files(spark, scratch)
+    for history in ("state", "store"):
+        raw = job.read_text_stream(spark, os.path.join(src, "*.json"), max_files=11)
+        out = os.path.join(scratch, history)
+        qs = job.start_pipeline(raw, out, FIXTURE_PARAMS, available_now=True,
+                                outputs=("warehouse",), history=history,
+                                checkpoint_base=os.path.join(scratch, "ck", history))
+        assert len(qs) == 1
+        qs[0].awaitTermination(600)
+        assert qs[0].exception() is None
+        assert all(len(p["sources"]) == 1 for p in qs[0].recentProgress)
+        scores_equal_batch(spark, out)
+        dead_letters_equal_split(spark, out)
+
+
+def test_store_batches_drop_replays_and_can_be_run_again(spark, scratch):
+    """Batches handed over twice, replays across batches, a folded batch refused."""
+    rows = load_transactions(spark, "/root/testdata/sf0.001").select(*job.TXN_NAMES).withColumns(
+        {"value": F.lit(None).cast("string"), "dlq_reason": F.lit(None).cast("string")}).cache()
+    day = F.dayofmonth("event_time")
+    fan = job.StoreFanOut(os.path.join(scratch, "s"), outputs=("warehouse",),
+                          rules=FIXTURE_PARAMS, fold_every=2)
+    cuts = [(0, 6), (6, 12), (12, 18), (18, 24), (24, 32)]
+    for i, (a, b) in enumerate(cuts):
+        part = rows.filter((day > a) & (day <= b))
+        again = rows.filter((day > a - 2) & (day <= a))             # known ids of the last batch
+        for _ in range(2):
+            fan(part.unionByName(again).unionByName(part.limit(5)), i)
+    wh = spark.read.parquet(os.path.join(scratch, "s", "scored_transactions"))
+    want = rule_score(rows.select(*job.TXN_NAMES), FIXTURE_PARAMS)
+    j = wh.join(want.select("transaction_id", F.col("fraud_score").alias("b")), "transaction_id",
+                "full_outer")
+    assert wh.count() == want.count() == 1000
+    assert j.filter("b is null or cast(fraud_score as double) is distinct from b").count() == 0
+    try:
+        fan(rows.limit(3), 0)
+        raise AssertionError("a folded batch was taken again")
+    except ValueError:
+        pass
+    rows.unpersist()
+
+
+def test_a_hot_customer_of_a_store_batch_is_divided(spark):
+    """A customer with a third of a micro-batch of 20 minutes: its changes lie in many tasks."""
+    from dataclasses import replace
+
+    from txnguard.operators.history import history_tables
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(
+            F.concat(F.lit("c"), F.col("id").cast("string"))).alias("customer_id"),
+        (F.col("id") % 90).cast("double").alias("amount"), F.lit("US").alias("country"),
+        F.timestamp_micros(F.lit(1_704_067_200_000_000) + F.col("id") * 40_000)
+        .alias("event_time"))
+    changes = history_tables(rows, replace(FIXTURE_PARAMS, history_segment_minutes=1)).changes
+    tasks = (changes.filter("who = 'hot'").repartition(16, "who", "seg")
+             .groupBy(F.spark_partition_id()).count().collect())
+    assert len(tasks) >= 10
+    assert max(r["count"] for r in tasks) < 0.3 * sum(r["count"] for r in tasks)
+
+
+def test_streamed_slides_are_the_state(spark, scratch):
+    """Chained windows: the first aggregation keeps one row per customer and slide; late rows within
+    the watermark count; every closed window equals the batch window."""
+    from txnguard.operators.marts import customer_window_stats
+    src = os.path.join(scratch, "w")
+    os.makedirs(src)
+    at = datetime(2024, 1, 1, 10, 0, 5)
+
+    def put(name, minutes):
+        with open(os.path.join(src, name), "w") as f:
+            for i, m in enumerate(minutes):
+                t = (at + timedelta(minutes=m)).strftime("%Y-%m-%dT%H:%M:%S")
+                f.write(f'{{"c": "a", "amount": {i + 0.5}, "t": "{t}"}}\n')
+    put("a.json", [0, 0, 0, 1, 5, 5])
+    put("b.json", [5.5, 4.9, 6])                         # one row is late, within the watermark
+    put("c.json", [60])
+    put("d.json", [120])
+    schema = "c string, amount double, t timestamp"
+
+    def rows(r):
+        return r.schema(schema).json(src).selectExpr("c as customer_id", "amount",
+                                                     "t as event_time")
+    stream = rows(spark.readStream.option("maxFilesPerTrigger", 1))
+    w = job.windowed_customer_stats(stream, StreamParams(watermark="2 minutes"))
+    q = (w.writeStream.format("memory").queryName("win_chain").outputMode("append")
+         .option("checkpointLocation", os.path.join(scratch, "ck")).trigger(availableNow=True)
+         .start())
+    q.awaitTermination(300)
+    got = sorted(map(tuple, spark.sql("select * from win_chain where window_end < "
+                                      "'2024-01-01 10:50'").collect()))
+    want = sorted(map(tuple, customer_window_stats(rows(spark.read)).filter(
+        "window_end < '2024-01-01 10:50'").collect()))
+    assert got == want and len(want) >= 15
+    slides = max(p["stateOperators"][-1]["numRowsTotal"] for p in q.recentProgress
+                 if p["stateOperators"])
+    assert len(q.recentProgress[0]["stateOperators"]) == 2 and slides <= 12

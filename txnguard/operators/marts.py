@@ -79,31 +79,23 @@ def customer_window_stats(txns: DataFrame, length: str = "10 minutes",
                           slide: str = "1 minute", small_amount: float = 5.0) -> DataFrame:
     """Per customer and sliding event-time window: count, small count, mean and max amount.
 
-    Batch or stream: on a stream, put `withWatermark` on event_time first (streaming/). A batch is
+    Batch or stream: on a stream, put `withWatermark` on event_time first (streaming/). Rows are
     aggregated by slide first (all rows of a slide are in the same windows), so that what is
-    repeated for each window is one row per customer and slide and not every transaction."""
-    if not txns.isStreaming:
-        small = F.when(F.col("amount") < F.lit(small_amount), 1).otherwise(0)
-        slides = txns.groupBy("customer_id", F.window("event_time", slide).alias("s")).agg(
-            F.count(F.lit(1)).alias("n"), F.sum(small).alias("k"),
-            F.sum(F.col("amount").cast("decimal(18,4)")).alias("total"),
-            F.count("amount").alias("known"), F.max("amount").alias("most"))
-        g = slides.select("*", F.col("s.start").alias("at")).groupBy(
-            "customer_id", F.window("at", length, slide).alias("w")).agg(
-            F.sum("n").alias("txn_count_10min"), F.sum("k").alias("small_txn_count"),
-            (F.sum("total").cast("double") / F.nullif(F.sum("known"), F.lit(0)))
-            .alias("avg_amount_10min"),
-            F.max("most").alias("max_amount_10min"))
-        return g.select("customer_id", F.col("w.start").alias("window_start"),
-                        F.col("w.end").alias("window_end"), "txn_count_10min", "small_txn_count",
-                        "avg_amount_10min", "max_amount_10min")
-    g = txns.groupBy("customer_id", F.window("event_time", length, slide).alias("w")).agg(
-        F.count(F.lit(1)).alias("txn_count_10min"),
-        F.sum(F.when(F.col("amount") < F.lit(small_amount), 1).otherwise(0))
-        .alias("small_txn_count"),
-        exact_avg(F.col("amount")).alias("avg_amount_10min"),
-        F.max("amount").alias("max_amount_10min"),
-    )
+    repeated for each window, and what a stream keeps as state, is one row per customer and slide
+    and not every transaction. On a stream the two aggregations are chained: a slide is handed on
+    when the watermark passes its end, and then counts in its windows by `window_time`."""
+    small = F.when(F.col("amount") < F.lit(small_amount), 1).otherwise(0)
+    slides = txns.groupBy("customer_id", F.window("event_time", slide).alias("s")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(small).alias("k"),
+        F.sum(F.col("amount").cast("decimal(18,4)")).alias("total"),
+        F.count("amount").alias("known"), F.max("amount").alias("most"))
+    at = F.window_time("s") if txns.isStreaming else F.col("s.start")
+    g = slides.select("*", at.alias("at")).groupBy(
+        "customer_id", F.window("at", length, slide).alias("w")).agg(
+        F.sum("n").alias("txn_count_10min"), F.sum("k").alias("small_txn_count"),
+        (F.sum("total").cast("double") / F.nullif(F.sum("known"), F.lit(0)))
+        .alias("avg_amount_10min"),
+        F.max("most").alias("max_amount_10min"))
     return g.select("customer_id", F.col("w.start").alias("window_start"),
                     F.col("w.end").alias("window_end"), "txn_count_10min", "small_txn_count",
                     "avg_amount_10min", "max_amount_10min")

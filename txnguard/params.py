@@ -152,6 +152,8 @@ class StreamParams:
     state_ttl_days: float = LOOKUP_RETENTION_DAYS
     # Messages that repeat a transaction id within this much event time are replays.
     replay_minutes: int = 60
+    # Dead letters pass the state operator under this many keys.
+    dead_letter_keys: int = 256
 
 
 @dataclass(frozen=True)

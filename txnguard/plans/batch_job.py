@@ -2,17 +2,24 @@
 customer stats and a data-quality report. Any number of loads add up.
 
 A load parses its messages once and lands them. Messages whose transaction id an earlier row of
-the load or an earlier load has are replays and are left out before history. History continues
-from the tables that earlier loads left behind (segment totals, changes and first-seen times per
-load), so a load reads the stored history of its own customers and segments, not their rows.
-Everything downstream reads the warehouse table; the daily mart is rebuilt for the days that the
-load touches, however old, lookup tables get the load's rows only, and customer stats are merged
-from the stats of the loads.
+the load or an earlier load has are replays and are left out before history: an index of Bloom
+filters and keys per day (`id_index`) tells them, at a cost that depends on the days of the load.
+History continues from the store that earlier loads left behind (`history_store`: balances per
+customer, segment totals and changes by day), so a load reads the stored history of its own days
+and not that of all loads.
+The daily mart is rebuilt for the days that the load touches, however old. The category and customer
+marts and the customer stats grow by the load's own rows (`group_store`: counters and new pairs per
+group), and only the buckets of groups that the load touches are read and written again. Marts and
+reports are published (`published`): a reader sees the version before or after a load. `read` gives
+any table of the job.
 
 Scores are those at the time of the load: a late row sees every stored earlier row, but does not
 change scores given before it came (the reference scores each transaction once, on arrival).
 
-Every table of a load is overwritten under its run id, so a rerun leaves the same tables.
+A run id is any text of letters, digits, '.', '_' and '-'; the log of loads gives it a number, under
+which every table of the load is overwritten. A rerun takes the same number and sees the loads
+before it only, so it leaves the same tables. Loads that have been folded into the stores (all but
+the newest few) are final: running them again is refused before anything is written.
 """
 
 from __future__ import annotations
@@ -25,18 +32,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnguard.operators import lookup, marts, quality
-from txnguard.operators.history import Past, history_tables
 from txnguard.operators.scoring import rule_score
 from txnguard.operators.staging import (first_of_each, split_unfit, stg_scored, to_lookup,
                                          to_warehouse)
 from txnguard.params import FIXTURE_PARAMS, MartParams, RuleParams
-from txnguard.plans import sinks
+from txnguard.plans import group_store, sinks
+from txnguard.plans.day_store import LoadLog
+from txnguard.plans.group_store import GroupStore
+from txnguard.plans.history_store import HistoryStore
+from txnguard.plans.id_index import IdIndex
+from txnguard.plans.published import Published
 from txnguard.sources import ingest
 
-TABLES = ("landed", "accepted", "scored", "warehouse_unfit", "history_totals", "history_changes", "history_firsts",
-          "customer_stats_parts", "dead_letters", "scored_transactions", "fct_fraud_daily", "fct_fraud_by_category",
-          "dim_fraud_customers", "transactions", "fraud_alerts", "customer_stats",
-          "quality_report", "freshness_report")
+TABLES = ("landed", "accepted", "scored", "warehouse_unfit", "dead_letters", "scored_transactions",
+          "transactions", "fraud_alerts", "fct_fraud_daily", "fct_fraud_by_category",
+          "dim_fraud_customers", "customer_stats", "quality_report", "freshness_report")
+# published tables with their partition column and sort columns
+PUBLISHED = {"fct_fraud_daily": ("txn_date", ()), "fct_fraud_by_category": (None, ("fraud_rate_pct",)),
+             "dim_fraud_customers": ("bucket", ("customer_id",)),
+             "customer_stats": ("bucket", ("customer_id",)),
+             "quality_report": (None, ()), "freshness_report": (None, ())}
 
 
 @dataclass
@@ -47,95 +62,125 @@ class BatchJob:
     mart: MartParams = field(default_factory=MartParams)
     run_id: str = "0"
 
+    fold_every: int = 8          # loads between two folds of the stores
+    keep: int = 2                # newest loads that stay unfolded and can be run again
+    buckets: int = 32            # of the customer and category stores
+
     def path(self, name: str) -> str:
         return os.path.join(self.out_root, name)
 
-    def _write_load(self, df: DataFrame, name: str) -> DataFrame:
+    def _published(self, name: str) -> Published:
+        return Published(self.spark, self.path(name), *PUBLISHED[name])
+
+    def read(self, name: str) -> DataFrame:
+        """A table of the job, as its last complete load left it."""
+        if name in PUBLISHED:
+            return self._published(name).read().drop("bucket")
+        return self.spark.read.parquet(self.path(name))
+
+    def _groups(self, name: str, group: str, measures: dict, distinct: tuple) -> GroupStore:
+        return GroupStore(self.spark, self.path(f"_groups/{name}"), group, measures, distinct,
+                          self.buckets, self.fold_every, self.keep)
+
+    def stores(self) -> dict:
+        """Every store that loads are folded into."""
+        return {
+            "ids": IdIndex(self.spark, self.path("_ids"), fold_every=self.fold_every,
+                           keep=self.keep),
+            "history": HistoryStore(self.spark, self.path("_history"), self.rules,
+                                    self.fold_every, self.keep),
+            "customers": self._groups("customers", "customer_id", group_store.CUSTOMERS,
+                                      ("country", "category", "merchant")),
+            "categories": self._groups("categories", "category", group_store.CATEGORIES,
+                                       ("customer_id",)),
+            "stats": self._groups("stats", "customer_id", group_store.STATS,
+                                  ("country", "device_id")),
+        }
+
+    def customer_sets(self, stats: DataFrame) -> DataFrame:
+        """K7 with its sets of countries and devices, for the customers of `stats`."""
+        return group_store.with_sets(stats, self.stores()["stats"].pairs())
+
+    def _write_load(self, df: DataFrame, name: str, load: int) -> DataFrame:
         """Write this load's part of a table; returns it."""
-        part = os.path.join(self.path(name), f"load={self.run_id}")
+        part = os.path.join(self.path(name), f"load={load}")
         df.write.mode("overwrite").parquet(part)
         return self.spark.read.schema(df.schema).parquet(part)
 
-    def _earlier(self, name: str) -> DataFrame | None:
-        """The parts of a table that other loads wrote."""
-        if not sinks.path_exists(self.spark, self.path(name)):
-            return None
-        return self.spark.read.parquet(self.path(name)).filter(
-            F.col("load").cast("string") != self.run_id).drop("load")
-
-    def _past(self) -> Past | None:
-        parts = [self._earlier(f"history_{n}") for n in ("totals", "changes", "firsts")]
-        return Past(*parts) if all(p is not None for p in parts) else None
-
     def run(self, raw: DataFrame) -> dict[str, str]:
+        load = LoadLog(self.spark, self.out_root).claim(self.run_id)      # refuses unusable ids
+        stores = self.stores()
+        if any(x.store.is_final(load) for x in stores.values()):
+            raise ValueError(f"load {self.run_id!r} is folded into later loads and final")
+        ids, history = stores["ids"], stores["history"]
+
         # the messages are parsed once
         tagged = ingest.decode(raw).withColumn("dlq_reason", ingest.dlq_reason())
-        landed = self._write_load(tagged, "landed")
+        landed = self._write_load(tagged, "landed", load)
         good, dead = ingest.split_dead_letters(landed.drop("dlq_reason"))
 
         # K8: dead letters of this load
         dead.write.mode("overwrite").parquet(os.path.join(self.path("dead_letters"),
-                                                          f"run={self.run_id}"))
+                                                          f"run={load}"))
 
         # T10, K4: one row per transaction, before history
         once = first_of_each(good, ["transaction_id"], ["event_time", "customer_id"])
-        stored = self._earlier("accepted")
-        if stored is not None:
-            once = once.join(stored.select("transaction_id"), "transaction_id", "left_anti")
-        rows = self._write_load(once, "accepted")
+        rows = self._write_load(ids.new_rows(once, load), "accepted", load)
 
         # K4: scores, once, into the warehouse, seeded with the history of earlier loads
         scored = self._write_load(
-            rule_score(rows, self.rules, stamp=True, past=self._past()).drop(
-                "country_first_seen", "triggered_rules"), "scored")
+            rule_score(rows, self.rules, stamp=True, past=history.past(rows, load)).drop(
+                "country_first_seen", "triggered_rules"), "scored", load)
         fit, unfit = split_unfit(scored)
         sinks.append_warehouse(to_warehouse(fit), self.path("scored_transactions"),
-                               load_id=self.run_id, dedup=False)
-        self._write_load(unfit, "warehouse_unfit")
-        left = history_tables(rows, self.rules)
-        self._write_load(left.totals, "history_totals")
-        self._write_load(left.changes.drop("home"), "history_changes")
-        self._write_load(left.firsts, "history_firsts")
-
-        # models from the stored warehouse rows
+                               load_id=load, dedup=False)
+        self._write_load(unfit, "warehouse_unfit", load)
+        ids.add(rows, load)
+        history.add(rows, load)
+
+        # models: the days and the groups that the load touches
         wh = self.spark.read.parquet(self.path("scored_transactions"))
-        own = wh.filter(F.col(sinks.LOAD_COL).cast("string") == self.run_id)
-        stg = sinks.register_view(stg_scored(wh), "stg_scored_transactions")          # M1
+        own = stg_scored(wh.filter(F.col(sinks.LOAD_COL).cast("string") == str(load)))
+        sinks.register_view(stg_scored(wh), "stg_scored_transactions")                # M1
         days = [r[0] for r in own.select("txn_date").distinct().collect()]   # bounded by days
-        sinks.refresh_daily_for_dates(self.path("scored_transactions"),
-                                      self.path("fct_fraud_daily"), days,
-                                      lambda w: marts.fct_daily(stg_scored(w)))       # M3
-        sinks.write_table(marts.fct_category(stg), self.path("fct_fraud_by_category"),
-                          sort_cols=("fraud_rate_pct",))                                # M2, M4
-        sinks.write_table(marts.dim_customers(stg), self.path("dim_fraud_customers"),
-                          sort_cols=("customer_id",))
+        self._published("fct_fraud_daily").publish(
+            marts.fct_daily(stg_scored(wh.filter(F.col("txn_date").isin(days)))), days)   # M3
+        stores["categories"].add(own, load)
+        stores["customers"].add(own, load)
+        self._published("fct_fraud_by_category").publish(
+            group_store.category_rows(stores["categories"].groups()))                     # M2
+        self._refresh("dim_fraud_customers", stores["customers"], group_store.customer_rows, load)
 
         # K5, K6: lookup tables, one version per load, this load's rows only
         lk = to_lookup(scored)
         sinks.append_version(lk.withColumn("event_date", F.to_date("event_time")),
-                             self.path("transactions"), "event_date", int(self.run_id),
+                             self.path("transactions"), "event_date", load,
                              sort_cols=lookup.LOOKUP_KEY)
         sinks.append_version(lookup.alerts_rows(lk), self.path("fraud_alerts"), "alert_date",
-                             int(self.run_id), sort_cols=lookup.ALERT_KEY)
+                             load, sort_cols=lookup.ALERT_KEY)
 
-        # K7: this load's stats, then the merge over all loads
-        self._write_load(lookup.customer_stats(scored), "customer_stats_parts")
-        parts = self.spark.read.parquet(self.path("customer_stats_parts")).drop("load")
-        sinks.write_table(lookup.merge_customer_stats(parts), self.path("customer_stats"),
-                          sort_cols=("customer_id",))
+        # K7: counters and new (customer, country) and (customer, device) pairs
+        stores["stats"].add(scored, load)
+        self._refresh("customer_stats", stores["stats"], group_store.stats_rows, load)
 
         # Q1-Q5 over the written models
-        daily = self.spark.read.parquet(self.path("fct_fraud_daily"))
-        cat = self.spark.read.parquet(self.path("fct_fraud_by_category"))
-        cust = self.spark.read.parquet(self.path("dim_fraud_customers"))
-        report = quality.union_all(list(quality.mart_checks(daily, cat, cust).values()))
-        sinks.write_table(report.coalesce(1), self.path("quality_report"))
+        report = quality.union_all(list(quality.mart_checks(
+            self.read("fct_fraud_daily"), self.read("fct_fraud_by_category"),
+            self.read("dim_fraud_customers")).values()))
+        self._published("quality_report").publish(report)
         now = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
-        sinks.write_table(quality.freshness(
+        self._published("freshness_report").publish(quality.freshness(
             wh, "scored_transactions", "loaded_at", now, self.mart.freshness_warn_minutes,
-            self.mart.freshness_error_minutes), self.path("freshness_report"))
+            self.mart.freshness_error_minutes))
+        for store in stores.values():
+            store.fold_if_due()
         return {t: self.path(t) for t in TABLES}
 
+    def _refresh(self, name: str, store: GroupStore, rows, load: int) -> None:
+        """Publish the buckets of groups that the load touches."""
+        buckets = store.store.parts_of(load, "partials")
+        self._published(name).publish(rows(store.groups(touched_by=load)), buckets)
+
 
 def run_batch(spark: SparkSession, sf_dir: str, out_root: str, run_id: str = "0",
               rules: RuleParams = FIXTURE_PARAMS) -> dict[str, str]:

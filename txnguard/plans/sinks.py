@@ -150,27 +150,32 @@ def compact(spark: SparkSession, path: str, key, part_col: str, values: list,
             retention_days: int = LOOKUP_RETENTION_DAYS) -> None:
     """Fold all versions of the given partitions into their latest rows, written once under the
     highest version present, then drop the older version folders. Readers see the same rows
-    before and after. With `as_of`, day partitions past the retention are dropped first."""
+    before and after, and a version that a stream writes meanwhile stays. With `as_of`, day partitions past the retention are dropped first."""
     if as_of is not None:
         gone = set(expire(spark, path, part_col, as_of, retention_days))
         values = [v for v in values if str(v) not in gone]
     if not values:
         return
-    t = spark.read.parquet(path).filter(F.col(part_col).isin(values))
-    top = t.agg(F.max(version_col)).first()[0]
-    if top is None:
+    # only versions that exist now are folded and dropped: a later one may be written meanwhile
+    mark = f"{version_col}="
+    listed = {}
+    for v in values:
+        fs, folder = _hadoop(spark, f"{path}/{part_col}={v}")
+        if fs.exists(folder):
+            listed[v] = [int(st.getPath().getName()[len(mark):]) for st in fs.listStatus(folder)
+                         if st.getPath().getName().startswith(mark)]
+    versions = sorted({n for found in listed.values() for n in found})
+    if not versions:
         return
+    t = spark.read.parquet(path).filter(F.col(part_col).isin(values)
+                                        & F.col(version_col).isin(versions))
     latest = _materialize(upsert_last_write(t, key, version_col)
-                          .withColumn(version_col, F.lit(int(top)).cast("long")))
+                          .withColumn(version_col, F.lit(versions[-1]).cast("long")))
     overwrite_partitions(latest, path, [part_col, version_col], sort_cols or key)
-    for v in values:
-        fs, folder = _hadoop(spark, f"{path}/{part_col}={v}")
-        if not fs.exists(folder):
-            continue
-        for st in fs.listStatus(folder):
-            name = st.getPath().getName()
-            if name.startswith(f"{version_col}=") and name != f"{version_col}={top}":
-                fs.delete(st.getPath(), True)
+    for v, found in listed.items():
+        for n in found:
+            if n != versions[-1]:
+                delete_path(spark, f"{path}/{part_col}={v}/{mark}{n}")
 
 
 # -- M1-M4 ------------------------------------------------------------------------------------

@@ -3,11 +3,17 @@
 Shape of the scoring job:
 
     raw (Kafka or files, `value` column)
-      -> decode (one JSON parse per message) -> dead-letter split
+      -> decode (one JSON parse per message), tag dead letters
       -> event-time watermark
       -> stateless score, or per-customer state + weighted rules
       -> one foreachBatch that persists the micro-batch once and writes every output
 
+Dead letters ride along to the fan-out in every mode, so the source is read once. The rule engine has
+two kinds of history: `state` keeps each customer in the state store (low latency; a customer's
+rows of a micro-batch are one Python call), `store` scores a micro-batch as a load of the batch
+plan over the history store (`StoreFanOut`), where a customer with any share of the rows is divided
+by minute segments and rows.
+
 Folder outputs of a micro-batch are overwritten under its batch id and tables are merged by key, so
 a batch replayed after a failure (same id, same offsets from the checkpoint) leaves the same files.
 Topic outputs are at-least-once: a replayed batch publishes its messages again, and consumers drop
@@ -17,25 +23,28 @@ repeats by transaction id. The job survives executor and driver restarts through
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnguard.operators.history import exact_amount
 from txnguard.operators.marts import batch_metrics, customer_window_stats
-from txnguard.operators.scoring import apply_rules, stateless_score
-from txnguard.operators.staging import split_unfit, stg_scored, to_lookup, to_warehouse
+from txnguard.operators.scoring import apply_rules, rule_score, stateless_score
+from txnguard.operators.staging import (first_of_each, split_unfit, stg_scored, to_lookup,
+                                         to_warehouse)
 from txnguard.operators.lookup import ALERT_KEY, LOOKUP_KEY, alerts_rows
 from txnguard.params import RuleParams, StreamParams
 from txnguard.operators.marts import fct_daily
+from txnguard.plans.history_store import HistoryStore
+from txnguard.plans.id_index import IdIndex
 from txnguard.plans.sinks import (append_version, append_warehouse, delete_path, path_exists,
                                   refresh_daily_for_dates)
 from txnguard.schemas import ALERT_FIELDS, SCORED_SCHEMA
 from txnguard.session import checkpoint_root
 from txnguard.sources import ingest
-from txnguard.streaming.state import (OUTPUT_SCHEMA, TXN_NAMES, UNITS, UNITS_PER_ONE,
-                                       CustomerHistoryProcessor)
+from txnguard.streaming.state import (DEAD, FULL_SCHEMA, GOOD, OUTPUT_SCHEMA, TXN_NAMES, UNITS,
+                                      UNITS_PER_ONE, CustomerHistoryProcessor)
 
 SCORED_MESSAGE_FIELDS = ("transaction_id", "customer_id", "amount", "merchant", "category",
                          "country", "fraud_score", "is_fraud", "scored_at", "currency",
@@ -88,15 +97,27 @@ def stateless_stream(raw: DataFrame, sp: StreamParams = StreamParams()) -> DataF
     return stateless_score(t, sp.stateless_threshold)
 
 
-def rule_stream(raw: DataFrame, rp: RuleParams, sp: StreamParams = StreamParams()) -> DataFrame:
-    """Good rows through per-customer state (T7, T10) and the weighted rules."""
-    good = tagged_stream(raw, sp).filter(F.col("dlq_reason").isNull())
-    good = good.withWatermark("event_time", sp.watermark)
+def rule_stream(raw: DataFrame, rp: RuleParams, sp: StreamParams = StreamParams(),
+                with_dead: bool = False) -> DataFrame:
+    """Good rows through per-customer state (T7, T10) and the weighted rules. With `with_dead` the
+    other rows pass the state operator under salted keys, with value and dlq_reason."""
     units = (exact_amount() * UNITS_PER_ONE).cast("long").alias(UNITS)
-    hist = good.select(*TXN_NAMES, units).groupBy("customer_id").transformWithStateInPandas(
-        CustomerHistoryProcessor(rp, sp.state_ttl_days, sp.allowed_lateness_minutes,
-                                 sp.replay_minutes),
-        OUTPUT_SCHEMA, "Append", "ProcessingTime")
+    tagged = tagged_stream(raw, sp).withWatermark("event_time", sp.watermark)
+    processor = CustomerHistoryProcessor(rp, sp.state_ttl_days, sp.allowed_lateness_minutes,
+                                         sp.replay_minutes, with_dead)
+    bad = F.col("dlq_reason").isNotNull()
+    if with_dead:
+        # the text travels for dead letters only
+        salt = F.pmod(F.xxhash64("value"), F.lit(sp.dead_letter_keys)).cast("string")
+        rows = tagged.select(
+            *TXN_NAMES, units, F.when(bad, F.col("value")).alias("value"), "dlq_reason",
+            F.when(bad, F.concat(F.lit(DEAD), salt))
+            .otherwise(F.concat(F.lit(GOOD), F.col("customer_id"))).alias("state_key"))
+        keyed, schema = rows.groupBy("state_key"), FULL_SCHEMA
+    else:
+        keyed = tagged.filter(~bad).select(*TXN_NAMES, units).groupBy("customer_id")
+        schema = OUTPUT_SCHEMA
+    hist = keyed.transformWithStateInPandas(processor, schema, "Append", "ProcessingTime")
     return apply_rules(hist, rp, stamp=True)
 
 
@@ -241,6 +262,45 @@ class FanOut:
                            sort_cols=ALERT_KEY)
 
 
+@dataclass
+class StoreFanOut(FanOut):
+    """Scores each micro-batch as one load of the batch plan, then writes it to every output.
+
+    Batch id n is load n + 1 of a history store and an id index below `root` (plans/history_store,
+    plans/id_index): replays of known ids go, history continues from the store, and a batch that is
+    run again after a failure replaces its own load. The batch plan divides a customer by segments
+    of `segment_minutes` and by rows, so a customer with a third of a micro-batch is no task of its
+    own, and late rows of any age see their exact history."""
+
+    rules: RuleParams | None = None
+    segment_minutes: int = 1
+    fold_every: int = 8
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark, load = batch.sparkSession, batch_id + 1
+        rules = replace(self.rules, history_segment_minutes=self.segment_minutes)
+        ids = IdIndex(spark, os.path.join(self.root, "_ids"), fold_every=self.fold_every)
+        history = HistoryStore(spark, os.path.join(self.root, "_history"), rules, self.fold_every)
+        if ids.store.is_final(load) or history.store.is_final(load):
+            raise ValueError(f"batch {batch_id} is folded: the store belongs to another checkpoint")
+        batch = batch.persist()
+        once = first_of_each(batch.filter("dlq_reason is null").select(*TXN_NAMES),
+                             ["transaction_id"], ["event_time", "customer_id"])
+        rows = ids.new_rows(once, load).persist()
+        try:
+            scored = rule_score(rows, rules, stamp=True, past=history.past(rows, load))
+            dead = batch.filter("dlq_reason is not null").select("value", "dlq_reason")
+            super().__call__(scored.unionByName(dead, allowMissingColumns=True), batch_id)
+            if not rows.isEmpty():
+                ids.add(rows, load)
+                history.add(rows, load)
+            ids.fold_if_due()
+            history.fold_if_due()
+        finally:
+            rows.unpersist()
+            batch.unpersist()
+
+
 def start(scored: DataFrame, fan_out: FanOut, name: str, sp: StreamParams = StreamParams(),
           available_now: bool = False, checkpoint: str | None = None):
     """Start the fan-out query (T3 append, T4 trigger, T5 checkpoint)."""
@@ -267,36 +327,27 @@ def start_pipeline(raw: DataFrame, root: str, rules: RuleParams | None = None,
                    outputs: tuple = ("scored", "alerts", "warehouse", "lookup", "alert_table",
                                      "daily_mart"),
                    checkpoint_base: str | None = None, kafka: dict | None = None,
-                   topics: dict | None = None) -> list:
-    """Start the scoring job and return its queries.
+                   topics: dict | None = None, history: str = "state") -> list:
+    """Start the scoring job, one query that reads the source once; returns [query].
 
     With `kafka` (writer options) the scored, alert and dead-letter messages are published to
     `topics` (names by "scored", "alerts", "dlq"); else they go to folders below `root`.
-    Stateless scoring (`rules=None`) is one query whose fan-out also writes the dead letters.
-    The rule engine keeps state of good rows only, and a streaming query cannot write the input of
-    its state operator as well, so its dead letters are a second query, which reads the source
-    again but keeps no state."""
+    `rules=None` scores statelessly; else `history` says where the rule engine keeps its history
+    ("state" or "store", see above)."""
     spark = raw.sparkSession
     base = checkpoint_base or os.path.join(checkpoint_root(spark), "streams")
-
-    def fan(outputs):
-        return FanOut(root, outputs=outputs, kafka=kafka, topics={**TOPICS, **(topics or {})},
-                      bounded=available_now)
+    told = {"outputs": (*outputs, "dlq"), "kafka": kafka,
+            "topics": {**TOPICS, **(topics or {})}, "bounded": available_now}
     if rules is None:
-        return [start(stateless_stream(raw, sp), fan((*outputs, "dlq")), "stateless", sp,
-                      available_now, os.path.join(base, "stateless"))]
-    scoring = start(rule_stream(raw, rules, sp), fan(outputs), "rules", sp, available_now,
-                    os.path.join(base, "rules"))
-    dead = tagged_stream(raw, sp).filter(F.col("dlq_reason").isNotNull())
-
-    def write_dead(batch: DataFrame, batch_id: int) -> None:
-        fan(("dlq",))._emit(dead_letters(batch), "dlq", batch_id)
-    w = (dead.writeStream.queryName("dead_letters")
-         .option("checkpointLocation", os.path.join(base, "dead_letters"))
-         .foreachBatch(write_dead))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(
-        processingTime=sp.scored_trigger)
-    return [scoring, w.start()]
+        stream, fan, name = stateless_stream(raw, sp), FanOut(root, **told), "stateless"
+    elif history == "store":
+        stream, name = tagged_stream(raw, sp), "rules_store"
+        fan = StoreFanOut(root, rules=rules, **told)
+    elif history == "state":
+        stream, fan, name = rule_stream(raw, rules, sp, with_dead=True), FanOut(root, **told), "rules"
+    else:
+        raise ValueError(f"history {history!r}: 'state' or 'store'")
+    return [start(stream, fan, name, sp, available_now, os.path.join(base, name))]
 
 
 def start_console_alerts(scored: DataFrame, sp: StreamParams = StreamParams(),

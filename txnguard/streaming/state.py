@@ -18,6 +18,9 @@ and scored against the state as it is.
 A message that repeats the transaction id of an event in the recent list, or of an earlier row of
 the same micro-batch, is a replay: it gives no row and changes no history.
 
+Rows with a dead-letter reason pass through under keys that begin with `DEAD`: they read and change
+no state and come out with their text and reason, so that one query writes scores and dead letters.
+
 An idle customer expires as a whole: one timer per customer, set `ttl_days` after the customer was
 last seen, clears both states. While a customer stays active nothing expires. A customer who comes
 back after that starts with an empty history, so scores then differ from the batch operator, which
@@ -75,6 +78,10 @@ STREAM_TXN_FIELDS = [
 ]
 
 OUTPUT_SCHEMA = StructType(STREAM_TXN_FIELDS + HISTORY_FIELDS)
+# with dead letters: their text and reason, NULL for good rows
+DEAD_FIELDS = [StructField("value", StringType()), StructField("dlq_reason", StringType())]
+FULL_SCHEMA = StructType(STREAM_TXN_FIELDS + HISTORY_FIELDS + DEAD_FIELDS)
+DEAD, GOOD = "!", "="
 TXN_NAMES = [f.name for f in STREAM_TXN_FIELDS]
 # the exact amount, computed by the same expression as in the batch operator
 UNITS_PER_ONE = 10_000
@@ -83,8 +90,8 @@ UNITS = "amount_units"
 
 class CustomerHistoryProcessor(StatefulProcessor):
     def __init__(self, params: RuleParams, ttl_days: float = 30, lateness_minutes: int = 1,
-                 replay_minutes: int = 60):
-        self.p = params
+                 replay_minutes: int = 60, with_dead: bool = False):
+        self.p, self.with_dead = params, with_dead
         self.lateness = int(lateness_minutes) * MICROS_PER_MINUTE
         self.ttl_ms = int(ttl_days * 24 * 3600 * 1000)
         self.w_vel = params.velocity_window_minutes * MICROS_PER_MINUTE
@@ -109,6 +116,18 @@ class CustomerHistoryProcessor(StatefulProcessor):
         return iter([])
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        if not self.with_dead:
+            yield from self.scored_rows(rows, timerValues)
+        elif key[0].startswith(DEAD):
+            for pdf in rows:
+                none = dict.fromkeys([f.name for f in HISTORY_FIELDS])
+                yield pdf[[*TXN_NAMES, *[f.name for f in DEAD_FIELDS]]].assign(**none)[
+                    FULL_SCHEMA.fieldNames()]
+        else:
+            for pdf in self.scored_rows(rows, timerValues):
+                yield pdf.assign(value=None, dlq_reason=None)
+
+    def scored_rows(self, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows), ignore_index=True)
         if pdf.empty:
             return
