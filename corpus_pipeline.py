@@ -26,14 +26,17 @@ ORACLE_SQL = None          # hashing, learning and token ids are beyond SQL; tes
 
 
 def _apart(docs: DataFrame) -> DataFrame:
-    """doc_id, text, and the other columns in one struct, where their names can't clash."""
-    rest = [F.col(c) for c in docs.columns if c not in ("doc_id", "text")]
-    return docs.select("doc_id", "text", F.struct(F.lit(1).alias("__one"), *rest).alias("rest"))
+    """doc_id, text, and the other columns in one struct by their place, where no name can clash."""
+    safe = docs.toDF(*[f"_c{i}" for i in range(len(docs.columns))])
+    at = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
+    rest = [F.col(x) for c, x in at.items() if c not in ("doc_id", "text")]
+    return safe.select(F.col(at["doc_id"]).alias("doc_id"), F.col(at["text"]).alias("text"),
+                       F.struct(F.lit(1).alias("one"), *rest).alias("rest"))
 
 
 def _together(rows: DataFrame, columns: list[str]) -> DataFrame:
-    return rows.select(*[F.col(c) if c in ("doc_id", "text") else F.col(f"rest.`{c}`")
-                         for c in columns])
+    return rows.select(*[F.col(c) if c in ("doc_id", "text") else F.col(f"rest._c{i}").alias(c)
+                         for i, c in enumerate(columns)])
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

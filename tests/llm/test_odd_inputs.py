@@ -133,13 +133,80 @@ def test_topk(spark):
     best = {}
     for r in sorted(got, key=lambda r: r["rank"]):
         best.setdefault(r.query_id, []).append((r.vec_id, r.score))
-    assert best[0] == [(9, 131072), (1, 65536), (2, 65536)]
+    assert best[0] == [(9, 131072), (9, 131072), (1, 65536)]    # every row is a candidate
     assert best[7] == [(0, 0), (1, 0), (2, 0)]
     assert set(best) == {0, 1, 2, 7, 8, 9, 10}
     assert topk.top_k(v.limit(0), v).count() == 0
     assert topk.top_k(v, v.limit(0)).count() == 0
     assert topk.top_k(v.filter("id < 2"), v, k=5).filter("query_id = 0").count() == 1
-
+    again = spark.createDataFrame([(0, [1]), (1, [5]), (1, [9]), (2, [7])],
+                                  "id long, v array<long>").selectExpr("*", "'x' as ID")
+    got = topk.top_k(again, again.filter("v[0] = 1"), k=5)
+    assert [(r.vec_id, r.score) for r in got.orderBy("rank").collect()] == [(1, 9), (2, 7), (1, 5)]
+
+
+def test_vectors_go_only_where_they_are_needed(spark):
+    """Short vectors reach no query block whose queries need long ones."""
+    rows = [(i, [int(1.06 ** (i % 200)) + 1, i % 7]) for i in range(4000)]
+    v = spark.createDataFrame(rows, "id long, v array<long>")
+    p, q, sizes = topk._prepared(v, v.filter("id % 2 = 0"), 5, 100, 64, 1.05)
+    _, dealt = topk._dealt(p, q, sizes)
+    blocks = q.select("qb").distinct().count()
+    assert blocks >= 15 and dealt.count() < 0.5 * 4000 * blocks
+    got = topk.top_k(v, v.filter("id % 400 = 0"), block=100, seeds=64).collect()
+    for query in range(0, 4000, 400):
+        want = sorted(((-sum(a * b for a, b in zip(rows[query][1], x)), i)
+                       for i, x in rows if i != query))[:5]
+        assert [(-r.score, r.vec_id) for r in sorted(got, key=lambda r: r["rank"])
+                if r.query_id == query] == want
+
+
+ODD_NAMES = ["Score", "N_TOKENS", "__one", "a.b", "rest", "N_HIT", "FP", "n_private", "_c0",
+             "`q`", "text two", "Component_Id"]
+
+
+def test_clashing_names_in_every_operator_and_stage(spark):
+    """Names that differ from new columns in case only, hold a dot or a quote, or look like helpers."""
+    import corpus_pipeline
+
+    rows = [(1, "a b c d one two", 5), (2, None, None), (2, "call +44 20 7946 0958", 3)]
+    plain = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    odd = plain.select("*", *[F.lit(i) for i in range(len(ODD_NAMES))]).toDF(
+        "doc_id", "text", "n_chars", *ODD_NAMES)
+    bench = spark.createDataFrame([(1, "zz yy", 0)], "item_id long, text string, `a.b` int")
+    labels = spark.createDataFrame([(1, 1, 2)], "doc_id long, toxic int, `x.y` int")
+
+    def told(df, *new):
+        low = {n.lower() for n in new}
+        assert [c for c in df.columns if c.lower() not in low] == [
+            c for c in odd.columns if c.lower() not in low]
+        assert df.count() == 3
+    told(decontam.contamination(odd, bench), "n_words", "n_hit", "items", "spans")
+    told(pii.pseudonymise(odd, "k"), "n_private")
+    told(bpe.encode_decode(odd, vocabulary_path()), "n_tokens", "ids", "ids_sha256",
+         "decoded_sha256")
+    model = toxicity.fit(odd, labels)
+    told(toxicity.score(odd, model), "score", "predicted")
+    assert simhash.keep_one(odd).columns == odd.columns
+    assert simhash.near_duplicates(odd).count() == 3
+    assert substrings.remove_repeats(odd).count() == 3
+    files, dictionary = token_store.write_tokens(odd, vocabulary_path())
+    assert token_store.read_tokens(files, dictionary).count() == 3
+    for stage in (corpus_pipeline.hide_private,):
+        out = stage(spark, odd, "")
+        assert out.columns == odd.columns and out.count() == 3
+    apart = corpus_pipeline._apart(odd)
+    assert sorted(map(str, corpus_pipeline._together(apart, odd.columns).collect())) == sorted(
+        map(str, odd.collect()))
+    pages = spark.createDataFrame([(1, "http://a/", "x", 1, 2), (2, None, None, 1, 2)],
+                                  "page_id long, url string, html string, `p.q` int, PAGE int")
+    assert warc.write_archive(pages).count() == 2
+    empty_id = spark.createDataFrame([("", "u", "y" * 200), ("b", "u", "y" * 200)],
+                                     "page_id string, url string, html string")
+    index = {r.page_id: r.record_type for r in warc.write_archive(empty_id).collect()}
+    read = {r.page_id: r.record_type for r in
+            warc.read_records(warc.write_archive(empty_id)).collect()}
+    assert index == read == {"": "response", "b": "revisit"}
 
 def test_warc(spark):
     big = "x" * 200

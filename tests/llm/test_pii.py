@@ -146,3 +146,29 @@ def test_plan_is_native(spark):
     df = spark.createDataFrame([(1, "x")], "doc_id long, text string")
     plan = pii.pseudonymise(df, "k")._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Exchange|Join", plan)
+
+
+def test_time_is_linear_in_hard_texts(spark):
+    """Runs of characters of a local part: a long text costs no more per character than a short one."""
+    import time
+
+    def seconds(text):
+        df = spark.createDataFrame([(1, text)] * 2, "doc_id long, text string").repartition(1)
+        began = time.perf_counter()
+        pii.pseudonymise(df, "k").write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - began
+    for unit in ("a-b-", "%E3%81"):
+        seconds(unit * 1000)                                   # compiled
+        short, long = seconds(unit * 25_000), seconds(unit * 200_000)
+        assert long < 8 * short * 2.5 + 2, unit
+
+
+def test_long_addresses(spark):
+    """The longest local part and labels; a longer local part is no address."""
+    local, label = "a" * 63 + "b", "c" * 63
+    fit = f"mail {local}@{label}.example.org now"
+    long = f"mail x{local}@{label}.example.org now"
+    got = [r.text for r in pii.pseudonymise(spark.createDataFrame(
+        [(1, fit), (2, long)], "doc_id long, text string"), "k").orderBy("doc_id").collect()]
+    assert got[0] != fit and got[0].endswith(f"@{label}.example.org now") and len(got[0]) == len(fit)
+    assert got[1] == long

@@ -26,8 +26,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnguard.llm.common import (HEAD, NEWLINE, Memo, RunMemo, encode_by_runs, plus,
-                                 small_batches, tidy)
+from txnguard.llm.common import (HEAD, NEWLINE, Memo, RunMemo, encode_by_runs, plus, slices,
+                                 small_batches, tidy, under_safe_names)
 
 # fixed value: the pattern that byte-level vocabularies of this kind cut text with
 PIECES = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -138,18 +138,23 @@ def encode_decode(docs: DataFrame, vocabulary: str, text: str = "text",
     """`docs` with n_tokens, ids (array of int), ids_sha256 (of the ids as little-endian unsigned
     32-bit integers) and decoded_sha256 (of the decoded text); `with_ids=False` leaves the ids
     out. `memo` is the number of words that a worker remembers (about 400 bytes each, with their
-    pieces); a small one costs time only. Columns of those names are replaced."""
+    pieces); a small one costs time only. Columns of those names, in any case, are replaced."""
+    return under_safe_names(docs, [text], ("n_tokens", "ids", "ids_sha256", "decoded_sha256"),
+                            lambda safe, t: _encode_decode(safe, vocabulary, t, with_ids, memo))
+
+
+def _encode_decode(docs: DataFrame, vocabulary: str, text: str, with_ids: bool,
+                   memo: int) -> DataFrame:
     spark = docs.sparkSession
-    small_batches(spark, 250)
+    small_batches(spark)
     with open(vocabulary, encoding="utf-8") as f:
         spec = spark.sparkContext.broadcast(f.read())       # one vocabulary file, a few MB
     new = ["n_tokens", *(["ids"] if with_ids else []), "ids_sha256", "decoded_sha256"]
-    kept = [c for c in docs.columns if c not in ("n_tokens", "ids", "ids_sha256",
-                                                 "decoded_sha256")]
+    kept = docs.columns
 
     def run(batches):
         bpe = loaded(spec.value, memo)
-        for b in batches:
+        for b in slices(batches, 250):
             n, ids, sha, back = [], [], [], []
             for x in bpe.many([t or "" for t in b["__llm_text"].to_pylist()]):
                 n.append(len(x))

@@ -45,9 +45,26 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
         *[F.col(f"_{columns.index(n)}").alias(n) for n in names])
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Rows per Arrow batch; bounds the memory of a Python worker that is handed whole texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def under_safe_names(df: DataFrame, used: list[str], new: tuple[str, ...], run) -> DataFrame:
+    """`run(frame, *used)` with the columns of `df` under names that clash with nothing (also where
+    they differ in case only, or hold a dot); the result has their own names again. Columns named
+    like one of `new`, in any case, are replaced. `used` are columns that `run` works on."""
+    names, replaced = df.columns, {n.lower() for n in new}
+    at = [names.index(u) for u in used]
+    kept = [i for i, n in enumerate(names) if n.lower() not in replaced or i in at]
+    safe = df.toDF(*[f"_c{i}" for i in range(len(names))]).select(*[f"_c{i}" for i in kept])
+    out = run(safe, *[f"_c{i}" for i in at])
+    own = {f"_c{i}": names[i] for i in kept}
+    return out.toDF(*[own.get(c, c) for c in out.columns])
+
+
+BATCH_ROWS = 1500
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Rows per Arrow batch for whole texts, the same for every operator, so that the order in which
+    queries are built and run changes nothing. What needs less at once cuts its batches (`slices`)."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
 def slices(batches, rows: int):

@@ -25,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnguard.llm.common import WORDS_ONLY, plus, settle, small_batches, tidy
+from txnguard.llm.common import (WORDS_ONLY, pick, plus, settle, slices, small_batches, tidy,
+                                 under_safe_names)
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
@@ -102,11 +103,20 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10,
                   max_bytes: int = 1 << 20, text: str = "text", item: str = "item_id",
                   item_text: str = "text") -> DataFrame:
     """`docs` with n_words, n_hit, items (sorted ids as strings) and spans (character offsets of
-    hit passages). Columns of those names are replaced."""
+    hit passages). Columns of those names, in any case, are replaced."""
+    bench = pick(benchmark, item, item_text).toDF("item", "text")
+    return under_safe_names(docs, [text], NEW, lambda safe, t: _contamination(
+        safe, bench, window, max_bytes, t))
+
+
+NEW = ("n_words", "n_hit", "items", "spans")
+
+
+def _contamination(docs: DataFrame, benchmark: DataFrame, window: int, max_bytes: int,
+                   text: str) -> DataFrame:
     spark = docs.sparkSession
-    small_batches(spark, 500)
-    new = ("n_words", "n_hit", "items", "spans")
-    kept = [c for c in docs.columns if c not in new]
+    small_batches(spark)
+    new, kept = NEW, docs.columns
     body = docs.select(*kept, F.col(text).cast("binary").alias("__llm_text"),
                        F.lit(None).cast("string").alias("__llm_hits"))
     schema = body.schema
@@ -116,7 +126,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10,
 
         def run(batches):
             patterns = Patterns(shared.value, window)
-            for b in batches:
+            for b in slices(batches, 500):
                 texts, found = b["__llm_text"].to_pylist(), []
                 for t, before in zip(texts, b["__llm_hits"].to_pylist()):
                     count, spans, ids = patterns.scan(t)
@@ -135,7 +145,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10,
                         names=b.schema.names)
         return tidy(run)
 
-    n, piece = _pieces(benchmark, max_bytes, item, item_text)
+    n, piece = _pieces(benchmark, max_bytes, "item", "text")
     for k in range(n - 1):
         body = settle(body.mapInArrow(scan_with(piece(k), False), schema), "decontamination")
     return body.mapInArrow(scan_with(piece(n - 1), True), plus(

@@ -78,7 +78,8 @@ def numbered(nodes: DataFrame, name: str) -> DataFrame:
         F.coalesce(F.sum("_size").over(order.rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_before"),
         F.sum("_size").over(Window.partitionBy("grp")).alias("n"))
-    return (rows.join(runs, ["grp", "_part"])
+    # a sort-merge join: neither side is sent to all tasks, however small it looks
+    return (rows.join(runs.hint("merge"), ["grp", "_part"])
             .withColumn("pos", F.col("_before") + F.col("_at") - F.col("_first"))
             .drop("_part", "_at", "_first", "_before"))
 

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnguard.llm.common import pick, settle, slices, tidy
+from txnguard.llm.common import pick, settle, slices, small_batches, tidy
 from txnguard.llm.token_store import Encoder, loaded
 
 K1, B = 1.2, 0.75
@@ -60,6 +60,7 @@ def encode_all(docs: DataFrame, vocabulary: str, end_id: int, window: int, text:
     ids), full_ids (those ids, with `with_ids`), rest (the ids behind them) and terms (of documents with full windows, as the rest holds
     all ids of any other: distinct ids and how often they occur)."""
     spark = docs.sparkSession
+    small_batches(spark)
     with open(vocabulary, encoding="utf-8") as f:
         spec = spark.sparkContext.broadcast(f.read())        # one vocabulary file, a few MB
     size = max(Encoder(spec.value).size, end_id + 1)

@@ -32,7 +32,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txnguard.llm.common import LOWER, plus, settle, small_batches, tidy
+from txnguard.llm.common import (LOWER, pick, plus, settle, slices, small_batches, tidy,
+                                 under_safe_names)
 from txnguard.llm.components import components
 
 SEED = 42
@@ -61,11 +62,16 @@ def simhash(text: bytes, shingle: int) -> int:
 def with_fingerprint(docs: DataFrame, shingle: int = 3, text: str = "text",
                      name: str = "fp") -> DataFrame:
     """`docs` with the fingerprint as a signed 64-bit integer in column `name`."""
-    small_batches(docs.sparkSession, 500)
-    kept = [c for c in docs.columns if c != name]
+    return under_safe_names(docs, [text], (name,),
+                            lambda safe, t: _with_fingerprint(safe, shingle, t, name))
+
+
+def _with_fingerprint(docs: DataFrame, shingle: int, text: str, name: str) -> DataFrame:
+    small_batches(docs.sparkSession)
+    kept = docs.columns
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches, 500):
             fp = np.array([simhash(t or b"", shingle) for t in b["__llm_text"].to_pylist()],
                           np.uint64)
             yield pa.RecordBatch.from_arrays([b[c] for c in kept] + [pa.array(fp.view(np.int64))],
@@ -177,7 +183,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, segmen
                     text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """(doc_id, fp, fingerprint, component_id), one row per input row. component_id is the
     smallest doc_id that links lead to."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("t"))
+    rows = pick(docs, id_col, text).toDF("doc_id", "t")
     marks = settle(with_fingerprint(rows, shingle, "t").drop("t"), "fingerprints")
     return marks.join(groups(marks, max_bits, segments), "fp").select(
         "doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -187,7 +193,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, segmen
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 3, segments: int = 2,
              text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """One document of each group: the one with the smallest id (nulls last); of rows that repeat
-    that id and fingerprint, the one with the smallest text."""
+    that id and fingerprint, the one with the smallest text. Columns keep their names."""
+    return under_safe_names(docs, [text, id_col], (), lambda safe, t, i: _keep_one(
+        safe, shingle, max_bits, segments, t, i))
+
+
+def _keep_one(docs: DataFrame, shingle: int, max_bits: int, segments: int, text: str,
+              id_col: str) -> DataFrame:
     body = F.struct(*[F.col(c) for c in docs.columns])
     rows = docs.select(body.alias("row"), F.col(id_col).alias("doc_id"), F.col(text).alias("t"))
     marked = settle(with_fingerprint(rows, shingle, "t").drop("t"), "marked")

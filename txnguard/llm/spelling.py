@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnguard.llm.common import LOWER, pick, settle, tidy
+from txnguard.llm.common import LOWER, pick, settle, small_batches, tidy
 
 M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -82,6 +82,7 @@ def word_counts(docs: DataFrame, min_letters: int = 5, min_count: int = 3,
                 total.clear()
         yield out()
 
+    small_batches(docs.sparkSession)
     rows = pick(docs, id_col, text).toDF("id", "t").select(F.col("id").cast("string"), "t")
     return (rows.mapInArrow(tidy(run), "word string, n long").groupBy("word")
             .agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count))

@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnguard.llm.common import small_batches, word_hashes
+from txnguard.llm.common import pick, slices, small_batches, word_hashes
 
 BINS = 1 << 16
 LAST = (1 << 63) - 1                              # stands for a missing id: after all others
@@ -125,7 +125,7 @@ class Groups:
 def _prefix_counts(texts: DataFrame, window: int) -> tuple[np.ndarray, int]:
     def run(batches):
         counts, size = np.zeros(BINS, np.int64), 0
-        for b in batches:
+        for b in slices(batches, 500):
             texts = b["_t"].to_pylist()
             size += sum(len(t) for t in texts if t)
             _, code, _ = text_paths(texts, window)
@@ -225,9 +225,9 @@ def remove_repeats(docs: DataFrame, window: int = 13, group_size: int = 1 << 20,
     """doc_id, n_words, n_removed, removed (word ranges), kept_sha256, and kept_text (the kept
     words joined by spaces) unless `with_text` is off. doc_id is a whole number."""
     spark = docs.sparkSession
-    small_batches(spark, 500)
-    rows = docs.select(F.col(id_col).cast("long").alias("_id"),
-                       F.col(text).cast("binary").alias("_t"))
+    small_batches(spark)
+    rows = pick(docs, id_col, text).toDF("_id", "_t").select(F.col("_id").cast("long"),
+                                                             F.col("_t").cast("binary"))
     counts, size = _prefix_counts(rows.select("_t"), window)
     groups = spark.sparkContext.broadcast(Groups(counts, group_size))    # 65,536 entries
     n_blocks = -(-size // block_bytes) or 1

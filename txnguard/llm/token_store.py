@@ -31,8 +31,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txnguard.llm.common import (HEAD, NEWLINE, RunMemo, encode_by_runs, settle, shared_path,
-                                 small_batches, tidy)
+from txnguard.llm.common import (HEAD, NEWLINE, RunMemo, encode_by_runs, pick, settle,
+                                 shared_path, small_batches, tidy)
 
 MAGIC = b"TOKIDS01"
 FILES = "part int, seq int, file string, docs long, tokens long, bytes long"
@@ -117,7 +117,8 @@ def loaded(spec: str) -> Encoder:
 
 def _sample(docs: DataFrame, spec, dtype: str, end_id: int, sample: int, sample_bytes: int,
             text: str, id_col: str) -> list[bytes]:
-    chosen = (docs.select(F.col(id_col).alias("_id")).filter("_id is not null").distinct()
+    docs = pick(docs, id_col, text).toDF("_id", "_t")
+    chosen = (docs.select("_id").filter("_id is not null").distinct()
               .orderBy(F.xxhash64("_id"), "_id").limit(sample))
 
     def run(batches):
@@ -128,9 +129,8 @@ def _sample(docs: DataFrame, spec, dtype: str, end_id: int, sample: int, sample_
             yield pa.RecordBatch.from_arrays([b["_id"], pa.array(got, pa.binary())],
                                              names=["_id", "ids"])
 
-    rows = (docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_t"))
-            .join(F.broadcast(chosen), "_id").groupBy("_id").agg(F.min("_t").alias("_t")))
-    kind = docs.schema[id_col].dataType.simpleString()
+    rows = (docs.join(F.broadcast(chosen), "_id").groupBy("_id").agg(F.min("_t").alias("_t")))
+    kind = docs.schema["_id"].dataType.simpleString()
     return [bytes(r.ids) for r in rows.mapInArrow(tidy(run), f"_id {kind}, ids binary")
             .orderBy("_id").collect()]
 
@@ -219,7 +219,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, end_id: int = 2, folder: str
     """Write the files below `folder` (a new shared one by default). Returns the table of files in
     document order, with the number of ids before each (`start`), and the dictionary."""
     spark = docs.sparkSession
-    small_batches(spark, 1500)
+    small_batches(spark)
     folder = folder or shared_path(spark, "tokens")
     with open(vocabulary, encoding="utf-8") as f:
         spec = spark.sparkContext.broadcast(f.read())        # one vocabulary file, a few MB
@@ -230,8 +230,8 @@ def write_tokens(docs: DataFrame, vocabulary: str, end_id: int = 2, folder: str
     header = {"dictionary_sha256": hashlib.sha256(dictionary).hexdigest(), "dtype": dtype,
               "end_id": end_id}
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (docs.select(F.col(id_col).alias("_k"), F.col(text).alias("_t"))
-               .repartitionByRange(parts, "_k").sortWithinPartitions("_k", "_t")
+    ordered = (pick(docs, id_col, text).toDF("_k", "_t")
+               .repartitionByRange(parts, "_k", "_t").sortWithinPartitions("_k", "_t")
                .select(F.col("_k").cast("string").alias("_k"), "_t"))
 
     def run(batches):

@@ -7,7 +7,9 @@ After Teflioudi et al., "LEMP: Fast Retrieval of Large Entries in a Matrix Produ
 2. Each query gets a lower bound of its k-th best score from the `seeds` longest vectors (a bounded
    table, broadcast).
 3. A query visits only buckets whose longest vector can still reach that bound. Queries are dealt
-   into blocks too, so a task sees one block of queries and one block of vectors.
+   into blocks in the order of the lowest bucket that they visit, so a task sees one block of
+   queries and one block of vectors, and a vector goes only to the query blocks that visit its
+   bucket: short vectors to few of them or none.
 4. There the bound and the two lengths give the smallest cosine that can matter. Small: vectors are
    pruned by length alone. Large (from `coordinate_from`): they are pruned by the feasible interval
    of the query's largest coordinates. What is left is verified by its inner product.
@@ -17,8 +19,11 @@ Components are whole numbers, so products are exact: in doubles while they stay
 in Python integers (scores are cut to the range of a long). Ties go to the smaller id.
 
 Vectors that are null, or hold a null, NaN or infinite component, and rows without id take no part.
-Vectors of unequal length are compared over their common leading components. Rows that repeat an
-id count once: the smallest vector. An empty vector scores 0 with everything.
+Vectors of unequal length are compared over their common leading components. Every row is a
+candidate, also rows that repeat an id (equal rows appear as often as they are there), but no row is
+a candidate for a query that has its id. Query rows that repeat an id share one list of k results.
+An empty vector scores 0 with everything. Empty tables give no rows; vectors of any length are
+multiplied whole; extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -31,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txnguard.llm.common import plus, settle
+from txnguard.llm.common import pick, plus, settle
 
 LONG = (1 << 63) - 1
 
@@ -140,43 +145,69 @@ def _with_bounds(queries: DataFrame, seeds: list, k: int) -> DataFrame:
     return queries.mapInArrow(run, plus(queries, queries.columns, "theta double"))
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, block: int = 4096,
-          seeds: int = 1024, ratio: float = 1.05, coordinate_from: float = 0.7) -> DataFrame:
-    """The k best of `vectors` (id, v) for each of `queries` (id, v): query_id, rank, vec_id,
-    score. v is an array of longs; a vector is no candidate for the query that has its id."""
-    spark = vectors.sparkSession
-
-    def prepared(df):
-        one = (df.filter("id is not null and v is not null")
-               .groupBy(F.col("id").cast("long").alias("id")).agg(F.min("v").alias("v")))
+def _prepared(vectors: DataFrame, queries: DataFrame, k: int, block: int, seeds: int,
+              ratio: float):
+    """Written tables: vectors (row, id, v, bucket), queries (id, v, theta, lowest and top bucket,
+    block qb), and the number of vector blocks of each bucket. No queries: None."""
+    def fit(df):
         square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
-        return one.withColumn("len", F.sqrt(square))
+        return (pick(df, "id", "v").filter("id is not null and v is not null")
+                .select(F.col("id").cast("long").alias("id"), "v").withColumn("len", F.sqrt(square))
+                .withColumn("row", F.monotonically_increasing_id()))
 
     step = math.log(ratio)
-    p = settle(prepared(vectors).withColumn(
+    p = settle(fit(vectors).withColumn(
         "bucket", F.when(F.col("len") == 0, -1).otherwise(F.floor(F.log("len") / step))
         .cast("int")), "vectors")
     longest = p.orderBy(F.col("len").desc(), "id").limit(seeds).select("id", "v").collect()
     if not longest:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+        return p, None, None
     # one row per length class: at most log(range) / log(ratio) of them
     sizes = (p.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
              .select("bucket", F.ceil(F.col("n") / block).cast("int").alias("blocks")))
-    top = p.agg(F.max("bucket")).first()[0]
-    q = settle(_with_bounds(prepared(queries), [(r.id, list(r.v)) for r in longest], k), "queries")
-    q_blocks = -(-q.count() // block) or 1
-    needed = F.log(F.col("theta") / F.col("len")) / step
+    top = F.lit(p.agg(F.max("bucket")).first()[0])
+    needed = F.floor(F.log(F.col("theta") / F.col("len")) / step) - 1
     lowest = (F.when((F.col("theta") <= 0) | (F.col("len") == 0), F.lit(-1))
-              .otherwise(F.greatest(F.lit(-1), F.least(F.lit(top), F.floor(needed) - 1))).cast("int"))
-    routed = (q.select("id", "v", "theta",
-                       F.pmod(F.xxhash64("id"), F.lit(q_blocks)).cast("int").alias("qb"),
-                       F.explode(F.sequence(lowest, F.lit(top))).alias("bucket"))
+              .otherwise(F.greatest(F.lit(-1), F.least(top, needed))).cast("int"))
+    q = settle(_with_bounds(fit(queries), [(r.id, list(r.v)) for r in longest], k)
+               .select("row", "id", "v", "theta", lowest.alias("lowest"), top.alias("top")),
+               "queries")
+    # query blocks of consecutive reach: a class of queries covers a stretch of places
+    reach = q.groupBy("lowest").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("lowest").rowsBetween(Window.unboundedPreceding, -1)   # bounded
+    reach = reach.withColumn("at", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    q = settle(q.join(reach, "lowest").select(
+        "id", "v", "theta", "lowest", "top", F.floor(
+            (F.col("at") + F.pmod(F.xxhash64("row"), F.col("n"))) / block).cast("int").alias("qb")),
+        "query-blocks")
+    return p, q, sizes
+
+
+def _dealt(p: DataFrame, q: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Queries and vectors, each with the blocks (bucket, vb, qb) that it goes to."""
+    routed = (q.select("id", "v", "theta", "qb",
+                       F.explode(F.sequence("lowest", "top")).alias("bucket"))
               .join(sizes, "bucket")
               .select("bucket", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("vb"),
                       "qb", "id", "v", "theta"))
-    dealt = (p.join(sizes, "bucket")
-             .select("bucket", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("vb"),
-                     F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("qb"), "id", "v"))
+    visits = (q.groupBy("qb", "top").agg(F.min("lowest").alias("lowest"))
+              .select(F.col("qb").alias("qb"),         # told apart from the column of `routed`
+                      F.explode(F.sequence("lowest", "top")).alias("bucket")))
+    dealt = (p.join(sizes, "bucket").join(visits, "bucket")
+             .select("bucket", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int").alias("vb"),
+                     "qb", "id", "v"))
+    return routed, dealt
+
+
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, block: int = 4096,
+          seeds: int = 1024, ratio: float = 1.05, coordinate_from: float = 0.7) -> DataFrame:
+    """The k best of `vectors` (id, v) for each of `queries` (id, v): query_id, rank, vec_id,
+    score. v is an array of longs; a vector is no candidate for the query that has its id."""
+    spark = vectors.sparkSession
+    p, q, sizes = _prepared(vectors, queries, k, block, seeds, ratio)
+    if q is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    routed, dealt = _dealt(p, q, sizes)
     keys = ("bucket", "vb", "qb")
     found = routed.groupBy(*keys).cogroup(dealt.groupBy(*keys)).applyInPandas(
         lambda a, b: search_block(a, b, k, coordinate_from),

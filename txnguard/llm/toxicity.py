@@ -25,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnguard.llm.common import WORDS_ONLY, plus, small_batches, tidy, word_hashes
+from txnguard.llm.common import (WORDS_ONLY, pick, plus, slices, small_batches, tidy,
+                                 under_safe_names, word_hashes)
 
 
 @dataclass(frozen=True)
@@ -93,7 +94,9 @@ def fit(docs: DataFrame, labels: DataFrame, p: ToxicityParams = ToxicityParams()
         text: str = "text", id_col: str = "doc_id", label: str = "toxic"):
     """(feature numbers, weights) as arrays, learned from labelled rows that are not held out."""
     spark = docs.sparkSession
-    small_batches(spark, 250)
+    small_batches(spark)
+    labels = pick(labels, id_col, label)
+    docs = pick(docs, id_col, text)
     known = (labels.filter(F.col(id_col).isNotNull() & F.col(label).isNotNull()
                            & ~is_held_out(id_col))
              .groupBy(F.col(id_col).alias("_id")).agg(F.max(label).cast("int").alias("_y")))
@@ -108,7 +111,7 @@ def fit(docs: DataFrame, labels: DataFrame, p: ToxicityParams = ToxicityParams()
 
     def learn(batches):
         model = Ftrl(p)
-        for b in batches:
+        for b in slices(batches, 250):
             for i, y in zip(features(b["_t"].to_pylist(), p), b["_y"].to_pylist()):
                 model.learn(i, y)
         w = model.weights()
@@ -121,16 +124,22 @@ def fit(docs: DataFrame, labels: DataFrame, p: ToxicityParams = ToxicityParams()
 
 def score(docs: DataFrame, model, p: ToxicityParams = ToxicityParams(),
           text: str = "text") -> DataFrame:
-    """`docs` with score (0 to 1) and predicted (0 or 1). Columns of those names are replaced."""
+    """`docs` with score (0 to 1) and predicted (0 or 1). Columns of those names, in any case, are
+    replaced."""
+    return under_safe_names(docs, [text], ("score", "predicted"),
+                            lambda safe, t: _score(safe, model, p, t))
+
+
+def _score(docs: DataFrame, model, p: ToxicityParams, text: str) -> DataFrame:
     spark = docs.sparkSession
-    small_batches(spark, 250)
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
-    kept = [c for c in docs.columns if c not in ("score", "predicted")]
+    kept = docs.columns
 
     def run(batches):
         w, start = np.zeros(1 << p.bits), _log_odds(p)
         w[shared.value[0]] = shared.value[1]
-        for b in batches:
+        for b in slices(batches, 250):
             s = [_chance(start + w[i].sum()) for i in features(b["__llm_text"].to_pylist(), p)]
             yield pa.RecordBatch.from_arrays([b[c] for c in kept] + [pa.array(s, pa.float64())],
                                              names=[*kept, "score"])

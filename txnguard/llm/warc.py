@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnguard.llm.common import shared_path, small_batches
+from txnguard.llm.common import pick, shared_path, small_batches
 
 CRLF = b"\r\n"
 # fixed values: header names of the WARC 1.1 format
@@ -46,7 +46,8 @@ def _record(headers: list[tuple[str, str]], block: bytes) -> bytes:
 
 
 def _name(page) -> str:
-    return f"<urn:page:{'' if page is None else page}>"
+    """Ids are percent-encoded, so a line break ends no header; a missing id has no colon."""
+    return "<urn:page>" if page is None else f"<urn:page:{quote(str(page))}>"
 
 
 def page_record(page, url, payload: bytes, digest: str, first, date: str) -> bytes:
@@ -86,8 +87,9 @@ def with_decisions(pages: DataFrame, page: str, url: str, payload: str,
 
     One partial aggregate over digests finds the smallest ids; only repeated digests are joined
     back, so a digest held by a third of the pages is pre-aggregated and its join side splits."""
-    body = F.coalesce(F.col(payload).cast("binary"), F.lit(b""))
-    rows = pages.select(F.col(page).alias("page"), F.col(url).alias("url"), body.alias("payload"))
+    body = F.coalesce(F.col("body").cast("binary"), F.lit(b""))
+    rows = (pick(pages, page, url, payload).toDF("page", "url", "body")
+            .select("page", "url", body.alias("payload")))
     rows = rows.withColumn("digest", F.sha2("payload", 256))
     repeated = (rows.filter(F.octet_length("payload") >= min_revisit).groupBy("digest")
                 .agg(F.min("page").alias("first"), F.count(F.lit(1)).alias("n"))
@@ -104,7 +106,7 @@ def write_archive(pages: DataFrame, folder: str | None = None, page: str = "page
     """Write the archive and its index below `folder` (a new shared one by default); returns the
     index as a table. Its page_id is text."""
     spark = pages.sparkSession
-    small_batches(spark, 500)
+    small_batches(spark)
     folder = folder or shared_path(spark, "warc")
 
     def run(batches):
@@ -128,7 +130,7 @@ def write_archive(pages: DataFrame, folder: str | None = None, page: str = "page
                                       b"format: WARC File Format 1.1\r\n"))
                 data = page_record(r["page"], r["url"], r["payload"], r["digest"], r["first"], date)
                 for k, v in zip(rows, (r["page"], file, out.tell(), len(data), r["url"],
-                                       r["digest"], "revisit" if r["first"] else "response")):
+                                       r["digest"], "response" if r["first"] is None else "revisit")):
                     rows[k].append(v)
                 out.write(data)
             yield pa.RecordBatch.from_pydict(rows, schema=pa.schema(
@@ -190,7 +192,7 @@ def read_records(index: DataFrame, max_gap: int = 1 << 16, max_read: int = 8 <<
 
 
 def _page(name: str | None):
-    return (name[len("<urn:page:"):-1] or None) if name else None
+    return unquote(name[len("<urn:page:"):-1]) if name and name != "<urn:page>" else None
 
 
 def _row(r: dict, with_payload: bool) -> dict:
