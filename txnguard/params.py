@@ -167,6 +167,9 @@ class MartParams:
     strict_incremental: bool = False
     # In the two-load query the first load ends with this date.
     first_load_until: str = "2024-01-12"
+    # In the queries over three loads a load holds this many days from this one on.
+    loads_from: str = "2024-01-01"
+    load_days: int = 10
     top_customers: int = 20
     latest_per_customer: int = 10
     freshness_warn_minutes: int = 10

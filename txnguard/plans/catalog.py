@@ -19,6 +19,7 @@ from txnguard.operators.scoring import explode_triggered, triggered_names
 from txnguard.operators.history import history_tables, with_history
 from txnguard.operators.staging import first_of_each, to_lookup, to_warehouse
 from txnguard.params import FIXTURE_PARAMS, MartParams
+from txnguard.plans import loads
 from txnguard.plans.pipeline import Pipeline, shared_pipeline
 from txnguard.schemas import SCORED_SCHEMA
 from txnguard.sources import ingest
@@ -107,6 +108,24 @@ def q_hist_two_loads(spark, sf_dir):
                        "avg_amount", "has_history", "is_new_country")
 
 
+def q_hist_loads(spark, sf_dir):
+    return loads.history_over_loads(_p(spark, sf_dir))
+
+
+def q_dedup_loads(spark, sf_dir):
+    return loads.accepted_over_loads(_p(spark, sf_dir))
+
+
+def q_fct_category_loads(spark, sf_dir):
+    return loads.categories_over_loads(_p(spark, sf_dir))
+
+
+def q_dim_customers_loads(spark, sf_dir):
+    d = loads.customers_over_loads(_p(spark, sf_dir))
+    return d.withColumns({"first_transaction": ntz("first_transaction"),
+                          "last_transaction": ntz("last_transaction")})
+
+
 def q_dedup_replays(spark, sf_dir):
     """Every third transaction sent again, an hour later by its own clock: the first of each stays
     and nobody's history counts a replay."""
@@ -405,6 +424,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hist_avg_amount": q_hist_avg_amount,
     "hist_new_country": q_hist_new_country,
     "hist_two_loads": q_hist_two_loads,
+    "hist_loads": q_hist_loads,
+    "dedup_loads": q_dedup_loads,
+    "fct_category_loads": q_fct_category_loads,
+    "dim_customers_loads": q_dim_customers_loads,
     "dedup_replays": q_dedup_replays,
     "json_decode": q_json_decode,
     "event_time_parse": q_event_time_parse,

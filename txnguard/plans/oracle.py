@@ -424,6 +424,13 @@ def _sql() -> dict[str, str]:
         "hist_new_country": hp + "SELECT transaction_id, country, has_history, is_new_country FROM hist",
         "hist_two_loads": hp + "SELECT transaction_id, recent_count, small_count, prior_count, "
                                "avg_amount, has_history, is_new_country FROM hist",
+        "hist_loads": hp + "SELECT transaction_id, recent_count, small_count, prior_count, "
+                           "avg_amount, has_history, is_new_country FROM hist",
+        "dedup_loads": with_(EV_TXNS, TXNS) + """SELECT transaction_id,
+            greatest(0, least(2, date_diff('day', DATE '2024-01-01', CAST(event_time AS DATE))
+                                 // 10))::BIGINT AS load FROM txns""",
+        "fct_category_loads": mp + "SELECT * FROM category_m",
+        "dim_customers_loads": mp + "SELECT * FROM customers",
         "dedup_replays": hp + "SELECT transaction_id, event_time, recent_count, prior_count FROM hist",
         "json_decode": rawp + """SELECT "offset", transaction_id, customer_id, amount, currency,
             merchant, category, country, card_type, "timestamp", device_id, is_online, event_time,
