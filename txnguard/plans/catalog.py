@@ -126,6 +126,12 @@ def q_dim_customers_loads(spark, sf_dir):
                           "last_transaction": ntz("last_transaction")})
 
 
+def q_dim_customers_bucketed(spark, sf_dir):
+    d = loads.customers_by_bucket(_p(spark, sf_dir))
+    return d.withColumns({"first_transaction": ntz("first_transaction"),
+                          "last_transaction": ntz("last_transaction")})
+
+
 def q_dedup_replays(spark, sf_dir):
     """Every third transaction sent again, an hour later by its own clock: the first of each stays
     and nobody's history counts a replay."""
@@ -428,6 +434,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedup_loads": q_dedup_loads,
     "fct_category_loads": q_fct_category_loads,
     "dim_customers_loads": q_dim_customers_loads,
+    "dim_customers_bucketed": q_dim_customers_bucketed,
     "dedup_replays": q_dedup_replays,
     "json_decode": q_json_decode,
     "event_time_parse": q_event_time_parse,

@@ -1,6 +1,7 @@
-"""Queries that take the transactions in several loads, through the stores that loads leave behind.
+"""Queries that take the transactions in several loads, through the stores that loads leave behind, or
+from a bucketed table.
 
-Each of them gives what one load would give, so its SQL is that of the plain query.
+Each of them gives what one plain query gives, so its SQL is that of the plain query.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from txnguard.operators.history import with_history
 from txnguard.params import FIXTURE_PARAMS, MartParams
 from txnguard.plans import group_store
+from txnguard.plans.bucketed import dim_customers_by_bucket, write_bucketed
 from txnguard.plans.group_store import GroupStore
 from txnguard.plans.history_store import HistoryStore
 from txnguard.plans.id_index import IdIndex
@@ -87,6 +89,13 @@ def _groups_over_loads(p: Pipeline, group: str, measures: dict, distinct: tuple)
     return store.groups()
 
 
+def customers_by_bucket(p: Pipeline) -> DataFrame:
+    """The customer mart of a table bucketed by customer."""
+    name = f"stg_by_customer_{uuid.uuid4().hex}"
+    table = write_bucketed(p.staging(), name, 8, path=_scratch(p.spark, name))
+    return dim_customers_by_bucket(table)
+
+
 def categories_over_loads(p: Pipeline) -> DataFrame:
     return group_store.category_rows(_groups_over_loads(
         p, "category", group_store.CATEGORIES, ("customer_id",)))

@@ -431,6 +431,7 @@ def _sql() -> dict[str, str]:
                                  // 10))::BIGINT AS load FROM txns""",
         "fct_category_loads": mp + "SELECT * FROM category_m",
         "dim_customers_loads": mp + "SELECT * FROM customers",
+        "dim_customers_bucketed": mp + "SELECT * FROM customers",
         "dedup_replays": hp + "SELECT transaction_id, event_time, recent_count, prior_count FROM hist",
         "json_decode": rawp + """SELECT "offset", transaction_id, customer_id, amount, currency,
             merchant, category, country, card_type, "timestamp", device_id, is_online, event_time,
