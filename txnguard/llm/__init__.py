@@ -11,6 +11,9 @@ Nothing else in the library imports this subpackage; `queries.py` registers its
     token_store   token ids in zstandard files with a trained dictionary
     bpe           byte-pair encoding and decoding
     toxicity      FTRL-proximal logistic regression
-    substrings    repeated word passages by prefix-partitioned suffix trees
+    substrings    repeated word passages by window hashes in prefix groups
+    merkle        Merkle manifest with proofs, by cogrouped superblocks
+    packing       training sequences of related documents, by BM25 retrieval
+    spelling      words one edit apart and their frequent forms, by PartEnum signatures
     components    connected components, used by `simhash`
 """

@@ -1,24 +1,24 @@
-"""Removal of word passages that repeat an earlier document, by prefix-partitioned suffix trees.
+"""Removal of word passages that repeat an earlier document, by window hashes in prefix groups.
 
-A document's suffixes start at its words; only their first `window` words matter. As in Mansour et
-al., "ERA: Efficient Serial and Parallel Suffix Tree Construction", suffixes are split by
-variable-length prefixes into groups that fit in memory, and each group's subtree is built alone:
+A window is `window` consecutive words; a passage repeats when a window of it also starts in a
+document with a smaller id. The grouping follows Mansour et al., "ERA: Efficient Serial and Parallel
+Suffix Tree Construction" (variable-length prefixes split suffixes into groups that fit in memory),
+but no suffix tree is built: a group compares the 64-bit hashes of whole windows.
 
-1. A suffix has a prefix code: 16 bits of the hash of its first word and first two words, then bits
+1. A window has a prefix code: 16 bits of the hash of its first word and first two words, then bits
    of its first four, eight and all words. Counting the leading bits over all documents (at most
    65,536 counters) gives the groups: neighbouring rare prefixes share a group, and a prefix with
-   too many suffixes is split by the bits of its longer prefixes.
+   too many windows is split by the bits of its longer prefixes.
 2. Documents are dealt into blocks by id. Within a block, the first document of each distinct
-   suffix stands for the block, so a passage that a third of all documents share reaches a group
-   at most once a block. Each (block, group) is one packed row of 64-bit path hashes.
-3. A group builds its subtree as the sorted array of its leaves; a node at depth `window` is a run
-   of equal paths. Every leaf of such a deep node whose block stands behind a smaller document is
-   answered with one bit.
-4. The answers go back to the blocks. A suffix is a repeat if its deep node has a smaller document
-   in the block or elsewhere; overlapping repeats merge into maximal ones, and their words go.
+   window stands for the block, so a passage that a third of all documents share reaches a group
+   at most once a block. Each (block, group) is one packed row of 64-bit hashes.
+3. A group sorts its hashes. Every window whose block stands behind a smaller document with the same
+   hash is answered with one bit.
+4. The answers go back to the blocks. A window is a repeat if a smaller document in the block or
+   elsewhere has it; overlapping repeats merge into ranges, and their words go.
 
-Paths are compared by their hash: 64 bits of the path, and equal prefix codes (16 bits and more)
-besides, so with 10**13 suffixes fewer than one false repeat is expected.
+Windows are compared by their hash: 64 bits, and equal prefix codes (16 bits and more) besides, so
+with 10**13 windows fewer than one false repeat is expected. Words are not compared again.
 
 A null text has no words. A document without id comes after all others. Rows that repeat an id are
 one document as far as "smaller" goes, so they do not remove each other's words.
@@ -190,8 +190,7 @@ def _unpacked_ids(data: bytes) -> np.ndarray:
 
 
 def answer(group: pd.DataFrame) -> pd.DataFrame:
-    """The subtree of one group: for each block, a bit for every leaf whose deep node holds a
-    smaller document. Blocks without such a leaf get no row."""
+    """One group: for each block, a bit for every window whose hash a smaller document has too. Blocks without such a leaf get no row."""
     paths = [np.frombuffer(x, "<u8") for x in group["paths"]]
     ids = np.concatenate([_unpacked_ids(x) for x in group["ids"]])
     path = np.concatenate(paths)
