@@ -190,7 +190,8 @@ def _unpacked_ids(data: bytes) -> np.ndarray:
 
 
 def answer(group: pd.DataFrame) -> pd.DataFrame:
-    """One group: for each block, a bit for every window whose hash a smaller document has too. Blocks without such a leaf get no row."""
+    """One group: for each block, a bit for every window whose hash a smaller document has too. Blocks
+    without such a window get no row."""
     paths = [np.frombuffer(x, "<u8") for x in group["paths"]]
     ids = np.concatenate([_unpacked_ids(x) for x in group["ids"]])
     path = np.concatenate(paths)
