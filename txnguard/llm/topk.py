@@ -184,7 +184,10 @@ def _prepared(vectors: DataFrame, queries: DataFrame, k: int, block: int, seeds:
 
 
 def _dealt(p: DataFrame, q: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Queries and vectors, each with the blocks (bucket, vb, qb) that it goes to."""
+    """Queries and vectors, each with the blocks (bucket, vb, qb) that it goes to. `sizes` has one row
+    per length class, so it is broadcast; vectors meet the visits to their block by (bucket, vb), so
+    a length that a third of all vectors have is as many keys as it has blocks."""
+    sizes = F.broadcast(sizes)
     routed = (q.select("id", "v", "theta", "qb",
                        F.explode(F.sequence("lowest", "top")).alias("bucket"))
               .join(sizes, "bucket")
@@ -192,10 +195,13 @@ def _dealt(p: DataFrame, q: DataFrame, sizes: DataFrame) -> tuple[DataFrame, Dat
                       "qb", "id", "v", "theta"))
     visits = (q.groupBy("qb", "top").agg(F.min("lowest").alias("lowest"))
               .select(F.col("qb").alias("qb"),         # told apart from the column of `routed`
-                      F.explode(F.sequence("lowest", "top")).alias("bucket")))
-    dealt = (p.join(sizes, "bucket").join(visits, "bucket")
-             .select("bucket", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int").alias("vb"),
-                     "qb", "id", "v"))
+                      F.explode(F.sequence("lowest", "top")).alias("bucket"))
+              .join(sizes, "bucket")
+              .select("bucket", "qb", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+                      .alias("vb")))
+    own = p.join(sizes, "bucket").select(
+        "bucket", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int").alias("vb"), "id", "v")
+    dealt = own.join(visits, ["bucket", "vb"]).select("bucket", "vb", "qb", "id", "v")
     return routed, dealt
 
 
