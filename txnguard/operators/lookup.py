@@ -6,9 +6,8 @@
 * `upsert_last_write`: keyed last-write-wins through `max_by` on the write version, a plain
   aggregate with partial aggregation; the key includes transaction_id, so it is not skewed.
 * `customer_stats`: counters and sorted sets of countries and devices per customer, the reference's
-  row shape. A set grows with the customer's distinct devices; `customer_devices` is the same
-  content as one row per (customer, device), for customers where that has no natural limit.
-* `merge_customer_stats`: the same counters from the stats of separate loads.
+  row shape. A set grows with the customer's distinct devices; batch loads store counters and one
+  row per (customer, country or device) instead (plans/group_store.py).
 """
 
 from __future__ import annotations
@@ -67,21 +66,3 @@ def customer_stats(scored: DataFrame) -> DataFrame:
         F.sort_array(F.collect_set("country")).alias("known_countries"),
         F.sort_array(F.collect_set("device_id")).alias("known_devices"),
     )
-
-
-def customer_devices(scored: DataFrame) -> DataFrame:
-    """Distinct (customer, device) pairs with the time each was first seen."""
-    return (scored.filter(F.col("device_id").isNotNull()).groupBy("customer_id", "device_id")
-            .agg(F.min("event_time").alias("first_seen")))
-
-
-def merge_customer_stats(parts: DataFrame) -> DataFrame:
-    """Stats of separate loads (rows of `customer_stats`, no transaction in two of them) as one
-    row per customer."""
-    def union(column):
-        return F.sort_array(F.array_distinct(F.flatten(F.collect_list(column)))).alias(column)
-    return parts.groupBy("customer_id").agg(
-        F.sum("total_transactions").alias("total_transactions"),
-        F.sum("total_fraud").alias("total_fraud"),
-        F.max("last_transaction_time").alias("last_transaction_time"),
-        union("known_countries"), union("known_devices"))
