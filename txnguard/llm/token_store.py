@@ -2,7 +2,8 @@
 
 1. A dictionary is trained on the serialized ids of a bounded sample (`sample` documents with the
    smallest hash of their id, at most `sample_bytes` of each).
-2. Documents are range-partitioned by id and sorted. Each task encodes its documents, appends the
+2. Documents are range-partitioned by id (rows that repeat an id also by the beginning of their text,
+   which keeps the order) and sorted. Each task encodes its documents, appends the
    end id, compresses every document separately with the dictionary and writes files of about
    `max_file` bytes. Files carry the dictionary's hash and an index of frame offsets, so a single
    short document is one small read (`TokenFile.ids`).
@@ -231,7 +232,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, end_id: int = 2, folder: str
               "end_id": end_id}
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = (pick(docs, id_col, text).toDF("_k", "_t")
-               .repartitionByRange(parts, "_k", "_t").sortWithinPartitions("_k", "_t")
+               .repartitionByRange(parts, "_k", F.substring("_t", 1, 64)).sortWithinPartitions("_k", "_t")
                .select(F.col("_k").cast("string").alias("_k"), "_t"))
 
     def run(batches):
