@@ -220,6 +220,44 @@ def test_automaton_against_every_window(texts):
         assert {i for a, b in spans for i in range(a, b)} == hit
 
 
+def test_large_benchmark_is_one_pass(spark):
+    """About 2.4 MB of benchmark: one automaton and one stage over the documents, nothing written
+    but the automaton; every planted passage is found, and by the items that hold it."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(20_000)]
+    items = [(str(i), " ".join(rng.choices(words, k=200))) for i in range(2000)]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    docs, told = [], {}
+    for k in range(300):
+        body, hits = rng.choices(words, k=rng.randrange(5, 700)), set()
+        if k % 3 == 0:
+            i, at = rng.randrange(2000), rng.randrange(0, 185)
+            body[3:3] = items[i][1].split()[at:at + 12]
+            hits = {str(i)}
+        docs.append((k, "; ".join(body).upper()))
+        told[k] = (len(body), 12 if hits else 0, sorted(hits))
+    out = decontam.contamination(spark.createDataFrame(docs, "doc_id long, text string"), bench)
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {r.doc_id: (r.n_words, r.n_hit, r.items) for r in out.collect()}
+    assert got == told
+
+
+def test_words_of_equal_hash_are_told_apart():
+    patterns = decontam.Patterns([("1", b"one two three"), ("2", b"two three")], 3)
+    other = decontam._hashes([b"four"])[0]
+    two = decontam._hashes([b"two"])[0]
+    hashes = decontam._hashes
+
+    def clash(texts):                                # "four" hashes as "two" does
+        return [np.where(h == other[0], two[0], h) for h in hashes(texts)]
+    decontam._hashes = clash
+    try:
+        assert patterns.scan(b"one four three one two three") == (6, [(3, 6)], {"1", "2"})
+        assert patterns.scan(b"four three two")[1:] == ([], set())
+    finally:
+        decontam._hashes = hashes
+
+
 def plain_removal(docs, window):
     first = {}
     for i, t in docs:
