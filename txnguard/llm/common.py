@@ -201,9 +201,13 @@ class RunMemo:
         return ids
 
 
-def _is_plain(key: str) -> bool:
-    """What splitting at single spaces gives where words and newlines stand apart by them."""
-    return key.removeprefix(HEAD).isprintable() and key not in ("", HEAD) or key == NEWLINE
+def _are_plain(keys: pa.Array) -> np.ndarray:
+    """Which keys are what splitting at single spaces gives where words and newlines stand apart by
+    them: a newline, or printable letters without a space (HEAD before them or not)."""
+    body = pc.utf8_ltrim(keys, HEAD)
+    plain = pc.or_(pc.and_(pc.utf8_is_printable(body), pc.not_equal(body, "")),
+                   pc.equal(keys, NEWLINE))
+    return plain.to_numpy(zero_copy_only=False)
 
 
 def _ids_of(keys: pa.Array, memo: RunMemo, check: bool):
@@ -213,10 +217,13 @@ def _ids_of(keys: pa.Array, memo: RunMemo, check: bool):
     run = coded.indices.to_numpy(zero_copy_only=False)
     runs_upto = np.concatenate(([0], np.cumsum(
         pc.list_value_length(keys).to_numpy(zero_copy_only=False))))
-    bad = np.array([check and not _is_plain(k) for k in distinct], bool)
+    bad = ~_are_plain(coded.dictionary) if check else np.zeros(len(distinct), bool)
     odd = np.diff(np.concatenate(([0], np.cumsum(bad[run])))[runs_upto]) > 0
-    found = iter(memo([k for k, b in zip(distinct, bad) if not b]))
-    ids = [b"" if b else next(found) for b in bad]
+    if bad.any():
+        found = iter(memo([k for k, b in zip(distinct, bad.tolist()) if not b]))
+        ids = [b"" if b else next(found) for b in bad.tolist()]
+    else:
+        ids = memo(distinct)
     size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
     # copy each run's ids from the table of distinct runs to its place
     length = size[run]
