@@ -28,9 +28,21 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
+def violates(check: str, column: str, *args):
+    """Whether a row violates a check that looks at one row."""
+    c = F.col(column)
+    if check == "not_null":
+        return c.isNull()
+    if check == "between":
+        return c.isNotNull() & ((c < F.lit(args[0])) | (c > F.lit(args[1])))
+    if check == "accepted_values":
+        return c.isNotNull() & ~c.isin(*args[0])
+    raise ValueError(check)
+
+
 def not_null(df: DataFrame, table: str, column: str) -> DataFrame:
     return _report(df, table, "not_null", column,
-                   F.sum(F.when(F.col(column).isNull(), 1).otherwise(0)))
+                   F.sum(F.when(violates("not_null", column), 1).otherwise(0)))
 
 
 def unique(df: DataFrame, table: str, column: str) -> DataFrame:
@@ -40,13 +52,13 @@ def unique(df: DataFrame, table: str, column: str) -> DataFrame:
 
 
 def in_range(df: DataFrame, table: str, column: str, lo: float, hi: float) -> DataFrame:
-    bad = F.col(column).isNotNull() & ((F.col(column) < F.lit(lo)) | (F.col(column) > F.lit(hi)))
+    bad = violates("between", column, lo, hi)
     return _report(df, table, "between", column, F.sum(F.when(bad, 1).otherwise(0)))
 
 
 def accepted_values(df: DataFrame, table: str, column: str,
                     values=RISK_STATUS_VALUES) -> DataFrame:
-    bad = F.col(column).isNotNull() & ~F.col(column).isin(*values)
+    bad = violates("accepted_values", column, values)
     return _report(df, table, "accepted_values", column, F.sum(F.when(bad, 1).otherwise(0)))
 
 
@@ -66,6 +78,23 @@ def freshness(df: DataFrame, table: str, loaded_at_field: str, as_of: str,
         .otherwise(F.lit("pass")).alias("status"))
 
 
+# the checks declared on the three marts: (check, column, arguments)
+MART_CHECKS = {
+    "fct_fraud_daily": (("not_null", "txn_date"), ("unique", "txn_date"),
+                        ("between", "fraud_rate_pct", 0, 100)),
+    "fct_fraud_by_category": (("not_null", "category"), ("unique", "category")),
+    "dim_fraud_customers": (("not_null", "customer_id"), ("unique", "customer_id"),
+                            ("accepted_values", "risk_status", RISK_STATUS_VALUES)),
+}
+
+
+def checked(df: DataFrame, table: str, checks: tuple) -> DataFrame:
+    """A report of checks of one table by reading it."""
+    run = {"not_null": not_null, "unique": unique, "between": in_range,
+           "accepted_values": accepted_values}
+    return union_all([run[k](df, table, column, *args) for k, column, *args in checks])
+
+
 MART_CHECK_KINDS = ("not_null", "unique", "range", "accepted")
 
 

@@ -31,7 +31,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnguard.operators import lookup, marts, quality
+from txnguard.operators import lookup, marts, quality, watch
 from txnguard.operators.scoring import rule_score
 from txnguard.operators.staging import (first_of_each, split_unfit, stg_scored, to_lookup,
                                          to_warehouse)
@@ -132,8 +132,9 @@ class BatchJob:
             rule_score(rows, self.rules, stamp=True, past=history.past(rows, load)).drop(
                 "country_first_seen", "triggered_rules"), "scored", load)
         fit, unfit = split_unfit(scored)
+        newest = watch.Newest("loaded_at")
         sinks.append_warehouse(to_warehouse(fit), self.path("scored_transactions"),
-                               load_id=load, dedup=False)
+                               load_id=load, dedup=False, watch=newest)
         self._write_load(unfit, "warehouse_unfit", load)
         ids.add(rows, load)
         history.add(rows, load)
@@ -144,11 +145,13 @@ class BatchJob:
         sinks.register_view(stg_scored(wh), "stg_scored_transactions")                # M1
         days = [r[0] for r in own.select("txn_date").distinct().collect()]   # bounded by days
         self._published("fct_fraud_daily").publish(
-            marts.fct_daily(stg_scored(wh.filter(F.col("txn_date").isin(days)))), days)   # M3
+            marts.fct_daily(stg_scored(wh.filter(F.col("txn_date").isin(days)))), days,
+            quality.MART_CHECKS["fct_fraud_daily"])                                       # M3
         stores["categories"].add(own, load)
         stores["customers"].add(own, load)
         self._published("fct_fraud_by_category").publish(
-            group_store.category_rows(stores["categories"].groups()))                     # M2
+            group_store.category_rows(stores["categories"].groups()),
+            checks=quality.MART_CHECKS["fct_fraud_by_category"])                          # M2
         self._refresh("dim_fraud_customers", stores["customers"], group_store.customer_rows, load)
 
         # K5, K6: lookup tables, one version per load, this load's rows only
@@ -163,15 +166,16 @@ class BatchJob:
         stores["stats"].add(scored, load)
         self._refresh("customer_stats", stores["stats"], group_store.stats_rows, load)
 
-        # Q1-Q5 over the written models
-        report = quality.union_all(list(quality.mart_checks(
-            self.read("fct_fraud_daily"), self.read("fct_fraud_by_category"),
-            self.read("dim_fraud_customers")).values()))
-        self._published("quality_report").publish(report)
+        # Q1-Q5, counted while the models were written
+        self._published("quality_report").publish(watch.report(self.spark, {
+            name: (checks, self._published(name).violations(name, checks))
+            for name, checks in quality.MART_CHECKS.items()}))
         now = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
-        self._published("freshness_report").publish(quality.freshness(
-            wh, "scored_transactions", "loaded_at", now, self.mart.freshness_warn_minutes,
-            self.mart.freshness_error_minutes))
+        fresh = self._published("freshness_report")
+        earlier = fresh.read() if fresh.exists() else None        # one row
+        fresh.publish(quality.freshness(
+            newest.frame(self.spark, earlier), "scored_transactions", "loaded_at", now,
+            self.mart.freshness_warn_minutes, self.mart.freshness_error_minutes))
         for store in stores.values():
             store.fold_if_due()
         return {t: self.path(t) for t in TABLES}
@@ -179,7 +183,8 @@ class BatchJob:
     def _refresh(self, name: str, store: GroupStore, rows, load: int) -> None:
         """Publish the buckets of groups that the load touches."""
         buckets = store.store.parts_of(load, "partials")
-        self._published(name).publish(rows(store.groups(touched_by=load)), buckets)
+        self._published(name).publish(rows(store.groups(touched_by=load)), buckets,
+                                      quality.MART_CHECKS.get(name, ()))
 
 
 def run_batch(spark: SparkSession, sf_dir: str, out_root: str, run_id: str = "0",

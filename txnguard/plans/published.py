@@ -17,11 +17,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from txnguard.operators import quality
+from txnguard.operators.watch import Watch
 from txnguard.plans.day_store import DayStore, Table, children, write_small
 
 WHOLE = "part"
 
 
+def _named(checks: tuple) -> str:
+    return json.dumps(checks)
+
+
 class Published:
     """A published table, partitioned by column `part`; without one it is replaced as a whole."""
 
@@ -41,9 +47,14 @@ class Published:
         return DayStore(self.spark, self.path, {"rows": Table("", lambda df: df)},
                         part=self.part or WHOLE)
 
-    def publish(self, df: DataFrame, touched: list | None = None) -> None:
+    def publish(self, df: DataFrame, touched: list | None = None, checks: tuple = ()) -> None:
         """Replace the partitions `touched` (or all of them) by the rows of `df`. A touched partition
-        without rows is dropped."""
+        without rows is dropped.
+
+        The violations of `checks` are counted while the rows are written and kept with the
+        generation. Partitions that stay keep their share: none, if the generation before had no
+        violations of the same checks. If it had some, which of them were replaced isn't known, and
+        `violations` says so by None."""
         rows = df if self.part else df.withColumn(WHOLE, F.lit(0))
         store = self._store(rows.schema)
         old = store.generation()
@@ -51,18 +62,43 @@ class Published:
                                     if n.startswith("gen=")]]) + 1
         by = [store.part, *self.sort_cols]
         place = store._gen(number, "rows")
-        (rows.repartitionByRange(*by).sortWithinPartitions(*by).write.partitionBy(store.part)
-         .parquet(place))
+        watch = Watch(checks)
+        rows_schema = rows.schema
+        if checks:
+            rows = watch.marked(rows)
+        rows = rows.repartitionByRange(*by).sortWithinPartitions(*by)
+        if checks:
+            rows = watch.observed(rows)
+        rows.write.partitionBy(store.part).parquet(place)
         held = {} if touched is None else {d: g for d, g in old.places("rows").items()
                                            if d not in {str(x) for x in touched}}
         written = store._parts(place)
         if touched is not None and not set(written) <= {str(x) for x in touched}:
             raise ValueError("rows outside the partitions to replace")
+        told = old.extra.get("checks") if old.number else None
+        clean = not held or (told is not None and told["of"] == _named(checks)
+                             and told["found"] is not None and not any(told["found"]))
+        found = watch.violations() if checks and clean else None
         held.update({d: number for d in written})
         write_small(self.spark, store._gen(number, "_meta.json"), json.dumps(
-            {"upto": 0, "days": {"rows": held}, "extra": {"schema": rows.schema.json()}}))
+            {"upto": 0, "days": {"rows": held}, "extra": {
+                "schema": rows_schema.json(),
+                "checks": {"of": _named(checks), "found": found}}}))
         store._vacuum()
 
+    def violations(self, table: str, checks: tuple) -> list[int]:
+        """Violations of each check in the current rows: those counted while writing, or, if they
+        weren't or can't be told apart, by reading the table."""
+        told = self._bare().generation().extra.get("checks")
+        if told and told["of"] == _named(checks) and told["found"] is not None:
+            return told["found"]
+        got = {(r.check_name, r.column_name): r.violations
+               for r in quality.checked(self.read(), table, checks).collect()}  # a row per check
+        return [got[k, c] for k, c, *_ in checks]
+
+    def exists(self) -> bool:
+        return self._bare().generation().number > 0
+
     def read(self) -> DataFrame:
         """The current rows."""
         gen = self._bare().generation()

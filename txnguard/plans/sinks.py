@@ -51,8 +51,10 @@ def _touched(batch: DataFrame, part_col: str) -> list:
     return [r[0] for r in batch.select(part_col).distinct().collect()]
 
 
-def overwrite_partitions(df: DataFrame, path: str, part_cols, cluster_cols=()) -> None:
-    """Replace exactly the partitions present in `df`.
+def overwrite_partitions(df: DataFrame, path: str, part_cols, cluster_cols=(),
+                         watch=None) -> None:
+    """Replace exactly the partitions present in `df`. `watch` (`operators.watch`) observes the
+    rows as they are written.
 
     Rows are range-partitioned on (partitions, cluster columns): a day, or one customer's day,
     that holds a large share of the rows is split over many tasks (the range bounds come from a
@@ -60,6 +62,8 @@ def overwrite_partitions(df: DataFrame, path: str, part_cols, cluster_cols=()) -
     on. Hash-partitioning on the date alone would send a whole day to one task."""
     cols = [*part_cols, *[c for c in cluster_cols if c not in part_cols]]
     out = df.repartitionByRange(*cols).sortWithinPartitions(*cols)
+    if watch is not None:
+        out = watch.observed(out)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*part_cols).parquet(path))
 
@@ -74,7 +78,8 @@ def _materialize(df: DataFrame) -> DataFrame:
 
 def append_warehouse(batch: DataFrame, path: str, load_id: str | int = "0",
                      key: str = "transaction_id", part_col: str = "txn_date",
-                     sort_cols=("customer_id", "event_time"), dedup: bool = True) -> None:
+                     sort_cols=("customer_id", "event_time"), dedup: bool = True,
+                     watch=None) -> None:
     """Append scored rows (warehouse shape, staging.to_warehouse) as load `load_id`.
 
     The table's key is (date, transaction id): keys repeated inside the load keep the row of the
@@ -92,7 +97,7 @@ def append_warehouse(batch: DataFrame, path: str, load_id: str | int = "0",
                   .filter(F.col(part_col).isin(dates) & (F.col(LOAD_COL) != F.lit(str(load_id))))
                   .select(part_col, key))
         out = out.join(stored, [part_col, key], "left_anti")
-    overwrite_partitions(out, path, [part_col, LOAD_COL], sort_cols)
+    overwrite_partitions(out, path, [part_col, LOAD_COL], sort_cols, watch)
 
 
 # -- K5, K6 -----------------------------------------------------------------------------------
