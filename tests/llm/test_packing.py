@@ -112,3 +112,38 @@ def test_related_documents_meet():
 
 def test_powers_of_two():
     assert packing.powers_of_two(13) == [8, 4, 1] and packing.powers_of_two(0) == []
+
+
+def test_statistics_are_counted_while_encoding(spark, library):
+    """Document frequencies come from what the encoding tasks counted; nothing else is read."""
+    texts = [None, "", "the cat and the dog", "the cat", "\n", " ".join(f"w{i % 50}" for i in range(300))]
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)],
+                               "doc_id string, text string").repartition(9)
+    rows, size = packing.encode_all(df, vocabulary_path(), 1, 64, "text", "doc_id", False)
+    blind = rows.selectExpr("doc_id", "n", "cast(null as binary) as rest",
+                            "cast(null as binary) as terms", "df")
+    got = packing.collection(blind, size)
+    held, total = Counter(), 0
+    for t in texts:
+        held.update(set(library(t)))
+        total += len(library(t))
+    want = np.zeros(size)
+    for term, n in held.items():
+        want[term] = n
+    plain = packing.Collection(len(texts), total / len(texts), want)
+    assert got.docs == plain.docs and got.mean_length == plain.mean_length
+    assert np.array_equal(got.idf, plain.idf)
+
+
+def test_leading_terms_are_the_first_of_the_ranking():
+    rng = np.random.default_rng(5)
+    for terms in (3, 40, 70_000):
+        held = rng.integers(1, 6, 300)
+        held = np.minimum(held, terms)
+        doc = np.repeat(np.arange(300), held)
+        term = np.concatenate([np.sort(rng.choice(terms, k, replace=False)) for k in held])
+        weight = rng.choice([0.0, 0.5, 1.25, 3.0], len(doc))            # many ties
+        ranked, begin = packing._best_first(doc, term, weight), np.cumsum(held) - held
+        first, second = packing._two_best(doc, term, weight, held)
+        assert np.array_equal(first, ranked[begin])
+        assert np.array_equal(second, ranked[begin + (held > 1)])

@@ -100,9 +100,9 @@ class Bpe:
         return b"".join([memo[p] if len(p) <= 64 else np.array(self.merge(p.encode(
             "utf-8", "surrogatepass")), "<u4").tobytes() for p in self.pieces.findall(run)])
 
-    def _learn(self, keys: list[str]) -> dict[str, bytes]:
-        return {k: self._run_ids(k.removeprefix(HEAD) if k[0] in HEAD + NEWLINE else " " + k)
-                for k in keys}
+    def _learn(self, keys: list[str]) -> list[bytes]:
+        return [self._run_ids(k.removeprefix(HEAD) if k[0] in HEAD + NEWLINE else " " + k)
+                for k in keys]
 
     def many(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""

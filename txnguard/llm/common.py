@@ -182,8 +182,9 @@ def run_keys(text: str) -> list[str]:
 
 
 class RunMemo:
-    """Ids of runs as bytes, by key; `learn` gives them for new keys. Forgets everything when more
-    than `limit` keys are held; keys of more than LONGEST characters are not held."""
+    """Ids of runs as bytes, by key; `learn` gives those of new keys, in their order. Forgets
+    everything when more than `limit` keys are held; keys of more than LONGEST characters are not
+    held."""
 
     def __init__(self, learn, limit: int):
         self.learn, self.limit = learn, limit
@@ -194,10 +195,14 @@ class RunMemo:
             self.known.clear()
         ids = list(map(self.known.get, keys))
         missing = [i for i, x in enumerate(ids) if x is None]
-        learned = self.learn([keys[i] for i in missing])
-        for i in missing:
-            ids[i] = learned[keys[i]]
-        self.known.update((k, x) for k, x in learned.items() if len(k) <= LONGEST)
+        new = [keys[i] for i in missing]
+        learned = self.learn(new)
+        for i, x in zip(missing, learned):
+            ids[i] = x
+        if max(map(len, new), default=0) <= LONGEST:
+            self.known.update(zip(new, learned))
+        else:
+            self.known.update((k, x) for k, x in zip(new, learned) if len(k) <= LONGEST)
         return ids
 
 
@@ -224,15 +229,11 @@ def _ids_of(keys: pa.Array, memo: RunMemo, check: bool):
         ids = [b"" if b else next(found) for b in bad.tolist()]
     else:
         ids = memo(distinct)
-    size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
     # copy each run's ids from the table of distinct runs to its place
-    length = size[run]
-    end = np.cumsum(length)
-    start = (np.cumsum(size) - size)[run]
-    total = int(end[-1]) if len(end) else 0
-    flat = np.frombuffer(b"".join(ids), "<u4")[
-        np.repeat(start - end + length, length) + np.arange(total)]
-    cuts = np.concatenate(([0], end))[runs_upto].tolist()
+    taken = pa.array(ids, pa.large_binary()).take(coded.indices)
+    _, ends, data = taken.buffers()
+    flat = np.frombuffer(data, "<u4") if data else np.empty(0, "<u4")
+    cuts = (np.frombuffer(ends, np.int64)[runs_upto] // 4).tolist()
     return [flat[a:b] for a, b in zip(cuts, cuts[1:])], odd
 
 

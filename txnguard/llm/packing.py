@@ -6,8 +6,9 @@ holds pieces of documents that share words.
 1. Documents are encoded once and written with their ids. Every full window of a long document is a
    sequence of its own; what is left of a document, less than a window, is packed with others.
 2. BM25 statistics cover whole texts and all documents: the number of documents, their mean length
-   and, for each term, the number of documents that hold it. Terms are token ids, so the table of
-   document frequencies is as long as the vocabulary and can be broadcast.
+   and, for each term, the number of documents that hold it, counted while documents are encoded.
+   Terms are token ids, so the table of document frequencies is as long as the vocabulary and can
+   be broadcast.
 3. Documents are ordered by their terms of the highest weight (range partitioning by sampled
    bounds), so that related ones are near each other and a hot group is divided. Consecutive ones
    form shards of at most `shard_docs` documents and `shard_ids` ids.
@@ -58,7 +59,10 @@ def encode_all(docs: DataFrame, vocabulary: str, end_id: int, window: int, text:
     """A written table of the documents, and the size of the vocabulary: doc_id, n (ids, the end id
     included), base (sequence id of the first full window), full (check sum of each full window's
     ids), full_ids (those ids, with `with_ids`), rest (the ids behind them) and terms (of documents with full windows, as the rest holds
-    all ids of any other: distinct ids and how often they occur)."""
+    all ids of any other: distinct ids and how often they occur).
+
+    A task's last row is no document: its df tells how many of the task's documents hold each term
+    (terms and numbers, 64 bits each), and its other columns are null."""
     spark = docs.sparkSession
     small_batches(spark)
     with open(vocabulary, encoding="utf-8") as f:
@@ -68,6 +72,7 @@ def encode_all(docs: DataFrame, vocabulary: str, end_id: int, window: int, text:
 
     def run(batches):
         encoder, windows = loaded(spec.value), TaskContext.get().partitionId() << 36
+        df = np.zeros(size, np.int64)
         for b in slices(batches, 1500):
             ids_of = encoder.many([t or "" for t in b["t"].to_pylist()])
             n, base, full, full_ids, rest, terms = [], [], [], [], [], []
@@ -83,15 +88,24 @@ def encode_all(docs: DataFrame, vocabulary: str, end_id: int, window: int, text:
                 rest.append(ids[whole * window:].tobytes())
                 terms.append(np.stack(np.unique(ids, return_counts=True)).astype("<u4").tobytes()
                              if whole else None)
+            df += np.bincount(_vectors(rest, terms, kind)[1], minlength=size)
             yield pa.RecordBatch.from_arrays(
                 [b["id"], pa.array(n, pa.int64()), pa.array(base, pa.int64()),
                  pa.array(full, pa.list_(pa.int64())), pa.array(full_ids, pa.list_(pa.binary())),
-                 pa.array(rest, pa.binary()), pa.array(terms, pa.binary())],
-                names=["doc_id", "n", "base", "full", "full_ids", "rest", "terms"])
+                 pa.array(rest, pa.binary()), pa.array(terms, pa.binary()),
+                 pa.nulls(len(n), pa.binary())], names=names)
+        at = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(1, k) for k in (pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int64()),
+                                      pa.list_(pa.binary()), pa.binary(), pa.binary())]
+            + [pa.array([np.stack([at, df[at]]).astype("<i8").tobytes()], pa.binary())],
+            names=names)
 
+    names = ["doc_id", "n", "base", "full", "full_ids", "rest", "terms", "df"]
     rows = pick(docs, id_col, text).toDF("id", "t").select(F.col("id").cast("string"), "t")
     return settle(rows.mapInArrow(tidy(run), "doc_id string, n long, base long, full array<long>, "
-                                  "full_ids array<binary>, rest binary, terms binary"), "pack-ids"), size
+                                  "full_ids array<binary>, rest binary, terms binary, df binary"),
+                  "pack-ids"), size
 
 
 class Collection:
@@ -137,24 +151,36 @@ def _best_first(doc: np.ndarray, term: np.ndarray, weight: np.ndarray) -> np.nda
     return (key & np.uint64(0xFFFF)).astype(np.int64)
 
 
-def collection(rows: DataFrame, size: int) -> Collection:
-    """Statistics of the table that `encode_all` wrote. Each task sends one number for each term it
-    has seen; the result is as long as the vocabulary."""
-    kind = "<u2" if size <= 1 << 16 else "<u4"
+def _two_best(doc: np.ndarray, term: np.ndarray, weight: np.ndarray, held: np.ndarray):
+    """The first two terms of each document in the order of `_best_first` (the first twice, where it
+    has one); a document has `held` terms, one at least."""
+    if not len(held):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    falling = 0xFFFFFFFF - weight.astype(np.float32).view(np.uint32).astype(np.uint64)
+    key = falling << np.uint64(32) | term.astype(np.uint64)
+    begin = np.cumsum(held) - held
+    first = np.minimum.reduceat(key, begin)
+    key[key == np.repeat(first, held)] = np.uint64(0xFFFFFFFFFFFFFFFF)
+    second = np.where(held > 1, np.minimum.reduceat(key, begin), first)
+    return [(x & np.uint64(0xFFFFFFFF)).astype(np.int64) for x in (first, second)]
 
+
+def collection(rows: DataFrame, size: int) -> Collection:
+    """Statistics of the table that `encode_all` wrote, from what its tasks counted: one number for
+    each term that a task has seen. The result is as long as the vocabulary."""
     def run(batches):
-        df = np.zeros(size, np.int64)
-        for b in slices(batches, 2000):
-            df += np.bincount(_vectors(b["rest"].to_pylist(), b["terms"].to_pylist(), kind)[1],
-                              minlength=size)
-        at = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(df[at])], names=["term", "df"])
+        for b in batches:
+            for told in b["df"].to_pylist():
+                term, df = np.frombuffer(told, "<i8").reshape(2, -1)
+                yield pa.RecordBatch.from_arrays([pa.array(term), pa.array(df)],
+                                                 names=["term", "df"])
 
     df = np.zeros(size)
-    for r in (rows.select("rest", "terms").mapInArrow(tidy(run), "term long, df long")
+    for r in (rows.filter("df is not null").select("df")
+              .mapInArrow(tidy(run), "term long, df long")
               .groupBy("term").agg(F.sum("df").alias("df")).collect()):   # one row per token id
         df[r.term] = r.df
-    n, mean = rows.agg(F.count(F.lit(1)), F.avg("n")).first()
+    n, mean = rows.agg(F.count("n"), F.avg("n")).first()       # n is null in the rows of df
     return Collection(n, mean or 0.0, df)
 
 
@@ -167,10 +193,7 @@ def leading_terms(rows: DataFrame, stats, size: int) -> DataFrame:
             doc, term, tf = _vectors(b["rest"].to_pylist(), b["terms"].to_pylist(), kind)
             n = b["n"].to_numpy()
             weight = stats.value.weights(term, tf, n[doc])
-            ranked = _best_first(doc, term, weight)
-            held = np.bincount(doc, minlength=len(n))
-            begin = np.cumsum(held) - held
-            first, second = ranked[begin], ranked[begin + (held > 1)]
+            first, second = _two_best(doc, term, weight, np.bincount(doc, minlength=len(n)))
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array(first.astype(np.int32)), pa.array(second.astype(np.int32))],
                 names=[*b.schema.names, "first", "second"])

@@ -70,21 +70,25 @@ class Encoder:
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, keys: list[str]) -> dict[str, bytes]:
-        after_space = [k for k in keys if k[0] not in HEAD + NEWLINE]
+    def _learn(self, keys: list[str]) -> list[bytes]:
+        out: list = [None] * len(keys)
+        after_space = [i for i, k in enumerate(keys) if k[0] not in HEAD + NEWLINE]
+        for i, ids in zip(after_space, self._apart([keys[i] for i in after_space], " ")):
+            out[i] = ids
         # after a newline, which is a token of its own unless space stands at its other side
-        heads = [k[1:] for k in keys if k[0] == HEAD and k[1:] and not k[1].isspace()
+        heads = [i for i, k in enumerate(keys) if k[0] == HEAD and k[1:] and not k[1].isspace()
                  and not k[-1].isspace()]
-        out = dict(self._apart(after_space, " "))
-        out.update((HEAD + r, ids[4:]) for r, ids in self._apart(heads, "\n"))
-        for k in keys:
-            if k not in out:
-                out[k] = self.whole(k.removeprefix(HEAD)) if k != HEAD else b""
+        for i, ids in zip(heads, self._apart([keys[i][1:] for i in heads], "\n")):
+            out[i] = ids[4:]
+        for i, k in enumerate(keys):
+            if out[i] is None:
+                out[i] = self.whole(k.removeprefix(HEAD)) if k != HEAD else b""
         return out
 
-    def _apart(self, runs: list[str], before: str, together: int = 1000):
-        """(run, ids of `before` and the run). Many runs are encoded as one text and told apart by
-        the bytes that their tokens stand for."""
+    def _apart(self, runs: list[str], before: str, together: int = 1000) -> list[bytes]:
+        """Ids of `before` and each run. Many runs are encoded as one text and told apart by the
+        bytes that their tokens stand for."""
+        out: list[bytes] = []
         parts = [runs[at:at + together] for at in range(0, len(runs), together)]
         coded = self.library.encode_batch_fast([before + before.join(p) for p in parts],
                                                add_special_tokens=False)
@@ -92,9 +96,9 @@ class Encoder:
             ids = np.array(encoding.ids, "<u4")
             sizes = np.fromiter(map(len, map(str.encode, part)), np.int64, len(part))
             cut = np.searchsorted(np.cumsum(self.bytes[ids]), np.cumsum(sizes + 1)) + 1
-            data = ids.tobytes()
-            yield from zip(part, [data[4 * a:4 * b] for a, b in
-                                  zip([0, *cut[:-1].tolist()], cut.tolist())])
+            data, ends = ids.tobytes(), (4 * cut).tolist()
+            out += [data[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+        return out
 
     def many(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
