@@ -194,3 +194,12 @@ def test_history_property(spark, rows, windows, segment):
     data = [(f"t{i:04d}", c, amt, cty, t0 + timedelta(minutes=m))
             for i, (c, m, amt, cty) in enumerate(rows)]
     check(spark, data, p)
+
+
+def test_the_map_moves_only_where_it_is_asked_for(spark):
+    df = spark.createDataFrame([("t", "a", 1.0, "US", datetime(2024, 1, 1))], SCHEMA)
+    hist = with_history(df, RuleParams()).select("transaction_id", "has_history", "is_new_country")
+    plan = hist._jdf.queryExecution().optimizedPlan().toString()
+    joined = next(line for line in plan.splitlines() if "Project" in line
+                  and "_firsts_here" in line and "_n#" in line)
+    assert "country_first_seen" not in joined

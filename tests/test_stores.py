@@ -6,11 +6,15 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import SF_SMALL
 from txnguard.operators.history import with_history
 from txnguard.params import FIXTURE_PARAMS
+from txnguard.plans import loads
 from txnguard.plans.day_store import DayStore, LoadLog, Table
+from txnguard.plans.group_store import CUSTOMERS, GroupStore
 from txnguard.plans.history_store import HistoryStore
 from txnguard.plans.id_index import IdIndex
+from txnguard.plans.pipeline import Pipeline
 from txnguard.sources.fixtures import load_transactions
 
 OUT = ["transaction_id", "recent_count", "small_count", "prior_count", "avg_amount",
@@ -165,3 +169,49 @@ def test_a_fold_that_fails_changes_nothing(spark, scratch):
     store.add(3, "t", rows(2))
     store.fold([3], {})
     assert total() == 3
+
+
+def test_group_store_runs_a_loads_rows_twice(spark, scratch):
+    """Once for its pairs and once for its measures, whatever is written and sorted later."""
+    seen = spark.sparkContext.accumulator(0)
+    store = GroupStore(spark, f"{scratch}/store", "customer_id", CUSTOMERS, ("country", "merchant"),
+                       buckets=4, fold_every=1, keep=1)
+
+    def rows(load):
+        made = spark.range(600).selectExpr(
+            "concat('c', id % 40) as customer_id", f"concat('l', id % {3 + load}) as country",
+            "concat('m', id % 7) as merchant", "id % 5 = 0 as is_fraud",
+            "cast(id as decimal(12,2)) as amount", "cast(0.5 as decimal(6,4)) as fraud_score",
+            f"timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, {load}) as event_time")
+
+        def run(batches):
+            for b in batches:
+                seen.add(b.num_rows)
+                yield b
+        return made, made.mapInArrow(run, made.schema)
+
+    every = []
+    for load in (1, 2, 3):
+        seen.value = 0
+        plain, counted = rows(load)
+        store.add(counted, load)
+        assert 600 <= seen.value <= 1200
+        store.fold_if_due()
+        every.append(plain)
+    assert not any(n.startswith("_work") for n in os.listdir(f"{scratch}/store"))
+    both = every[0].unionByName(every[1]).unionByName(every[2])
+    want = both.groupBy("customer_id").agg(
+        F.count("*"), F.countDistinct("country"), F.countDistinct("merchant"), F.sum("amount"))
+    got = store.groups().select("grp", "n", "new_country", "new_merchant", "amount")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_loads_write_the_columns_that_the_store_reads(spark, monkeypatch):
+    written = []
+    plain = loads._written
+    monkeypatch.setattr(loads, "_written", lambda df, path: written.append(df.columns)
+                        or plain(df, path))
+    loads.customers_over_loads(Pipeline(spark, SF_SMALL))
+    assert [set(c) for c in written] == [{
+        "customer_id", "country", "category", "merchant", "is_fraud", "amount", "fraud_score",
+        "event_time", "load"}]

@@ -137,8 +137,13 @@ def with_history(txns: DataFrame, p: RuleParams, customer: str = "customer_id",
     # the map of first-seen times rides on the segment table: one row per segment, not per row
     seen = firsts.groupBy("who").agg(
         F.map_from_entries(F.collect_list(F.struct("cty", "first"))).alias("country_first_seen"))
+    # and what of it falls into the segment: all that `is_new_country` needs, so that the whole map
+    # moves only where it is asked for
+    ends = F.col("seg") + F.lit(segment_micros(p))
     prior = (prior.alias("x").join(seen.alias("y"), F.col("x.who").eqNullSafe(F.col("y.who")))
-             .select("x.*", "country_first_seen"))
+             .select("x.*", "country_first_seen", F.map_filter(
+                 "country_first_seen", lambda _, first: (first >= F.col("seg")) & (first < ends))
+                 .alias("_firsts_here")))
 
     # inside each segment: running sums strictly before the point
     inside = (Window.partitionBy("who", "seg").orderBy("t")
@@ -156,7 +161,7 @@ def with_history(txns: DataFrame, p: RuleParams, customer: str = "customer_id",
         & (F.col("x.seg") == F.col("y.seg")))
         .select(F.col("x.who").alias("who"), F.col("x.t").alias("t"), total("dv").alias("_recent"),
                 total("dk").alias("_small"), total("dn").alias("_n"), total("ds").alias("_s"),
-                "country_first_seen"))
+                "country_first_seen", "_firsts_here"))
 
     rows = txns.select(*carry, F.col(customer).alias("_who"),
                        F.unix_micros("event_time").alias("us"), country_or_default().alias("_cty"))
@@ -171,7 +176,7 @@ def with_history(txns: DataFrame, p: RuleParams, customer: str = "customer_id",
         n.cast("long").alias("prior_count"),
         F.when(n > 0, F.col("_s").cast("double") / n).otherwise(F.lit(0.0)).alias("avg_amount"),
         (n > 0).alias("has_history"),
-        F.coalesce(F.try_element_at("country_first_seen", F.col("_cty")) == F.col("us"),
+        F.coalesce(F.try_element_at("_firsts_here", F.col("_cty")) == F.col("us"),
                    F.lit(False)).alias("is_new_country"),
         "country_first_seen",
     )

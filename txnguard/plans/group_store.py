@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from txnguard.functions.buckets import pct, risk_status, round_half_up
 from txnguard.plans.day_store import DayStore, Generation, Table
+from txnguard.plans.sinks import delete_path
 
 MONEY, SCORE = "decimal(38,2)", "decimal(38,4)"
 
@@ -97,6 +98,16 @@ class GroupStore:
         """Numbers of buckets: bounded by the number of buckets."""
         return {str(r.bucket) for r in df.select("bucket").distinct().collect()}
 
+    def _once(self, df: DataFrame, load: int, name: str) -> DataFrame:
+        """`df` written beside the loads, for several readers: range partitioning alone runs its
+        input twice. `add` deletes it."""
+        path = f"{self._work(load)}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def _work(self, load: int) -> str:
+        return f"{self.store.root}/_work-{load}"
+
     def add(self, rows: DataFrame, load: int) -> None:
         """Store what load number `load` adds; a rerun replaces it."""
         grp = F.col(self.group).alias("grp")
@@ -105,12 +116,15 @@ class GroupStore:
             for c in self.distinct])).alias("p")
         pairs = (rows.select(grp, values).select("grp", "p.*").filter("value is not null")
                  .distinct().withColumn("bucket", self._bucket("grp", "kind", "value")))
+        new = pairs = self._once(pairs, load, "pairs")
         gen = self.store.generation()
         loads = self.store.loads(gen, before=load)
-        known = self.store.stored("pairs", gen, loads, self._touched(pairs))
-        same = ((F.col("a.bucket") == F.col("b.bucket")) & F.col("a.grp").eqNullSafe(F.col("b.grp"))
-                & (F.col("a.kind") == F.col("b.kind")) & (F.col("a.value") == F.col("b.value")))
-        new = pairs.alias("a").join(known.alias("b"), same, "left_anti")
+        if gen.number or loads:
+            known = self.store.stored("pairs", gen, loads, self._touched(pairs))
+            same = ((F.col("a.bucket") == F.col("b.bucket"))
+                    & F.col("a.grp").eqNullSafe(F.col("b.grp"))
+                    & (F.col("a.kind") == F.col("b.kind")) & (F.col("a.value") == F.col("b.value")))
+            new = self._once(pairs.alias("a").join(known.alias("b"), same, "left_anti"), load, "new")
         self.store.add(load, "pairs", new, ("grp", "kind", "value"))
         new = self.store.fresh("pairs", [load])          # written: read once more, cheaply
         counts = [F.sum(F.when(F.col("kind") == c, 1).otherwise(0)).alias(f"new_{c}")
@@ -121,8 +135,10 @@ class GroupStore:
                                          *[F.lit(0).alias(f"new_{c}") for c in self.distinct])
         brought = new.groupBy("grp").agg(*counts).select("grp", *none,
                                                          *[f"new_{c}" for c in self.distinct])
-        self.store.add(load, "partials", self._merged(measured.unionByName(brought))
-                       .withColumn("bucket", self._bucket("grp")), ("grp",))
+        partials = self._once(self._merged(measured.unionByName(brought))
+                              .withColumn("bucket", self._bucket("grp")), load, "partials")
+        self.store.add(load, "partials", partials, ("grp",))
+        delete_path(self.store.spark, self._work(load))
 
     def groups(self, touched_by: int | None = None) -> DataFrame:
         """The merged partials: of all groups, or of the buckets that a load touches."""

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnguard.operators.history import with_history
+from txnguard.operators.staging import STAGING_COLUMNS
 from txnguard.params import FIXTURE_PARAMS, MartParams
 from txnguard.plans import group_store
 from txnguard.plans.bucketed import dim_customers_by_bucket, write_bucketed
@@ -23,6 +24,7 @@ from txnguard.plans.pipeline import Pipeline
 from txnguard.session import checkpoint_root
 
 MART = MartParams()
+MEASURED = ("is_fraud", "amount", "fraud_score", "event_time")     # read by a GroupStore's measures
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
@@ -80,7 +82,10 @@ def accepted_over_loads(p: Pipeline) -> DataFrame:
 
 def _groups_over_loads(p: Pipeline, group: str, measures: dict, distinct: tuple) -> DataFrame:
     root = _scratch(p.spark, f"{group}-loads")
-    rows = _written(p.staging().withColumn("load", load_number()), f"{root}/rows")
+    # the columns that the store reads; a written table has no later step that prunes the others
+    used = [c for c in STAGING_COLUMNS if c in (group, *distinct, *MEASURED)]
+    rows = _written(p.staging().withColumn("load", load_number()).select(*used, "load"),
+                    f"{root}/rows")
     store = GroupStore(p.spark, f"{root}/store", group, measures, distinct, buckets=4,
                        fold_every=1, keep=1)
     for load in range(1, 4):
